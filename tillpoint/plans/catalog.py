@@ -8,6 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.operators import features as feat
+from tillpoint.operators import reports as rep
+from tillpoint.operators import validate as val
+from tillpoint.operators.quality import audit
 from tillpoint.operators.validate import clean_sales
 from tillpoint.sources import testdata as td
 
@@ -33,3 +36,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sazonalidade_dia": _feature(feat.sazonalidade_dia),
     "top_produtos": _feature(feat.top_produtos),
 }
+
+
+def _flat_report(spark, sf_dir):
+    r = val.schema_report(td.vendas_suja(spark, sf_dir))
+    from pyspark.sql import functions as F
+    return r.select("valido", F.array_join("problemas", " | ").alias("problemas"), "linhas", "colunas", "removidas")
+
+
+def _audit(spark, sf_dir):
+    return audit(td.clientes_dq(spark, sf_dir), td.REF_DATE)
+
+
+def _diagnostico(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return _audit(spark, sf_dir).diagnostico().withColumn("n_alertas", F.size("alertas").cast("bigint")).drop(
+        "alertas")
+
+
+QUERIES.update({
+    "validacao_nulos": lambda spark, sf_dir: val.null_counts(td.vendas_suja(spark, sf_dir)),
+    "validacao_relatorio": _flat_report,
+    "limpeza_vendas": lambda spark, sf_dir: clean_sales(td.vendas_suja(spark, sf_dir)),
+    "perfil_vendas": lambda spark, sf_dir: rep.perfil_vendas(_sales(spark, sf_dir)),
+    "top_lojas_ticket": lambda spark, sf_dir: rep.top_lojas_ticket(_sales(spark, sf_dir)),
+    "ultimos_meses_loja": lambda spark, sf_dir: rep.ultimos_meses_loja(_sales(spark, sf_dir), 1),
+    "dq_completude": lambda spark, sf_dir: _audit(spark, sf_dir).completude_table(),
+    "dq_frescor": lambda spark, sf_dir: _audit(spark, sf_dir).frescor(),
+    "dq_unicidade": lambda spark, sf_dir: _audit(spark, sf_dir).unicidade_table(),
+    "dq_consistencia": lambda spark, sf_dir: _audit(spark, sf_dir).consistencia_table(),
+    "dq_acuracia": lambda spark, sf_dir: _audit(spark, sf_dir).acuracia_table(),
+    "dq_dimensoes": lambda spark, sf_dir: _audit(spark, sf_dir).dimensoes(),
+    "dq_diagnostico": _diagnostico,
+    "dq_alertas": lambda spark, sf_dir: _audit(spark, sf_dir).alertas(),
+    "dq_celulas_nulas": lambda spark, sf_dir: _audit(spark, sf_dir).overall_null_pct(),
+})

@@ -157,3 +157,204 @@ FROM ranking WHERE "rank" <= 5
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(FEATURES)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Validation and cleaning (B-series) on the defect view
+# ---------------------------------------------------------------------------------------------------------------
+SALES_COLUMNS = ["data_venda", "loja_id", "produto_id", "categoria", "quantidade", "valor_unitario",
+                 "valor_total", "custo", "cliente_id", "canal_venda", "regiao"]
+FLOAT_SALES_COLUMNS = {"valor_unitario"}
+
+
+def _missing(c: str, floats) -> str:
+    return f"({c} IS NULL OR isnan({c}))" if c in floats else f"{c} IS NULL"
+
+
+def _null_counts(view: str, cols, floats) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, COUNT(*) FILTER (WHERE {_missing(c, floats)}) AS nulos FROM {view}" for c in cols)
+
+
+KEEP_SQL = ("COALESCE(quantidade > 0, FALSE) AND COALESCE(valor_unitario > 0, FALSE) AND NOT COALESCE("
+            "isnan(valor_unitario), FALSE) AND COALESCE(valor_total > 0, FALSE)")
+
+_null_cols = ", ".join(f"COUNT(*) FILTER (WHERE {_missing(c, FLOAT_SALES_COLUMNS)}) AS n_{c}" for c in SALES_COLUMNS)
+_problem_parts = ", ".join(f"CASE WHEN n_{c} > 0 THEN 'nulos em {c}: ' || CAST(n_{c} AS VARCHAR) END"
+                           for c in SALES_COLUMNS)
+
+VALIDATION = {
+    "validacao_nulos": with_views(_null_counts("vendas_suja", SALES_COLUMNS, FLOAT_SALES_COLUMNS)),
+    "validacao_relatorio": with_views(f"""
+, agg AS (SELECT COUNT(*) AS linhas, COUNT(*) FILTER (WHERE NOT ({KEEP_SQL})) AS removidas, {_null_cols}
+          FROM vendas_suja)
+SELECT ({' AND '.join(f'n_{c} = 0' for c in SALES_COLUMNS)}) AS valido,
+       concat_ws(' | ', {_problem_parts}) AS problemas,
+       linhas, CAST({len(SALES_COLUMNS)} AS BIGINT) AS colunas, removidas
+FROM agg
+"""),
+    "limpeza_vendas": with_views(f"""
+SELECT {', '.join(SALES_COLUMNS)} FROM vendas_suja WHERE {KEEP_SQL}
+"""),
+}
+
+# ---------------------------------------------------------------------------------------------------------------
+# Reports (R-series)
+# ---------------------------------------------------------------------------------------------------------------
+REPORTS = {
+    "perfil_vendas": with_views("""
+SELECT MIN(data_venda) AS data_inicio, MAX(data_venda) AS data_fim,
+       COUNT(DISTINCT loja_id) AS n_lojas, COUNT(DISTINCT produto_id) AS n_produtos,
+       COUNT(DISTINCT cliente_id) AS n_clientes, COUNT(*) AS n_vendas,
+       ROUND(CAST(SUM(valor_total) AS DOUBLE), 2) AS receita_total,
+       ROUND(CAST(SUM(valor_total) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0), 2) AS ticket_medio
+FROM vendas
+"""),
+    "top_lojas_ticket": with_views("""
+SELECT loja_id,
+       ROUND(CAST(SUM(valor_total) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0), 2) AS ticket_medio
+FROM vendas GROUP BY loja_id
+ORDER BY ticket_medio DESC, loja_id LIMIT 5
+"""),
+    "ultimos_meses_loja": with_views("""
+, mensal AS (SELECT loja_id, strftime(data_venda, '%Y-%m') AS mes, SUM(valor_total) AS receita
+             FROM vendas GROUP BY loja_id, mes)
+, mom AS (
+  SELECT loja_id, mes, CAST(receita AS DOUBLE) AS receita,
+         ROUND(CAST(receita - LAG(receita) OVER (PARTITION BY loja_id ORDER BY mes) AS DOUBLE)
+               / NULLIF(CAST(LAG(receita) OVER (PARTITION BY loja_id ORDER BY mes) AS DOUBLE), 0) * 100, 2)
+           AS crescimento_mom_pct
+  FROM mensal)
+SELECT * FROM mom WHERE loja_id = 1 ORDER BY mes DESC LIMIT 3
+"""),
+}
+
+# ---------------------------------------------------------------------------------------------------------------
+# Data-quality audit (D-series) on clientes_dq, reference date 2001-12-01, 730-day limit, key cpf
+# ---------------------------------------------------------------------------------------------------------------
+DQ_COLUMNS = ["cliente_id", "nome", "cpf", "email", "email_alt", "telefone", "estado", "idade", "renda",
+              "compras_12m", "data_nascimento", "data_cadastro", "data_atualizacao"]
+DQ_FLOATS = {"renda"}
+
+
+def _pct_even(num: str, den: str) -> str:
+    return f"ROUND_EVEN(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100 * 100, 0) / 100"
+
+
+_dq_null_cols = ", ".join(f"COUNT(*) FILTER (WHERE {_missing(c, DQ_FLOATS)}) AS n_{c}" for c in DQ_COLUMNS)
+
+DQ_STATS = f"""
+, mr AS (SELECT AVG(renda) AS m, STDDEV_SAMP(renda) AS s FROM clientes_dq WHERE renda IS NOT NULL AND NOT isnan(renda))
+, mc AS (SELECT AVG(CAST(compras_12m AS DOUBLE)) AS m, STDDEV_SAMP(CAST(compras_12m AS DOUBLE)) AS s
+         FROM clientes_dq WHERE compras_12m IS NOT NULL)
+, st AS (
+  SELECT COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE data_atualizacao < {REF_DATE_SQL} - INTERVAL 730 DAY) AS stale,
+         CAST(MIN(data_atualizacao) AS DATE) AS oldest,
+         {_dq_null_cols},
+         COUNT(DISTINCT cpf) AS distinct_cpf, COUNT(*) FILTER (WHERE cpf IS NULL) AS sqlnull_cpf,
+         COUNT(*) FILTER (WHERE idade < 0) AS rule_0,
+         COUNT(*) FILTER (WHERE email IS NOT NULL AND NOT contains(email, '@')) AS rule_1,
+         COUNT(*) FILTER (WHERE data_nascimento > data_cadastro) AS rule_2,
+         COUNT(*) FILTER (WHERE renda IS NOT NULL AND NOT isnan(renda)) AS valid_renda,
+         COUNT(*) FILTER (WHERE abs((renda - (SELECT m FROM mr)) / NULLIF((SELECT s FROM mr), 0)) > 3) AS out_renda,
+         COUNT(compras_12m) AS valid_compras,
+         COUNT(*) FILTER (WHERE abs((compras_12m - (SELECT m FROM mc)) / NULLIF((SELECT s FROM mc), 0)) > 3)
+           AS out_compras
+  FROM clientes_dq)
+, k AS (SELECT *, ({' + '.join(f"CASE WHEN {_pct_even('n_' + c, 'n')} > 5 THEN 1 ELSE 0 END" for c in DQ_COLUMNS)})
+                  AS k1,
+               {_pct_even('stale', 'n')} AS pct2,
+               CAST(n - distinct_cpf - CASE WHEN sqlnull_cpf > 0 THEN 1 ELSE 0 END AS BIGINT) AS dups,
+               rule_0 + rule_1 + rule_2 AS tot4,
+               (CASE WHEN rule_0 > 0 THEN 1 ELSE 0 END + CASE WHEN rule_1 > 0 THEN 1 ELSE 0 END
+                + CASE WHEN rule_2 > 0 THEN 1 ELSE 0 END) AS nrules,
+               out_renda + out_compras AS tot5,
+               (CASE WHEN out_renda > 0 THEN 1 ELSE 0 END + CASE WHEN out_compras > 0 THEN 1 ELSE 0 END) AS ncols
+          FROM st)
+, dims AS (
+  SELECT 1 AS ordem, 'completude' AS dimensao,
+         CASE WHEN k1 = 0 THEN 'ok' WHEN k1 <= 2 THEN 'warning' ELSE 'critico' END AS status,
+         greatest(0, 20 - 5 * k1) AS score,
+         CASE WHEN k1 > 0 THEN CAST(k1 AS VARCHAR) || ' colunas com >5% nulos' ELSE 'Todas as colunas OK' END
+           AS detalhes, k1 AS ocorrencias FROM k
+  UNION ALL
+  SELECT 2, 'frescor',
+         CASE WHEN pct2 <= 5 THEN 'ok' WHEN pct2 <= 15 THEN 'warning' ELSE 'critico' END,
+         CASE WHEN pct2 <= 5 THEN 20 WHEN pct2 <= 15 THEN 15 ELSE 10 END,
+         COALESCE(CAST(pct2 AS VARCHAR), 'nan') || '% dos registros sem atualização há >2 anos', stale FROM k
+  UNION ALL
+  SELECT 3, 'unicidade',
+         CASE WHEN dups = 0 THEN 'ok' WHEN dups <= 2 THEN 'warning' ELSE 'critico' END,
+         CASE WHEN dups = 0 THEN 20 WHEN dups <= 2 THEN 15 ELSE 5 END,
+         CASE WHEN dups > 0 THEN CAST(dups AS VARCHAR) || ' duplicatas encontradas' ELSE 'Sem duplicatas' END,
+         dups FROM k
+  UNION ALL
+  SELECT 4, 'consistencia',
+         CASE WHEN tot4 = 0 THEN 'ok' WHEN tot4 <= 5 THEN 'warning' ELSE 'critico' END,
+         CASE WHEN tot4 = 0 THEN 20 WHEN tot4 <= 5 THEN 12 ELSE 5 END,
+         CASE WHEN tot4 > 0 THEN CAST(tot4 AS VARCHAR) || ' violações em ' || CAST(nrules AS VARCHAR) || ' regras'
+              ELSE 'Todas as regras OK' END, tot4 FROM k
+  UNION ALL
+  SELECT 5, 'acuracia',
+         CASE WHEN tot5 = 0 THEN 'ok' WHEN tot5 <= 5 THEN 'warning' ELSE 'critico' END,
+         CASE WHEN tot5 = 0 THEN 20 WHEN tot5 <= 5 THEN 12 ELSE 5 END,
+         CASE WHEN tot5 > 0 THEN CAST(tot5 AS VARCHAR) || ' outliers em ' || CAST(ncols AS VARCHAR) || ' colunas'
+              ELSE 'Sem outliers' END, tot5 FROM k)
+, dimsb AS (SELECT CAST(ordem AS BIGINT) AS ordem, dimensao, status, CAST(score AS BIGINT) AS score, detalhes,
+                   CAST(ocorrencias AS BIGINT) AS ocorrencias FROM dims)
+, alerts AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY CASE status WHEN 'critico' THEN 0 ELSE 1 END, ordem) AS BIGINT) AS ordem,
+         CASE status WHEN 'critico' THEN 'CRITICO' ELSE 'WARNING' END AS nivel, dimensao, detalhes AS mensagem
+  FROM dimsb WHERE status IN ('critico', 'warning'))
+"""
+
+DQ = {
+    "dq_completude": with_views(" UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, COUNT(*) FILTER (WHERE {_missing(c, DQ_FLOATS)}) AS nulos, "
+        f"{_pct_even(f'COUNT(*) FILTER (WHERE {_missing(c, DQ_FLOATS)})', 'COUNT(*)')} AS pct_nulos, "
+        f"COALESCE({_pct_even(f'COUNT(*) FILTER (WHERE {_missing(c, DQ_FLOATS)})', 'COUNT(*)')} > 5, FALSE)"
+        f" AS critica FROM clientes_dq" for c in DQ_COLUMNS)),
+    "dq_frescor": with_views(DQ_STATS + """
+SELECT CAST(stale AS BIGINT) AS registros_desatualizados, pct2 AS pct_desatualizado, oldest AS data_mais_antiga
+FROM k
+"""),
+    "dq_unicidade": with_views(DQ_STATS + "SELECT 'cpf' AS coluna, dups AS duplicatas FROM k"),
+    "dq_consistencia": with_views(DQ_STATS + """
+SELECT 'idade >= 0' AS regra, CAST(rule_0 AS BIGINT) AS violacoes FROM k
+UNION ALL SELECT 'email contém @', CAST(rule_1 AS BIGINT) FROM k
+UNION ALL SELECT 'data_nascimento <= data_cadastro', CAST(rule_2 AS BIGINT) FROM k
+"""),
+    "dq_acuracia": with_views(DQ_STATS + f"""
+SELECT 'renda' AS coluna, CAST(valid_renda AS BIGINT) AS validos, CAST(out_renda AS BIGINT) AS outliers,
+       {_pct_even('out_renda', 'valid_renda')} AS pct FROM k
+UNION ALL
+SELECT 'compras_12m', CAST(valid_compras AS BIGINT), CAST(out_compras AS BIGINT),
+       {_pct_even('out_compras', 'valid_compras')} FROM k
+"""),
+    "dq_dimensoes": with_views(DQ_STATS + "SELECT * FROM dimsb"),
+    "dq_diagnostico": with_views(DQ_STATS + """
+SELECT CAST(SUM(score) AS BIGINT) AS score_qualidade, CAST(100 AS BIGINT) AS score_maximo,
+       CASE WHEN COUNT(*) FILTER (WHERE status = 'critico') >= 2 THEN 'ALTA'
+            WHEN COUNT(*) FILTER (WHERE status = 'critico') >= 1
+              OR COUNT(*) FILTER (WHERE status = 'warning') >= 3 THEN 'MÉDIA'
+            WHEN COUNT(*) FILTER (WHERE status = 'warning') >= 1 THEN 'BAIXA' ELSE 'OK' END AS severidade,
+       COUNT(*) FILTER (WHERE status = 'ok') AS dimensoes_ok,
+       COUNT(*) FILTER (WHERE status = 'warning') AS dimensoes_warning,
+       COUNT(*) FILTER (WHERE status = 'critico') AS dimensoes_criticas,
+       COUNT(*) FILTER (WHERE status <> 'ok') AS n_alertas
+FROM dimsb
+"""),
+    "dq_alertas": with_views(DQ_STATS + "SELECT * FROM alerts"),
+    "dq_celulas_nulas": with_views(DQ_STATS + f"""
+SELECT CAST(n AS BIGINT) AS linhas, CAST({len(DQ_COLUMNS)} AS BIGINT) AS colunas,
+       CAST({' + '.join('n_' + c for c in DQ_COLUMNS)} AS BIGINT) AS celulas_nulas,
+       CAST({' + '.join('n_' + c for c in DQ_COLUMNS)} AS DOUBLE)
+         / NULLIF(CAST(n * {len(DQ_COLUMNS)} AS DOUBLE), 0) * 100 AS pct_celulas_nulas
+FROM k
+"""),
+}
+
+ORACLES.update(VALIDATION)
+ORACLES.update(REPORTS)
+ORACLES.update(DQ)
