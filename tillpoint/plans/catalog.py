@@ -11,6 +11,7 @@ from tillpoint.operators import features as feat
 from tillpoint.operators import reports as rep
 from tillpoint.operators import validate as val
 from tillpoint.operators.quality import audit
+from tillpoint.operators import panel as pan
 from tillpoint.operators.validate import clean_sales
 from tillpoint.sources import testdata as td
 
@@ -71,3 +72,17 @@ QUERIES.update({
     "dq_alertas": lambda spark, sf_dir: _audit(spark, sf_dir).alertas(),
     "dq_celulas_nulas": lambda spark, sf_dir: _audit(spark, sf_dir).overall_null_pct(),
 })
+
+
+def _panel(spark, sf_dir, keep_last=False):
+    return pan.build_panel(_sales(spark, sf_dir), td.CATEGORIES, keep_last=keep_last)
+
+
+QUERIES.update({
+    "painel_target": lambda spark, sf_dir: _panel(spark, sf_dir),
+    "painel_mensal": lambda spark, sf_dir: _panel(spark, sf_dir, keep_last=True).select(
+        "loja_id", "mes", "ano", "receita", "ticket_medio", "n_clientes", "custo_pct", "margem", "target"),
+    "painel_share": lambda spark, sf_dir: _panel(spark, sf_dir, keep_last=True).select(
+        "loja_id", "mes", "categoria_principal", *[pan.share_column(c) for c in td.CATEGORIES]),
+    "perfil_painel": lambda spark, sf_dir: pan.perfil_painel(_panel(spark, sf_dir)),
+})

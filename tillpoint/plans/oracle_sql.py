@@ -358,3 +358,102 @@ FROM k
 ORACLES.update(VALIDATION)
 ORACLES.update(REPORTS)
 ORACLES.update(DQ)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# Panel (P-series) — store × month, from vendas
+# ---------------------------------------------------------------------------------------------------------------
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def _share_name(c: str) -> str:
+    return "share_" + c.lower()
+
+
+def _argmax_sql(values, labels) -> str:
+    top = f"greatest({', '.join(values)})"
+    return "CASE " + " ".join(f"WHEN {v} = {top} THEN {lab}" for v, lab in zip(values, labels)) + " END"
+
+
+_cat_sums = ",\n         ".join(
+    f"COALESCE(SUM(CASE WHEN categoria = '{c}' THEN valor_total END), CAST(0 AS DECIMAL(18,2))) AS cat{i}"
+    for i, c in enumerate(CATEGORIES))
+_wd_sums = ",\n         ".join(
+    f"COALESCE(SUM(CASE WHEN DAYOFWEEK(data_venda) = {k} THEN valor_total END), CAST(0 AS DECIMAL(18,2))) AS wd{k}"
+    for k in range(7))
+_total_shares = " + ".join(f"cat{i}" for i in range(len(CATEGORIES)))
+_shares = ",\n       ".join(
+    f"ROUND(CAST(cat{i} AS DOUBLE) / NULLIF(CAST({_total_shares} AS DOUBLE), 0), 4) AS {_share_name(c)}"
+    for i, c in enumerate(CATEGORIES))
+
+PANEL_CTE = f"""
+, mensal AS (
+  SELECT loja_id, regiao, strftime(data_venda, '%Y-%m') AS mes,
+         SUM(valor_total) AS r, SUM(custo) AS c, COUNT(*) AS n_vendas, COUNT(DISTINCT cliente_id) AS n_clientes,
+         {_cat_sums},
+         {_wd_sums}
+  FROM vendas GROUP BY loja_id, regiao, mes)
+, geral AS (SELECT CAST(SUM(r) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS g FROM mensal)
+, base AS (
+  SELECT m.*,
+         CAST(r AS DOUBLE) AS receita,
+         ROUND(CAST(r AS DOUBLE) / NULLIF(CAST(n_vendas AS DOUBLE), 0), 2) AS ticket_medio,
+         ROUND(CAST(c AS DOUBLE) / NULLIF(CAST(r AS DOUBLE), 0), 4) AS custo_pct,
+         CAST(SUM(r) OVER (PARTITION BY loja_id) AS DOUBLE)
+           / NULLIF(CAST(COUNT(*) OVER (PARTITION BY loja_id) AS DOUBLE), 0) AS store_mean,
+         {', '.join(f'SUM(cat{i}) OVER (PARTITION BY loja_id) AS life{i}' for i in range(len(CATEGORIES)))},
+         MAX(n_vendas) OVER (PARTITION BY loja_id) AS area_m2,
+         MAX(n_clientes) OVER (PARTITION BY loja_id) AS funcionarios,
+         ROW_NUMBER() OVER (PARTITION BY loja_id ORDER BY mes) AS i,
+         LAG(r, 3) OVER (PARTITION BY loja_id ORDER BY mes) AS r3,
+         LAG(r, 6) OVER (PARTITION BY loja_id ORDER BY mes) AS r6,
+         LAG(n_clientes, 1) OVER (PARTITION BY loja_id ORDER BY mes) AS n1,
+         LAG(n_clientes, 2) OVER (PARTITION BY loja_id ORDER BY mes) AS n2,
+         LEAD(CAST(r AS DOUBLE), 1) OVER (PARTITION BY loja_id ORDER BY mes) AS target
+  FROM mensal m)
+, base2 AS (
+  SELECT *,
+         LAG(ticket_medio, 1) OVER (PARTITION BY loja_id ORDER BY mes) AS t1,
+         LAG(ticket_medio, 2) OVER (PARTITION BY loja_id ORDER BY mes) AS t2
+  FROM base)
+, painel AS (
+SELECT loja_id, regiao,
+       CASE WHEN store_mean / NULLIF((SELECT g FROM geral), 0) < 0.9 THEN 'Pequeno'
+            WHEN store_mean / NULLIF((SELECT g FROM geral), 0) > 1.1 THEN 'Grande' ELSE 'Médio' END AS porte,
+       {_argmax_sql([f'life{i}' for i in range(len(CATEGORIES))], [f"'{c}'" for c in CATEGORIES])}
+         AS categoria_principal,
+       CAST(area_m2 AS BIGINT) AS area_m2, CAST(funcionarios AS BIGINT) AS funcionarios,
+       mes, CAST(year(CAST(mes || '-01' AS DATE)) AS BIGINT) AS ano,
+       receita, ticket_medio, CAST(n_clientes AS BIGINT) AS n_clientes, custo_pct,
+       ROUND(receita * (1 - custo_pct), 2) AS margem,
+       {_shares},
+       COALESCE(ROUND((CAST(r AS DOUBLE) / NULLIF(CAST(r3 AS DOUBLE), 0) - 1) * 100, 2), 0) AS crescimento_3m,
+       COALESCE(ROUND((CAST(r AS DOUBLE) / NULLIF(CAST(r6 AS DOUBLE), 0) - 1) * 100, 2), 0) AS crescimento_6m,
+       CASE WHEN i >= 3 THEN ROUND(CAST(CAST(t2 AS DECIMAL(18,2)) + CAST(t1 AS DECIMAL(18,2))
+                                        + CAST(ticket_medio AS DECIMAL(18,2)) AS DOUBLE) / 3, 2)
+            ELSE 0 END AS ticket_3m_avg,
+       CAST(CASE WHEN i >= 3 THEN FLOOR((n2 + n1 + n_clientes) / 3) ELSE 0 END AS BIGINT) AS clientes_3m_avg,
+       ROUND(CAST(r AS DOUBLE) / NULLIF(store_mean, 0), 4) AS sazonalidade_mes,
+       CAST({_argmax_sql([f'wd{k}' for k in range(7)], [str(k) for k in range(7)])} AS BIGINT) AS dia_semana_pico,
+       target
+FROM base2)
+"""
+
+PANEL = {
+    "painel_target": with_views(PANEL_CTE + "SELECT * FROM painel WHERE target IS NOT NULL"),
+    "painel_mensal": with_views(PANEL_CTE + """
+SELECT loja_id, mes, ano, receita, ticket_medio, n_clientes, custo_pct, margem, target FROM painel
+"""),
+    "painel_share": with_views(PANEL_CTE + f"""
+SELECT loja_id, mes, categoria_principal, {', '.join(_share_name(c) for c in CATEGORIES)} FROM painel
+"""),
+    "perfil_painel": with_views(PANEL_CTE + """
+, p AS (SELECT * FROM painel WHERE target IS NOT NULL)
+SELECT CAST(COUNT(DISTINCT loja_id) AS BIGINT) AS n_lojas, CAST(COUNT(*) AS BIGINT) AS n_linhas,
+       ROUND(AVG(target), 2) AS target_medio, MIN(target) AS target_min, MAX(target) AS target_max,
+       CAST(0 AS BIGINT) AS celulas_nulas
+FROM p
+"""),
+}
+
+ORACLES.update(PANEL)

@@ -118,3 +118,7 @@ def clientes_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("primeiro").alias("data_cadastro"),
         F.col("ultimo").alias("data_atualizacao"),
     )
+
+
+# The six product types of the test tables, used as the panel's share categories.
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
