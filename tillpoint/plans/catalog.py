@@ -11,6 +11,7 @@ from tillpoint.operators import features as feat
 from tillpoint.operators import reports as rep
 from tillpoint.operators import validate as val
 from tillpoint.operators.quality import audit
+from tillpoint.operators import ml
 from tillpoint.operators import panel as pan
 from tillpoint.operators.validate import clean_sales
 from tillpoint.sources import testdata as td
@@ -86,3 +87,72 @@ QUERIES.update({
         "loja_id", "mes", "categoria_principal", *[pan.share_column(c) for c in td.CATEGORIES]),
     "perfil_painel": lambda spark, sf_dir: pan.perfil_painel(_panel(spark, sf_dir)),
 })
+
+
+def _split_panel(spark, sf_dir):
+    return ml.exact_split(_panel(spark, sf_dir))
+
+
+def _dummies_long(spark, sf_dir):
+    from pyspark.sql import functions as F
+    prepared, names, feats = ml.prepare_features(_panel(spark, sf_dir))
+    dummy_cols = feats.stages[0].output_columns()
+    return prepared.select("loja_id", "mes", *[F.col(f"`{c}`") for c in dummy_cols]).unpivot(
+        ["loja_id", "mes"], [f"`{c}`" for c in dummy_cols], "coluna", "valor")
+
+
+def _baseline_metrics(spark, sf_dir):
+    from pyspark.sql import functions as F
+    test = _split_panel(spark, sf_dir).filter("is_test")
+    frames = []
+    for i, (name, pred) in enumerate([("persistencia", F.col("receita")),
+                                      ("media_loja", F.col("receita") / F.nullif(F.col("sazonalidade_mes"),
+                                                                                   F.lit(0.0)))], start=1):
+        m = ml.regression_metrics(test.select(F.col("target").alias("label"), pred.alias("prediction")))
+        frames.append(m.select(F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "*"))
+    return frames[0].unionByName(frames[1])
+
+
+def _resumo(spark, sf_dir):
+    from pyspark.sql import functions as F
+    sp = _split_panel(spark, sf_dir)
+    _, names, _ = ml.prepare_features(_panel(spark, sf_dir))
+    return sp.agg(F.count_distinct("loja_id").cast("bigint").alias("n_lojas"),
+                  F.count_distinct("mes").cast("bigint").alias("n_meses"),
+                  F.lit(len(names)).cast("bigint").alias("n_features"),
+                  F.count_if(~F.col("is_test")).cast("bigint").alias("n_treino"),
+                  F.count_if("is_test").cast("bigint").alias("n_teste"))
+
+
+def _model_predictions(name):
+    def run(spark, sf_dir):
+        from pyspark.sql import functions as F
+        prepared, names, feats = ml.prepare_features(_split_panel(spark, sf_dir))
+        prepared = prepared.select("loja_id", "mes", "is_test", "features", "label").persist()
+        model = ml.train(name, prepared.filter(~F.col("is_test")))
+        return model.transform(prepared.filter("is_test")).select("loja_id", "mes", "label", "prediction")
+    return run
+
+
+def _model_metrics(spark, sf_dir):
+    from pyspark.sql import functions as F
+    frames = []
+    for i, name in enumerate(ml.MODELS, start=1):
+        m = ml.regression_metrics(_model_predictions(name)(spark, sf_dir))
+        frames.append(m.select(F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "*"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+QUERIES.update({
+    "ml_dummies": _dummies_long,
+    "ml_split": lambda spark, sf_dir: _split_panel(spark, sf_dir).select("loja_id", "mes", "is_test"),
+    "ml_metricas": _baseline_metrics,
+    "ml_selecao": lambda spark, sf_dir: ml.select_best(_baseline_metrics(spark, sf_dir)),
+    "ml_resumo": _resumo,
+    "ml_previsao_linear": _model_predictions("LinearRegression"),
+    "ml_previsao_floresta": _model_predictions("RandomForest"),
+    "ml_metricas_modelos": _model_metrics,
+})

@@ -457,3 +457,53 @@ FROM p
 }
 
 ORACLES.update(PANEL)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# ML (M-series) on the panel rows with a target
+# ---------------------------------------------------------------------------------------------------------------
+ML_CTE = PANEL_CTE + """
+, pt AS (SELECT * FROM painel WHERE target IS NOT NULL)
+, sp AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY md5(concat_ws('-', CAST(loja_id AS VARCHAR), mes, '42')), loja_id, mes)
+              <= CEIL(COUNT(*) OVER () * 0.2) AS is_test
+  FROM pt)
+, base_pred AS (
+  SELECT 1 AS ordem, 'persistencia' AS modelo, target AS y, receita AS p FROM sp WHERE is_test
+  UNION ALL
+  SELECT 2, 'media_loja', target, receita / NULLIF(sazonalidade_mes, 0) FROM sp WHERE is_test)
+, met AS (
+  SELECT CAST(ordem AS BIGINT) AS ordem, modelo,
+         ROUND_EVEN((1 - SUM((y - p) * (y - p)) / NULLIF(VAR_POP(y) * COUNT(*), 0)) * 10000, 0) / 10000 AS r2,
+         ROUND_EVEN(SQRT(SUM((y - p) * (y - p)) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)) * 100, 0) / 100 AS rmse,
+         ROUND_EVEN(SUM(ABS(y - p)) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) * 100, 0) / 100 AS mae,
+         CAST(COUNT(*) AS BIGINT) AS n_amostras
+  FROM base_pred GROUP BY ordem, modelo)
+"""
+
+
+def _dummies_sql(col: str) -> str:
+    return f"""
+SELECT p.loja_id, p.mes, '{col}_' || l.v AS coluna, CASE WHEN p.{col} = l.v THEN 1.0 ELSE 0.0 END AS valor
+FROM pt p, (SELECT DISTINCT {col} AS v FROM pt
+            WHERE {col} IS NOT NULL AND {col} > (SELECT MIN({col}) FROM pt)) l"""
+
+
+ML = {
+    "ml_dummies": with_views(ML_CTE + " UNION ALL ".join(_dummies_sql(c)
+                                                         for c in ("regiao", "porte", "categoria_principal"))),
+    "ml_split": with_views(ML_CTE + "SELECT loja_id, mes, is_test FROM sp"),
+    "ml_metricas": with_views(ML_CTE + "SELECT * FROM met"),
+    "ml_selecao": with_views(ML_CTE + "SELECT * FROM met ORDER BY r2 DESC, ordem LIMIT 1"),
+    "ml_resumo": with_views(ML_CTE + f"""
+SELECT CAST((SELECT COUNT(DISTINCT loja_id) FROM pt) AS BIGINT) AS n_lojas,
+       CAST((SELECT COUNT(DISTINCT mes) FROM pt) AS BIGINT) AS n_meses,
+       CAST(12 + {len(CATEGORIES)} + (SELECT COUNT(DISTINCT regiao) - 1 FROM pt)
+            + (SELECT COUNT(DISTINCT porte) - 1 FROM pt)
+            + (SELECT COUNT(DISTINCT categoria_principal) - 1 FROM pt) AS BIGINT) AS n_features,
+       CAST((SELECT COUNT(*) FILTER (WHERE NOT is_test) FROM sp) AS BIGINT) AS n_treino,
+       CAST((SELECT COUNT(*) FILTER (WHERE is_test) FROM sp) AS BIGINT) AS n_teste
+"""),
+}
+
+ORACLES.update(ML)
