@@ -144,7 +144,7 @@ def exact_split(df: DataFrame, keys: list[str] = SPLIT_KEYS, test_fraction: floa
 # ---------------------------------------------------------------------------------------------------------------
 def random_forest(**kw) -> RandomForestRegressor:
     params = dict(numTrees=100, maxDepth=10, seed=SEED, featureSubsetStrategy="all", subsamplingRate=1.0,
-                  bootstrap=True, maxMemoryInMB=512, cacheNodeIds=True)
+                  bootstrap=True, cacheNodeIds=True)
     params.update(kw)
     return RandomForestRegressor(featuresCol="features", labelCol="label", **params)
 
@@ -166,8 +166,31 @@ MODELS = {"RandomForest": random_forest, "LinearRegression": linear_regression}
 OPTIONAL_MODELS = {"GradientBoosting": gradient_boosting}
 
 
+def _memory_mb(value: str) -> int:
+    v = value.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if v and v[-1] == "b":
+        v = v[:-1]
+    if v and v[-1] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(int(v) / (1024 * 1024))
+
+
+def tree_memory_budget_mb(spark) -> int:
+    """Per-task memory for tree split statistics (``maxMemoryInMB``): a quarter of an executor's heap divided by
+    the tasks that run on it at once, capped at Spark's default of 256 MB. Keeps deep forests from exhausting small
+    heaps when many tasks aggregate histograms concurrently."""
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    heap = _memory_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
+    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return max(16, min(256, heap // (4 * max(1, cores))))
+
+
 def train(name: str, train_df: DataFrame, **params):
     factory = MODELS.get(name) or OPTIONAL_MODELS[name]
+    if name != "LinearRegression" and "maxMemoryInMB" not in params:
+        params["maxMemoryInMB"] = tree_memory_budget_mb(train_df.sparkSession)
     return factory(**params).fit(train_df)
 
 

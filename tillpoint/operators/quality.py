@@ -227,7 +227,7 @@ class Audit:
         return self.stats.select(F.col("stale").cast("bigint").alias("registros_desatualizados"),
                                  pct.alias("pct_desatualizado"), F.col("oldest").alias("data_mais_antiga"))
 
-    def diagnostico(self) -> DataFrame:
+    def _diagnosis_columns(self) -> list[Column]:
         """Total score, severity, counts per status and the ordered alert list (criticos first, then warnings,
         each in dimension order). Built from the five dimension structs with plain column expressions."""
         dims = self._dimension_structs()
@@ -246,14 +246,23 @@ class Audit:
                     .when((n_crit >= 1) | (n_warn >= 3), F.lit(SEVERITY_MEDIUM))
                     .when(n_warn >= 1, F.lit(SEVERITY_LOW)).otherwise(F.lit(SEVERITY_NONE)))
         total = sum((d.getField("score") for d in dims), F.lit(0))
-        return self.stats.select(
+        return [
             total.cast("bigint").alias("score_qualidade"),
             F.lit(MAX_SCORE_PER_DIMENSION * len(DIMENSIONS)).cast("bigint").alias("score_maximo"),
             severity.alias("severidade"),
             count(OK).cast("bigint").alias("dimensoes_ok"),
             n_warn.cast("bigint").alias("dimensoes_warning"),
             n_crit.cast("bigint").alias("dimensoes_criticas"),
-            F.concat(alerts(CRITICO, "CRITICO"), alerts(WARNING, "WARNING")).alias("alertas"))
+            F.concat(alerts(CRITICO, "CRITICO"), alerts(WARNING, "WARNING")).alias("alertas")]
+
+    def diagnostico(self) -> DataFrame:
+        """D6 as a one-row frame."""
+        return self.stats.select(*self._diagnosis_columns())
+
+    def report(self) -> DataFrame:
+        """Everything in one row (one action): diagnosis, the five dimension structs and the row count."""
+        return self.stats.select(*self._diagnosis_columns(), F.array(*self._dimension_structs()).alias("dimensoes"),
+                                 F.col("n").cast("bigint").alias("linhas"))
 
     def alertas(self) -> DataFrame:
         """D6 alerts as rows: (ordem, nivel, dimensao, mensagem)."""
