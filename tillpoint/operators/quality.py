@@ -174,41 +174,47 @@ class Audit:
         return self.stats.select(F.inline(F.array(*rows)))
 
     # ---- dimension summaries --------------------------------------------------------------------------------
-    def _dimension_structs(self) -> list[Column]:
+    def _scalars(self) -> DataFrame:
+        """One row: the aggregate plus each dimension's derived scalar, each computed once."""
         n = F.col("n")
-        # D1 completeness
         pct_cols = [round_even(safe_div(F.col(f"null__{c}"), n) * F.lit(100.0)) for c in self.columns]
-        k = sum((F.coalesce(p > F.lit(NULL_PCT_LIMIT), F.lit(False)).cast("int") for p in pct_cols), F.lit(0))
+        k1 = sum((F.coalesce(p > F.lit(NULL_PCT_LIMIT), F.lit(False)).cast("int") for p in pct_cols), F.lit(0))
+        pct2 = round_even(safe_div(F.col("stale"), n) * F.lit(100.0))
+        dups = sum(((n - F.col(f"distinct__{kc}") - F.when(F.col(f"sqlnull__{kc}") > 0, 1).otherwise(0))
+                    for kc in self.keys), F.lit(0))
+        viol = [F.col(f"rule__{i}") for i in range(len(self.rules))]
+        outs = [F.col(f"out__{c}") for c in self.numeric]
+        return self.stats.select(
+            "*", k1.cast("bigint").alias("_k1"), pct2.alias("_pct2"), dups.cast("bigint").alias("_dups"),
+            sum(viol, F.lit(0)).cast("bigint").alias("_tot4"),
+            sum(((v > 0).cast("int") for v in viol), F.lit(0)).alias("_nrules"),
+            sum(outs, F.lit(0)).cast("bigint").alias("_tot5"),
+            sum(((o > 0).cast("int") for o in outs), F.lit(0)).alias("_ncols"))
+
+    def _dimension_structs(self) -> list[Column]:
+        """The five dimension structs, as expressions over :meth:`_scalars`."""
+        k, pct = F.col("_k1"), F.col("_pct2")
         d1 = (F.when(k == 0, F.lit(OK)).when(k <= 2, F.lit(WARNING)).otherwise(F.lit(CRITICO)),
               F.greatest(F.lit(0), F.lit(MAX_SCORE_PER_DIMENSION) - k * 5).cast("bigint"),
               F.when(k > 0, F.format_string("%d colunas com >5%% nulos", k)).otherwise(F.lit("Todas as colunas OK")),
-              k.cast("bigint"))
+              k)
         # D2 freshness: NULL dates are not stale but stay in the denominator; empty input → NULL pct → critico
-        pct = round_even(safe_div(F.col("stale"), n) * F.lit(100.0))
         d2 = (F.when(pct <= 5, F.lit(OK)).when(pct <= 15, F.lit(WARNING)).otherwise(F.lit(CRITICO)),
               F.when(pct <= 5, F.lit(20)).when(pct <= 15, F.lit(15)).otherwise(F.lit(10)).cast("bigint"),
               F.concat(F.coalesce(pct.cast("string"), F.lit("nan")),
                        F.lit(f"% dos registros sem atualização há >{self.cfg.stale_days // 365} anos")),
               F.col("stale").cast("bigint"))
-        # D3 uniqueness
-        dups = sum(((n - F.col(f"distinct__{kc}") - F.when(F.col(f"sqlnull__{kc}") > 0, 1).otherwise(0))
-                    for kc in self.keys), F.lit(0)).cast("bigint")
+        dups = F.col("_dups")
         s3, sc3 = _status3(dups, 2, 15, 5)
         d3 = (s3, sc3, F.when(dups > 0, F.format_string("%d duplicatas encontradas", dups))
               .otherwise(F.lit("Sem duplicatas")), dups)
-        # D4 consistency: only violated rules are listed
-        viol = [F.col(f"rule__{i}") for i in range(len(self.rules))]
-        tot4 = sum(viol, F.lit(0)).cast("bigint")
-        n_rules = sum(((v > 0).cast("int") for v in viol), F.lit(0))
+        tot4 = F.col("_tot4")
         s4, sc4 = _status3(tot4, 5, 12, 5)
-        d4 = (s4, sc4, F.when(tot4 > 0, F.format_string("%d violações em %d regras", tot4, n_rules))
+        d4 = (s4, sc4, F.when(tot4 > 0, F.format_string("%d violações em %d regras", tot4, F.col("_nrules")))
               .otherwise(F.lit("Todas as regras OK")), tot4)
-        # D5 accuracy
-        outs = [F.col(f"out__{c}") for c in self.numeric]
-        tot5 = sum(outs, F.lit(0)).cast("bigint")
-        n_cols = sum(((o > 0).cast("int") for o in outs), F.lit(0))
+        tot5 = F.col("_tot5")
         s5, sc5 = _status3(tot5, 5, 12, 5)
-        d5 = (s5, sc5, F.when(tot5 > 0, F.format_string("%d outliers em %d colunas", tot5, n_cols))
+        d5 = (s5, sc5, F.when(tot5 > 0, F.format_string("%d outliers em %d colunas", tot5, F.col("_ncols")))
               .otherwise(F.lit("Sem outliers")), tot5)
         out = []
         for i, (name, (st, sc, det, total)) in enumerate(zip(DIMENSIONS, [d1, d2, d3, d4, d5])):
@@ -217,9 +223,13 @@ class Audit:
                                 total.alias("ocorrencias")))
         return out
 
+    def _dims_frame(self) -> DataFrame:
+        """One row: the five dimension structs as columns ``d1`` … ``d5`` (computed once, referenced by name)."""
+        return self._scalars().select("n", *[d.alias(f"d{i + 1}") for i, d in enumerate(self._dimension_structs())])
+
     def dimensoes(self) -> DataFrame:
         """The five dimension results: (ordem, dimensao, status, score, detalhes, ocorrencias)."""
-        return self.stats.select(F.inline(F.array(*self._dimension_structs())))
+        return self._dims_frame().select(F.inline(F.array(*[F.col(f"d{i + 1}") for i in range(len(DIMENSIONS))])))
 
     def frescor(self) -> DataFrame:
         """D2 detail: stale rows, stale % (2 dp), oldest date."""
@@ -230,7 +240,7 @@ class Audit:
     def _diagnosis_columns(self) -> list[Column]:
         """Total score, severity, counts per status and the ordered alert list (criticos first, then warnings,
         each in dimension order). Built from the five dimension structs with plain column expressions."""
-        dims = self._dimension_structs()
+        dims = [F.col(f"d{i + 1}") for i in range(len(DIMENSIONS))]
         status = [d.getField("status") for d in dims]
 
         def count(st):
@@ -257,12 +267,13 @@ class Audit:
 
     def diagnostico(self) -> DataFrame:
         """D6 as a one-row frame."""
-        return self.stats.select(*self._diagnosis_columns())
+        return self._dims_frame().select(*self._diagnosis_columns())
 
     def report(self) -> DataFrame:
         """Everything in one row (one action): diagnosis, the five dimension structs and the row count."""
-        return self.stats.select(*self._diagnosis_columns(), F.array(*self._dimension_structs()).alias("dimensoes"),
-                                 F.col("n").cast("bigint").alias("linhas"))
+        dims = F.array(*[F.col(f"d{i + 1}") for i in range(len(DIMENSIONS))])
+        return self._dims_frame().select(*self._diagnosis_columns(), dims.alias("dimensoes"),
+                                         F.col("n").cast("bigint").alias("linhas"))
 
     def alertas(self) -> DataFrame:
         """D6 alerts as rows: (ordem, nivel, dimensao, mensagem)."""
