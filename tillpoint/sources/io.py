@@ -32,14 +32,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
+    if mode == "ignore" and stage_done(path):
+        return df.sparkSession.read.parquet(path).count()  # kept as is; the count comes from Parquet footers
     obs = Observation(f"rows_{abs(hash(path))}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    if mode == "ignore" and not obs.get:
-        return df.sparkSession.read.parquet(path).count()
-    return int(obs.get.get("n", 0)) if obs.get else df.sparkSession.read.parquet(path).count()
+    return int(obs.get["n"])
 
 
 def stage_done(path: str) -> bool:
