@@ -44,6 +44,7 @@ def main() -> None:
     rep = jobs.run_features(spark, td.vendas(spark, sf_dir), f"{scratch}/features", td.REF_DATE)
     timings["features"] = round(time.time() - t, 3)
     details["features"] = {"status": rep.status, "rows": rep.rows, "tables": rep.tables, "stages": rep.stage_seconds}
+    cleaned = rep.details["vendas_limpo"]
 
     t = time.time()
     rep = jobs.run_quality(spark, td.clientes_dq(spark, sf_dir), td.REF_DATE)
@@ -52,7 +53,8 @@ def main() -> None:
                           "severidade": rep.details.get("severidade")}
 
     t = time.time()
-    panel = jobs.panel_from_sales(td.vendas(spark, sf_dir), td.CATEGORIES)
+    # the forecast consumes the feature job's cleaned sales (a committed stage output), not the raw join again
+    panel = jobs.panel_from_sales(spark.read.parquet(cleaned), td.CATEGORIES, cleaned=True)
     rep = jobs.run_forecast(spark, panel, f"{scratch}/forecast")
     timings["forecast"] = round(time.time() - t, 3)
     details["forecast"] = {"status": rep.status, "stages": rep.stage_seconds,

@@ -31,6 +31,12 @@ def test_feature_job_stops_on_invalid_input(spark, tmp_out):
     rep = jobs.run_features(spark, td.vendas_suja(spark, SF), f"{tmp_out}/bad", td.REF_DATE)
     assert rep.status == "validate_fail" and rep.errors and rep.errors[0].startswith("nulos em categoria")
     assert not os.path.exists(f"{tmp_out}/bad")
+    assert rep.details["removidas"] > 0
+
+
+def test_feature_job_missing_column(spark, tmp_out):
+    rep = jobs.run_features(spark, td.vendas(spark, SF).drop("regiao"), f"{tmp_out}/bad2", td.REF_DATE)
+    assert rep.status == "validate_fail" and rep.errors == ["coluna ausente: regiao"]
 
 
 def test_quality_job(spark):

@@ -1,6 +1,9 @@
 """Numeric rules shared by every operator so that results are reproducible value by value.
 
-* Money is summed as ``DECIMAL(18,2)`` (exact, order independent), then cast to DOUBLE before any division.
+* Money is summed exactly, as integer **cents in BIGINT** (order independent, fixed-width and codegen-friendly;
+  a DECIMAL(28,2) sum buffer would be a BigDecimal object per group), and turned into DOUBLE with ``cents / 100``
+  before any division. For totals below 2^53 cents this is the correctly rounded double of the exact decimal sum,
+  i.e. the same value a DECIMAL sum cast to DOUBLE gives. BIGINT overflow raises under ANSI mode.
 * Rounding to ``n`` places is ``round(x * 10^n, 0) / 10^n``: the product is an IEEE double and Spark rounds it
   half away from zero, which is the classic SQL ``ROUND(double, n)`` behaviour (``1.005`` stays ``1.0``);
   Spark's ``round(x, n)`` on a double rounds the decimal *string* instead and would give ``1.01``.
@@ -26,6 +29,16 @@ def money(c) -> Column:
     return _col(c).cast(MONEY)
 
 
+def cents(c) -> Column:
+    """Amount in whole cents as BIGINT (half-up at the second decimal, like a cast to DECIMAL(18,2))."""
+    return F.round(_col(c).cast("double") * F.lit(100.0), 0).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    """BIGINT cents back to a DOUBLE amount."""
+    return _col(c).cast("double") / F.lit(100.0)
+
+
 def to_double(c) -> Column:
     return _col(c).cast("double")
 

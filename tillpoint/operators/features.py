@@ -5,7 +5,7 @@ Scale notes
 * Each table is one grouped aggregate (partial aggregation before the shuffle) over the sales fact; windows only
   ever run over already-aggregated rows (store × day, store × month, …), so a hot store never sends raw sales rows
   to a single task.
-* Money is summed as DECIMAL(18,2) and turned into DOUBLE afterwards (see :mod:`tillpoint.functions.numeric`).
+* Money is summed exactly as BIGINT cents and turned into DOUBLE afterwards (see :mod:`tillpoint.functions.numeric`).
 * Per-table ``ORDER BY`` of the reference is presentation only; tables are returned unsorted and
   :func:`presentation_order` gives the ordering when a caller wants it.
 """
@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.functions.numeric import round_to, safe_div, to_double
+from tillpoint.functions.numeric import cents, from_cents, round_to, safe_div
 from tillpoint.operators.validate import cut_off
 
 # Weekday labels, Sunday = 0 … Saturday = 6.
@@ -58,14 +58,14 @@ def ticket_medio(vendas: DataFrame, ref_date: dt.date | None = None) -> DataFram
     """per (day, store) revenue, sale count, mean ticket (2 dp) and distinct customers."""
     agg = (cut_off(vendas, ref_date)
            .groupBy("data_venda", "loja_id")
-           .agg(F.sum("valor_total").alias("_r"),
+           .agg(F.sum(cents("valor_total")).alias("_r"),
                 F.count(F.lit(1)).alias("n_vendas"),
                 F.count_distinct("cliente_id").alias("clientes_unicos")))
     return agg.select(
         "data_venda", "loja_id",
-        to_double("_r").alias("receita_total"),
+        from_cents("_r").alias("receita_total"),
         F.col("n_vendas").cast("bigint").alias("n_vendas"),
-        round_to(safe_div("_r", "n_vendas"), 2).alias("ticket_medio"),
+        round_to(safe_div(from_cents("_r"), "n_vendas"), 2).alias("ticket_medio"),
         F.col("clientes_unicos").cast("bigint").alias("clientes_unicos"))
 
 
@@ -74,12 +74,12 @@ def frequencia_cliente(vendas: DataFrame, ref_date: dt.date | None = None) -> Da
     agg = (cut_off(vendas, ref_date)
            .groupBy("cliente_id", month_key().alias("mes"))
            .agg(F.count(F.lit(1)).alias("compras"),
-                F.sum("valor_total").alias("_g"),
+                F.sum(cents("valor_total")).alias("_g"),
                 F.count_distinct("loja_id").alias("lojas_visitadas")))
     return agg.select(
         "cliente_id", "mes",
         F.col("compras").cast("bigint").alias("compras"),
-        round_to("_g", 2).alias("gasto_total"),
+        round_to(from_cents("_g"), 2).alias("gasto_total"),
         F.col("lojas_visitadas").cast("bigint").alias("lojas_visitadas"))
 
 
@@ -91,17 +91,17 @@ def share_categoria(vendas: DataFrame, ref_date: dt.date | None = None) -> DataF
     """
     agg = (cut_off(vendas, ref_date)
            .groupBy("loja_id", "categoria")
-           .agg(F.sum("valor_total").alias("_r"), F.sum("custo").alias("_c")))
+           .agg(F.sum(cents("valor_total")).alias("_r"), F.sum(cents("custo")).alias("_c")))
     total = F.sum("_r").over(Window.partitionBy("loja_id"))
     return agg.select(
         "loja_id", "categoria",
-        round_to(safe_div("_r", total) * F.lit(100.0), 2).alias("share_pct"),
-        round_to("_r", 2).alias("receita_categoria"),
-        round_to(F.col("_r") - F.col("_c"), 2).alias("margem_categoria"))
+        round_to(safe_div(from_cents("_r"), from_cents(total)) * F.lit(100.0), 2).alias("share_pct"),
+        round_to(from_cents("_r"), 2).alias("receita_categoria"),
+        round_to(from_cents(F.col("_r") - F.col("_c")), 2).alias("margem_categoria"))
 
 
 def _monthly(vendas: DataFrame) -> DataFrame:
-    return vendas.groupBy("loja_id", month_key().alias("mes")).agg(F.sum("valor_total").alias("_r"))
+    return vendas.groupBy("loja_id", month_key().alias("mes")).agg(F.sum(cents("valor_total")).alias("_r"))
 
 
 def crescimento_mom(vendas: DataFrame) -> DataFrame:
@@ -110,8 +110,9 @@ def crescimento_mom(vendas: DataFrame) -> DataFrame:
     prev = F.lag("_r").over(Window.partitionBy("loja_id").orderBy("mes"))
     return m.select(
         "loja_id", "mes",
-        to_double("_r").alias("receita"),
-        round_to(safe_div(F.col("_r") - prev, prev) * F.lit(100.0), 2).alias("crescimento_mom_pct"))
+        from_cents("_r").alias("receita"),
+        round_to(safe_div(from_cents(F.col("_r") - prev), from_cents(prev)) * F.lit(100.0), 2)
+        .alias("crescimento_mom_pct"))
 
 
 def recencia_cliente(vendas: DataFrame, ref_date: dt.date) -> DataFrame:
@@ -128,14 +129,14 @@ def tendencia_7d(vendas: DataFrame) -> DataFrame:
     The frame is 7 *rows* (not calendar days) with partial frames at the start; the average is the exact decimal
     frame sum divided by the frame row count, computed once and reused.
     """
-    d = vendas.groupBy("data_venda", "loja_id").agg(F.sum("valor_total").alias("_r"))
+    d = vendas.groupBy("data_venda", "loja_id").agg(F.sum(cents("valor_total")).alias("_r"))
     w = Window.partitionBy("loja_id").orderBy("data_venda").rowsBetween(-(MOVING_WINDOW_ROWS - 1), 0)
-    d = d.withColumn("_avg", safe_div(F.sum("_r").over(w), F.count(F.lit(1)).over(w)))
+    d = d.withColumn("_avg", safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w)))
     return d.select(
         "data_venda", "loja_id",
-        to_double("_r").alias("receita"),
+        from_cents("_r").alias("receita"),
         round_to("_avg", 2).alias("media_movel_7d"),
-        round_to(safe_div(F.lit(100.0) * (to_double("_r") - F.col("_avg")), "_avg"), 2).alias("desvio_pct"))
+        round_to(safe_div(F.lit(100.0) * (from_cents("_r") - F.col("_avg")), "_avg"), 2).alias("desvio_pct"))
 
 
 def _weekday_label(c):
@@ -148,15 +149,15 @@ def _weekday_label(c):
 def sazonalidade_dia(vendas: DataFrame) -> DataFrame:
     """per (store, weekday) revenue **sum** (named ``receita_media`` as in the reference) and its index against
     the mean of that store's weekday sums."""
-    d = vendas.groupBy("loja_id", weekday0().alias("dia_semana")).agg(F.sum("valor_total").alias("_r"))
+    d = vendas.groupBy("loja_id", weekday0().alias("dia_semana")).agg(F.sum(cents("valor_total")).alias("_r"))
     w = Window.partitionBy("loja_id")
-    media = safe_div(F.sum("_r").over(w), F.count(F.lit(1)).over(w))
+    media = safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w))
     return d.select(
         "loja_id",
         _weekday_label(F.col("dia_semana")).alias("dia_da_semana"),
         "dia_semana",
-        round_to("_r", 2).alias("receita_media"),
-        round_to(safe_div("_r", media), 2).alias("indice_sazonal"))
+        round_to(from_cents("_r"), 2).alias("receita_media"),
+        round_to(safe_div(from_cents("_r"), media), 2).alias("indice_sazonal"))
 
 
 def top_produtos(vendas: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
@@ -165,10 +166,10 @@ def top_produtos(vendas: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
     ``row_number() … <= k`` is planned as a WindowGroupLimit: each map task keeps only its local top ``k`` per group
     before the shuffle, so a hot (store, month) sends at most ``k`` rows per task to the final ranking.
     """
-    agg = vendas.groupBy("loja_id", month_key().alias("mes"), "produto_id").agg(F.sum("valor_total").alias("_r"))
+    agg = vendas.groupBy("loja_id", month_key().alias("mes"), "produto_id").agg(F.sum(cents("valor_total")).alias("_r"))
     w = Window.partitionBy("loja_id", "mes").orderBy(F.desc("_r"), F.asc("produto_id"))
     ranked = agg.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select("loja_id", "mes", "produto_id", to_double("_r").alias("receita"),
+    return ranked.select("loja_id", "mes", "produto_id", from_cents("_r").alias("receita"),
                          F.col("rank").cast("bigint").alias("rank"))
 
 

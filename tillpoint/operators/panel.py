@@ -14,8 +14,9 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.functions.numeric import money, round_to, safe_div, to_double
+from tillpoint.functions.numeric import cents, from_cents, round_to, safe_div
 from tillpoint.operators.features import month_key, weekday0
+from tillpoint.session import materialize
 
 # Size classes and their bounds on (store mean monthly revenue / mean over all stores).
 SIZE_SMALL, SIZE_MEDIUM, SIZE_LARGE = "Pequeno", "Médio", "Grande"
@@ -36,12 +37,14 @@ def _argmax(values: list[Column], labels: list) -> Column:
 
 
 def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
-    """Store × month measures in one aggregate: decimal sums per category and per weekday, counts."""
-    cat_sums = [F.sum(F.when(F.col("categoria") == F.lit(c), F.col("valor_total"))).alias(f"_cat{i}")
+    """Store × month measures in one aggregate: exact cent sums per category and per weekday, counts."""
+    v = vendas.select("loja_id", "regiao", "categoria", "cliente_id", month_key().alias("mes"),
+                      weekday0().alias("_dow"), cents("valor_total").alias("_v"), cents("custo").alias("_cost"))
+    cat_sums = [F.sum(F.when(F.col("categoria") == F.lit(c), F.col("_v"))).alias(f"_cat{i}")
                 for i, c in enumerate(categories)]
-    wd_sums = [F.sum(F.when(weekday0() == F.lit(k), F.col("valor_total"))).alias(f"_wd{k}") for k in range(7)]
-    return (vendas.groupBy("loja_id", "regiao", month_key().alias("mes"))
-            .agg(F.sum("valor_total").alias("_r"), F.sum("custo").alias("_c"),
+    wd_sums = [F.sum(F.when(F.col("_dow") == F.lit(k), F.col("_v"))).alias(f"_wd{k}") for k in range(7)]
+    return (v.groupBy("loja_id", "regiao", "mes")
+            .agg(F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"),
                  F.count(F.lit(1)).alias("n_vendas"), F.count_distinct("cliente_id").alias("n_clientes"),
                  *cat_sums, *wd_sums))
 
@@ -50,23 +53,26 @@ def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = Fals
     """The forecast panel: one row per (store, month) with the reference's feature set and ``target`` =
     next month's revenue. Rows without a target (each store's last month) are dropped unless ``keep_last``."""
     m = monthly(vendas, categories)
-    zero = money(F.lit(0))
+    zero = F.lit(0).cast("bigint")
     cats = [F.coalesce(F.col(f"_cat{i}"), zero) for i in range(len(categories))]
     wds = [F.coalesce(F.col(f"_wd{k}"), zero) for k in range(7)]
     m = m.select("loja_id", "regiao", "mes", "_r", "_c", "n_vendas", "n_clientes",
                  *[c.alias(f"_cat{i}") for i, c in enumerate(cats)],
                  *[w.alias(f"_wd{k}") for k, w in enumerate(wds)])
+    # The monthly aggregate is read twice (windows + the global mean below): write it once to the shared
+    # checkpoint folder so the sales scan and shuffle run once and the lineage to the raw tables is cut.
+    m = materialize(m, "painel_mensal")
 
-    # global mean monthly revenue: a scalar subquery over the same monthly aggregate
-    overall = m.agg(safe_div(F.sum("_r"), F.count(F.lit(1))).alias("g")).select("g").scalar()
+    # global mean monthly revenue: a scalar subquery over the checkpointed monthly rows
+    overall = m.agg(safe_div(from_cents(F.sum("_r")), F.count(F.lit(1))).alias("g")).select("g").scalar()
 
     store = Window.partitionBy("loja_id")
     ordered = Window.partitionBy("loja_id").orderBy("mes")
-    receita = to_double("_r")
-    ticket = round_to(safe_div("_r", "n_vendas"), 2)
-    custo_pct = round_to(safe_div("_c", "_r"), 4)
+    receita = from_cents("_r")
+    ticket = round_to(safe_div(from_cents("_r"), "n_vendas"), 2)
+    custo_pct = round_to(safe_div(from_cents("_c"), from_cents("_r")), 4)
     total_shares = sum((F.col(f"_cat{i}") for i in range(1, len(categories))), F.col("_cat0"))
-    store_mean = safe_div(F.sum("_r").over(store), F.count(F.lit(1)).over(store))
+    store_mean = safe_div(from_cents(F.sum("_r").over(store)), F.count(F.lit(1)).over(store))
     lifetime = [F.sum(f"_cat{i}").over(store) for i in range(len(categories))]
 
     p = m.select(
@@ -75,15 +81,14 @@ def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = Fals
         receita.alias("receita"),
         ticket.alias("ticket_medio"),
         custo_pct.alias("custo_pct"),
-        *[round_to(safe_div(f"_cat{i}", total_shares), 4).alias(share_column(c)) for i, c in enumerate(categories)],
+        *[round_to(safe_div(from_cents(f"_cat{i}"), from_cents(total_shares)), 4).alias(share_column(c))
+          for i, c in enumerate(categories)],
         _argmax(wds, list(range(7))).cast("bigint").alias("dia_semana_pico"),
         F.max("n_vendas").over(store).cast("bigint").alias("area_m2"),
         F.max("n_clientes").over(store).cast("bigint").alias("funcionarios"),
         _argmax(lifetime, categories).alias("categoria_principal"),
-        round_to(safe_div("_r", store_mean), 4).alias("sazonalidade_mes"),
-        F.when(safe_div(store_mean, overall) < SIZE_LOW, F.lit(SIZE_SMALL))
-         .when(safe_div(store_mean, overall) > SIZE_HIGH, F.lit(SIZE_LARGE))
-         .otherwise(F.lit(SIZE_MEDIUM)).alias("porte"),
+        round_to(safe_div(from_cents("_r"), store_mean), 4).alias("sazonalidade_mes"),
+        safe_div(store_mean, overall).alias("_size_ratio"),
         F.row_number().over(ordered).alias("_i"),
         F.lag("_r", 3).over(ordered).alias("_r3"),
         F.lag("_r", 6).over(ordered).alias("_r6"),
@@ -94,18 +99,23 @@ def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = Fals
         F.lead(receita, 1).over(ordered).alias("target"),
     )
     # Growth against 3 and 6 rows back (0 when that row does not exist). P2 deliberately has no look-ahead.
-    growth3 = F.coalesce(round_to((safe_div("_r", "_r3") - F.lit(1.0)) * F.lit(100.0), 2), F.lit(0.0))
-    growth6 = F.coalesce(round_to((safe_div("_r", "_r6") - F.lit(1.0)) * F.lit(100.0), 2), F.lit(0.0))
+    growth3 = F.coalesce(round_to((safe_div(from_cents("_r"), from_cents("_r3")) - F.lit(1.0)) * F.lit(100.0), 2),
+                         F.lit(0.0))
+    growth6 = F.coalesce(round_to((safe_div(from_cents("_r"), from_cents("_r6")) - F.lit(1.0)) * F.lit(100.0), 2),
+                         F.lit(0.0))
     # Mean of the last three rows from the third row on, else 0 (ticket mean on exact 2-dp decimals)
-    t3 = safe_div(money("_t2") + money("_t1") + money("ticket_medio"), F.lit(3.0))
+    t3 = safe_div(from_cents(cents("_t2") + cents("_t1") + cents("ticket_medio")), F.lit(3.0))
     ticket3 = F.when(F.col("_i") >= 3, round_to(t3, 2)).otherwise(F.lit(0.0))
     clientes3 = F.when(F.col("_i") >= 3, F.floor((F.col("_n2") + F.col("_n1") + F.col("n_clientes")) / F.lit(3))
                        ).otherwise(F.lit(0)).cast("bigint")
     # Margin from the rounded cost share, as the reference does
     margem = round_to(F.col("receita") * (F.lit(1.0) - F.col("custo_pct")), 2)
     share_cols = [share_column(c) for c in categories]
+    ratio = F.col("_size_ratio")
+    porte = (F.when(ratio < SIZE_LOW, F.lit(SIZE_SMALL)).when(ratio > SIZE_HIGH, F.lit(SIZE_LARGE))
+             .otherwise(F.lit(SIZE_MEDIUM)))
     out = p.select(
-        "loja_id", "regiao", "porte", "categoria_principal", "area_m2", "funcionarios", "mes", "ano",
+        "loja_id", "regiao", porte.alias("porte"), "categoria_principal", "area_m2", "funcionarios", "mes", "ano",
         "receita", "ticket_medio", F.col("n_clientes").cast("bigint").alias("n_clientes"), "custo_pct",
         margem.alias("margem"), *share_cols,
         growth3.alias("crescimento_3m"), growth6.alias("crescimento_6m"),

@@ -44,19 +44,31 @@ def keep_predicate(df: DataFrame) -> Column:
     return cond
 
 
-def validation_aggregate(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
-    """One-row frame: ``linhas``, ``removidas`` (B7) and one ``nulos__<col>`` count per column (B2).
-
-    One scan, one partial + final aggregate; the columns are only counted, never shuffled.
-    """
+def validation_metrics(df: DataFrame) -> list[Column]:
+    """Aggregate expressions: ``linhas``, ``removidas`` (B7) and one ``nulos__<col>`` count per column (B2).
+    Usable in ``agg`` or, to validate while writing, in ``DataFrame.observe``."""
     exprs = [F.count(F.lit(1)).alias("linhas")]
     if not missing_columns(df, POSITIVE_COLUMNS):
         exprs.append(F.count_if(~keep_predicate(df)).alias("removidas"))
     else:
-        exprs.append(F.lit(None).cast("bigint").alias("removidas"))
+        exprs.append(F.max(F.lit(None).cast("bigint")).alias("removidas"))
     for c in df.columns:
         exprs.append(F.count_if(is_missing(c, _dtype(df, c))).alias(f"nulos__{c}"))
-    return df.agg(*exprs)
+    return exprs
+
+
+def validation_aggregate(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
+    """One-row frame of :func:`validation_metrics` — one scan, partial + final aggregate, nothing shuffled."""
+    return df.agg(*validation_metrics(df))
+
+
+def report_from_metrics(df: DataFrame, m: dict, required=REQUIRED_COLUMNS) -> dict:
+    """B3 as a dict from already computed metrics (e.g. an observed write)."""
+    nulls = {c: int(m[f"nulos__{c}"]) for c in df.columns if m.get(f"nulos__{c}")}
+    problems = [f"coluna ausente: {c}" for c in missing_columns(df, required)]
+    problems += [f"nulos em {c}: {n}" for c, n in nulls.items()]
+    return {"valido": not problems, "problemas": problems, "linhas": int(m["linhas"]),
+            "colunas": len(df.columns), "nulos_por_coluna": nulls, "removidas": m.get("removidas")}
 
 
 def schema_report(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:

@@ -13,14 +13,15 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.operators import features as feat
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
 from tillpoint.operators.quality import audit
-from tillpoint.operators.validate import clean_sales, schema_report
+from tillpoint.operators.validate import (clean_sales, missing_columns, report_from_metrics, schema_report,
+                                         validation_metrics)
 from tillpoint.session import checkpoint_dir
 from tillpoint.sources.io import stage_done, write_table
 
@@ -80,7 +81,7 @@ def _materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _write_all(tables: dict[str, DataFrame], output_dir: str, mode: str, parallel: int = 4) -> dict[str, int]:
+def _write_all(tables: dict[str, DataFrame], output_dir: str, mode: str, parallel: int = 8) -> dict[str, int]:
     """Write independent tables as concurrent Spark jobs (each small job leaves cores idle on its own)."""
     def one(item):
         name, df = item
@@ -91,21 +92,34 @@ def _write_all(tables: dict[str, DataFrame], output_dir: str, mode: str, paralle
 
 # ---------------------------------------------------------------------------------------------------------------
 def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_date: dt.date,
-                 run_dir: str | None = None, mode: str = "overwrite", parallel: int = 4) -> RunReport:
+                 run_dir: str | None = None, mode: str = "overwrite", parallel: int = 8) -> RunReport:
     """Feature engine: validate → clean → 8 feature tables → save. An invalid input stops before anything is
-    written, and the problems are returned."""
+    written to ``output_dir``, and the problems are returned.
+
+    Validation and cleaning share one pass: the validation counts are observed metrics of the write of the cleaned
+    table (stage output in ``run_dir``), so the multi-way sales join is evaluated once for both."""
     rep = RunReport("features")
     clock = _Clock(rep)
     run_dir = run_dir or new_run_dir(spark, "features")
-    with clock.stage("validate"):
-        r = schema_report(vendas).first()  # one aggregate job: counts, nulls, rows cleaning will drop
+    absent = missing_columns(vendas)
+    if absent:
+        rep.errors = [f"coluna ausente: {c}" for c in absent]
+        return clock.done("validate_fail")
+    clean_path = f"{run_dir}/vendas_limpo"
+    with clock.stage("validate+transform"):
+        if stage_done(clean_path):
+            r = schema_report(vendas).first().asDict()
+        else:
+            # validation metrics are observed while the cleaned table is written: one pass over the input
+            obs = Observation("validacao")
+            clean_sales(vendas.observe(obs, *validation_metrics(vendas))).write.mode("overwrite").parquet(clean_path)
+            r = report_from_metrics(vendas, obs.get)
     rep.details.update(linhas=r["linhas"], colunas=r["colunas"], nulos=dict(r["nulos_por_coluna"] or {}),
-                       removidas=r["removidas"])
+                       removidas=r["removidas"], vendas_limpo=clean_path)
     if not r["valido"]:
         rep.errors = list(r["problemas"])
         return clock.done("validate_fail")
-    with clock.stage("transform"):
-        clean = _materialize(clean_sales(vendas), f"{run_dir}/vendas_limpo")
+    clean = spark.read.parquet(clean_path)
     with clock.stage("feature_calc+save"):
         tables = feat.build_features(clean, ref_date)
         rep.tables = _write_all(tables, output_dir, mode, parallel)
@@ -169,6 +183,6 @@ def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id
     return clock.done("done")
 
 
-def panel_from_sales(vendas: DataFrame, categories: list[str]) -> DataFrame:
-    """Derive the forecast panel from (cleaned) sales."""
-    return build_panel(clean_sales(vendas), categories)
+def panel_from_sales(vendas: DataFrame, categories: list[str], cleaned: bool = False) -> DataFrame:
+    """Derive the forecast panel from sales (pass ``cleaned=True`` for the feature job's cleaned stage output)."""
+    return build_panel(vendas if cleaned else clean_sales(vendas), categories)
