@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The capabilities this library re-implements are one-shot batch jobs — no streaming source, watermark, window over
+event time or stateful operator exists among them — so no Structured Streaming operator is provided. The batch
+operators are DataFrame-in/DataFrame-out and can be applied inside ``foreachBatch`` if a caller needs that.
+"""
