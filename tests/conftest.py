@@ -13,8 +13,8 @@ def spark():
     s = get_spark(master="local[4]", app="tillpoint-tests", shuffle_partitions=4,
                   extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillpoint-test-ckpt-"))
+    from tillpoint.session import checkpoint_dir
+    checkpoint_dir(s)  # configured folder, or a local one when unset
     yield s
     s.stop()
 

@@ -89,3 +89,15 @@ def test_build_features(vendas):
 def test_top_k_plan_limits_before_shuffle(vendas):
     plan = feat.top_produtos(vendas)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_shared_aggregates_give_identical_tables(spark):
+    from tillpoint.session import materialize
+    from tillpoint.sources import testdata as td
+    from tillpoint.operators.validate import clean_sales
+    v = clean_sales(td.vendas(spark, "/root/testdata/sf0.001"))
+    lazy = feat.build_features(v, td.REF_DATE)
+    shared = feat.build_features(v, td.REF_DATE, share=materialize)
+    for name in feat.FEATURE_NAMES:
+        assert lazy[name].columns == shared[name].columns
+        assert lazy[name].exceptAll(shared[name]).count() == 0 and shared[name].exceptAll(lazy[name]).count() == 0

@@ -54,3 +54,21 @@ def test_forecast_job(spark, tmp_out):
     assert rep.details["n_teste"] == -(-(rep.details["n_treino"] + rep.details["n_teste"]) * 2 // 10)
     assert os.path.exists(f"{tmp_out}/ml/modelo/metadata")
     assert rep.to_df(spark).count() == 1
+
+
+def test_shared_aggregates_chosen_by_estimate(spark, tmp_out):
+    rep = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/s", td.REF_DATE)
+    est = rep.details["grupos_estimados"]
+    assert set(est) == {"diario_loja", "cliente_mes"} and all(v > 0 for v in est.values())
+    assert set(rep.details["agregados_compartilhados"]) <= {"diario_loja", "cliente_mes"}
+
+
+def test_feature_job_shared_equals_lazy(spark, tmp_out, monkeypatch):
+    a = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/lazy", td.REF_DATE)
+    monkeypatch.setattr(jobs, "SHARE_MIN_REDUCTION", 0.0)  # force sharing
+    b = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/shared", td.REF_DATE)
+    assert b.details["agregados_compartilhados"] == ["diario_loja", "cliente_mes"]
+    for name in FEATURE_NAMES:
+        x = spark.read.parquet(f"{tmp_out}/lazy/{name}")
+        y = spark.read.parquet(f"{tmp_out}/shared/{name}")
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0

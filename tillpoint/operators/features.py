@@ -54,13 +54,30 @@ def weekday0(c="data_venda"):
     return (F.dayofweek(F.col(c)) - 1).cast("bigint")
 
 
-def ticket_medio(vendas: DataFrame, ref_date: dt.date | None = None) -> DataFrame:
+def daily_store(vendas: DataFrame) -> DataFrame:
+    """Shared (day, store) aggregate: cent revenue, sale count, distinct customers. F1, F4, F6 and F7 derive from it
+    (cent sums roll up exactly); Catalyst prunes the aggregates a caller does not use."""
+    return (vendas.groupBy("data_venda", "loja_id")
+            .agg(F.sum(cents("valor_total")).alias("_r"),
+                 F.count(F.lit(1)).alias("n_vendas"),
+                 F.count_distinct("cliente_id").alias("clientes_unicos")))
+
+
+def customer_month(vendas: DataFrame) -> DataFrame:
+    """Shared (customer, month) aggregate: purchases, cent spend, distinct stores and last purchase date.
+    F2 and F5 derive from it."""
+    return (vendas.groupBy("cliente_id", month_key().alias("mes"))
+            .agg(F.count(F.lit(1)).alias("compras"),
+                 F.sum(cents("valor_total")).alias("_g"),
+                 F.count_distinct("loja_id").alias("lojas_visitadas"),
+                 F.max("data_venda").alias("_last")))
+
+
+def ticket_medio(vendas: DataFrame, ref_date: dt.date | None = None, daily: DataFrame | None = None) -> DataFrame:
     """per (day, store) revenue, sale count, mean ticket (2 dp) and distinct customers."""
-    agg = (cut_off(vendas, ref_date)
-           .groupBy("data_venda", "loja_id")
-           .agg(F.sum(cents("valor_total")).alias("_r"),
-                F.count(F.lit(1)).alias("n_vendas"),
-                F.count_distinct("cliente_id").alias("clientes_unicos")))
+    agg = daily if daily is not None else daily_store(cut_off(vendas, ref_date))
+    if daily is not None and ref_date is not None:
+        agg = cut_off(agg, ref_date)
     return agg.select(
         "data_venda", "loja_id",
         from_cents("_r").alias("receita_total"),
@@ -69,13 +86,13 @@ def ticket_medio(vendas: DataFrame, ref_date: dt.date | None = None) -> DataFram
         F.col("clientes_unicos").cast("bigint").alias("clientes_unicos"))
 
 
-def frequencia_cliente(vendas: DataFrame, ref_date: dt.date | None = None) -> DataFrame:
+def frequencia_cliente(vendas: DataFrame, ref_date: dt.date | None = None,
+                       by_month: DataFrame | None = None) -> DataFrame:
     """per (customer, month) purchases, spend (2 dp) and distinct stores visited."""
-    agg = (cut_off(vendas, ref_date)
-           .groupBy("cliente_id", month_key().alias("mes"))
-           .agg(F.count(F.lit(1)).alias("compras"),
-                F.sum(cents("valor_total")).alias("_g"),
-                F.count_distinct("loja_id").alias("lojas_visitadas")))
+    if by_month is not None and ref_date is None:
+        agg = by_month
+    else:
+        agg = customer_month(cut_off(vendas, ref_date))
     return agg.select(
         "cliente_id", "mes",
         F.col("compras").cast("bigint").alias("compras"),
@@ -100,13 +117,10 @@ def share_categoria(vendas: DataFrame, ref_date: dt.date | None = None) -> DataF
         round_to(from_cents(F.col("_r") - F.col("_c")), 2).alias("margem_categoria"))
 
 
-def _monthly(vendas: DataFrame) -> DataFrame:
-    return vendas.groupBy("loja_id", month_key().alias("mes")).agg(F.sum(cents("valor_total")).alias("_r"))
-
-
-def crescimento_mom(vendas: DataFrame) -> DataFrame:
+def crescimento_mom(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """monthly store revenue and % change against the previous existing month row (gaps are not filled)."""
-    m = _monthly(vendas)
+    d = daily if daily is not None else daily_store(vendas)
+    m = d.groupBy("loja_id", month_key().alias("mes")).agg(F.sum("_r").alias("_r"))
     prev = F.lag("_r").over(Window.partitionBy("loja_id").orderBy("mes"))
     return m.select(
         "loja_id", "mes",
@@ -115,21 +129,24 @@ def crescimento_mom(vendas: DataFrame) -> DataFrame:
         .alias("crescimento_mom_pct"))
 
 
-def recencia_cliente(vendas: DataFrame, ref_date: dt.date) -> DataFrame:
+def recencia_cliente(vendas: DataFrame, ref_date: dt.date, by_month: DataFrame | None = None) -> DataFrame:
     """last purchase date per customer and whole days from it to ``ref_date`` (may be negative)."""
-    agg = vendas.groupBy("cliente_id").agg(F.max("data_venda").alias("ultima_compra"))
+    if by_month is not None:
+        agg = by_month.groupBy("cliente_id").agg(F.max("_last").alias("ultima_compra"))
+    else:
+        agg = vendas.groupBy("cliente_id").agg(F.max("data_venda").alias("ultima_compra"))
     return agg.select(
         "cliente_id", "ultima_compra",
         F.date_diff(F.lit(ref_date), F.col("ultima_compra")).cast("bigint").alias("dias_desde_ultima"))
 
 
-def tendencia_7d(vendas: DataFrame) -> DataFrame:
+def tendencia_7d(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """daily store revenue, its 7-row moving average (2 dp) and the % deviation from the unrounded average.
 
-    The frame is 7 *rows* (not calendar days) with partial frames at the start; the average is the exact decimal
+    The frame is 7 *rows* (not calendar days) with partial frames at the start; the average is the exact cent
     frame sum divided by the frame row count, computed once and reused.
     """
-    d = vendas.groupBy("data_venda", "loja_id").agg(F.sum(cents("valor_total")).alias("_r"))
+    d = (daily if daily is not None else daily_store(vendas)).select("data_venda", "loja_id", "_r")
     w = Window.partitionBy("loja_id").orderBy("data_venda").rowsBetween(-(MOVING_WINDOW_ROWS - 1), 0)
     d = d.withColumn("_avg", safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w)))
     return d.select(
@@ -146,10 +163,11 @@ def _weekday_label(c):
     return expr
 
 
-def sazonalidade_dia(vendas: DataFrame) -> DataFrame:
+def sazonalidade_dia(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """per (store, weekday) revenue **sum** (named ``receita_media`` as in the reference) and its index against
     the mean of that store's weekday sums."""
-    d = vendas.groupBy("loja_id", weekday0().alias("dia_semana")).agg(F.sum(cents("valor_total")).alias("_r"))
+    src = daily if daily is not None else daily_store(vendas)
+    d = src.groupBy("loja_id", weekday0().alias("dia_semana")).agg(F.sum("_r").alias("_r"))
     w = Window.partitionBy("loja_id")
     media = safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w))
     return d.select(
@@ -173,19 +191,24 @@ def top_produtos(vendas: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
                          F.col("rank").cast("bigint").alias("rank"))
 
 
-def build_features(vendas: DataFrame, ref_date: dt.date) -> dict[str, DataFrame]:
-    """all eight tables from one (cleaned, persisted by the caller) sales frame.
+def build_features(vendas: DataFrame, ref_date: dt.date, share=None) -> dict[str, DataFrame]:
+    """all eight tables from one cleaned sales frame.
 
-    Like the reference, only recency uses ``ref_date``; F1–F3 take an optional cut-off of their own.
+    ``share(df, name) -> df`` materializes the two shared aggregates (e.g. :func:`tillpoint.session.materialize`):
+    then the fact is scanned four times (day × store, customer × month, store × category, store × month × product)
+    instead of eight. Without it every table is an independent lazy plan. Like the reference, only recency uses
+    ``ref_date``; F1–F3 take an optional cut-off of their own.
     """
+    daily = share(daily_store(vendas), "diario_loja") if share else None
+    by_month = share(customer_month(vendas), "cliente_mes") if share else None
     return {
-        "ticket_medio": ticket_medio(vendas),
-        "frequencia_cliente": frequencia_cliente(vendas),
+        "ticket_medio": ticket_medio(vendas, daily=daily),
+        "frequencia_cliente": frequencia_cliente(vendas, by_month=by_month),
         "share_categoria": share_categoria(vendas),
-        "crescimento_mom": crescimento_mom(vendas),
-        "recencia_cliente": recencia_cliente(vendas, ref_date),
-        "tendencia_7d": tendencia_7d(vendas),
-        "sazonalidade_dia": sazonalidade_dia(vendas),
+        "crescimento_mom": crescimento_mom(vendas, daily=daily),
+        "recencia_cliente": recencia_cliente(vendas, ref_date, by_month=by_month),
+        "tendencia_7d": tendencia_7d(vendas, daily=daily),
+        "sazonalidade_dia": sazonalidade_dia(vendas, daily=daily),
         "top_produtos": top_produtos(vendas),
     }
 

@@ -13,6 +13,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +71,17 @@ class _Clock:
         return self.report
 
 
+# Groupings whose aggregate several feature tables share, and the reduction that makes sharing worthwhile.
+SHARED_GROUPINGS = ("diario_loja", "cliente_mes")
+SHARE_MIN_REDUCTION = 2.0
+
+
+def _group_estimates() -> list:
+    """HyperLogLog estimates of the shared groupings' sizes, observed during the cleaning write (no extra pass)."""
+    return [F.approx_count_distinct(F.struct("data_venda", "loja_id")).alias("diario_loja"),
+            F.approx_count_distinct(F.struct("cliente_id", feat.month_key())).alias("cliente_mes")]
+
+
 def new_run_dir(spark: SparkSession, job: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{job}-{uuid.uuid4().hex[:12]}"
 
@@ -112,8 +124,10 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
         else:
             # validation metrics are observed while the cleaned table is written: one pass over the input
             obs = Observation("validacao")
-            clean_sales(vendas.observe(obs, *validation_metrics(vendas))).write.mode("overwrite").parquet(clean_path)
+            clean_sales(vendas.observe(obs, *validation_metrics(vendas), *_group_estimates())) \
+                .write.mode("overwrite").parquet(clean_path)
             r = report_from_metrics(vendas, obs.get)
+            rep.details["grupos_estimados"] = {k: obs.get.get(k) for k in SHARED_GROUPINGS}
     rep.details.update(linhas=r["linhas"], colunas=r["colunas"], nulos=dict(r["nulos_por_coluna"] or {}),
                        removidas=r["removidas"], vendas_limpo=clean_path)
     if not r["valido"]:
@@ -121,8 +135,27 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
         return clock.done("validate_fail")
     clean = spark.read.parquet(clean_path)
     with clock.stage("feature_calc+save"):
-        tables = feat.build_features(clean, ref_date)
+        # A shared aggregate (day × store for F1/F4/F6/F7, customer × month for F2/F5) is computed once and kept
+        # (memory, spilling to disk) only when the estimates observed during cleaning say it shrinks the fact at least
+        # SHARE_MIN_REDUCTION times — then the fact is scanned 4 times instead of 8. Otherwise each table aggregates
+        # the fact itself, which is cheaper than materializing a near-copy. Kept blocks have a short lineage (the
+        # cleaned table is already written), so a lost executor recomputes them from Parquet.
+        est = rep.details.get("grupos_estimados") or {}
+        rows = max(1, int(r["linhas"] or 0) - int(r["removidas"] or 0))
+        builders = {"diario_loja": feat.daily_store, "cliente_mes": feat.customer_month}
+        to_share = [n for n in SHARED_GROUPINGS if est.get(n) is not None and est[n] * SHARE_MIN_REDUCTION <= rows]
+        rep.details["agregados_compartilhados"] = to_share
+
+        def keep(name):
+            df = builders[name](clean).persist(StorageLevel.MEMORY_AND_DISK)
+            df.count()
+            return name, df
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            shared = dict(pool.map(keep, to_share))
+        tables = feat.build_features(clean, ref_date, share=lambda df, name: shared.get(name, df))
         rep.tables = _write_all(tables, output_dir, mode, parallel)
+        for df in shared.values():
+            df.unpersist()
     rep.rows = sum(rep.tables.values())
     rep.details["run_dir"] = run_dir
     return clock.done("done")

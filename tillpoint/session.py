@@ -48,16 +48,20 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one is created only when unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+
+    Only when neither is configured (tests, a bare local session) is a local folder created and registered with
+    ``SparkContext.setCheckpointDir``; ``spark.checkpoint.dir`` itself is a core setting that cannot change at runtime.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() or None
-    if not d:
-        d = tempfile.mkdtemp(prefix="tillpoint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    ctx = spark.sparkContext.getCheckpointDir()
+    if ctx:
+        return ctx
+    local = tempfile.mkdtemp(prefix="tillpoint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sparkContext.setCheckpointDir(local)
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def materialize(df, name: str):
