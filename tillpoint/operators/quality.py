@@ -71,6 +71,8 @@ class AuditConfig:
     key_columns: tuple[str, ...] = DEFAULT_KEY_COLUMNS
     numeric_columns: tuple[str, ...] = DEFAULT_NUMERIC_COLUMNS
     rules: list[Rule] = field(default_factory=default_rules)
+    profile_max: str = "renda"
+    profile_mean: str = "compras_12m"
 
 
 def _status3(total: Column, warn_max: int, warn_score: int, crit_score: int) -> tuple[Column, Column]:
@@ -126,6 +128,13 @@ class Audit:
             exprs += [F.count_distinct(k).alias(f"distinct__{k}"), F.count_if(F.col(k).isNull()).alias(f"sqlnull__{k}")]
         for i, r in enumerate(self.rules):
             exprs.append(F.count_if(F.coalesce(r.violation, F.lit(False))).alias(f"rule__{i}"))
+        # R3 profile extras ride along in the same aggregate
+        exprs.append(F.count_if(F.col("email").contains("@")).alias("p_email") if "email" in self._types
+                     else F.lit(None).cast("bigint").alias("p_email"))
+        exprs.append(F.max(self._valid(self.cfg.profile_max)).alias("p_max") if self.cfg.profile_max in self._types
+                     else F.lit(None).cast("double").alias("p_max"))
+        exprs.append(F.avg(self._valid(self.cfg.profile_mean)).alias("p_mean") if self.cfg.profile_mean in self._types
+                     else F.lit(None).cast("double").alias("p_mean"))
         for c in self.numeric:
             x = self._valid(c)
             z = F.abs(safe_div(x - F.col(f"__moments.m_{c}"), F.col(f"__moments.s_{c}")))
@@ -280,6 +289,17 @@ class Audit:
         return self.diagnostico().select(F.posexplode("alertas").alias("pos", "a")).select(
             (F.col("pos") + 1).cast("bigint").alias("ordem"), "a.nivel", "a.dimensao", "a.mensagem")
 
+    def profile(self) -> DataFrame:
+        """Customer profile projected from the same single aggregate — rows, null cells, stale rows, duplicate
+        keys, valid e-mails, max of ``profile_max`` and mean (2 dp) of ``profile_mean``."""
+        cells = sum((F.col(f"null__{c}") for c in self.columns), F.lit(0)).cast("bigint")
+        return self._scalars().select(
+            F.col("n").cast("bigint").alias("linhas"), cells.alias("celulas_nulas"),
+            F.col("stale").cast("bigint").alias("desatualizados"), F.col("_dups").alias("duplicatas"),
+            F.col("p_email").cast("bigint").alias("emails_validos"),
+            F.col("p_max").cast("double").alias(f"{self.cfg.profile_max}_max"),
+            round_even(F.col("p_mean"), 2).alias(f"{self.cfg.profile_mean}_medio"))
+
     def overall_null_pct(self) -> DataFrame:
         """Null cells / (rows × columns) × 100, and the raw counts (``no_load`` summary, A3)."""
         cells = sum((F.col(f"null__{c}") for c in self.columns), F.lit(0)).cast("bigint")

@@ -72,6 +72,7 @@ QUERIES.update({
     "dq_diagnostico": _diagnostico,
     "dq_alertas": lambda spark, sf_dir: _audit(spark, sf_dir).alertas(),
     "dq_celulas_nulas": lambda spark, sf_dir: _audit(spark, sf_dir).overall_null_pct(),
+    "perfil_clientes": lambda spark, sf_dir: _audit(spark, sf_dir).profile(),
 })
 
 

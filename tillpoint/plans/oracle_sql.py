@@ -346,6 +346,14 @@ SELECT CAST(SUM(score) AS BIGINT) AS score_qualidade, CAST(100 AS BIGINT) AS sco
 FROM dimsb
 """),
     "dq_alertas": with_views(DQ_STATS + "SELECT * FROM alerts"),
+    "perfil_clientes": with_views(DQ_STATS + f"""
+SELECT CAST(n AS BIGINT) AS linhas, CAST({' + '.join('n_' + c for c in DQ_COLUMNS)} AS BIGINT) AS celulas_nulas,
+       CAST(stale AS BIGINT) AS desatualizados, dups AS duplicatas,
+       (SELECT CAST(COUNT(*) FILTER (WHERE contains(email, '@')) AS BIGINT) FROM clientes_dq) AS emails_validos,
+       (SELECT MAX(renda) FROM clientes_dq WHERE NOT isnan(renda)) AS renda_max,
+       (SELECT ROUND_EVEN(AVG(CAST(compras_12m AS DOUBLE)) * 100, 0) / 100 FROM clientes_dq) AS compras_12m_medio
+FROM k
+"""),
     "dq_celulas_nulas": with_views(DQ_STATS + f"""
 SELECT CAST(n AS BIGINT) AS linhas, CAST({len(DQ_COLUMNS)} AS BIGINT) AS colunas,
        CAST({' + '.join('n_' + c for c in DQ_COLUMNS)} AS BIGINT) AS celulas_nulas,

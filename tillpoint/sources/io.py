@@ -19,6 +19,12 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def register_sales(df: DataFrame, name: str = "vendas") -> DataFrame:
+    """A4: expose the (cleaned) sales frame to SQL as a temporary view — no copy, the plan stays lazy."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A2/A3: any Parquet table (panel, customer master)."""
     return spark.read.parquet(path)
