@@ -124,3 +124,14 @@ def test_save_load_predict(spark, painel_teste, tmp_out):
     a = sorted(r["prediction"] for r in ml.predict(full, painel_teste).collect())
     b = sorted(r["prediction"] for r in ml.predict(loaded, painel_teste).collect())
     assert len(a) == 120 and a == pytest.approx(b)
+
+
+def test_optional_gradient_boosting(spark):
+    rows = [(float(i % 5), float(i % 5) * 2.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, label double")
+    from pyspark.ml.feature import VectorAssembler
+    data = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    gbt = ml.gradient_boosting()
+    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()) == (100, 6, 0.1)
+    model = ml.train("GradientBoosting", data, maxIter=5)
+    assert ml.regression_metrics(model.transform(data)).first()["r2"] > 0.9

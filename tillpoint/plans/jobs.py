@@ -11,6 +11,7 @@ import datetime as dt
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
@@ -54,16 +55,13 @@ class _Clock:
     def __init__(self, report: RunReport):
         self.report, self.t0 = report, time.time()
 
+    @contextmanager
     def stage(self, name: str):
-        clock = self
-
-        class _S:
-            def __enter__(self_inner):
-                self_inner.t = time.time()
-
-            def __exit__(self_inner, *exc):
-                clock.report.stage_seconds[name] = round(time.time() - self_inner.t, 3)
-        return _S()
+        t = time.time()
+        try:
+            yield
+        finally:
+            self.report.stage_seconds[name] = round(time.time() - t, 3)
 
     def done(self, status: str):
         self.report.status = status
