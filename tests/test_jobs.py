@@ -72,3 +72,11 @@ def test_feature_job_shared_equals_lazy(spark, tmp_out, monkeypatch):
         x = spark.read.parquet(f"{tmp_out}/lazy/{name}")
         y = spark.read.parquet(f"{tmp_out}/shared/{name}")
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_partition_by_month(spark, tmp_out):
+    rep = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/pm", td.REF_DATE, partition_by_month=True)
+    assert rep.status == "done"
+    assert any(d.startswith("mes=") for d in os.listdir(f"{tmp_out}/pm/top_produtos"))
+    assert not any(d.startswith("mes=") for d in os.listdir(f"{tmp_out}/pm/ticket_medio"))
+    assert spark.read.parquet(f"{tmp_out}/pm/frequencia_cliente").count() == rep.tables["frequencia_cliente"]
