@@ -135,3 +135,8 @@ def test_optional_gradient_boosting(spark):
     assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize()) == (100, 6, 0.1)
     model = ml.train("GradientBoosting", data, maxIter=5)
     assert ml.regression_metrics(model.transform(data)).first()["r2"] > 0.9
+
+
+def test_memory_strings():
+    assert ml._memory_mb("16g") == 16384 and ml._memory_mb("512m") == 512 and ml._memory_mb("2048") == 2048
+    assert ml._memory_mb("1gb") == 1024 and ml._memory_mb("1t") == 1024 * 1024

@@ -167,13 +167,14 @@ OPTIONAL_MODELS = {"GradientBoosting": gradient_boosting}
 
 
 def _memory_mb(value: str) -> int:
+    """Spark memory string → MiB (a value without a unit is MiB, as Spark reads executor/driver memory)."""
     v = value.strip().lower()
     units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if v and v[-1] == "b":
+    if v.endswith("b") and len(v) > 1 and v[-2] in units:
         v = v[:-1]
     if v and v[-1] in units:
         return int(float(v[:-1]) * units[v[-1]])
-    return int(int(v) / (1024 * 1024))
+    return int(float(v))
 
 
 def tree_memory_budget_mb(spark) -> int:
