@@ -107,3 +107,10 @@ def test_empty_frame(spark):
 def test_missing_date_column_raises(spark):
     with pytest.raises(KeyError):
         audit(spark.createDataFrame([("1",)], "cpf string"), REF)
+
+
+def test_freeze_gives_same_results(spark):
+    lazy = audit(clientes_sujo(spark), REF)
+    frozen = audit(clientes_sujo(spark), REF).freeze()
+    assert lazy.report().collect() == frozen.report().collect()
+    assert lazy.dimensoes().collect() == frozen.dimensoes().collect()

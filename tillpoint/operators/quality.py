@@ -141,6 +141,16 @@ class Audit:
             exprs += [F.count(x).alias(f"valid__{c}"), F.count_if(z > F.lit(Z_LIMIT)).alias(f"out__{c}")]
         return df.agg(*exprs)
 
+    def freeze(self) -> "Audit":
+        """Run the two passes now and keep their one-row result as a local relation.
+
+        Every later projection (dimensions, diagnosis, alerts) then works on that single bounded row without
+        re-running or re-compiling the aggregate — used by the audit job, which needs several views of one result.
+        """
+        row = self.stats.first()
+        self.stats = self.df.sparkSession.createDataFrame([row], self.stats.schema)
+        return self
+
     # ---- per-dimension long tables ----------------------------------------------------------------------------
     def completude_table(self) -> DataFrame:
         """D1 per column: (coluna, nulos, pct_nulos [2 dp], critica = pct_nulos > 5)."""

@@ -168,7 +168,7 @@ def run_quality(spark: SparkSession, clientes: DataFrame, ref_date: dt.date, **a
     rep = RunReport("quality")
     clock = _Clock(rep)
     with clock.stage("audit"):
-        a = audit(clientes, ref_date, **audit_kw)
+        a = audit(clientes, ref_date, **audit_kw).freeze()  # the two passes; the rest is one bounded row
         r = a.report().first()
     rep.details.update(linhas=r["linhas"], dimensoes=[d.asDict() for d in r["dimensoes"]],
                        score_qualidade=r["score_qualidade"], severidade=r["severidade"],
