@@ -43,8 +43,6 @@ def apply_defaults(spark: SparkSession) -> None:
             continue  # static; only meaningful at session creation
         if spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
-    # the reference's arithmetic is IEEE/SQL-standard; these two are required by the numeric rules
-    spark.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
