@@ -4,13 +4,13 @@ scored diagnosis with alerts.
 Execution shape (whatever the table size):
 
 * one small job computes the moments of the numeric columns (mean, sample std) — used as a scalar subquery;
-* one scan + one aggregate computes *everything else* at once: row count, per-column missing counts, stale rows,
-  oldest date, distinct counts of the key columns, rule violations and z-score outliers.
+* one small job per key column counts its distinct values (map-side de-duplication, then a shuffle of the
+  de-duplicated key values only — a key held by a third of all rows collapses to one row per map task);
+* one scan + one global aggregate computes *everything else* at once: row count, per-column missing counts, stale
+  rows, oldest date, rule violations and z-score outliers (partial aggregation, a one-row-per-task shuffle).
 
-Everything downstream (dimension rows, diagnosis, alerts) is projected from that one-row aggregate, so the
-audit costs two passes over the data and no per-dimension re-scan. Distinct counts are planned by Spark as a
-partial (map-side) de-duplication followed by a shuffle on the key, so a key held by a third of all rows
-collapses to one row per map task before it moves.
+Everything downstream (dimension rows, diagnosis, alerts) is projected from that one-row result, so no dimension
+re-scans the data.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ class Audit:
         for c in self.columns:
             exprs.append(F.count_if(is_missing(c, self._types[c])).alias(f"null__{c}"))
         for k in self.keys:
-            exprs += [F.count_distinct(k).alias(f"distinct__{k}"), F.count_if(F.col(k).isNull()).alias(f"sqlnull__{k}")]
+            exprs.append(F.count_if(F.col(k).isNull()).alias(f"sqlnull__{k}"))
         for i, r in enumerate(self.rules):
             exprs.append(F.count_if(F.coalesce(r.violation, F.lit(False))).alias(f"rule__{i}"))
         # R3 profile extras ride along in the same aggregate
@@ -139,7 +139,12 @@ class Audit:
             x = self._valid(c)
             z = F.abs(safe_div(x - F.col(f"__moments.m_{c}"), F.col(f"__moments.s_{c}")))
             exprs += [F.count(x).alias(f"valid__{c}"), F.count_if(z > F.lit(Z_LIMIT)).alias(f"out__{c}")]
-        return df.agg(*exprs)
+        # Distinct keys come from one small aggregate per key column (a scalar subquery): it shuffles only that
+        # column's de-duplicated values. Inside the main aggregate a distinct count would make Spark group *all*
+        # buffers by the key — with near-unique keys, a shuffle of every row's partial state.
+        distincts = [self.df.agg(F.count_distinct(k).alias("d")).select("d").scalar().alias(f"distinct__{k}")
+                     for k in self.keys]
+        return df.agg(*exprs).select("*", *distincts)
 
     def freeze(self) -> "Audit":
         """Run the two passes now and keep their one-row result as a local relation.
