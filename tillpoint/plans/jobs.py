@@ -77,7 +77,8 @@ SHARE_MIN_REDUCTION = 2.0
 def _group_estimates() -> list:
     """HyperLogLog estimates of the shared groupings' sizes, observed during the cleaning write (no extra pass)."""
     return [F.approx_count_distinct(F.struct("data_venda", "loja_id")).alias("diario_loja"),
-            F.approx_count_distinct(F.struct("cliente_id", feat.month_key())).alias("cliente_mes")]
+            F.approx_count_distinct(F.struct("cliente_id", F.year("data_venda") * 100 + F.month("data_venda")))
+            .alias("cliente_mes")]
 
 
 def new_run_dir(spark: SparkSession, job: str) -> str:
