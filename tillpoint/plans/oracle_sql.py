@@ -492,7 +492,8 @@ ML_CTE = PANEL_CTE + """
 
 def _dummies_sql(col: str) -> str:
     return f"""
-SELECT p.loja_id, p.mes, '{col}_' || l.v AS coluna, CASE WHEN p.{col} = l.v THEN 1.0 ELSE 0.0 END AS valor
+SELECT p.loja_id, p.mes, '{col}_' || l.v AS coluna,
+       CAST(CASE WHEN p.{col} = l.v THEN 1 ELSE 0 END AS DOUBLE) AS valor
 FROM pt p, (SELECT DISTINCT {col} AS v FROM pt
             WHERE {col} IS NOT NULL AND {col} > (SELECT MIN({col}) FROM pt)) l"""
 
