@@ -18,7 +18,7 @@ import json
 import math
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -241,4 +241,4 @@ def expected_test_size(n: int, fraction: float = TEST_FRACTION) -> int:
 
 
 __all__ = ["DropFirstDummies", "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
-           "save_model", "load_model", "predict", "full_model", "Pipeline"]
+           "save_model", "load_model", "predict", "full_model"]
