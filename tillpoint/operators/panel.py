@@ -43,10 +43,14 @@ def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
     cat_sums = [F.sum(F.when(F.col("categoria") == F.lit(c), F.col("_v"))).alias(f"_cat{i}")
                 for i, c in enumerate(categories)]
     wd_sums = [F.sum(F.when(F.col("_dow") == F.lit(k), F.col("_v"))).alias(f"_wd{k}") for k in range(7)]
-    return (v.groupBy("loja_id", "regiao", "mes")
-            .agg(F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"),
-                 F.count(F.lit(1)).alias("n_vendas"), F.count_distinct("cliente_id").alias("n_clientes"),
-                 *cat_sums, *wd_sums))
+    keys = ["loja_id", "regiao", "mes"]
+    sums = v.groupBy(*keys).agg(F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"),
+                                F.count(F.lit(1)).alias("n_vendas"), *cat_sums, *wd_sums)
+    # distinct customers in their own aggregate: mixed into the one above, Spark would group *all* sum buffers by
+    # (store, month, customer) before the final merge; alone, only the de-duplicated keys are shuffled. Both sides
+    # come out hash-partitioned on the same keys, so the join adds no shuffle.
+    customers = v.groupBy(*keys).agg(F.count_distinct("cliente_id").alias("n_clientes"))
+    return sums.join(customers, keys)
 
 
 def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = False) -> DataFrame:
