@@ -34,7 +34,10 @@ def main() -> None:
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
         jobs.run_quality(spark, td.clientes_dq(spark, warm), td.REF_DATE)
-        jobs.run_features(spark, td.vendas(spark, warm), f"{scratch}/warm_features", td.REF_DATE)
+        w = jobs.run_features(spark, td.vendas(spark, warm), f"{scratch}/warm_features", td.REF_DATE)
+        warm_panel = jobs.panel_from_sales(spark.read.parquet(w.details["vendas_limpo"]), td.CATEGORIES, cleaned=True)
+        jobs.run_forecast(spark, warm_panel, f"{scratch}/warm_forecast",
+                          model_params={"RandomForest": {"numTrees": 5, "maxDepth": 3}})
 
     timings: dict[str, float] = {}
     details: dict[str, dict] = {}
