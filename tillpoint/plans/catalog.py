@@ -31,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ticket_medio": _feature(feat.ticket_medio),
     "ticket_medio_ate_data": _feature(feat.ticket_medio, CUTOFF_DATE),
     "frequencia_cliente": _feature(feat.frequencia_cliente),
+    "frequencia_cliente_ate_data": _feature(feat.frequencia_cliente, CUTOFF_DATE),
+    "share_categoria_ate_data": _feature(feat.share_categoria, CUTOFF_DATE),
     "share_categoria": _feature(feat.share_categoria),
     "crescimento_mom": _feature(feat.crescimento_mom),
     "recencia_cliente": _feature(feat.recencia_cliente, td.REF_DATE),
