@@ -6,14 +6,16 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillpoint.operators import features as feat
+from tillpoint.operators import ml
+from tillpoint.operators import panel as pan
 from tillpoint.operators import reports as rep
 from tillpoint.operators import validate as val
 from tillpoint.operators.quality import audit
-from tillpoint.operators import ml
-from tillpoint.operators import panel as pan
 from tillpoint.operators.validate import clean_sales
+from tillpoint.session import materialize
 from tillpoint.sources import testdata as td
 
 CUTOFF_DATE = dt.date(1999, 6, 30)
@@ -44,7 +46,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _flat_report(spark, sf_dir):
     r = val.schema_report(td.vendas_suja(spark, sf_dir))
-    from pyspark.sql import functions as F
     return r.select("valido", F.array_join("problemas", " | ").alias("problemas"), "linhas", "colunas", "removidas")
 
 
@@ -53,7 +54,6 @@ def _audit(spark, sf_dir):
 
 
 def _diagnostico(spark, sf_dir):
-    from pyspark.sql import functions as F
     return _audit(spark, sf_dir).diagnostico().withColumn("n_alertas", F.size("alertas").cast("bigint")).drop(
         "alertas")
 
@@ -97,7 +97,6 @@ def _split_panel(spark, sf_dir):
 
 
 def _dummies_long(spark, sf_dir):
-    from pyspark.sql import functions as F
     prepared, names, feats = ml.prepare_features(_panel(spark, sf_dir))
     dummy_cols = feats.stages[0].output_columns()
     return prepared.select("loja_id", "mes", *[F.col(f"`{c}`") for c in dummy_cols]).unpivot(
@@ -105,7 +104,6 @@ def _dummies_long(spark, sf_dir):
 
 
 def _baseline_metrics(spark, sf_dir):
-    from pyspark.sql import functions as F
     test = _split_panel(spark, sf_dir).filter("is_test")
     frames = []
     for i, (name, pred) in enumerate([("persistencia", F.col("receita")),
@@ -117,9 +115,9 @@ def _baseline_metrics(spark, sf_dir):
 
 
 def _resumo(spark, sf_dir):
-    from pyspark.sql import functions as F
-    sp = _split_panel(spark, sf_dir)
-    _, names, _ = ml.prepare_features(_panel(spark, sf_dir))
+    panel = _panel(spark, sf_dir)
+    sp = ml.exact_split(panel)
+    _, names, _ = ml.prepare_features(panel)
     return sp.agg(F.count_distinct("loja_id").cast("bigint").alias("n_lojas"),
                   F.count_distinct("mes").cast("bigint").alias("n_meses"),
                   F.lit(len(names)).cast("bigint").alias("n_features"),
@@ -129,16 +127,15 @@ def _resumo(spark, sf_dir):
 
 def _model_predictions(name):
     def run(spark, sf_dir):
-        from pyspark.sql import functions as F
         prepared, names, feats = ml.prepare_features(_split_panel(spark, sf_dir))
-        prepared = prepared.select("loja_id", "mes", "is_test", "features", "label").persist()
+        # written once (read by training and scoring); a table, so nothing stays cached after the query
+        prepared = materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), f"ml_{name}")
         model = ml.train(name, prepared.filter(~F.col("is_test")))
         return model.transform(prepared.filter("is_test")).select("loja_id", "mes", "label", "prediction")
     return run
 
 
 def _model_metrics(spark, sf_dir):
-    from pyspark.sql import functions as F
     frames = []
     for i, name in enumerate(ml.MODELS, start=1):
         m = ml.regression_metrics(_model_predictions(name)(spark, sf_dir))
