@@ -80,3 +80,15 @@ def test_partition_by_month(spark, tmp_out):
     assert any(d.startswith("mes=") for d in os.listdir(f"{tmp_out}/pm/top_produtos"))
     assert not any(d.startswith("mes=") for d in os.listdir(f"{tmp_out}/pm/ticket_medio"))
     assert spark.read.parquet(f"{tmp_out}/pm/frequencia_cliente").count() == rep.tables["frequencia_cliente"]
+
+
+def test_forecast_single_store(spark, tmp_out):
+    panel = jobs.panel_from_sales(td.vendas(spark, SF), td.CATEGORIES)
+    store = panel.select("loja_id").first()["loja_id"]
+    rep = jobs.run_forecast(spark, panel, f"{tmp_out}/one", loja_id=store,
+                            model_params={"RandomForest": {"numTrees": 5, "maxDepth": 3}})
+    assert rep.status == "done"
+    assert rep.details["n_features"] == 18          # constant categoricals after the filter → no dummies
+    assert rep.details["n_lojas"] > 1                # summary counted before the store filter
+    n = panel.filter(f"loja_id = {store}").count()
+    assert rep.details["n_treino"] + rep.details["n_teste"] == n
