@@ -40,3 +40,10 @@ def test_audit_is_one_main_aggregate(spark):
     p = plan(a.report())
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
     assert "Subquery" in p  # the moments come in as a scalar subquery, not a join
+
+
+def test_store_filter_reaches_the_scan(spark):
+    from tillpoint.operators.reports import ultimos_meses_loja
+    p = plan(ultimos_meses_loja(clean_sales(td.vendas(spark, SF)), 1))
+    lineitem = [line for line in p.splitlines() if "l_suppkey" in line and "PushedFilters" in line]
+    assert lineitem and "EqualTo(l_suppkey,1)" in lineitem[0]
