@@ -23,8 +23,12 @@ def test_feature_job_resumes_from_stage_output(spark, tmp_out):
     run_dir = f"{tmp_out}/run"
     jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/a", td.REF_DATE, run_dir=run_dir)
     assert os.path.exists(f"{run_dir}/vendas_limpo/_SUCCESS")
+    first = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/c", td.REF_DATE, run_dir=f"{tmp_out}/run2")
+    assert os.path.exists(f"{run_dir}/validacao/_SUCCESS")
     rep = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/b", td.REF_DATE, run_dir=run_dir)
     assert rep.status == "done"
+    assert rep.details["linhas"] == first.details["linhas"] and rep.details["removidas"] == first.details["removidas"]
+    assert rep.tables == first.tables
 
 
 def test_feature_job_stops_on_invalid_input(spark, tmp_out):

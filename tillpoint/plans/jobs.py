@@ -8,6 +8,7 @@ table, not from the raw inputs) and lets a rerun with the same ``run_dir`` skip
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -22,8 +23,7 @@ from tillpoint.operators import features as feat
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
 from tillpoint.operators.quality import audit
-from tillpoint.operators.validate import (clean_sales, missing_columns, report_from_metrics, schema_report,
-                                         validation_metrics)
+from tillpoint.operators.validate import clean_sales, missing_columns, report_from_metrics, validation_metrics
 from tillpoint.session import checkpoint_dir
 from tillpoint.sources.io import stage_done, write_table
 
@@ -42,7 +42,6 @@ class RunReport:
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """One-row frame with the report (details as a JSON string)."""
-        import json
         d = asdict(self)
         return spark.createDataFrame([(self.job, self.status, len(self.tables), int(self.rows),
                                        json.dumps(d["errors"]), json.dumps(d["details"], default=str),
@@ -120,10 +119,13 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
     if absent:
         rep.errors = [f"coluna ausente: {c}" for c in absent]
         return clock.done("validate_fail")
-    clean_path = f"{run_dir}/vendas_limpo"
+    clean_path, report_path = f"{run_dir}/vendas_limpo", f"{run_dir}/validacao"
     with clock.stage("validate+transform"):
-        if stage_done(clean_path):
-            r = schema_report(vendas).first().asDict()
+        if stage_done(clean_path) and stage_done(report_path):
+            # resume: the validation report was saved with the stage output; no pass over the input
+            saved = spark.read.parquet(report_path).first()
+            r = json.loads(saved["relatorio"])
+            rep.details["grupos_estimados"] = json.loads(saved["grupos"])
         else:
             # validation metrics are observed while the cleaned table is written: one pass over the input
             obs = Observation("validacao")
@@ -131,6 +133,9 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
                 .write.mode("overwrite").parquet(clean_path)
             r = report_from_metrics(vendas, obs.get)
             rep.details["grupos_estimados"] = {k: obs.get.get(k) for k in SHARED_GROUPINGS}
+            spark.createDataFrame([(json.dumps(r), json.dumps(rep.details["grupos_estimados"]))],
+                                  "relatorio string, grupos string").coalesce(1) \
+                .write.mode("overwrite").parquet(report_path)
     rep.details.update(linhas=r["linhas"], colunas=r["colunas"], nulos=dict(r["nulos_por_coluna"] or {}),
                        removidas=r["removidas"], vendas_limpo=clean_path)
     if not r["valido"]:
