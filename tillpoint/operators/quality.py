@@ -24,13 +24,26 @@ from pyspark.sql import types as T
 
 from tillpoint.functions.numeric import is_missing, safe_div
 
-# Dimension names in report order, statuses, alert levels, severities and thresholds.
+# Dimension names in report order, statuses, alert levels, severities, thresholds, score ladders
+# (score when ok / warning / critico, and the largest total that is still a warning) and detail messages.
 DIMENSIONS = ["completude", "frescor", "unicidade", "consistencia", "acuracia"]
 OK, WARNING, CRITICO = "ok", "warning", "critico"
+ALERT_CRITICAL, ALERT_WARNING = "CRITICO", "WARNING"
 SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_LOW, SEVERITY_NONE = "ALTA", "MÉDIA", "BAIXA", "OK"
 MAX_SCORE_PER_DIMENSION = 20
 NULL_PCT_LIMIT = 5.0
 Z_LIMIT = 3.0
+COMPLETUDE_PENALTY_PER_COLUMN, COMPLETUDE_WARNING_MAX = 5, 2
+FRESCOR_OK_PCT, FRESCOR_WARNING_PCT = 5, 15
+FRESCOR_SCORES = (20, 15, 10)
+UNICIDADE_SCORES, UNICIDADE_WARNING_MAX = (20, 15, 5), 2
+CONSISTENCIA_SCORES, CONSISTENCIA_WARNING_MAX = (20, 12, 5), 5
+ACURACIA_SCORES, ACURACIA_WARNING_MAX = (20, 12, 5), 5
+MSG_COMPLETUDE, MSG_COMPLETUDE_OK = "%d colunas com >5%% nulos", "Todas as colunas OK"
+MSG_FRESCOR = "%% dos registros sem atualização há >%d anos"
+MSG_UNICIDADE, MSG_UNICIDADE_OK = "%d duplicatas encontradas", "Sem duplicatas"
+MSG_CONSISTENCIA, MSG_CONSISTENCIA_OK = "%d violações em %d regras", "Todas as regras OK"
+MSG_ACURACIA, MSG_ACURACIA_OK = "%d outliers em %d colunas", "Sem outliers"
 DEFAULT_DATE_COLUMN = "data_atualizacao"
 DEFAULT_STALE_DAYS = 730
 DEFAULT_KEY_COLUMNS = ("cpf",)
@@ -75,10 +88,11 @@ class AuditConfig:
     profile_mean: str = "compras_12m"
 
 
-def _status3(total: Column, warn_max: int, warn_score: int, crit_score: int) -> tuple[Column, Column]:
+def _status3(total: Column, warn_max: int, scores: tuple[int, int, int]) -> tuple[Column, Column]:
+    """ok when the total is 0, warning up to ``warn_max``, critico above; scores from the ladder."""
     status = F.when(total == 0, F.lit(OK)).when(total <= warn_max, F.lit(WARNING)).otherwise(F.lit(CRITICO))
-    score = (F.when(total == 0, F.lit(MAX_SCORE_PER_DIMENSION)).when(total <= warn_max, F.lit(warn_score))
-             .otherwise(F.lit(crit_score)))
+    score = (F.when(total == 0, F.lit(scores[0])).when(total <= warn_max, F.lit(scores[1]))
+             .otherwise(F.lit(scores[2])))
     return status, score.cast("bigint")
 
 
@@ -218,28 +232,30 @@ class Audit:
     def _dimension_structs(self) -> list[Column]:
         """The five dimension structs, as expressions over :meth:`_scalars`."""
         k, pct = F.col("_k1"), F.col("_pct2")
-        d1 = (F.when(k == 0, F.lit(OK)).when(k <= 2, F.lit(WARNING)).otherwise(F.lit(CRITICO)),
-              F.greatest(F.lit(0), F.lit(MAX_SCORE_PER_DIMENSION) - k * 5).cast("bigint"),
-              F.when(k > 0, F.format_string("%d colunas com >5%% nulos", k)).otherwise(F.lit("Todas as colunas OK")),
+        d1 = (F.when(k == 0, F.lit(OK)).when(k <= COMPLETUDE_WARNING_MAX, F.lit(WARNING)).otherwise(F.lit(CRITICO)),
+              F.greatest(F.lit(0), F.lit(MAX_SCORE_PER_DIMENSION) - k * COMPLETUDE_PENALTY_PER_COLUMN).cast("bigint"),
+              F.when(k > 0, F.format_string(MSG_COMPLETUDE, k)).otherwise(F.lit(MSG_COMPLETUDE_OK)),
               k)
         # D2 freshness: NULL dates are not stale but stay in the denominator; empty input → NULL pct → critico
-        d2 = (F.when(pct <= 5, F.lit(OK)).when(pct <= 15, F.lit(WARNING)).otherwise(F.lit(CRITICO)),
-              F.when(pct <= 5, F.lit(20)).when(pct <= 15, F.lit(15)).otherwise(F.lit(10)).cast("bigint"),
+        d2 = (F.when(pct <= FRESCOR_OK_PCT, F.lit(OK)).when(pct <= FRESCOR_WARNING_PCT, F.lit(WARNING))
+              .otherwise(F.lit(CRITICO)),
+              F.when(pct <= FRESCOR_OK_PCT, F.lit(FRESCOR_SCORES[0])).when(pct <= FRESCOR_WARNING_PCT,
+                                                                          F.lit(FRESCOR_SCORES[1]))
+              .otherwise(F.lit(FRESCOR_SCORES[2])).cast("bigint"),
               F.concat(F.coalesce(pct.cast("string"), F.lit("nan")),
-                       F.lit(f"% dos registros sem atualização há >{self.cfg.stale_days // 365} anos")),
+                       F.lit(MSG_FRESCOR % (self.cfg.stale_days // 365))),
               F.col("stale").cast("bigint"))
         dups = F.col("_dups")
-        s3, sc3 = _status3(dups, 2, 15, 5)
-        d3 = (s3, sc3, F.when(dups > 0, F.format_string("%d duplicatas encontradas", dups))
-              .otherwise(F.lit("Sem duplicatas")), dups)
+        s3, sc3 = _status3(dups, UNICIDADE_WARNING_MAX, UNICIDADE_SCORES)
+        d3 = (s3, sc3, F.when(dups > 0, F.format_string(MSG_UNICIDADE, dups)).otherwise(F.lit(MSG_UNICIDADE_OK)), dups)
         tot4 = F.col("_tot4")
-        s4, sc4 = _status3(tot4, 5, 12, 5)
-        d4 = (s4, sc4, F.when(tot4 > 0, F.format_string("%d violações em %d regras", tot4, F.col("_nrules")))
-              .otherwise(F.lit("Todas as regras OK")), tot4)
+        s4, sc4 = _status3(tot4, CONSISTENCIA_WARNING_MAX, CONSISTENCIA_SCORES)
+        d4 = (s4, sc4, F.when(tot4 > 0, F.format_string(MSG_CONSISTENCIA, tot4, F.col("_nrules")))
+              .otherwise(F.lit(MSG_CONSISTENCIA_OK)), tot4)
         tot5 = F.col("_tot5")
-        s5, sc5 = _status3(tot5, 5, 12, 5)
-        d5 = (s5, sc5, F.when(tot5 > 0, F.format_string("%d outliers em %d colunas", tot5, F.col("_ncols")))
-              .otherwise(F.lit("Sem outliers")), tot5)
+        s5, sc5 = _status3(tot5, ACURACIA_WARNING_MAX, ACURACIA_SCORES)
+        d5 = (s5, sc5, F.when(tot5 > 0, F.format_string(MSG_ACURACIA, tot5, F.col("_ncols")))
+              .otherwise(F.lit(MSG_ACURACIA_OK)), tot5)
         out = []
         for i, (name, (st, sc, det, total)) in enumerate(zip(DIMENSIONS, [d1, d2, d3, d4, d5])):
             out.append(F.struct(F.lit(i + 1).cast("bigint").alias("ordem"), F.lit(name).alias("dimensao"),
@@ -287,7 +303,7 @@ class Audit:
             count(OK).cast("bigint").alias("dimensoes_ok"),
             n_warn.cast("bigint").alias("dimensoes_warning"),
             n_crit.cast("bigint").alias("dimensoes_criticas"),
-            F.concat(alerts(CRITICO, "CRITICO"), alerts(WARNING, "WARNING")).alias("alertas")]
+            F.concat(alerts(CRITICO, ALERT_CRITICAL), alerts(WARNING, ALERT_WARNING)).alias("alertas")]
 
     def diagnostico(self) -> DataFrame:
         """D6 as a one-row frame."""

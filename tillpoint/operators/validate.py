@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 
 from tillpoint.functions.numeric import is_missing
 
+# Problem messages of the validation report.
+MSG_MISSING_COLUMN = "coluna ausente: %s"
+MSG_NULLS = "nulos em %s: %d"
+
 # The eleven columns a sales table must have.
 REQUIRED_COLUMNS = [
     "data_venda", "loja_id", "produto_id", "categoria", "quantidade", "valor_unitario",
@@ -65,8 +69,8 @@ def validation_aggregate(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
 def report_from_metrics(df: DataFrame, m: dict, required=REQUIRED_COLUMNS) -> dict:
     """B3 as a dict from already computed metrics (e.g. an observed write)."""
     nulls = {c: int(m[f"nulos__{c}"]) for c in df.columns if m.get(f"nulos__{c}")}
-    problems = [f"coluna ausente: {c}" for c in missing_columns(df, required)]
-    problems += [f"nulos em {c}: {n}" for c, n in nulls.items()]
+    problems = [MSG_MISSING_COLUMN % c for c in missing_columns(df, required)]
+    problems += [MSG_NULLS % (c, n) for c, n in nulls.items()]
     return {"valido": not problems, "problemas": problems, "linhas": int(m["linhas"]),
             "colunas": len(df.columns), "nulos_por_coluna": nulls, "removidas": m.get("removidas")}
 
@@ -74,9 +78,9 @@ def report_from_metrics(df: DataFrame, m: dict, required=REQUIRED_COLUMNS) -> di
 def schema_report(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     """One row {valido, problemas, linhas, colunas, nulos_por_coluna (only > 0), removidas}."""
     agg = validation_aggregate(df, required)
-    absent = [F.lit(f"coluna ausente: {c}") for c in missing_columns(df, required)]
+    absent = [F.lit(MSG_MISSING_COLUMN % c) for c in missing_columns(df, required)]
     null_msgs = [F.when(F.col(f"nulos__{c}") > 0,
-                        F.format_string("nulos em %s: %d", F.lit(c), F.col(f"nulos__{c}")))
+                        F.format_string(MSG_NULLS, F.lit(c), F.col(f"nulos__{c}")))
                  for c in df.columns]
     problems = F.concat(F.array(*absent).cast("array<string>"),
                         F.filter(F.array(*null_msgs), lambda x: x.isNotNull()))

@@ -23,7 +23,8 @@ from tillpoint.operators import features as feat
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
 from tillpoint.operators.quality import audit
-from tillpoint.operators.validate import clean_sales, missing_columns, report_from_metrics, validation_metrics
+from tillpoint.operators.validate import (MSG_MISSING_COLUMN, clean_sales, missing_columns, report_from_metrics,
+                                         validation_metrics)
 from tillpoint.session import checkpoint_dir
 from tillpoint.sources.io import stage_done, write_table
 
@@ -117,7 +118,7 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
     run_dir = run_dir or new_run_dir(spark, "features")
     absent = missing_columns(vendas)
     if absent:
-        rep.errors = [f"coluna ausente: {c}" for c in absent]
+        rep.errors = [MSG_MISSING_COLUMN % c for c in absent]
         return clock.done("validate_fail")
     clean_path, report_path = f"{run_dir}/vendas_limpo", f"{run_dir}/validacao"
     with clock.stage("validate+transform"):
