@@ -87,7 +87,7 @@ def new_run_dir(spark: SparkSession, job: str) -> str:
 
 def _materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a stage output once (skip if already committed) and continue from the written table."""
-    if not stage_done(path):
+    if not stage_done(path, df.sparkSession):
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -122,7 +122,7 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
         return clock.done("validate_fail")
     clean_path, report_path = f"{run_dir}/vendas_limpo", f"{run_dir}/validacao"
     with clock.stage("validate+transform"):
-        if stage_done(clean_path) and stage_done(report_path):
+        if stage_done(clean_path, spark) and stage_done(report_path, spark):
             # resume: the validation report was saved with the stage output; no pass over the input
             saved = spark.read.parquet(report_path).first()
             r = json.loads(saved["relatorio"])

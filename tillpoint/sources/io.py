@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +39,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
-    if mode == "ignore" and stage_done(path):
-        return df.sparkSession.read.parquet(path).count()  # kept as is; the count comes from Parquet footers
+    if mode == "ignore":
+        # an existing table is kept and no job runs, so nothing could be observed: count from Parquet footers
+        w = df.write.mode(mode)
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return df.sparkSession.read.parquet(path).count()
     obs = Observation(f"rows_{abs(hash(path))}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
@@ -48,10 +52,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return int(obs.get["n"])
 
 
-def stage_done(path: str) -> bool:
-    """True when a stage output at ``path`` was committed (Spark writes ``_SUCCESS`` on commit)."""
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" in path:
-        return False  # remote stores: let the caller decide; we recompute
-    return os.path.exists(os.path.join(path, "_SUCCESS"))
+def stage_done(path: str, spark: SparkSession | None = None) -> bool:
+    """True when a stage output at ``path`` was committed (Spark writes ``_SUCCESS`` on commit).
+
+    Local paths are checked directly; any other file system (HDFS, object stores) through Spark's own reader.
+    """
+    local = path[5:] if path.startswith("file:") else path
+    if "://" not in local:
+        return os.path.exists(os.path.join(local, "_SUCCESS"))
+    spark = spark or SparkSession.getActiveSession()
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
