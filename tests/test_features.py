@@ -101,3 +101,11 @@ def test_shared_aggregates_give_identical_tables(spark):
     for name in feat.FEATURE_NAMES:
         assert lazy[name].columns == shared[name].columns
         assert lazy[name].exceptAll(shared[name]).count() == 0 and shared[name].exceptAll(lazy[name]).count() == 0
+
+
+def test_presentation_order(vendas):
+    out = feat.presentation_order("share_categoria", feat.share_categoria(vendas)).collect()
+    keys = [(r["loja_id"], -r["share_pct"]) for r in out]
+    assert keys == sorted(keys)
+    rec = feat.presentation_order("recencia_cliente", feat.recencia_cliente(vendas, dt.date(2025, 1, 20))).collect()
+    assert [r["dias_desde_ultima"] for r in rec] == sorted(r["dias_desde_ultima"] for r in rec)
