@@ -122,6 +122,8 @@ def exact_split(df: DataFrame, keys: list[str] = SPLIT_KEYS, test_fraction: floa
     """Adds ``is_test``: the ``ceil(test_fraction · n)`` rows with the smallest salted key hash are the test set.
 
     Deterministic and exact (sizes equal a shuffled 80/20 split: 4,600 → 3,680 / 920), independent of partitioning.
+    The input is read twice (histogram, then ranking), so pass a written table when it is expensive to compute — the
+    forecast job splits its materialized panel. Keys should identify rows: equal keys share a hash bucket.
     """
     h = split_hash(keys, seed)
     d = df.withColumn("_h", h).withColumn(
