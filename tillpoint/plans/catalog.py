@@ -93,7 +93,8 @@ QUERIES.update({
 
 
 def _split_panel(spark, sf_dir):
-    return ml.exact_split(_panel(spark, sf_dir))
+    # the split reads its input twice (histogram, ranking): split a written panel, as the forecast job does
+    return ml.exact_split(materialize(_panel(spark, sf_dir), "painel"))
 
 
 def _dummies_long(spark, sf_dir):
@@ -115,7 +116,7 @@ def _baseline_metrics(spark, sf_dir):
 
 
 def _resumo(spark, sf_dir):
-    panel = _panel(spark, sf_dir)
+    panel = materialize(_panel(spark, sf_dir), "painel")
     sp = ml.exact_split(panel)
     _, names, _ = ml.prepare_features(panel)
     return sp.agg(F.count_distinct("loja_id").cast("bigint").alias("n_lojas"),
