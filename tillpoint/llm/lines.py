@@ -36,10 +36,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), F.explode(long_keys).alias("l"))
         .select("id", "k1", "k2", F.col("l.pos").alias("pos"), h1.alias("h1"), h2.alias("h2")), "line-keys")
     # a struct counts and ranks null ids too
-    spread = (lines.groupBy("h1", "h2")
-              .agg(F.count_distinct(F.struct("id")).alias("n"), F.max(F.struct("id")).alias("last"))
-              .where(F.col("n") >= min_docs)
-              .select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("last.id").alias("last_id")))
+    # written, so that the join below deals both sides anew and a line held by very many documents can be split
+    spread = materialize(
+        lines.groupBy("h1", "h2")
+        .agg(F.count_distinct(F.struct("id")).alias("n"), F.max(F.struct("id")).alias("last"))
+        .where(F.col("n") >= min_docs)
+        .select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("last.id").alias("last_id")), "common-lines")
     drops = (lines.join(spread, (lines["h1"] == spread["f1"]) & (lines["h2"] == spread["f2"]))
              .where(~F.col("id").eqNullSafe(F.col("last_id")))
              .groupBy(F.col("id").alias("__d_id"), F.col("k1").alias("__d1"), F.col("k2").alias("__d2"))
