@@ -142,21 +142,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
+        none = (None,) * (len(result) - 1)
         before = None
         for pdf in batches:
-            out, edge = [], []
+            out = []
             for key, text in zip(pdf["id"], pdf["t"]):
                 own = anchors(text)
-                if before is None:
-                    edge.append((part, 0, None, text))
-                else:
-                    out.append(_compare(*before, text, own))
+                out.append((*_compare(*before, text, own), part, -1, None) if before else
+                           (None, *none, part, 0, text))
                 before = (key, text, own)
-            done = pd.DataFrame(out, columns=result).assign(part=part, edge=-1, t=None)
-            yield pd.concat([done, pd.DataFrame(edge, columns=["part", "edge", "id", "t"])]) if edge else done
-        if before is not None:
-            yield pd.DataFrame([(part, 1, before[0], before[1])], columns=["part", "edge", "id", "t"]).reindex(
-                columns=[*result, "part", "edge", "t"])
+            yield pd.DataFrame(out, columns=[*result, "part", "edge", "t"], dtype=object)
+        if before:
+            yield pd.DataFrame([(before[0], *none, part, 1, before[1])], columns=[*result, "part", "edge", "t"],
+                               dtype=object)
 
     both = materialize(dealt.sortWithinPartitions(*order).mapInPandas(
         stream, f"{SCHEMA.format(kind=kind)}, part int, edge int, t string"), "fingerprints")
@@ -173,7 +171,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def seam(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame([_compare(k, t, anchors(t), f, anchors(f))
-                                for k, t, f in zip(pdf["id"], pdf["t"], pdf["following"])], columns=result)
+                                for k, t, f in zip(pdf["id"], pdf["t"], pdf["following"])], columns=result,
+                               dtype=object)
 
     out = both.where("edge = -1").select(*result).unionByName(seams.mapInPandas(seam, SCHEMA.format(kind=kind)))
     return out.withColumnRenamed("id", id_col)

@@ -30,6 +30,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+RULES = """
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+windows AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM words)),
+again AS (SELECT doc_id, g FROM windows GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows JOIN again USING (doc_id, g), range(3) r(k)
+            GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM words)
+          WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+  FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+            OR 10 * n_upper > 3 * word_chars OR word_chars < 2 * n_words OR word_chars > 14 * n_words) AS kept
+FROM judged
+"""
+
 # budgets as a water level: the budget of a node is min(capacity, weight x level), found among the siblings
 _LEVEL = """
 {name}_n AS (SELECT {path}, any_value(room) AS room, sum(cap) AS cap, any_value({weight}) AS w
@@ -74,4 +99,4 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
 FROM ordered
 """
 
-ORACLES = {"op1_url_filters": URLS, "op6_line_dedup": LINES, "op8_mixing": MIX}
+ORACLES = {"op1_url_filters": URLS, "op3_quality_rules": RULES, "op6_line_dedup": LINES, "op8_mixing": MIX}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import lines, mixing, shards, urls
-from tillpoint.llm.common import table
+from tillpoint.llm import fingerprint, html_text, jaccard, lines, mixing, packing, quality, rules, shards, urls
+from tillpoint.llm.common import prepare, table
 
 #: Rules of the URL filter; a few fixed rows.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -29,21 +29,60 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    out = rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), measures=base)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return out.select("doc_id", *base, failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     out = mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, total_share=0.6, max_epochs=2, seed=17)
     return out.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", "virtual_slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op6_line_dedup, op8_mixing, op10_sharding)}
+def _query(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
+QUERIES = {f.__name__: _query(f) for f in (
+    op1_url_filters, op2_quality_classifier, op3_quality_rules, op4_html_extraction, op5_ngram_jaccard,
+    op6_line_dedup, op7_packing,
+    op8_mixing, op9_fingerprints, op10_sharding)}
