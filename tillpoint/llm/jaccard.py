@@ -22,6 +22,8 @@ SHARE = 0.25
 BLOCK = 400
 #: Greatest size of the filter that names the documents whose sets are wanted (a power of 2).
 FILTER_BITS = 1 << 27
+#: Members that more nodes than this begin with are settled through hubs and blocks, the others pair by pair.
+FREQUENT = 48
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -45,11 +47,6 @@ def ngram_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(grams.view(np.int64))
 
 
-def least_overlap(size: int, percent: int) -> int:
-    """Members that a set of ``size`` has in common with any similar set, at least."""
-    return -(-percent * size // 100)
-
-
 def _sampled(members: np.ndarray) -> np.ndarray:
     return members < int(-(1 << 63) + SHARE * (1 << 64))
 
@@ -90,9 +87,8 @@ def _possible(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFr
     own = (shown.groupBy("member").agg(F.min("node").alias("node"), F.max("node").alias("other"),
                                        F.max("counted").alias("counted"))
            .where("node = other and counted").groupBy(F.col("node").alias("own_node")).agg(F.count(F.lit(1)).alias("own")))
-    spare = F.col("size") - F.expr(f"({percent} * size + 99) div 100")
     return (nodes.join(own, F.col("node") == F.col("own_node"), "left")
-            .where((F.col("size") > 0) & (F.coalesce("own", F.lit(0)) <= spare)).select("node", "rep"))
+            .where((F.col("size") > 0) & (F.coalesce("own", F.lit(0)) <= _spare("size", percent))).select("node", "rep"))
 
 
 def _name_filter(wanted: DataFrame, count: int) -> tuple[np.ndarray, int]:
@@ -183,21 +179,23 @@ def _linked(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("task", "side", "node", "comp", "members").groupBy("task").applyInPandas(run, "u long, v long")
 
 
+def _spare(size: str, percent: int):
+    """Members of a set that a similar one may lack, at most."""
+    return F.expr(f"{size} - ({percent} * {size} + 99) div 100")
+
+
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(member, node, size) of the first members of each set; similar sets have one of these in common."""
-    reach = F.col("size") - F.expr(f"({percent} * size + 99) div 100") + 1
+    """(member, node, size) of the first members of each set.
+
+    Two similar sets have one of their first ``spare + 1`` members in common, and with twice as many at least the
+    lesser ``spare + 1`` of them.
+    """
+    reach = 2 * _spare("size", percent) + 1
     return sets.select("node", "size", F.explode(F.slice("members", F.lit(1), reach.cast("int"))).alias("member"))
 
 
-def _star_tasks(prefixes: DataFrame, percent: int) -> DataFrame:
-    """For every member, the least node that has it (the hub) against all others, in chunks of a bounded size."""
-    hubs = (prefixes.groupBy("member").agg(F.min(F.struct("node", "size")).alias("hub"), F.max("node").alias("top"))
-            .where(F.col("hub.node") != F.col("top")).select(F.col("member").alias("m"), "hub"))
-    pairs = (prefixes.join(hubs, F.col("member") == F.col("m"))
-             .where((F.col("node") != F.col("hub.node"))
-                    & (100 * F.least("size", "hub.size") >= percent * F.greatest("size", "hub.size")))
-             .select(F.col("hub.node").alias("hub"), "node").distinct())
-    pairs = materialize(pairs, "hub-pairs")
+def _hub_tasks(pairs: DataFrame) -> DataFrame:
+    """Tasks that compare a hub with its nodes, from (hub, node), in chunks of a bounded size."""
     counts = pairs.groupBy(F.col("hub").alias("c_hub")).agg(F.count(F.lit(1)).alias("n"))
     dealt = (pairs.join(counts, F.col("hub") == F.col("c_hub"))
              .withColumn("task", F.struct("hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("part"))))
@@ -206,14 +204,40 @@ def _star_tasks(prefixes: DataFrame, percent: int) -> DataFrame:
     return tree.unionByName(probe)
 
 
-def _rest_tasks(prefixes: DataFrame, known: DataFrame) -> DataFrame | None:
-    """What the hubs have left open: members whose nodes are not all in one component.
+def _star_pairs(prefixes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """For every frequent member, the least node that has it (the hub) and each other node that has it."""
+    hubs = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("m"), "hub")
+    return (prefixes.join(hubs, F.col("member") == F.col("m"))
+            .where((F.col("node") != F.col("hub.node"))
+                   & (100 * F.least("size", "hub.size") >= percent * F.greatest("size", "hub.size")))
+            .select(F.col("hub.node").alias("hub"), "node").distinct())
+
+
+def _rare_pairs(rows: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes, not in one component yet, that have enough of the other first members in common.
+
+    At most ``FREQUENT`` nodes have such a member. A similar pair that has no frequent member in common is found here
+    with all its common first members; one that has is compared in the blocks.
+    """
+    few = counts.where((F.col("n") > 1) & (F.col("n") <= FREQUENT)).select(F.col("member").alias("m"))
+    rows = rows.join(few, F.col("member") == F.col("m")).select("member", "node", "size", "comp")
+    a = rows.select("member", F.col("node").alias("hub"), F.col("size").alias("x"), F.col("comp").alias("a_comp"))
+    b = rows.select(F.col("member").alias("b_member"), "node", F.col("size").alias("y"), "comp")
+    both = a.join(b, (F.col("member") == F.col("b_member")) & (F.col("hub") < F.col("node"))
+                  & (F.col("a_comp") != F.col("comp"))
+                  & (100 * F.least("x", "y") >= percent * F.greatest("x", "y")))
+    return (both.groupBy("hub", "node", F.least("x", "y").alias("s")).agg(F.count_distinct("member").alias("c"))
+            .where(F.col("c") > _spare("s", percent)).select("hub", "node"))
+
+
+def _block_tasks(rows: DataFrame, counts: DataFrame) -> DataFrame | None:
+    """What the hubs have left open: frequent members whose nodes are not all in one component.
 
     Nodes that such members connect form clusters, a cluster is cut into blocks (nodes of one component together, a
     large component in several), and every two blocks meet in a task, unless both hold the same component only.
     """
-    rows = prefixes.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
-    rows = rows.select("member", "node", F.coalesce("comp", "node").alias("comp"))
+    often = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("o"))
+    rows = rows.join(often, F.col("member") == F.col("o")).select("member", "node", "comp")
     open_members = (rows.groupBy("member").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                                F.min("node").alias("first"))
                     .where("c0 <> c1").select(F.col("member").alias("m"), "first"))
@@ -254,10 +278,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, node, n_shingles, component_id) of every row: groups of documents connected by a similarity of ``percent``.
 
     1. Equal texts are one node. 2. Nodes with too many members of their own are alone. 3. The sets of the others are
-    built. Similar sets have one of their first members (in hash order) in common; for each such member the least node
-    is compared with all others, which settles a group of any size in time linear in it if its members resemble the
-    hub. 4. What stays open is compared block by block. Comparisons go through prefix trees of the ordered sets.
-    5. Components of all links; the least id names one.
+    built. Similar sets have some of their first members (in hash order) in common. For a member that many nodes begin
+    with, the least node is compared with all others, which settles a group of any size in time linear in it if its
+    members resemble the hub; what that leaves open is compared block by block. For other members, nodes that have
+    enough of them in common are compared. Comparisons go through prefix trees of the ordered sets. 4. Components of all
+    links; the least id names one.
 
     No pairs within a group are listed; a task holds about two blocks of sets. N-grams are compared by 64-bit hashes.
 
@@ -266,7 +291,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are linked too, but never name a component unless all its ids are null; an empty table gives none; further columns
     are ignored.
     """
-    rows = _documents(docs, id_col, text_col)
+    texts = _documents(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,18 +299,25 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame({"id": pdf["id"], "node": pdf["node"],
                                 "size": np.array([len(ngram_set(t, n)) for t in pdf["t"]], np.int64)})
 
-    slim = materialize(rows.mapInPandas(measure, f"id {kind}, node long, size long"), "ngram-sizes")
+    slim = materialize(texts.mapInPandas(measure, f"id {kind}, node long, size long"), "ngram-sizes")
     nodes = slim.groupBy("node").agg(F.min("size").alias("size"), F.min("id").alias("rep"))
-    wanted = materialize(_possible(rows, nodes, n, percent), "possible")
-    sets = _sets(rows, wanted, n)
+    wanted = materialize(_possible(texts, nodes, n, percent), "possible")
+    sets = _sets(texts, wanted, n)
     prefixes = materialize(_prefixes(sets, percent), "prefixes")
-    links = materialize(_linked(_star_tasks(prefixes, percent), sets, percent), "links")
+    counts = materialize(prefixes.groupBy("member").agg(F.count(F.lit(1)).alias("n"),
+                                                        F.min(F.struct("node", "size")).alias("hub"))
+                         .where("n > 1"), "first-members")
+    star = materialize(_star_pairs(prefixes, counts, percent), "hub-pairs")
+    links = materialize(_linked(_hub_tasks(star), sets, percent), "links")
+    known = components(links, "groups")
+    rows = prefixes.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
+    rows = materialize(rows.select("member", "node", "size", F.coalesce("comp", "node").alias("comp")), "first-rows")
+    pairs = materialize(_rare_pairs(rows, counts, percent), "pairs")
+    links = links.unionByName(materialize(_linked(_hub_tasks(pairs), sets, percent), "links"))
+    blocks = _block_tasks(rows, counts)
+    if blocks is not None:
+        links = links.unionByName(materialize(_linked(blocks, sets, percent), "links"))
     known = components(links, "groups")
-    rest = _rest_tasks(prefixes, known)
-    if rest is not None:
-        more = materialize(_linked(rest, sets, percent), "more-links")
-        if not more.isEmpty():
-            known = components(links.unionByName(more), "groups")
     named = (slim.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
              .select("id", "node", "size", F.coalesce("comp", "node").alias("comp")))
     least = named.where("size > 0").groupBy(F.col("comp").alias("l_comp")).agg(F.min("id").alias("least"))
