@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,10 +21,11 @@ SMALL = 64
 SHARE = 0.25
 #: Sets that one prefix tree holds, about.
 BLOCK = 400
-#: Greatest size of the filter that names the documents whose sets are wanted (a power of 2).
+#: Greatest size of a bit filter (a power of 2): the proven bound of what is broadcast.
 FILTER_BITS = 1 << 27
-#: Members that more nodes than this begin with are settled through hubs and blocks, the others pair by pair.
-FREQUENT = 48
+#: Members that more nodes than this begin with are moved to the end of the global order, round by round; where they
+#: still come first, they are settled through hubs and blocks, all others pair by pair.
+FREQUENT, ROUNDS = 48, 3
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -91,9 +93,26 @@ def _possible(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFr
             .where((F.col("size") > 0) & (F.coalesce("own", F.lit(0)) <= _spare("size", percent))).select("node", "rep"))
 
 
-def _name_filter(wanted: DataFrame, count: int) -> tuple[np.ndarray, int]:
-    """Bits that (node, rep) rows set, one of a size that is bounded; others may seem wanted, none is missed."""
-    bits = 1 << 16
+@dataclass(frozen=True)
+class BitFilter:
+    """A set of hashes as bits of a bounded number: others may seem to be in it, none that is in it is missed."""
+
+    on: np.ndarray
+    bits: int
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        at = _places(h, self.bits)
+        return ((self.on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
+
+
+def _places(h: np.ndarray, bits: int) -> np.ndarray:
+    u = h.view(np.uint64)
+    return np.stack([(u >> np.uint64(s)) & np.uint64(bits - 1) for s in (0, 16, 32)]).astype(np.int64)
+
+
+def bit_filter(hashes: DataFrame) -> BitFilter:
+    """The filter of the one column ``h``: every partition marks its bits, and the marks are put together."""
+    count, bits = hashes.count(), 1 << 16
     while bits < min(32 * count, FILTER_BITS):
         bits *= 2
     chunk = min(bits, 1 << 19)
@@ -111,27 +130,20 @@ def _name_filter(wanted: DataFrame, count: int) -> tuple[np.ndarray, int]:
         return pd.DataFrame({"i": pdf["i"].iloc[:1], "b": [both.tobytes()]})
 
     out = np.zeros(bits // 8, np.uint8)
-    for r in (wanted.select(F.xxhash64("node", "rep").alias("h")).mapInPandas(mark, "i int, b binary")
+    for r in (hashes.mapInPandas(mark, "i int, b binary")
               .groupBy("i").applyInPandas(merge, "i int, b binary").toLocalIterator()):
         out[r["i"] * chunk // 8:(r["i"] + 1) * chunk // 8] = np.frombuffer(r["b"], np.uint8)
-    return out, bits
-
-
-def _places(h: np.ndarray, bits: int) -> np.ndarray:
-    u = h.view(np.uint64)
-    return np.stack([(u >> np.uint64(s)) & np.uint64(bits - 1) for s in (0, 16, 32)]).astype(np.int64)
+    return BitFilter(out, bits)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, size, members) of the wanted nodes, from one row of each; the texts stay where they are read."""
-    named, bits = _name_filter(wanted, wanted.count())
-    shared = docs.sparkSession.sparkContext.broadcast(named)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        bit_filter(wanted.select(F.xxhash64("node", "rep").alias("h"))))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        on = shared.value
         for pdf in batches:
-            at = _places(pdf["h"].to_numpy(np.int64), bits)
-            maybe = ((on[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
+            maybe = shared.value.has(pdf["h"].to_numpy(np.int64))
             rows = [(k, len(s), s) for k, s in ((k, ngram_set(t, n)) for k, t in
                                                 zip(pdf["node"][maybe], pdf["t"][maybe]))]
             yield pd.DataFrame(rows, columns=["node", "size", "members"])
@@ -184,14 +196,48 @@ def _spare(size: str, percent: int):
     return F.expr(f"{size} - ({percent} * {size} + 99) div 100")
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(member, node, size) of the first members of each set.
+def _first_members(sets: DataFrame, percent: int, last: BitFilter | None) -> DataFrame:
+    """(member, node, size) of the first members of each set in the global order: by hash, those of ``last`` at the end.
+
+    Two similar sets have one of their first ``spare + 1`` members in common, and of twice as many at least the lesser
+    ``spare + 1``. That holds in any order that is the same for all sets.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(last)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            member, node, size = [], [], []
+            for k, m in zip(pdf["node"], pdf["members"]):
+                m = np.asarray(m, np.int64)
+                n = 2 * (len(m) - -(-percent * len(m) // 100)) + 1
+                if shared.value is not None:
+                    m = m[np.argsort(shared.value.has(m), kind="stable")]
+                member.append(m[:n])
+                node.append(np.full(len(member[-1]), k))
+                size.append(np.full(len(member[-1]), len(m)))
+            if member:
+                yield pd.DataFrame({"member": np.concatenate(member), "node": np.concatenate(node),
+                                    "size": np.concatenate(size)})
+
+    return sets.select("node", "members").mapInPandas(first, "member long, node long, size long")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """First members of all sets and, per member that several sets begin with, their number and the least node.
 
-    Two similar sets have one of their first ``spare + 1`` members in common, and with twice as many at least the
-    lesser ``spare + 1`` of them.
+    Members that many sets begin with are put last and the next ones come first instead, for a few rounds: what is left
+    in front is rare, or belongs to a large group of similar sets.
     """
-    reach = 2 * _spare("size", percent) + 1
-    return sets.select("node", "size", F.explode(F.slice("members", F.lit(1), reach.cast("int"))).alias("member"))
+    last, frequent = None, None
+    for k in range(ROUNDS + 1):
+        prefixes = materialize(_first_members(sets, percent, last), f"first-members-{k}")
+        counts = materialize(prefixes.groupBy("member").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("hub")).where("n > 1"), f"counts-{k}")
+        more = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("h"))
+        if k == ROUNDS or more.isEmpty():
+            return prefixes, counts
+        frequent = more if frequent is None else frequent.unionByName(more)
+        last = bit_filter(frequent)
 
 
 def _hub_tasks(pairs: DataFrame) -> DataFrame:
@@ -278,7 +324,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, node, n_shingles, component_id) of every row: groups of documents connected by a similarity of ``percent``.
 
     1. Equal texts are one node. 2. Nodes with too many members of their own are alone. 3. The sets of the others are
-    built. Similar sets have some of their first members (in hash order) in common. For a member that many nodes begin
+    built. Similar sets have some of their first members in common, in an order by hash with frequent members last. For a member that many nodes begin
     with, the least node is compared with all others, which settles a group of any size in time linear in it if its
     members resemble the hub; what that leaves open is compared block by block. For other members, nodes that have
     enough of them in common are compared. Comparisons go through prefix trees of the ordered sets. 4. Components of all
@@ -303,10 +349,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nodes = slim.groupBy("node").agg(F.min("size").alias("size"), F.min("id").alias("rep"))
     wanted = materialize(_possible(texts, nodes, n, percent), "possible")
     sets = _sets(texts, wanted, n)
-    prefixes = materialize(_prefixes(sets, percent), "prefixes")
-    counts = materialize(prefixes.groupBy("member").agg(F.count(F.lit(1)).alias("n"),
-                                                        F.min(F.struct("node", "size")).alias("hub"))
-                         .where("n > 1"), "first-members")
+    prefixes, counts = _prefixes(sets, percent)
     star = materialize(_star_pairs(prefixes, counts, percent), "hub-pairs")
     links = materialize(_linked(_hub_tasks(star), sets, percent), "links")
     known = components(links, "groups")
