@@ -365,7 +365,7 @@ def test_rebalance_moves_few_slots():
         load[k] += weights[s]
     assert max(load.values()) < 1.02 * min(load.values())
     back = shards.rebalance(grown, weights, 8)
-    assert all(back[s] == grown[s] for s in grown if grown[s] < 8 and back[s] != 8) and 8 not in back.values()
+    assert 8 not in back.values() and sum(back[s] != grown[s] for s in grown if grown[s] < 8) < 512 / 8
 
 
 def test_hot_text_is_split(spark):
