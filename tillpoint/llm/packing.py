@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -28,8 +29,10 @@ EPOCHS = 2
 #: Bins filled less than this share are taken apart and packed again with those of other groups.
 WELL_FILLED = 0.98
 #: Words whose ids a worker keeps; the others are tokenized again when they come.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 _MARK = "\x01"
+#: ASCII letters and ASCII punctuation after them (an apostrophe may join them, so it is left out).
+_PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class WordTokenizer:
@@ -47,7 +50,22 @@ class WordTokenizer:
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words, many in one call: a lone mark between two words shows where one ends."""
+        """Ids of new words. Letters and the punctuation after them are tokenized apart, so in plain ASCII the model can
+        be asked for each directly; all other words go through the whole tokenizer."""
+        known, rest, model = {}, [], self.tokenizer.model
+        for w in words:
+            m = _PLAIN.fullmatch(w)
+            if m:
+                ids = [t.id for t in model.tokenize(m[1].decode())]
+                if m[2]:
+                    ids += [t.id for t in model.tokenize(m[2].decode())]
+                known[w] = array("I", ids).tobytes()
+            else:
+                rest.append(w)
+        return known | self._tokenize(rest)
+
+    def _tokenize(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, many in one call: a lone mark between two words shows where one ends."""
         known: dict[bytes, bytes] = {}
         plain, odd = [], []
         for w in words:
