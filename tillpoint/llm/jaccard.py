@@ -18,14 +18,13 @@ from tillpoint.session import materialize
 
 #: Sets of up to this size show all members to the test for partners, longer ones a fixed share of the hash space.
 SMALL = 64
-SHARE = 0.25
 #: Sets that one prefix tree holds, about.
 BLOCK = 400
 #: Greatest size of a bit filter (a power of 2): the proven bound of what is broadcast.
 FILTER_BITS = 1 << 27
 #: Members that more nodes than this begin with are moved to the end of the global order, round by round; where they
 #: still come first, they are settled through hubs and blocks, all others pair by pair.
-FREQUENT, ROUNDS = 48, 3
+FREQUENT, ROUNDS = 48, 2
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -49,8 +48,10 @@ def ngram_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(grams.view(np.int64))
 
 
-def _sampled(members: np.ndarray) -> np.ndarray:
-    return members < int(-(1 << 63) + SHARE * (1 << 64))
+def _sampled(members: np.ndarray, percent: int) -> np.ndarray:
+    """Members in the share of the hash space that is shown: twice what similar sets may lack, and a little more."""
+    share = min(1.0, 0.05 + 2 * (100 - percent) / 100)
+    return members <= int(share * ((1 << 64) - 1)) - (1 << 63)
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,7 +75,7 @@ def _possible(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFr
             member, node, counted = [], [], []
             for t, k in zip(pdf["t"], pdf["node"]):
                 s = ngram_set(t, n)
-                keep = _sampled(s)
+                keep = _sampled(s, percent)
                 count = np.ones(len(s), bool) if len(s) <= SMALL else keep
                 if len(s) > margin:
                     s, count = s[keep], count[keep]
@@ -223,7 +224,7 @@ def _first_members(sets: DataFrame, percent: int, last: BitFilter | None) -> Dat
 
 
 def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """First members of all sets and, per member that several sets begin with, their number and the least node.
+    """First members of all sets and, per member that several sets begin with, their number.
 
     Members that many sets begin with are put last and the next ones come first instead, for a few rounds: what is left
     in front is rare, or belongs to a large group of similar sets.
@@ -231,8 +232,7 @@ def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     last, frequent = None, None
     for k in range(ROUNDS + 1):
         prefixes = materialize(_first_members(sets, percent, last), f"first-members-{k}")
-        counts = materialize(prefixes.groupBy("member").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("hub")).where("n > 1"), f"counts-{k}")
+        counts = materialize(prefixes.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"counts-{k}")
         more = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("h"))
         if k == ROUNDS or more.isEmpty():
             return prefixes, counts
@@ -250,40 +250,40 @@ def _hub_tasks(pairs: DataFrame) -> DataFrame:
     return tree.unionByName(probe)
 
 
-def _star_pairs(prefixes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(frequent: DataFrame, percent: int) -> DataFrame:
     """For every frequent member, the least node that has it (the hub) and each other node that has it."""
-    hubs = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("m"), "hub")
-    return (prefixes.join(hubs, F.col("member") == F.col("m"))
+    hubs = frequent.groupBy(F.col("member").alias("m")).agg(F.min(F.struct("node", "size")).alias("hub"))
+    return (frequent.join(hubs, F.col("member") == F.col("m"))
             .where((F.col("node") != F.col("hub.node"))
                    & (100 * F.least("size", "hub.size") >= percent * F.greatest("size", "hub.size")))
             .select(F.col("hub.node").alias("hub"), "node").distinct())
 
 
-def _rare_pairs(rows: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes, not in one component yet, that have enough of the other first members in common.
+def _rare_pairs(prefixes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes that have enough of the other first members in common.
 
     At most ``FREQUENT`` nodes have such a member. A similar pair that has no frequent member in common is found here
     with all its common first members; one that has is compared in the blocks.
     """
-    few = counts.where((F.col("n") > 1) & (F.col("n") <= FREQUENT)).select(F.col("member").alias("m"))
-    rows = rows.join(few, F.col("member") == F.col("m")).select("member", "node", "size", "comp")
-    a = rows.select("member", F.col("node").alias("hub"), F.col("size").alias("x"), F.col("comp").alias("a_comp"))
-    b = rows.select(F.col("member").alias("b_member"), "node", F.col("size").alias("y"), "comp")
+    few = counts.where(F.col("n") <= FREQUENT).select(F.col("member").alias("m"))
+    rows = materialize(prefixes.join(few, F.col("member") == F.col("m")).select("member", "node", "size"), "rare-rows")
+    a = rows.select("member", F.col("node").alias("hub"), F.col("size").alias("x"))
+    b = rows.select(F.col("member").alias("b_member"), "node", F.col("size").alias("y"))
     both = a.join(b, (F.col("member") == F.col("b_member")) & (F.col("hub") < F.col("node"))
-                  & (F.col("a_comp") != F.col("comp"))
                   & (100 * F.least("x", "y") >= percent * F.greatest("x", "y")))
-    return (both.groupBy("hub", "node", F.least("x", "y").alias("s")).agg(F.count_distinct("member").alias("c"))
+    return (both.select("hub", "node", F.least("x", "y").alias("s"), "member").distinct()
+            .groupBy("hub", "node", "s").agg(F.count(F.lit(1)).alias("c"))
             .where(F.col("c") > _spare("s", percent)).select("hub", "node"))
 
 
-def _block_tasks(rows: DataFrame, counts: DataFrame) -> DataFrame | None:
+def _block_tasks(frequent: DataFrame, known: DataFrame) -> DataFrame | None:
     """What the hubs have left open: frequent members whose nodes are not all in one component.
 
     Nodes that such members connect form clusters, a cluster is cut into blocks (nodes of one component together, a
     large component in several), and every two blocks meet in a task, unless both hold the same component only.
     """
-    often = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("o"))
-    rows = rows.join(often, F.col("member") == F.col("o")).select("member", "node", "comp")
+    rows = (frequent.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
+            .select("member", "node", F.coalesce("comp", "node").alias("comp")))
     open_members = (rows.groupBy("member").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                                F.min("node").alias("first"))
                     .where("c0 <> c1").select(F.col("member").alias("m"), "first"))
@@ -350,14 +350,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = materialize(_possible(texts, nodes, n, percent), "possible")
     sets = _sets(texts, wanted, n)
     prefixes, counts = _prefixes(sets, percent)
-    star = materialize(_star_pairs(prefixes, counts, percent), "hub-pairs")
+    often = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("m"))
+    frequent = materialize(prefixes.join(often, F.col("member") == F.col("m")).select("member", "node", "size"),
+                           "frequent-rows")
+    star = materialize(_star_pairs(frequent, percent), "hub-pairs")
     links = materialize(_linked(_hub_tasks(star), sets, percent), "links")
-    known = components(links, "groups")
-    rows = prefixes.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
-    rows = materialize(rows.select("member", "node", "size", F.coalesce("comp", "node").alias("comp")), "first-rows")
-    pairs = materialize(_rare_pairs(rows, counts, percent), "pairs")
+    blocks = None if frequent.isEmpty() else _block_tasks(frequent, components(links, "groups"))
+    pairs = materialize(_rare_pairs(prefixes, counts, percent), "pairs")
     links = links.unionByName(materialize(_linked(_hub_tasks(pairs), sets, percent), "links"))
-    blocks = _block_tasks(rows, counts)
     if blocks is not None:
         links = links.unionByName(materialize(_linked(blocks, sets, percent), "links"))
     known = components(links, "groups")
