@@ -38,10 +38,13 @@ def _dtype(df: DataFrame, name: str) -> T.DataType:
 
 
 def keep_predicate(df: DataFrame) -> Column:
-    """Quantidade > 0 AND valor_unitario > 0 AND valor_total > 0; NULL and NaN rows fall out."""
+    """Quantidade > 0 AND valor_unitario > 0 AND valor_total > 0; NULL and NaN rows fall out of a filter.
+
+    Bare comparisons, so that the filter reaches the Parquet scan; the predicate itself is NULL for NULL values.
+    """
     cond = F.lit(True)
     for c in POSITIVE_COLUMNS:
-        p = F.coalesce(F.col(c) > 0, F.lit(False))
+        p = F.col(c) > 0
         if isinstance(_dtype(df, c), (T.DoubleType, T.FloatType)):
             p = p & ~F.isnan(F.col(c))
         cond = cond & p
@@ -53,7 +56,7 @@ def validation_metrics(df: DataFrame) -> list[Column]:
     Usable in ``agg`` or, to validate while writing, in ``DataFrame.observe``."""
     exprs = [F.count(F.lit(1)).alias("linhas")]
     if not missing_columns(df, POSITIVE_COLUMNS):
-        exprs.append(F.count_if(~keep_predicate(df)).alias("removidas"))
+        exprs.append(F.count_if(~F.coalesce(keep_predicate(df), F.lit(False))).alias("removidas"))
     else:
         exprs.append(F.max(F.lit(None).cast("bigint")).alias("removidas"))
     for c in df.columns:

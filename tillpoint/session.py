@@ -48,7 +48,7 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or the context's checkpoint folder).
 
-    Only when neither is configured (tests, a bare local session) is a local folder created and registered with
+    On a cluster one of the two must be set. Only in a local session without either is a local folder created and registered with
     ``SparkContext.setCheckpointDir``; ``spark.checkpoint.dir`` itself is a core setting that cannot change at runtime.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ctx = spark.sparkContext.getCheckpointDir()
     if ctx:
         return ctx
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tillpoint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

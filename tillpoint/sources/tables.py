@@ -1,25 +1,9 @@
-"""Table access and size-checked dimension joins."""
+"""Table access."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Upper bound on rows we are willing to ship to every executor as a broadcast side. A dimension above it is
-# joined with a shuffle (sort-merge), and AQE may still turn that into a broadcast once it has measured the
-# real shuffle size (spark.sql.adaptive.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops each scan early), so it stays cheap even when the
-    dimension turns out to be large; in that case the frame is returned unhinted and joins by shuffle.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -15,21 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.functions.numeric import money, safe_div
-from tillpoint.sources.tables import broadcast_if_small, table
+from tillpoint.sources.tables import table
 
 # Fixed "today" used for recency (F5) and freshness (D2) on the test tables.
 REF_DATE = dt.date(2001, 12, 1)
 
-# Bounds for the dimensions joined to the fact: nation and region are fixed-size by definition of the schema.
-NATION_MAX_ROWS = 1_000
-REGION_MAX_ROWS = 100
-
 
 def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store (supplier) → region name; nation and region are broadcast after a row-count check."""
+    """Store (supplier) → region name; join strategies follow the measured sizes (Catalyst, AQE)."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nat = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), NATION_MAX_ROWS)
-    reg = broadcast_if_small(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), REGION_MAX_ROWS)
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
                .join(reg, nat.n_regionkey == reg.r_regionkey)
                .select("s_suppkey", "r_name"))
@@ -43,8 +39,8 @@ def _sales(spark: SparkSession, sf_dir: str, keep_orderkey: bool = False) -> Dat
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    part = broadcast_if_small(table(spark, sf_dir, "part").select("p_partkey", "p_type"))
-    stores = broadcast_if_small(store_dim(spark, sf_dir))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    stores = store_dim(spark, sf_dir)
     # lineitem ⋈ orders is fact-to-fact: left to a shuffle join keyed on the order key
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
