@@ -37,7 +37,7 @@ def main() -> None:
     if os.path.isdir(warm):
         jobs.run_quality(spark, td.clientes_dq(spark, warm), td.REF_DATE)
         w = jobs.run_features(spark, td.vendas(spark, warm), f"{scratch}/warm_features", td.REF_DATE)
-        warm_panel = jobs.panel_from_sales(spark.read.parquet(w.details["vendas_limpo"]), td.CATEGORIES, cleaned=True)
+        warm_panel = jobs.panel_from_sales(spark.read.parquet(w.details["vendas_limpo"]), cleaned=True)
         jobs.run_forecast(spark, warm_panel, f"{scratch}/warm_forecast",
                           model_params={"RandomForest": {"numTrees": 5, "maxDepth": 3}})
 
@@ -58,7 +58,7 @@ def main() -> None:
 
     t = time.time()
     # the forecast consumes the feature job's cleaned sales (a committed stage output), not the raw join again
-    panel = jobs.panel_from_sales(spark.read.parquet(cleaned), td.CATEGORIES, cleaned=True)
+    panel = jobs.panel_from_sales(spark.read.parquet(cleaned), cleaned=True)
     rep = jobs.run_forecast(spark, panel, f"{scratch}/forecast")
     timings["forecast"] = round(time.time() - t, 3)
     details["forecast"] = {"status": rep.status, "stages": rep.stage_seconds,

@@ -21,14 +21,32 @@ def test_feature_job_and_ignore_mode(spark, tmp_out):
 
 def test_feature_job_resumes_from_stage_output(spark, tmp_out):
     run_dir = f"{tmp_out}/run"
-    jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/a", td.REF_DATE, run_dir=run_dir)
-    assert os.path.exists(f"{run_dir}/vendas_limpo/_SUCCESS")
-    first = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/c", td.REF_DATE, run_dir=f"{tmp_out}/run2")
-    assert os.path.exists(f"{run_dir}/validacao/_SUCCESS")
+    first = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/a", td.REF_DATE, run_dir=run_dir)
+    written = os.stat(f"{first.details['vendas_limpo']}/_SUCCESS").st_mtime_ns
     rep = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/b", td.REF_DATE, run_dir=run_dir)
-    assert rep.status == "done"
-    assert rep.details["linhas"] == first.details["linhas"] and rep.details["removidas"] == first.details["removidas"]
-    assert rep.tables == first.tables
+    assert rep.status == "done" and rep.tables == first.tables
+    assert rep.details["vendas_limpo"] == first.details["vendas_limpo"]
+    assert os.stat(f"{rep.details['vendas_limpo']}/_SUCCESS").st_mtime_ns == written
+    other = jobs.run_features(spark, td.vendas(spark, SF).where("loja_id = 1"), f"{tmp_out}/c", td.REF_DATE, run_dir=run_dir)
+    assert other.rows < rep.rows and other.details["vendas_limpo"] != rep.details["vendas_limpo"]
+
+
+def test_repaired_input_is_not_answered_with_the_old_failure(spark, tmp_out):
+    run_dir = f"{tmp_out}/run"
+    bad = jobs.run_features(spark, td.vendas_suja(spark, SF), f"{tmp_out}/o", td.REF_DATE, run_dir=run_dir)
+    assert bad.status == "validate_fail" and not os.path.exists(run_dir)  # nothing written before the gate
+    assert jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/o", td.REF_DATE, run_dir=run_dir).status == "done"
+
+
+def test_forecast_of_other_stores_in_the_same_run_folder(spark, tmp_out):
+    panel = jobs.panel_from_sales(td.vendas(spark, SF))
+    small = {"RandomForest": {"numTrees": 3, "maxDepth": 2}}
+    sizes = []
+    for store in (1, 2, None, 1):
+        rep = jobs.run_forecast(spark, panel, f"{tmp_out}/m", loja_id=store, run_dir=f"{tmp_out}/run", model_params=small)
+        sizes.append((rep.details["n_treino"] + rep.details["n_teste"], rep.details["metricas"]))
+        assert sizes[-1][0] == (panel if store is None else panel.where(f"loja_id = {store}")).count()
+    assert sizes[0] == sizes[3] and sizes[0][1] != sizes[1][1]
 
 
 def test_feature_job_stops_on_invalid_input(spark, tmp_out):
@@ -48,34 +66,21 @@ def test_quality_job(spark):
     assert rep.status == "done" and 0 < rep.details["score_qualidade"] <= 100
     assert rep.details["severidade"] in ("OK", "BAIXA", "MÉDIA", "ALTA")
     assert len(rep.details["dimensoes"]) == 5
+    critical = {r["coluna"] for r in rep.details["colunas_criticas"]}
+    assert {"email_alt", "telefone"} <= critical and set(rep.details["duplicatas"]) == {"cpf"}
+    assert len(rep.details["violacoes"]) == 3 and set(rep.details["outliers"]) == {"renda", "compras_12m"}
+    assert set(rep.details["frescor"]) == {"registros_desatualizados", "pct_desatualizado", "data_mais_antiga"}
 
 
 def test_forecast_job(spark, tmp_out):
-    panel = jobs.panel_from_sales(td.vendas(spark, SF), td.CATEGORIES)
+    panel = jobs.panel_from_sales(td.vendas(spark, SF))
     rep = jobs.run_forecast(spark, panel, f"{tmp_out}/ml",
                             model_params={"RandomForest": {"numTrees": 10, "maxDepth": 5}})
     assert rep.status == "done" and rep.details["melhor"] in ("RandomForest", "LinearRegression")
     assert rep.details["n_teste"] == -(-(rep.details["n_treino"] + rep.details["n_teste"]) * 2 // 10)
     assert os.path.exists(f"{tmp_out}/ml/modelo/metadata")
     assert rep.to_df(spark).count() == 1
-
-
-def test_shared_aggregates_chosen_by_estimate(spark, tmp_out):
-    rep = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/s", td.REF_DATE)
-    est = rep.details["grupos_estimados"]
-    assert set(est) == {"diario_loja", "cliente_mes"} and all(v > 0 for v in est.values())
-    assert set(rep.details["agregados_compartilhados"]) <= {"diario_loja", "cliente_mes"}
-
-
-def test_feature_job_shared_equals_lazy(spark, tmp_out, monkeypatch):
-    a = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/lazy", td.REF_DATE)
-    monkeypatch.setattr(jobs, "SHARE_MIN_REDUCTION", 0.0)  # force sharing
-    b = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/shared", td.REF_DATE)
-    assert b.details["agregados_compartilhados"] == ["diario_loja", "cliente_mes"]
-    for name in FEATURE_NAMES:
-        x = spark.read.parquet(f"{tmp_out}/lazy/{name}")
-        y = spark.read.parquet(f"{tmp_out}/shared/{name}")
-        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+    assert len(rep.details["feature_names"]) == rep.details["n_features"] and rep.details["ridge"] == 0.0
 
 
 def test_partition_by_month(spark, tmp_out):
@@ -87,7 +92,7 @@ def test_partition_by_month(spark, tmp_out):
 
 
 def test_forecast_single_store(spark, tmp_out):
-    panel = jobs.panel_from_sales(td.vendas(spark, SF), td.CATEGORIES)
+    panel = jobs.panel_from_sales(td.vendas(spark, SF))
     store = panel.select("loja_id").first()["loja_id"]
     rep = jobs.run_forecast(spark, panel, f"{tmp_out}/one", loja_id=store,
                             model_params={"RandomForest": {"numTrees": 5, "maxDepth": 3}})

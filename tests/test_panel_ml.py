@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
 
+from functools import reduce
 
-def sales_for_store(spark, loja, months, base=1000):
+
+def sales_for_store(spark, loja, months, base=1000, categoria="A", regiao="R"):
     from decimal import Decimal
     rows = []
     for i, m in enumerate(months):
         amount = Decimal(base * (i + 1))
-        rows.append((dt.date(2024, m, 3), loja, 1, "A", 1, float(amount), amount, amount * Decimal("0.6"),
-                     loja * 100 + i, "x", "R"))
+        rows.append((dt.date(2024, m, 3), loja, 1, categoria, 1, float(amount), amount, amount * Decimal("0.6"),
+                     loja * 100 + i, "x", regiao))
     return spark.createDataFrame(rows, "data_venda date, loja_id bigint, produto_id bigint, categoria string, "
                                        "quantidade bigint, valor_unitario double, valor_total decimal(18,2), "
                                        "custo decimal(18,2), cliente_id bigint, canal_venda string, regiao string")
@@ -35,66 +37,117 @@ def test_panel_windows(spark):
     assert build_panel(sales_for_store(spark, 7, range(1, 9)), ["A", "B"]).count() == 7
 
 
+def test_region_belongs_to_the_store(spark):
+    two = sales_for_store(spark, 1, range(1, 5), regiao="Sul").union(
+        sales_for_store(spark, 1, range(2, 6), base=50, regiao="Norte"))
+    none = sales_for_store(spark, 2, range(1, 4), regiao=None)
+    nobody = sales_for_store(spark, 3, range(1, 3)).withColumn("loja_id", F.lit(None).cast("bigint"))
+    p = build_panel(two.union(none).union(nobody), keep_last=True).orderBy("loja_id", "mes").collect()
+    assert [(r["loja_id"], r["mes"], r["regiao"]) for r in p] == [
+        (None, "2024-01", "R"), (None, "2024-02", "R"), *[(1, f"2024-0{m}", "Norte") for m in range(1, 6)],
+        *[(2, f"2024-0{m}", None) for m in range(1, 4)]]
+    store = [r for r in p if r["loja_id"] == 1]
+    assert [r["receita"] for r in store] == [1000.0, 2050.0, 3100.0, 4150.0, 200.0]
+    assert [r["target"] for r in store] == [2050.0, 3100.0, 4150.0, 200.0, None]
+    assert all(r["n_clientes"] >= 1 for r in p)
+
+
+def test_categories_outside_the_list(spark):
+    sales = sales_for_store(spark, 1, [1], categoria="Z").union(sales_for_store(spark, 1, [1], base=500, categoria="A"))
+    listed = build_panel(sales, ["A", "B"], keep_last=True).first()
+    assert (listed["share_a"], listed["share_b"], listed["share_outras"]) == (0.3333, 0.0, 0.6667)
+    assert listed["categoria_principal"] == "Outras"
+    learned = build_panel(sales, keep_last=True).first()
+    assert (learned["share_a"], learned["share_z"], learned["categoria_principal"]) == (0.3333, 0.6667, "Z")
+    without = build_panel(sales.withColumn("categoria", F.lit(None).cast("string")), keep_last=True).first()
+    assert without["receita"] == 1500.0 and without["categoria_principal"] is None
+
+
 @pytest.fixture(scope="module")
-def painel_teste(spark):
-    rnd = random.Random(42)
-    rows = []
-    for loja in range(1, 11):
-        for mes in range(1, 13):
-            rows.append(dict(
-                loja_id=loja, regiao="Sudeste", porte="Médio", categoria_principal="Eletrônicos", area_m2=200,
-                funcionarios=10, mes=f"2025-{mes:02d}", ano=2025, receita=100_000.0 + loja * 5_000 + mes * 3_000,
-                ticket_medio=300 + rnd.gauss(0, 10), n_clientes=300 + rnd.randint(-20, 20),
-                custo_pct=0.6 + rnd.gauss(0, 0.02), margem=40_000 + rnd.gauss(0, 5_000),
-                share_a=0.3, share_b=0.2, share_c=0.2, share_d=0.15, share_e=0.08, share_f=0.07,
-                crescimento_3m=rnd.gauss(2, 1), crescimento_6m=rnd.gauss(5, 2), ticket_3m_avg=300 + rnd.gauss(0, 5),
-                clientes_3m_avg=300, sazonalidade_mes=1.0 + rnd.gauss(0, 0.02), dia_semana_pico=rnd.randint(0, 6),
-                target=110_000.0 + loja * 4_000 + rnd.gauss(0, 5_000)))
-    return spark.createDataFrame(rows)
-
-
-def test_prepare_features_shape(painel_teste):
-    df, names, _ = ml.prepare_features(painel_teste)
-    assert df.count() == 120 and len(names) == 18  # constant categoricals give no dummies
-    df5, names5, _ = ml.prepare_features(painel_teste, loja_id=5)
-    assert df5.count() == 12 and len(names5) == 18
-
-
-def test_drop_first_dummies(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "regiao string")
-    enc = ml.DropFirstDummies.fit_levels(df, ["regiao", "porte"])
-    assert enc.output_columns() == ["regiao_b", "regiao_c"]
-    out = {r["regiao"]: (r["regiao_b"], r["regiao_c"]) for r in enc.transform(df).collect()}
-    assert out == {"a": (0.0, 0.0), "b": (1.0, 0.0), "c": (0.0, 1.0), None: (0.0, 0.0)}
-
-
-def test_exact_split_sizes(spark):
-    df = spark.range(100).select(F.col("id").alias("loja_id"), F.lit("2025-01").alias("mes"))
+def painel_lojas(spark):
+    """Six stores with nine months each, built from sales: two small, two medium and two large ones."""
+    stores = [sales_for_store(spark, k, range(1, 11), base=b)
+              for k, b in enumerate([100, 120, 1000, 1010, 2000, 2100], start=1)]
+    from tillpoint.session import materialize
+    return materialize(build_panel(reduce(lambda a, b: a.union(b), stores)), "painel_lojas")
+
+
+def test_prepare_features_shape(painel_lojas):
+    df, names, _ = ml.prepare_features(painel_lojas)
+    assert df.count() == 54 and names == ml.BASE_FEATURES + ["share_a", "porte_Médio", "porte_Pequeno"]
+    assert {r["features"].size for r in df.select("features").collect()} == {15}
+    one, names1, _ = ml.prepare_features(painel_lojas, loja_id=3)
+    assert one.count() == 9 and names1 == ml.BASE_FEATURES + ["share_a"]  # one size only: no dummies
+
+
+def test_first_level_null_and_unseen_values_are_all_zero(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), (None,), ("b",)], "regiao string")
+    enc = ml.fit_dummies(df, ["regiao", "porte"])
+    assert enc.names() == ["regiao_b", "regiao_c"]
+    other = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("z",)], "regiao string")
+    out = {}
+    for r in ml.dummies_long(other, enc, ["regiao"]).collect():
+        out.setdefault(r["regiao"], {})[r["coluna"]] = r["valor"]
+    zero = {"regiao_b": 0.0, "regiao_c": 0.0}
+    assert out == {"a": zero, None: zero, "z": zero, "b": zero | {"regiao_b": 1.0}, "c": zero | {"regiao_c": 1.0}}
+    assert sorted(tuple(r) for r in ml.dummies_long(other, enc, ["regiao"], nonzero=True).collect()) == [
+        ("b", "regiao_b", 1.0), ("c", "regiao_c", 1.0)]
+    nothing = ml.fit_dummies(df.where("regiao is null"), ["regiao"])
+    assert nothing.names() == [] and ml.dummies_long(df, nothing, ["regiao"]).count() == 0
+
+
+def test_more_levels_than_any_former_limit(spark):
+    df = spark.range(4000).select(F.format_string("n%05d", "id").alias("regiao"))
+    enc = ml.fit_dummies(df, ["regiao"])
+    assert len(enc.names()) == 3999 and ml.dummies_long(df, enc, ["regiao"], nonzero=True).count() == 3999
+
+
+@pytest.mark.parametrize("n,test", [(0, 0), (1, 1), (37, 8), (1000, 200), (3001, 601)])
+def test_exact_split_sizes(spark, n, test):
+    df = spark.range(n).select(F.col("id").alias("loja_id"), F.lit("2024-05").alias("mes"))
     s = ml.exact_split(df)
-    counts = {r["is_test"]: r["count"] for r in s.groupBy("is_test").count().collect()}
-    assert counts == {False: 80, True: 20}
-    df2 = spark.range(4600).select((F.col("id") % 200).alias("loja_id"), (F.col("id") / 200).cast("int").cast(
-        "string").alias("mes"))
-    c2 = {r["is_test"]: r["count"] for r in ml.exact_split(df2).groupBy("is_test").count().collect()}
-    assert c2 == {False: 3680, True: 920}
-    # deterministic regardless of partitioning
-    a = {(r["loja_id"], r["mes"]) for r in ml.exact_split(df2.repartition(7)).filter("is_test").collect()}
-    b = {(r["loja_id"], r["mes"]) for r in ml.exact_split(df2.coalesce(1)).filter("is_test").collect()}
-    assert a == b
-
-
-def test_linear_fit_and_metrics(spark):
-    rnd = random.Random(0)
-    rows = []
-    for i in range(50):
-        x = [rnd.gauss(0, 1) for _ in range(5)]
-        rows.append((float(x[0] * 3 + x[1] * 2 + rnd.gauss(0, 0.01)), *x))
-    df = spark.createDataFrame(rows, "label double, a double, b double, c double, d double, e double")
+    assert s.count() == n and s.where("is_test").count() == test
+
+
+def test_split_does_not_depend_on_partitions_even_with_equal_keys(spark):
+    df = spark.range(100).select(F.lit(5).alias("loja_id"), F.lit("2024-05").alias("mes"), F.col("id").alias("valor"))
+    picked = [sorted(r["valor"] for r in ml.exact_split(d).where("is_test").collect())
+              for d in (df.coalesce(1), df.repartition(4, "valor"), df.repartition(16))]
+    assert len(picked[0]) == 20 and picked[0] == picked[1] == picked[2]
+
+
+def _vectors(df, cols):
     from pyspark.ml.feature import VectorAssembler
-    data = VectorAssembler(inputCols=list("abcde"), outputCol="features").transform(df)
+    return VectorAssembler(inputCols=cols, outputCol="features").transform(df)
+
+
+def test_linear_fit_finds_the_plane(spark):
+    rows = [(7 - 0.5 * u + 4.0 * v, float(u), float(v)) for u in range(6) for v in range(5)]
+    data = _vectors(spark.createDataFrame(rows, "label double, u double, v double"), ["u", "v"])
     model = ml.train("LinearRegression", data)
+    assert list(model.coefficients) == pytest.approx([-0.5, 4.0]) and model.intercept == pytest.approx(7.0)
+    assert model.getRegParam() == 0.0
     m = ml.regression_metrics(model.transform(data)).first()
-    assert m["r2"] > 0.99 and m["rmse"] > 0 and m["mae"] > 0 and m["n_amostras"] == 50
+    assert (m["r2"], m["rmse"], m["mae"], m["n_amostras"]) == (1.0, 0.0, 0.0, 30)
+
+
+def test_linear_fit_with_fewer_rows_than_features(spark):
+    data = _vectors(spark.createDataFrame([(1.0, 1.0, 0.0, 2.0), (3.0, 2.0, 1.0, 4.0)],
+                                          "label double, a double, b double, c double"), ["a", "b", "c"])
+    model = ml.train("LinearRegression", data)
+    assert model.getRegParam() == ml.TINY_RIDGE
+    assert [r["prediction"] for r in model.transform(data).collect()] == pytest.approx([1.0, 3.0], abs=1e-3)
+
+
+def test_forest_does_not_depend_on_the_cluster(spark):
+    rows = [(k, "2024-01", float(k % 11), float(k % 7), float((k * k) % 13)) for k in range(200)]
+    df = _vectors(spark.createDataFrame(rows, "loja_id long, mes string, a double, b double, label double"), ["a", "b"])
+    sums = []
+    for parts in (2, 8):
+        fit = ml.training_layout(df.repartition(parts))
+        model = ml.train("RandomForest", fit, numTrees=5, maxDepth=4)
+        sums.append([r["prediction"] for r in model.transform(df.orderBy("loja_id")).collect()])
+    assert sums[0] == sums[1]
 
 
 def test_random_forest_fits(spark):
@@ -108,22 +161,22 @@ def test_random_forest_fits(spark):
 
 
 def test_select_best(spark):
-    m = spark.createDataFrame([(1, "A", 0.85), (2, "B", 0.92), (3, "C", 0.78)], "ordem int, modelo string, r2 double")
-    assert ml.select_best(m).first()["modelo"] == "B"
-    tie = spark.createDataFrame([(1, "RandomForest", 0.9881), (2, "LinearRegression", 0.9881)],
-                                "ordem int, modelo string, r2 double")
-    assert ml.select_best(tie).first()["modelo"] == "RandomForest"
+    schema = "ordem int, modelo string, r2 double"
+    m = spark.createDataFrame([(1, "constante", -0.2), (2, "reta", 0.31), (3, "arvore", 0.3), (4, "vazio", None)], schema)
+    assert ml.select_best(m).first()["modelo"] == "reta"
+    tie = spark.createDataFrame([(2, "depois", 0.5), (1, "antes", 0.5)], schema)
+    assert ml.select_best(tie).first()["modelo"] == "antes"
 
 
-def test_save_load_predict(spark, painel_teste, tmp_out):
-    df, names, feats = ml.prepare_features(painel_teste)
-    model = ml.train("LinearRegression", df)
-    full = ml.full_model(feats, model)
+def test_save_load_predict(spark, painel_lojas, tmp_out):
+    df, names, feats = ml.prepare_features(painel_lojas)
+    full = ml.full_model(feats, ml.train("LinearRegression", df))
     ml.save_model(full, f"{tmp_out}/modelo")
-    loaded = ml.load_model(f"{tmp_out}/modelo")
-    a = sorted(r["prediction"] for r in ml.predict(full, painel_teste).collect())
-    b = sorted(r["prediction"] for r in ml.predict(loaded, painel_teste).collect())
-    assert len(a) == 120 and a == pytest.approx(b)
+    unseen = painel_lojas.withColumn("porte", F.lit("Enorme"))
+    for rows in (painel_lojas, unseen):
+        a = sorted(r["prediction"] for r in ml.predict(full, rows).collect())
+        b = sorted(r["prediction"] for r in ml.predict(ml.load_model(f"{tmp_out}/modelo"), rows).collect())
+        assert len(a) == 54 and a == pytest.approx(b)
 
 
 def test_optional_gradient_boosting(spark):

@@ -1,6 +1,7 @@
 """Plan-shape guards for the properties that matter at scale (checked on the smallest tables)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tillpoint.operators import features as feat
@@ -9,7 +10,6 @@ from tillpoint.operators.validate import clean_sales
 from tillpoint.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
-TRAINS_AT_BUILD = {"ml_previsao_linear", "ml_previsao_floresta", "ml_metricas_modelos"}
 
 
 def plan(df) -> str:
@@ -47,3 +47,23 @@ def test_store_filter_reaches_the_scan(spark):
     p = plan(ultimos_meses_loja(clean_sales(td.vendas(spark, SF)), 1))
     lineitem = [line for line in p.splitlines() if "l_suppkey" in line and "PushedFilters" in line]
     assert lineitem and "EqualTo(l_suppkey,1)" in lineitem[0]
+
+
+def test_cleaning_filter_reaches_the_scan(spark, tmp_out):
+    td.vendas(spark, SF).limit(5).write.parquet(f"{tmp_out}/v")
+    p = plan(clean_sales(spark.read.parquet(f"{tmp_out}/v")))
+    assert "GreaterThan(quantidade,0)" in p and "GreaterThan(valor_total,0.00)" in p
+
+
+def test_growth_and_weekday_are_one_aggregate(spark):
+    v = clean_sales(td.vendas(spark, SF).select("data_venda", "loja_id", "quantidade", "valor_unitario", "valor_total"))
+    for df in (feat.crescimento_mom(v), feat.sazonalidade_dia(v)):
+        assert plan(df).split("Join")[0].count("HashAggregate") == 2  # partial and final
+
+
+def test_split_ranks_one_bucket_only(spark):
+    from tillpoint.operators import ml
+    df = spark.range(1000).select(F.col("id").alias("loja_id"), F.lit("2024-05").alias("mes"))
+    p = plan(ml.exact_split(df))
+    whole = p.split("Union", 1)[1].split("\n   :- ", 1)[-1].split("\n   +- ", 1)[0]
+    assert "Union" in p and "row_number" not in whole and "SortMergeJoin" not in p

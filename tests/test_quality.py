@@ -14,37 +14,29 @@ def dims(a):
 
 def test_limpo(spark):
     a = audit(clientes_limpo(spark), REF)
-    d = dims(a)
-    assert d["completude"][:2] == ("critico", 5)
-    assert d["frescor"][:2] == ("ok", 20)
-    assert d["unicidade"][:2] == ("ok", 20)
-    assert d["consistencia"][:2] == ("ok", 20)
-    assert d["acuracia"][:2] == ("ok", 20)
+    assert dims(a) == {"completude": ("warning", 15, 1), "frescor": ("ok", 20, 0), "unicidade": ("ok", 20, 0),
+                       "consistencia": ("ok", 20, 0), "acuracia": ("ok", 20, 0)}
     comp = {r["coluna"]: r["pct_nulos"] for r in a.completude_table().collect() if r["nulos"] > 0}
-    assert comp == {"email_alt": 66.67, "telefone": 33.33, "renda": 33.33}
+    assert comp == {"email_alt": 25.0}
     diag = a.diagnostico().first()
-    assert diag["score_qualidade"] == 85 and diag["severidade"] == "MÉDIA"
+    assert diag["score_qualidade"] == 95 and diag["severidade"] == "BAIXA"
 
 
 def test_sujo(spark):
     a = audit(clientes_sujo(spark), REF)
-    d = dims(a)
-    assert d["completude"][:2] == ("warning", 10)
-    assert d["frescor"] == ("critico", 10, 2)
-    assert d["unicidade"] == ("warning", 15, 1)
-    assert d["consistencia"] == ("warning", 12, 3)
-    assert d["acuracia"] == ("ok", 20, 0)
+    assert dims(a) == {"completude": ("critico", 5, 3), "frescor": ("critico", 10, 1), "unicidade": ("warning", 15, 2),
+                       "consistencia": ("warning", 12, 4), "acuracia": ("ok", 20, 0)}
     f = a.frescor().first()
-    assert f["pct_desatualizado"] == 50.0 and f["data_mais_antiga"] == dt.date(2019, 1, 1)
+    assert f["pct_desatualizado"] == 20.0 and f["data_mais_antiga"] == dt.date(2021, 4, 5)
     rules = {r["regra"]: r["violacoes"] for r in a.consistencia_table().collect()}
-    assert rules == {"idade >= 0": 1, "email contém @": 1, "data_nascimento <= data_cadastro": 1}
+    assert rules == {"idade >= 0": 1, "email contém @": 2, "data_nascimento <= data_cadastro": 1}
     diag = a.diagnostico().first()
-    assert diag["score_qualidade"] == 67 and diag["severidade"] == "MÉDIA"
-    assert (diag["dimensoes_ok"], diag["dimensoes_warning"], diag["dimensoes_criticas"]) == (1, 3, 1)
-    alerts = a.alertas().collect()
-    assert [(x["nivel"], x["dimensao"]) for x in alerts] == [
-        ("CRITICO", "frescor"), ("WARNING", "completude"), ("WARNING", "unicidade"), ("WARNING", "consistencia")]
-    assert alerts[0]["mensagem"] == "50.0% dos registros sem atualização há >2 anos"
+    assert diag["score_qualidade"] == 62 and diag["severidade"] == "ALTA"
+    assert (diag["dimensoes_ok"], diag["dimensoes_warning"], diag["dimensoes_criticas"]) == (1, 2, 2)
+    alerts = [(x["nivel"], x["dimensao"], x["mensagem"]) for x in a.alertas().collect()]
+    assert [x[:2] for x in alerts] == [("CRITICO", "completude"), ("CRITICO", "frescor"), ("WARNING", "unicidade"),
+                                       ("WARNING", "consistencia")]
+    assert alerts[0][2] == "3 colunas com >5% nulos" and alerts[2][2] == "2 duplicatas encontradas"
 
 
 def _one_col(spark, values, typ="string", name="cpf"):

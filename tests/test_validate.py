@@ -6,15 +6,15 @@ from tillpoint.operators import validate as val
 
 def test_valid_schema(spark):
     r = val.schema_report(vendas_teste(spark)).first()
-    assert r["valido"] and r["problemas"] == [] and r["linhas"] == 9 and r["colunas"] == 11
+    assert r["valido"] and r["problemas"] == [] and r["linhas"] == 8 and r["colunas"] == 11
     assert r["removidas"] == 0 and dict(r["nulos_por_coluna"]) == {}
 
 
 def test_invalid_schema(spark):
     r = val.schema_report(vendas_invalidas(spark)).first()
     assert not r["valido"]
-    assert sorted(r["problemas"]) == ["nulos em categoria: 1", "nulos em data_venda: 1", "nulos em produto_id: 1"]
-    assert dict(r["nulos_por_coluna"]) == {"data_venda": 1, "produto_id": 1, "categoria": 1}
+    assert sorted(r["problemas"]) == ["nulos em cliente_id: 1", "nulos em loja_id: 1", "nulos em regiao: 2"]
+    assert dict(r["nulos_por_coluna"]) == {"loja_id": 1, "cliente_id": 1, "regiao": 2}
 
 
 def test_missing_column(spark):
@@ -26,9 +26,9 @@ def test_missing_column(spark):
 
 def test_cleaning(spark):
     clean = val.clean_sales(vendas_invalidas(spark)).collect()
-    assert len(clean) == 1 and clean[0]["quantidade"] == 2
+    assert sorted(r["quantidade"] for r in clean) == [1, 4]
     assert isinstance(clean[0]["data_venda"], dt.date)
-    assert len(val.clean_sales(vendas_teste(spark)).collect()) == 9
+    assert len(val.clean_sales(vendas_teste(spark)).collect()) == 8
     r = val.schema_report(vendas_invalidas(spark)).first()
     assert r["removidas"] == 2
 
@@ -44,11 +44,11 @@ def test_nan_is_removed_and_counted(spark):
 
 def test_null_counts_long_form(spark):
     out = {r["coluna"]: r["nulos"] for r in val.null_counts(vendas_invalidas(spark)).collect()}
-    assert out["categoria"] == 1 and out["loja_id"] == 0 and len(out) == 11
+    assert out["regiao"] == 2 and out["produto_id"] == 0 and len(out) == 11
 
 
 def test_only_store_keeps_zero(spark):
     df = vendas_teste(spark)
-    assert val.only_store(df, None).count() == 9
-    assert val.only_store(df, 2).count() == 3
+    assert val.only_store(df, None).count() == 8
+    assert val.only_store(df, 12).count() == 3
     assert val.only_store(df, 0).count() == 0

@@ -3,7 +3,9 @@
 * Money is summed exactly, as integer **cents in BIGINT** (order independent, fixed-width and codegen-friendly;
   a DECIMAL(28,2) sum buffer would be a BigDecimal object per group), and turned into DOUBLE with ``cents / 100``
   before any division. For totals below 2^53 cents this is the correctly rounded double of the exact decimal sum,
-  i.e. the same value a DECIMAL sum cast to DOUBLE gives. BIGINT overflow raises under ANSI mode.
+  i.e. the same value a DECIMAL sum cast to DOUBLE gives. BIGINT overflow raises under ANSI mode. This holds for
+  integers and for DECIMAL columns with at most two decimals; a column with more decimals is summed as a DECIMAL of its
+  own scale, a DOUBLE or FLOAT column as DECIMAL(28,8), so that no row is rounded to a cent before the sum.
 * Rounding to ``n`` places is ``round(x * 10^n, 0) / 10^n``: the product is an IEEE double and Spark rounds it
   half away from zero, which is the classic SQL ``ROUND(double, n)`` behaviour (``1.005`` stays ``1.0``);
   Spark's ``round(x, n)`` on a double rounds the decimal *string* instead and would give ``1.01``.
@@ -13,7 +15,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +31,19 @@ def money(c) -> Column:
     return _col(c).cast(MONEY)
 
 
-def cents(c) -> Column:
-    """Amount in whole cents as BIGINT (half-up at the second decimal, like a cast to DECIMAL(18,2))."""
+def cents(c, df: DataFrame | None = None) -> Column:
+    """Amount in cents. With ``df`` the type of its column ``c`` decides: BIGINT when whole cents hold it, else an exact
+    DECIMAL with the digits below the cent. Without ``df``: BIGINT, half-up at the second decimal."""
+    kind = df.schema[c].dataType if df is not None else None
+    if isinstance(kind, T.DecimalType) and kind.scale > 2:
+        return F.col(c) * F.lit(100)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.col(c).cast(T.DecimalType(28, 8)) * F.lit(100)
     return F.round(_col(c).cast("double") * F.lit(100.0), 0).cast("bigint")
 
 
 def from_cents(c) -> Column:
-    """BIGINT cents back to a DOUBLE amount."""
+    """Cents back to a DOUBLE amount."""
     return _col(c).cast("double") / F.lit(100.0)
 
 

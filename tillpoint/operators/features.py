@@ -5,7 +5,7 @@ Scale notes
 * Each table is one grouped aggregate (partial aggregation before the shuffle) over the sales fact; windows only
   ever run over already-aggregated rows (store × day, store × month, …), so a hot store never sends raw sales rows
   to a single task.
-* Money is summed exactly as BIGINT cents and turned into DOUBLE afterwards (see :mod:`tillpoint.functions.numeric`).
+* Money is summed exactly (BIGINT cents, or a DECIMAL for finer amounts) and turned into DOUBLE afterwards (see :mod:`tillpoint.functions.numeric`).
 * Per-table ``ORDER BY`` of the reference is presentation only; tables are returned unsorted and
   :func:`presentation_order` gives the ordering when a caller wants it.
 """
@@ -58,7 +58,7 @@ def daily_store(vendas: DataFrame) -> DataFrame:
     """Shared (day, store) aggregate: cent revenue, sale count, distinct customers. F1, F4, F6 and F7 derive from it
     (cent sums roll up exactly); Catalyst prunes the aggregates a caller does not use."""
     return (vendas.groupBy("data_venda", "loja_id")
-            .agg(F.sum(cents("valor_total")).alias("_r"),
+            .agg(F.sum(cents("valor_total", vendas)).alias("_r"),
                  F.count(F.lit(1)).alias("n_vendas"),
                  F.count_distinct("cliente_id").alias("clientes_unicos")))
 
@@ -68,7 +68,7 @@ def customer_month(vendas: DataFrame) -> DataFrame:
     F2 and F5 derive from it."""
     return (vendas.groupBy("cliente_id", month_key().alias("mes"))
             .agg(F.count(F.lit(1)).alias("compras"),
-                 F.sum(cents("valor_total")).alias("_g"),
+                 F.sum(cents("valor_total", vendas)).alias("_g"),
                  F.count_distinct("loja_id").alias("lojas_visitadas"),
                  F.max("data_venda").alias("_last")))
 
@@ -108,7 +108,7 @@ def share_categoria(vendas: DataFrame, ref_date: dt.date | None = None) -> DataF
     """
     agg = (cut_off(vendas, ref_date)
            .groupBy("loja_id", "categoria")
-           .agg(F.sum(cents("valor_total")).alias("_r"), F.sum(cents("custo")).alias("_c")))
+           .agg(F.sum(cents("valor_total", vendas)).alias("_r"), F.sum(cents("custo", vendas)).alias("_c")))
     total = F.sum("_r").over(Window.partitionBy("loja_id"))
     return agg.select(
         "loja_id", "categoria",
@@ -119,8 +119,10 @@ def share_categoria(vendas: DataFrame, ref_date: dt.date | None = None) -> DataF
 
 def crescimento_mom(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """monthly store revenue and % change against the previous existing month row (gaps are not filled)."""
-    d = daily if daily is not None else daily_store(vendas)
-    m = d.groupBy("loja_id", month_key().alias("mes")).agg(F.sum("_r").alias("_r"))
+    if daily is not None:
+        m = daily.groupBy("loja_id", month_key().alias("mes")).agg(F.sum("_r").alias("_r"))
+    else:
+        m = vendas.groupBy("loja_id", month_key().alias("mes")).agg(F.sum(cents("valor_total", vendas)).alias("_r"))
     prev = F.lag("_r").over(Window.partitionBy("loja_id").orderBy("mes"))
     return m.select(
         "loja_id", "mes",
@@ -166,8 +168,9 @@ def _weekday_label(c):
 def sazonalidade_dia(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """per (store, weekday) revenue **sum** (named ``receita_media`` as in the reference) and its index against
     the mean of that store's weekday sums."""
-    src = daily if daily is not None else daily_store(vendas)
-    d = src.groupBy("loja_id", weekday0().alias("dia_semana")).agg(F.sum("_r").alias("_r"))
+    keys = ["loja_id", weekday0().alias("dia_semana")]
+    d = (daily.groupBy(*keys).agg(F.sum("_r").alias("_r")) if daily is not None
+         else vendas.groupBy(*keys).agg(F.sum(cents("valor_total", vendas)).alias("_r")))
     w = Window.partitionBy("loja_id")
     media = safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w))
     return d.select(
@@ -184,7 +187,7 @@ def top_produtos(vendas: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
     ``row_number() … <= k`` is planned as a WindowGroupLimit: each map task keeps only its local top ``k`` per group
     before the shuffle, so a hot (store, month) sends at most ``k`` rows per task to the final ranking.
     """
-    agg = vendas.groupBy("loja_id", month_key().alias("mes"), "produto_id").agg(F.sum(cents("valor_total")).alias("_r"))
+    agg = vendas.groupBy("loja_id", month_key().alias("mes"), "produto_id").agg(F.sum(cents("valor_total", vendas)).alias("_r"))
     w = Window.partitionBy("loja_id", "mes").orderBy(F.desc("_r"), F.asc("produto_id"))
     ranked = agg.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("loja_id", "mes", "produto_id", from_cents("_r").alias("receita"),

@@ -1,12 +1,8 @@
 """Forecast training and evaluation on the store × month panel.
 
-* M1  ``DropFirstDummies`` — a ``pyspark.ml`` Transformer: one 0/1 column per category level except the
-      alphabetically first (pandas ``get_dummies(drop_first=True)``); NULL or unseen values give all zeros. Levels
-      are learned with one ``distinct`` job whose size is checked (``MAX_LEVELS``), then applied as plain column
-      expressions, so encoding stays JVM-side and the fitted pipeline saves and loads like any Spark model.
-* M2  ``exact_split`` — an exact 80/20 split ordered by a salted MD5 of the row key. No global sort: a histogram
-      over the first 16 bits of the hash (at most 65,536 rows by construction) gives each bucket its offset, and
-      rows are ranked only inside their bucket (hash-uniform, hence balanced partitions).
+* M1  ``fit_dummies`` — sparse one-hot vectors of every category level but the first by name, without a limit on their
+      number (pandas ``get_dummies(drop_first=True)``); NULL or unseen values give all zeros.
+* M2  ``exact_split`` — an exact 80/20 split ordered by a salted MD5 of the row key, without a global sort.
 * M3  model registry of factories — every run gets fresh estimators.
 * M4  ``regression_metrics`` — r², RMSE, MAE and n in one aggregate over (label, prediction).
 * M5  ``select_best`` — highest r² *after rounding*, ties to the first trained.
@@ -14,15 +10,13 @@
 
 from __future__ import annotations
 
-import json
-import math
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import keyword_only
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +36,8 @@ TARGET = "target"
 SPLIT_KEYS = ["loja_id", "mes"]
 TEST_FRACTION = 0.2
 SEED = 42
-MAX_LEVELS = 1_000
+TRAIN_PARTITIONS = 8  # fixed, as the forest depends on it; raise it (a parameter) for tables that 8 tasks cannot hold
+TINY_RIDGE = 1e-6
 HASH_PREFIX_HEX = 4  # 16-bit buckets → histogram of at most 65,536 rows
 
 
@@ -53,46 +48,59 @@ def numeric_features(panel: DataFrame) -> list[str]:
 # ---------------------------------------------------------------------------------------------------------------
 # M1 — one-hot with the first level dropped
 # ---------------------------------------------------------------------------------------------------------------
-class DropFirstDummies(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Adds ``<col>_<level>`` DOUBLE columns for every learned level (first level of each column dropped)."""
-
-    levels = Param(Params._dummy(), "levels", "JSON {column: [levels kept, in order]}",
-                   typeConverter=TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, levels: str = "{}"):
-        super().__init__()
-        self._setDefault(levels="{}")
-        kwargs = self._input_kwargs
-        self._set(**kwargs)
-
-    def level_map(self) -> dict[str, list[str]]:
-        return json.loads(self.getOrDefault(self.levels))
-
-    def output_columns(self) -> list[str]:
-        return [f"{c}_{v}" for c, vs in self.level_map().items() for v in vs]
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        cols = [F.when(F.col(c) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}")
-                for c, vs in self.level_map().items() for v in vs]
-        return df.select("*", *cols)
-
-    @classmethod
-    def fit_levels(cls, df: DataFrame, columns: list[str]) -> "DropFirstDummies":
-        """Learn sorted distinct non-null levels of each present column (one job, size-checked), drop the first."""
-        present = [c for c in columns if c in df.columns]
-        levels: dict[str, list[str]] = {}
-        if present:
-            rows = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                                  for c in present])).alias("x"))
-                      .select("x.c", "x.v").where(F.col("v").isNotNull()).distinct()
-                      .limit(MAX_LEVELS * len(present) + 1).collect())
-            if len(rows) > MAX_LEVELS * len(present):
-                raise ValueError("too many category levels for one-hot encoding")
-            for c in present:
-                vs = sorted(r["v"] for r in rows if r["c"] == c)
-                levels[c] = vs[1:]
-        return cls(levels=json.dumps(levels))
+@dataclass(frozen=True)
+class Dummies:
+    """Fitted encoding of categoricals: stages, sparse vector columns, and the levels that each vector stands for."""
+    stages: list
+    vectors: dict[str, str]
+    levels: dict[str, list[str]]
+
+    def names(self) -> list[str]:
+        return [f"{c}_{v}" for c, vs in self.levels.items() for v in vs]
+
+
+def fit_dummies(df: DataFrame, columns: list[str]) -> Dummies:
+    """Levels of each present column by name, the first one dropped; a column with one level gives nothing.
+
+    ``StringIndexer`` counts the levels in the cluster. An indexer of the levels kept puts the first level, NULL and
+    unseen values in its last slot, which ``OneHotEncoder`` drops: they are all zeros. The vectors are sparse, so a
+    row costs one entry per column however many levels there are.
+    """
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return Dummies([], {}, {})
+    fitted = StringIndexer(inputCols=present, outputCols=[f"_{c}_nivel" for c in present],
+                           stringOrderType="alphabetAsc", handleInvalid="skip").fit(df)
+    levels = {c: list(vs)[1:] for c, vs in zip(present, fitted.labelsArray) if len(vs) > 1}
+    stages, work = [], df
+    for c, kept in levels.items():
+        indexer = StringIndexerModel.from_labels(kept, inputCol=c, outputCol=f"_{c}_idx", handleInvalid="keep")
+        stages.append(indexer)
+        work = indexer.transform(work)
+    if levels:
+        stages.append(OneHotEncoder(inputCols=[f"_{c}_idx" for c in levels], outputCols=[f"_{c}_vec" for c in levels],
+                                    dropLast=True).fit(work))
+    return Dummies(stages, {c: f"_{c}_vec" for c in levels}, levels)
+
+
+def dummies_long(df: DataFrame, dummies: Dummies, keys: list[str], nonzero: bool = False) -> DataFrame:
+    """(keys, coluna, valor): every level of every row, or with ``nonzero`` only the entries that are set."""
+    out = PipelineModel(stages=dummies.stages).transform(df) if dummies.stages else df
+    frames = []
+    for c, vec in dummies.vectors.items():
+        kept = dummies.levels[c]
+        if nonzero:
+            pos = out.select(*keys, F.explode(F.unwrap_udt(vec)["indices"].cast("array<double>")).alias("_pos"))
+            named = IndexToString(inputCol="_pos", outputCol="_v", labels=kept).transform(pos)
+            frames.append(named.select(*keys, F.concat(F.lit(f"{c}_"), F.col("_v")).alias("coluna"),
+                                       F.lit(1.0).alias("valor")))
+        else:
+            pairs = F.arrays_zip(F.array(*[F.lit(f"{c}_{v}") for v in kept]).alias("coluna"),
+                                 vector_to_array(vec).alias("valor"))
+            frames.append(out.select(*keys, F.inline(pairs).alias("coluna", "valor")))
+    if not frames:
+        return df.select(*keys, F.lit("").alias("coluna"), F.lit(0.0).alias("valor")).where(F.lit(False))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def prepare_features(panel: DataFrame, target: str = TARGET, loja_id=None,
@@ -102,12 +110,13 @@ def prepare_features(panel: DataFrame, target: str = TARGET, loja_id=None,
     Returns the assembled frame, the ordered feature names and the fitted feature pipeline.
     """
     df = panel if loja_id is None else panel.filter(F.col("loja_id") == F.lit(loja_id))
-    dummies = DropFirstDummies.fit_levels(df, categorical)
-    names = numeric_features(panel) + dummies.output_columns()
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    feats = PipelineModel(stages=[dummies, assembler])
+    dummies = fit_dummies(df, categorical)
+    numeric = numeric_features(panel)
+    assembler = VectorAssembler(inputCols=numeric + list(dummies.vectors.values()), outputCol="features",
+                                handleInvalid="keep")
+    feats = PipelineModel(stages=[*dummies.stages, assembler])
     out = feats.transform(df).withColumn("label", F.col(target).cast("double"))
-    return out, names, feats
+    return out, numeric + dummies.names(), feats
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -121,12 +130,15 @@ def exact_split(df: DataFrame, keys: list[str] = SPLIT_KEYS, test_fraction: floa
                 seed: int = SEED) -> DataFrame:
     """Adds ``is_test``: the ``ceil(test_fraction · n)`` rows with the smallest salted key hash are the test set.
 
-    Deterministic and exact (sizes equal a shuffled 80/20 split: 4,600 → 3,680 / 920), independent of partitioning.
-    The input is read twice (histogram, then ranking), so pass a written table when it is expensive to compute — the
-    forecast job splits its materialized panel. Keys should identify rows: equal keys share a hash bucket.
+    Exact in size (4,600 → 3,680 / 920) and independent of partitioning. A histogram of the first 16 bits of the hash
+    (at most 65,536 rows by construction, so it is broadcast) decides every bucket but the one that holds the cut. Only
+    that bucket's rows are shuffled and ranked: by hash, keys, then all other columns, so rows with equal keys
+    have a fixed order as well. The input is read once for the histogram and once for each of the two parts: pass a
+    written table when it is expensive to compute.
     """
-    h = split_hash(keys, seed)
-    d = df.withColumn("_h", h).withColumn(
+    content = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N"))
+                                        for c in df.columns]), 256)
+    d = df.withColumn("_h", split_hash(keys, seed)).withColumn(
         "_b", F.conv(F.substring("_h", 1, HASH_PREFIX_HEX), 16, 10).cast("int"))
     hist = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     # the histogram has at most 16^HASH_PREFIX_HEX rows, so a single ordered window over it is bounded
@@ -135,10 +147,14 @@ def exact_split(df: DataFrame, keys: list[str] = SPLIT_KEYS, test_fraction: floa
     hist = hist.select("_b", "_cnt",
                        F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_before"),
                        F.ceil(F.sum("_cnt").over(everything) * F.lit(test_fraction)).alias("_ntest"))
-    j = d.join(F.broadcast(hist), "_b")
-    local = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
-    return (j.withColumn("is_test", (F.col("_before") + local) <= F.col("_ntest"))
-             .drop("_h", "_b", "_cnt", "_before", "_ntest"))
+    below = F.col("_before") + F.col("_cnt") <= F.col("_ntest")
+    cut = ~below & (F.col("_before") < F.col("_ntest"))
+    whole = d.join(F.broadcast(hist.where(~cut)), "_b").withColumn("is_test", below)
+    place = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys, "_content"))
+    split = (d.join(F.broadcast(hist.where(cut)), "_b").withColumn("_content", content)
+              .withColumn("is_test", F.col("_before") + place <= F.col("_ntest")))
+    cols = [F.col(f"`{c}`") for c in df.columns] + [F.col("is_test")]
+    return whole.select(*cols).unionAll(split.select(*cols))
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -190,22 +206,39 @@ def tree_memory_budget_mb(spark) -> int:
     return max(16, min(1024, heap // (4 * max(1, cores))))
 
 
+def training_layout(data: DataFrame, keys: list[str] = SPLIT_KEYS, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Rows spread by a hash of their key over a fixed number of partitions and sorted inside them. A forest draws its
+    samples per partition, so with this layout the same rows give the same forest on any cluster."""
+    return data.repartition(partitions, *keys).sortWithinPartitions(*keys, "label")
+
+
 def train(name: str, train_df: DataFrame, **params):
+    """Fit a model of the registry. Least squares with no more rows than features has no single solution: a small ridge
+    (``TINY_RIDGE``) is then added unless ``regParam`` is given; ``model.getRegParam()`` tells."""
     factory = MODELS.get(name) or OPTIONAL_MODELS[name]
     if name != "LinearRegression" and "maxMemoryInMB" not in params:
         params["maxMemoryInMB"] = tree_memory_budget_mb(train_df.sparkSession)
+    if name == "LinearRegression" and "regParam" not in params:
+        first = train_df.select(F.size(vector_to_array("features")).alias("n")).first()
+        width = first["n"] if first else 0
+        if train_df.limit(width + 1).count() <= width:
+            params["regParam"] = TINY_RIDGE
     return factory(**params).fit(train_df)
 
 
 # ---------------------------------------------------------------------------------------------------------------
 # M4 / M5 — metrics and selection
 # ---------------------------------------------------------------------------------------------------------------
-def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: r2 (4 dp), rmse (2 dp), mae (2 dp), n_amostras — half-even rounding like Python's ``round``."""
+def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+                       by: tuple = ()) -> DataFrame:
+    """r2 (4 dp), rmse (2 dp), mae (2 dp), n_amostras — half-even rounding like Python's ``round``; one row, or one
+    per group of ``by``."""
     err = F.col(label).cast("double") - F.col(prediction).cast("double")
-    a = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("sse"), F.sum(F.abs(err)).alias("sae"),
-                 F.var_pop(F.col(label).cast("double")).alias("vy"))
+    a = pred.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("sse"), F.sum(F.abs(err)).alias("sae"),
+        F.var_pop(F.col(label).cast("double")).alias("vy"))
     return a.select(
+        *by,
         round_even(F.lit(1.0) - safe_div("sse", F.col("vy") * F.col("n")), 4).alias("r2"),
         round_even(F.sqrt(safe_div("sse", "n")), 2).alias("rmse"),
         round_even(safe_div("sae", "n"), 2).alias("mae"),
@@ -238,9 +271,5 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str] = SPLIT_KEYS) -
     return model.transform(df).select(*keep, "prediction")
 
 
-def expected_test_size(n: int, fraction: float = TEST_FRACTION) -> int:
-    return math.ceil(fraction * n)
-
-
-__all__ = ["DropFirstDummies", "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
+__all__ = ["Dummies", "fit_dummies", "dummies_long", "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
            "save_model", "load_model", "predict", "full_model"]

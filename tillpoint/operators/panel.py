@@ -1,8 +1,7 @@
 """Store × month panel for the revenue forecast.
 
 One grouped aggregate over the sales fact produces every monthly measure at once — revenue, cost, sale count,
-distinct customers, the revenue of each category (conditional sums, i.e. a pivot with a fixed value list) and the
-revenue of each weekday. Everything else is a window over the *monthly* rows of one store (``partitionBy("loja_id")``),
+the revenue of each category (conditional sums) and of each weekday; distinct customers come from a second one. Everything else is a window over the *monthly* rows of one store (``partitionBy("loja_id")``),
 so the window input is bounded by the number of months per store, whatever the size of the fact. The only global
 quantity (mean monthly revenue over all stores, for the size class) is a scalar subquery over the same aggregate.
 """
@@ -22,6 +21,9 @@ from tillpoint.session import materialize
 SIZE_SMALL, SIZE_MEDIUM, SIZE_LARGE = "Pequeno", "Médio", "Grande"
 SIZE_LOW, SIZE_HIGH = 0.9, 1.1
 
+# Name of all categories outside a given list.
+OTHER_CATEGORY = "Outras"
+
 
 def share_column(category: str) -> str:
     return "share_" + re.sub(r"[^0-9a-z]+", "_", category.lower()).strip("_")
@@ -29,6 +31,10 @@ def share_column(category: str) -> str:
 
 def _argmax(values: list[Column], labels: list) -> Column:
     """Label of the largest value; ties go to the first label."""
+    if not values:
+        return F.lit(None).cast("string")
+    if len(values) == 1:
+        return F.lit(labels[0])
     top = F.greatest(*values)
     expr = None
     for v, lab in zip(values, labels):
@@ -36,29 +42,48 @@ def _argmax(values: list[Column], labels: list) -> Column:
     return expr
 
 
+def learn_categories(vendas: DataFrame) -> list[str]:
+    """Categories in the data, by name. Each becomes a column of the panel, so the list is as long as its schema."""
+    rows = vendas.select("categoria").where(F.col("categoria").isNotNull()).distinct().orderBy("categoria").collect()
+    return [r["categoria"] for r in rows]
+
+
 def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
-    """Store × month measures in one aggregate: exact cent sums per category and per weekday, counts."""
+    """Store × month measures: exact sums per category, of all other categories, and per weekday; counts."""
     v = vendas.select("loja_id", "regiao", "categoria", "cliente_id", month_key().alias("mes"),
-                      weekday0().alias("_dow"), cents("valor_total").alias("_v"), cents("custo").alias("_cost"))
+                      weekday0().alias("_dow"), cents("valor_total", vendas).alias("_v"),
+                      cents("custo", vendas).alias("_cost"))
+    listed = F.coalesce(F.col("categoria").isin(*categories), F.lit(False)) if categories else F.lit(False)
     cat_sums = [F.sum(F.when(F.col("categoria") == F.lit(c), F.col("_v"))).alias(f"_cat{i}")
                 for i, c in enumerate(categories)]
+    cat_sums.append(F.sum(F.when(~listed, F.col("_v"))).alias(f"_cat{len(categories)}"))
     wd_sums = [F.sum(F.when(F.col("_dow") == F.lit(k), F.col("_v"))).alias(f"_wd{k}") for k in range(7)]
-    keys = ["loja_id", "regiao", "mes"]
-    sums = v.groupBy(*keys).agg(F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"),
-                                F.count(F.lit(1)).alias("n_vendas"), *cat_sums, *wd_sums)
+    sums = v.groupBy("loja_id", "mes").agg(
+        F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"), F.count(F.lit(1)).alias("n_vendas"),
+        F.min("regiao").alias("regiao"), *cat_sums, *wd_sums)
     # distinct customers in their own aggregate: mixed into the one above, Spark would group *all* sum buffers by
-    # (store, month, customer) before the final merge; alone, only the de-duplicated keys are shuffled. Both sides
-    # come out hash-partitioned on the same keys, so the join adds no shuffle.
-    customers = v.groupBy(*keys).agg(F.count_distinct("cliente_id").alias("n_clientes"))
-    return sums.join(customers, keys)
+    # (store, month, customer) before the final merge; alone, only the de-duplicated keys are shuffled. The join is
+    # null-safe, so a store without an id keeps its rows.
+    customers = (v.groupBy("loja_id", "mes").agg(F.count_distinct("cliente_id").alias("n_clientes"))
+                 .select(F.col("loja_id").alias("_loja"), F.col("mes").alias("_mes"), "n_clientes"))
+    same = sums["loja_id"].eqNullSafe(customers["_loja"]) & sums["mes"].eqNullSafe(customers["_mes"])
+    return sums.join(customers, same).drop("_loja", "_mes")
 
 
-def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = False) -> DataFrame:
+def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_last: bool = False) -> DataFrame:
     """The forecast panel: one row per (store, month) with the reference's feature set and ``target`` =
-    next month's revenue. Rows without a target (each store's last month) are dropped unless ``keep_last``."""
+    next month's revenue. Rows without a target (each store's last month) are dropped unless ``keep_last``.
+
+    The region is an attribute of the store: its first one by name (NULL if none is known). ``categories=None`` takes the
+    categories from the data; with a given list, all other sales count as category ``Outras`` and the column
+    ``share_outras`` is added. Sales without a category count in the revenue and, with a list, as ``Outras``.
+    """
+    given = categories is not None
+    categories = list(categories) if given else learn_categories(vendas)
     m = monthly(vendas, categories)
+    labels = categories + [OTHER_CATEGORY] if given else categories
     zero = F.lit(0).cast("bigint")
-    cats = [F.coalesce(F.col(f"_cat{i}"), zero) for i in range(len(categories))]
+    cats = [F.coalesce(F.col(f"_cat{i}"), zero) for i in range(len(labels))]
     wds = [F.coalesce(F.col(f"_wd{k}"), zero) for k in range(7)]
     m = m.select("loja_id", "regiao", "mes", "_r", "_c", "n_vendas", "n_clientes",
                  *[c.alias(f"_cat{i}") for i, c in enumerate(cats)],
@@ -75,22 +100,21 @@ def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = Fals
     receita = from_cents("_r")
     ticket = round_to(safe_div(from_cents("_r"), "n_vendas"), 2)
     custo_pct = round_to(safe_div(from_cents("_c"), from_cents("_r")), 4)
-    total_shares = sum((F.col(f"_cat{i}") for i in range(1, len(categories))), F.col("_cat0"))
     store_mean = safe_div(from_cents(F.sum("_r").over(store)), F.count(F.lit(1)).over(store))
-    lifetime = [F.sum(f"_cat{i}").over(store) for i in range(len(categories))]
+    lifetime = [F.sum(f"_cat{i}").over(store) for i in range(len(labels))]
 
     p = m.select(
-        "loja_id", "regiao", "mes", "_r", "n_vendas", "n_clientes",
+        "loja_id", F.min("regiao").over(store).alias("regiao"), "mes", "_r", "n_vendas", "n_clientes",
         F.year(F.to_date(F.concat(F.col("mes"), F.lit("-01")))).cast("bigint").alias("ano"),
         receita.alias("receita"),
         ticket.alias("ticket_medio"),
         custo_pct.alias("custo_pct"),
-        *[round_to(safe_div(from_cents(f"_cat{i}"), from_cents(total_shares)), 4).alias(share_column(c))
-          for i, c in enumerate(categories)],
+        *[round_to(safe_div(from_cents(f"_cat{i}"), from_cents("_r")), 4).alias(share_column(c))
+          for i, c in enumerate(labels)],
         _argmax(wds, list(range(7))).cast("bigint").alias("dia_semana_pico"),
         F.max("n_vendas").over(store).cast("bigint").alias("area_m2"),
         F.max("n_clientes").over(store).cast("bigint").alias("funcionarios"),
-        _argmax(lifetime, categories).alias("categoria_principal"),
+        _argmax(lifetime, labels).alias("categoria_principal"),
         round_to(safe_div(from_cents("_r"), store_mean), 4).alias("sazonalidade_mes"),
         safe_div(store_mean, overall).alias("_size_ratio"),
         F.row_number().over(ordered).alias("_i"),
@@ -114,7 +138,7 @@ def build_panel(vendas: DataFrame, categories: list[str], keep_last: bool = Fals
                        ).otherwise(F.lit(0)).cast("bigint")
     # Margin from the rounded cost share, as the reference does
     margem = round_to(F.col("receita") * (F.lit(1.0) - F.col("custo_pct")), 2)
-    share_cols = [share_column(c) for c in categories]
+    share_cols = [share_column(c) for c in labels]
     ratio = F.col("_size_ratio")
     porte = (F.when(ratio < SIZE_LOW, F.lit(SIZE_SMALL)).when(ratio > SIZE_HIGH, F.lit(SIZE_LARGE))
              .otherwise(F.lit(SIZE_MEDIUM)))

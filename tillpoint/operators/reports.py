@@ -19,7 +19,7 @@ def perfil_vendas(vendas: DataFrame) -> DataFrame:
         F.min("data_venda").alias("data_inicio"), F.max("data_venda").alias("data_fim"),
         F.count_distinct("loja_id").alias("n_lojas"), F.count_distinct("produto_id").alias("n_produtos"),
         F.count_distinct("cliente_id").alias("n_clientes"), F.count(F.lit(1)).alias("n_vendas"),
-        F.sum(cents("valor_total")).alias("_r"),
+        F.sum(cents("valor_total", vendas)).alias("_r"),
     ).select("data_inicio", "data_fim",
              *[F.col(c).cast("bigint").alias(c) for c in ("n_lojas", "n_produtos", "n_clientes", "n_vendas")],
              round_to(from_cents("_r"), 2).alias("receita_total"),
@@ -29,7 +29,7 @@ def perfil_vendas(vendas: DataFrame) -> DataFrame:
 def top_lojas_ticket(vendas: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` stores with the highest mean ticket (ties → lower store id). Top-k is the feature here;
     Spark plans it as TakeOrderedAndProject (per-partition top-k, then a merge of k rows per partition)."""
-    t = vendas.groupBy("loja_id").agg(F.sum(cents("valor_total")).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    t = vendas.groupBy("loja_id").agg(F.sum(cents("valor_total", vendas)).alias("_r"), F.count(F.lit(1)).alias("_n"))
     return (t.select("loja_id", round_to(safe_div(from_cents("_r"), "_n"), 2).alias("ticket_medio"))
              .orderBy(F.desc("ticket_medio"), F.asc("loja_id")).limit(k))
 

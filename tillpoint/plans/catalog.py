@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,9 +79,37 @@ QUERIES.update({
 })
 
 
+def _panel_sales(spark, sf_dir):
+    # the panel reads its sales three times (categories, sums, customers): write the columns it needs once
+    return materialize(_sales(spark, sf_dir).select("data_venda", "loja_id", "categoria", "valor_total", "custo",
+                                                    "cliente_id", "regiao"), "vendas_painel")
+
+
 def _panel(spark, sf_dir, keep_last=False):
-    return pan.build_panel(_sales(spark, sf_dir), td.CATEGORIES, keep_last=keep_last)
+    return pan.build_panel(_panel_sales(spark, sf_dir), keep_last=keep_last)
+
+
+def _panel_listed(spark, sf_dir):
+    p = pan.build_panel(_panel_sales(spark, sf_dir), ["LARGE", "PROMO", "SMALL"], keep_last=True)
+    return p.select("loja_id", "mes", "categoria_principal", "share_large", "share_promo", "share_small", "share_outras")
+
 
+def _panel_regions(spark, sf_dir):
+    """Stores without a region and stores that have two of them."""
+    loja, par = F.col("loja_id"), F.month("data_venda") % 2 == 0
+    v = _panel_sales(spark, sf_dir).withColumn(
+        "regiao", F.when(loja % 7 == 3, F.lit(None).cast("string"))
+        .when((loja % 5 == 2) & par, F.concat(F.lit("A "), F.col("regiao"))).otherwise(F.col("regiao")))
+    return pan.build_panel(v, keep_last=True).select("loja_id", "mes", "regiao", "receita", "target")
+
+
+def _share_fractions(spark, sf_dir):
+    """F3 on amounts with seven decimals."""
+    return feat.share_categoria(_sales(spark, sf_dir).withColumn(
+        "valor_total", (F.col("valor_total") * F.lit(Decimal("0.00375"))).cast("decimal(24,7)")))
+
+
+QUERIES["share_categoria_fracoes"] = _share_fractions
 
 QUERIES.update({
     "painel_target": lambda spark, sf_dir: _panel(spark, sf_dir),
@@ -88,6 +117,8 @@ QUERIES.update({
         "loja_id", "mes", "ano", "receita", "ticket_medio", "n_clientes", "custo_pct", "margem", "target"),
     "painel_share": lambda spark, sf_dir: _panel(spark, sf_dir, keep_last=True).select(
         "loja_id", "mes", "categoria_principal", *[pan.share_column(c) for c in td.CATEGORIES]),
+    "painel_fora_da_lista": _panel_listed,
+    "painel_regioes": _panel_regions,
     "perfil_painel": lambda spark, sf_dir: pan.perfil_painel(_panel(spark, sf_dir)),
 })
 
@@ -98,21 +129,25 @@ def _split_panel(spark, sf_dir):
 
 
 def _dummies_long(spark, sf_dir):
-    prepared, names, feats = ml.prepare_features(_panel(spark, sf_dir))
-    dummy_cols = feats.stages[0].output_columns()
-    return prepared.select("loja_id", "mes", *[F.col(f"`{c}`") for c in dummy_cols]).unpivot(
-        ["loja_id", "mes"], [f"`{c}`" for c in dummy_cols], "coluna", "valor")
+    panel = materialize(_panel(spark, sf_dir), "painel")
+    return ml.dummies_long(panel, ml.fit_dummies(panel, ml.CATEGORICAL), ["loja_id", "mes"])
+
+
+def _dummies_many_levels(spark, sf_dir):
+    """As many levels as orders, the entries that are set."""
+    orders = td.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("pedido"))
+    return ml.dummies_long(orders, ml.fit_dummies(orders, ["pedido"]), ["o_orderkey"], nonzero=True)
 
 
 def _baseline_metrics(spark, sf_dir):
     test = _split_panel(spark, sf_dir).filter("is_test")
-    frames = []
-    for i, (name, pred) in enumerate([("persistencia", F.col("receita")),
-                                      ("media_loja", F.col("receita") / F.nullif(F.col("sazonalidade_mes"),
-                                                                                   F.lit(0.0)))], start=1):
-        m = ml.regression_metrics(test.select(F.col("target").alias("label"), pred.alias("prediction")))
-        frames.append(m.select(F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "*"))
-    return frames[0].unionByName(frames[1])
+    preds = F.array(
+        F.struct(F.lit(1).cast("bigint").alias("ordem"), F.lit("persistencia").alias("modelo"),
+                 F.col("receita").alias("prediction")),
+        F.struct(F.lit(2).cast("bigint").alias("ordem"), F.lit("media_loja").alias("modelo"),
+                 (F.col("receita") / F.nullif(F.col("sazonalidade_mes"), F.lit(0.0))).alias("prediction")))
+    both = test.select(F.col("target").alias("label"), F.inline(preds))
+    return ml.regression_metrics(both, by=("ordem", "modelo"))
 
 
 def _resumo(spark, sf_dir):
@@ -126,29 +161,45 @@ def _resumo(spark, sf_dir):
                   F.count_if("is_test").cast("bigint").alias("n_teste"))
 
 
+def _assembled(spark, sf_dir):
+    """Split panel with its features, written once (read by training and scoring), in the training layout."""
+    prepared, names, _ = ml.prepare_features(_split_panel(spark, sf_dir))
+    written = materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), "ml_painel")
+    return ml.training_layout(written), names
+
+
 def _model_predictions(name):
     def run(spark, sf_dir):
-        prepared, names, feats = ml.prepare_features(_split_panel(spark, sf_dir))
-        # written once (read by training and scoring); a table, so nothing stays cached after the query
-        prepared = materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), f"ml_{name}")
-        model = ml.train(name, prepared.filter(~F.col("is_test")))
-        return model.transform(prepared.filter("is_test")).select("loja_id", "mes", "label", "prediction")
+        data, _ = _assembled(spark, sf_dir)
+        model = ml.train(name, data.filter(~F.col("is_test")))
+        return model.transform(data.filter("is_test")).select("loja_id", "mes", "label", "prediction")
     return run
 
 
 def _model_metrics(spark, sf_dir):
+    data, _ = _assembled(spark, sf_dir)
     frames = []
     for i, name in enumerate(ml.MODELS, start=1):
-        m = ml.regression_metrics(_model_predictions(name)(spark, sf_dir))
+        model = ml.train(name, data.filter(~F.col("is_test")))
+        m = ml.regression_metrics(model.transform(data.filter("is_test")))
         frames.append(m.select(F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "*"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return frames[0].unionByName(frames[1])
+
+
+def _forest_range(spark, sf_dir):
+    """Test rows with the verdict that their prediction lies between the least and greatest training target."""
+    data, _ = _assembled(spark, sf_dir)
+    fit_rows = data.filter(~F.col("is_test"))
+    model = ml.train("RandomForest", fit_rows)
+    lo, hi = fit_rows.agg(F.min("label"), F.max("label")).first()
+    return model.transform(data.filter("is_test")).select(
+        "loja_id", "mes", "label", F.col("prediction").between(lo - 1e-6, hi + 1e-6).alias("dentro"))
 
 
 QUERIES.update({
     "ml_dummies": _dummies_long,
+    "ml_dummies_muitos_niveis": _dummies_many_levels,
+    "ml_floresta_limites": _forest_range,
     "ml_split": lambda spark, sf_dir: _split_panel(spark, sf_dir).select("loja_id", "mes", "is_test"),
     "ml_metricas": _baseline_metrics,
     "ml_selecao": lambda spark, sf_dir: ml.select_best(_baseline_metrics(spark, sf_dir)),

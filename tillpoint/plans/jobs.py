@@ -15,18 +15,17 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.operators import features as feat
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
 from tillpoint.operators.quality import audit
-from tillpoint.operators.validate import (MSG_MISSING_COLUMN, clean_sales, missing_columns, report_from_metrics,
-                                         validation_metrics)
+from tillpoint.operators.validate import (MSG_MISSING_COLUMN, clean_sales, missing_columns, only_store,
+                                         report_from_metrics, validation_metrics)
 from tillpoint.session import checkpoint_dir
-from tillpoint.sources.io import stage_done, write_table
+from tillpoint.sources.io import content_key, content_metrics, key_from_metrics, stage_done, write_table
 
 
 @dataclass
@@ -69,18 +68,6 @@ class _Clock:
         return self.report
 
 
-# Groupings whose aggregate several feature tables share, and the reduction that makes sharing worthwhile.
-SHARED_GROUPINGS = ("diario_loja", "cliente_mes")
-SHARE_MIN_REDUCTION = 2.0
-
-
-def _group_estimates() -> list:
-    """HyperLogLog estimates of the shared groupings' sizes, observed during the cleaning write (no extra pass)."""
-    return [F.approx_count_distinct(F.struct("data_venda", "loja_id")).alias("diario_loja"),
-            F.approx_count_distinct(F.struct("cliente_id", F.year("data_venda") * 100 + F.month("data_venda")))
-            .alias("cliente_mes")]
-
-
 def new_run_dir(spark: SparkSession, job: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{job}-{uuid.uuid4().hex[:12]}"
 
@@ -109,10 +96,11 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
                  run_dir: str | None = None, mode: str = "overwrite", parallel: int = 8,
                  partition_by_month: bool = False) -> RunReport:
     """Feature engine: validate → clean → 8 feature tables → save. An invalid input stops before anything is
-    written to ``output_dir``, and the problems are returned.
+    written, and the problems are returned.
 
-    Validation and cleaning share one pass: the validation counts are observed metrics of the write of the cleaned
-    table (stage output in ``run_dir``), so the multi-way sales join is evaluated once for both."""
+    Validation is one aggregate over the input, which also yields a key of its rows. Stage outputs carry that key, so a
+    rerun with the same ``run_dir`` goes on from them only when the input is the same; a failed validation leaves nothing
+    to go on from."""
     rep = RunReport("features")
     clock = _Clock(rep)
     run_dir = run_dir or new_run_dir(spark, "features")
@@ -120,53 +108,27 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
     if absent:
         rep.errors = [MSG_MISSING_COLUMN % c for c in absent]
         return clock.done("validate_fail")
-    clean_path, report_path = f"{run_dir}/vendas_limpo", f"{run_dir}/validacao"
-    with clock.stage("validate+transform"):
-        if stage_done(clean_path, spark) and stage_done(report_path, spark):
-            # resume: the validation report was saved with the stage output; no pass over the input
-            saved = spark.read.parquet(report_path).first()
-            r = json.loads(saved["relatorio"])
-            rep.details["grupos_estimados"] = json.loads(saved["grupos"])
-        else:
-            # validation metrics are observed while the cleaned table is written: one pass over the input
-            obs = Observation("validacao")
-            clean_sales(vendas.observe(obs, *validation_metrics(vendas), *_group_estimates())) \
-                .write.mode("overwrite").parquet(clean_path)
-            r = report_from_metrics(vendas, obs.get)
-            rep.details["grupos_estimados"] = {k: obs.get.get(k) for k in SHARED_GROUPINGS}
-            spark.createDataFrame([(json.dumps(r), json.dumps(rep.details["grupos_estimados"]))],
-                                  "relatorio string, grupos string").coalesce(1) \
-                .write.mode("overwrite").parquet(report_path)
+    with clock.stage("validate"):
+        m = vendas.agg(*validation_metrics(vendas), *content_metrics(vendas)).first().asDict()
+        r = report_from_metrics(vendas, m)
     rep.details.update(linhas=r["linhas"], colunas=r["colunas"], nulos=dict(r["nulos_por_coluna"] or {}),
-                       removidas=r["removidas"], vendas_limpo=clean_path)
+                       removidas=r["removidas"], run_dir=run_dir)
     if not r["valido"]:
         rep.errors = list(r["problemas"])
         return clock.done("validate_fail")
-    clean = spark.read.parquet(clean_path)
+    stage = f"{run_dir}/{key_from_metrics(vendas, m)}"
+    with clock.stage("transform"):
+        clean = _materialize(clean_sales(vendas), f"{stage}/vendas_limpo")
+        rep.details["vendas_limpo"] = f"{stage}/vendas_limpo"
     with clock.stage("feature_calc+save"):
-        # A shared aggregate (day × store for F1/F4/F6/F7, customer × month for F2/F5) is computed once and kept
-        # (memory, spilling to disk) only when the estimates observed during cleaning say it shrinks the fact at least
-        # SHARE_MIN_REDUCTION times — then the fact is scanned 4 times instead of 8. Otherwise each table aggregates
-        # the fact itself, which is cheaper than materializing a near-copy. Kept blocks have a short lineage (the
-        # cleaned table is already written), so a lost executor recomputes them from Parquet.
-        est = rep.details.get("grupos_estimados") or {}
-        rows = max(1, int(r["linhas"] or 0) - int(r["removidas"] or 0))
+        # day × store (F1, F4, F6, F7) and customer × month (F2, F5) are written once, so the cleaned table is scanned
+        # four times instead of eight
         builders = {"diario_loja": feat.daily_store, "cliente_mes": feat.customer_month}
-        to_share = [n for n in SHARED_GROUPINGS if est.get(n) is not None and est[n] * SHARE_MIN_REDUCTION <= rows]
-        rep.details["agregados_compartilhados"] = to_share
-
-        def keep(name):
-            df = builders[name](clean).persist(StorageLevel.MEMORY_AND_DISK)
-            df.count()
-            return name, df
         with ThreadPoolExecutor(max_workers=2) as pool:
-            shared = dict(pool.map(keep, to_share))
-        tables = feat.build_features(clean, ref_date, share=lambda df, name: shared.get(name, df))
+            shared = dict(pool.map(lambda n: (n, _materialize(builders[n](clean), f"{stage}/{n}")), builders))
+        tables = feat.build_features(clean, ref_date, share=lambda df, name: shared[name])
         rep.tables = _write_all(tables, output_dir, mode, parallel, partition_by_month)
-        for df in shared.values():
-            df.unpersist()
     rep.rows = sum(rep.tables.values())
-    rep.details["run_dir"] = run_dir
     return clock.done("done")
 
 
@@ -177,6 +139,12 @@ def run_quality(spark: SparkSession, clientes: DataFrame, ref_date: dt.date, **a
     with clock.stage("audit"):
         a = audit(clientes, ref_date, **audit_kw).freeze()  # the two passes; the rest is one bounded row
         r = a.report().first()
+        rep.details.update(
+            colunas_criticas=[x.asDict() for x in a.completude_table().where("critica").collect()],
+            frescor=a.frescor().first().asDict(),
+            duplicatas={x["coluna"]: x["duplicatas"] for x in a.unicidade_table().collect()},
+            violacoes={x["regra"]: x["violacoes"] for x in a.consistencia_table().collect()},
+            outliers={x["coluna"]: x["outliers"] for x in a.acuracia_table().collect()})
     rep.details.update(linhas=r["linhas"], dimensoes=[d.asDict() for d in r["dimensoes"]],
                        score_qualidade=r["score_qualidade"], severidade=r["severidade"],
                        alertas=[x.asDict() for x in r["alertas"]])
@@ -185,27 +153,30 @@ def run_quality(spark: SparkSession, clientes: DataFrame, ref_date: dt.date, **a
 
 
 def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id=None,
-                 models: list[str] | None = None, run_dir: str | None = None, model_params: dict | None = None
-                 ) -> RunReport:
+                 models: list[str] | None = None, run_dir: str | None = None, model_params: dict | None = None,
+                 train_partitions: int = ml.TRAIN_PARTITIONS) -> RunReport:
     """Forecast: load → split → train → evaluate → select → deploy (best full pipeline saved to ``output_dir``)."""
     rep = RunReport("forecast")
     clock = _Clock(rep)
+    fresh = run_dir is None
     run_dir = run_dir or new_run_dir(spark, "forecast")
     models = models or list(ml.MODELS)
     with clock.stage("load"):
-        panel = _materialize(panel, f"{run_dir}/painel")
+        # a folder of the caller may hold outputs of another panel or store: the key tells them apart
+        stage = run_dir if fresh else f"{run_dir}/{content_key(panel, loja_id)}"
+        panel = _materialize(panel, f"{stage}/painel")
         summary = panel.agg(F.count_distinct("loja_id").alias("n_lojas"),
                             F.count_distinct("mes").alias("n_meses")).first()
     with clock.stage("split"):
-        prepared, names, feats = ml.prepare_features(panel, loja_id=loja_id)
-        split = _materialize(ml.exact_split(prepared.drop("features")), f"{run_dir}/split")
-        data = feats.stages[-1].transform(split).select(*ml.SPLIT_KEYS, "is_test", "features", "label")
-        n_parts = max(1, spark.sparkContext.defaultParallelism)
-        data = data.repartition(n_parts).persist()
+        _, names, feats = ml.prepare_features(panel, loja_id=loja_id)
+        split = _materialize(ml.exact_split(only_store(panel, loja_id)), f"{stage}/split")
+        data = feats.transform(split).select(*ml.SPLIT_KEYS, "is_test", "features",
+                                             F.col(ml.TARGET).cast("double").alias("label"))
+        data = ml.training_layout(data, partitions=train_partitions).persist()
         train_df, test_df = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
         sizes = data.groupBy("is_test").count().collect()
     counts = {bool(r["is_test"]): r["count"] for r in sizes}
-    rep.details.update(n_lojas=summary["n_lojas"], n_meses=summary["n_meses"], n_features=len(names),
+    rep.details.update(n_lojas=summary["n_lojas"], n_meses=summary["n_meses"], n_features=len(names), feature_names=names,
                        n_treino=counts.get(False, 0), n_teste=counts.get(True, 0))
     results, fitted = [], {}
     with clock.stage("train+evaluate"):
@@ -214,6 +185,8 @@ def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id
             fitted[name] = model
             m = ml.regression_metrics(model.transform(test_df)).first().asDict()
             results.append(dict(ordem=order, modelo=name, **m))
+            if name == "LinearRegression":
+                rep.details["ridge"] = model.getRegParam()
     with clock.stage("select+deploy"):
         best = max(results, key=lambda r: (r["r2"] if r["r2"] is not None else float("-inf"), -r["ordem"]))
         final = ml.full_model(feats, fitted[best["modelo"]])
@@ -225,6 +198,7 @@ def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id
     return clock.done("done")
 
 
-def panel_from_sales(vendas: DataFrame, categories: list[str], cleaned: bool = False) -> DataFrame:
-    """Derive the forecast panel from sales (pass ``cleaned=True`` for the feature job's cleaned stage output)."""
+def panel_from_sales(vendas: DataFrame, categories: list[str] | None = None, cleaned: bool = False) -> DataFrame:
+    """Derive the forecast panel from sales (pass ``cleaned=True`` for the feature job's cleaned stage output); the
+    categories come from the data unless a list is given."""
     return build_panel(vendas if cleaned else clean_sales(vendas), categories)

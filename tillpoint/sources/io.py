@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +43,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         w = df.write.mode(mode)
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         return df.sparkSession.read.parquet(path).count()
+    if partition_by:
+        # one partition's rows together, a large partition split, a small one not scattered over many files
+        df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{abs(hash(path))}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
@@ -55,14 +57,27 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def stage_done(path: str, spark: SparkSession | None = None) -> bool:
     """True when a stage output at ``path`` was committed (Spark writes ``_SUCCESS`` on commit).
 
-    Local paths are checked directly; any other file system (HDFS, object stores) through Spark's own reader.
+    The check goes through the file system of the path, so a path without a scheme means the default one.
     """
-    local = path[5:] if path.startswith("file:") else path
-    if "://" not in local:
-        return os.path.exists(os.path.join(local, "_SUCCESS"))
     spark = spark or SparkSession.getActiveSession()
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
+    jvm = spark._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(done)
+
+
+def content_key(df: DataFrame, *params) -> str:
+    """Key of a stage output: follows the columns, every row (in any order, repeated rows counted) and ``params``."""
+    r = df.agg(*content_metrics(df)).first()
+    return key_from_metrics(df, r, *params)
+
+
+def content_metrics(df: DataFrame) -> list:
+    """Aggregates from which :func:`key_from_metrics` makes the key, to be computed beside others in one pass."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    row = F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\\N")) for c in cols]).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("_n"), F.sum(row).alias("_soma")]
+
+
+def key_from_metrics(df: DataFrame, m, *params) -> str:
+    text = "|".join([df.schema.simpleString(), str(m["_n"]), str(m["_soma"]), *map(str, params)])
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
