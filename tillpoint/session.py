@@ -68,10 +68,11 @@ def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and continue from the written table.
 
     Cuts the lineage (a lost executor re-reads the table instead of recomputing the inputs) and computes the plan
-    exactly once — unlike an RDD checkpoint, which evaluates an unpersisted plan a second time to save it.
+    exactly once — unlike an RDD checkpoint, which evaluates an unpersisted plan a second time to save it. These tables
+    are read a few times at most, so they are written with the smaller codec (zstd).
     """
     import uuid
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
