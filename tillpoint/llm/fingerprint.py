@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.session import materialize
-
 #: Code points of a k-mer and of the inner substrings whose least hash decides about it.
 K, S = 24, 9
 #: Anchors of a fingerprint: those with the least hashes among all syncmers of the whole text.
@@ -120,14 +119,56 @@ def _compare(key, text: str, own, following: str, following_anchors) -> tuple:
             encode(changed), likeness(own, changed), likeness(own, following_anchors))
 
 
+def _ranges(rows: DataFrame, n: int) -> list[tuple]:
+    """First key (id, first characters) of each of at most ``n`` ranges of about equal row counts, descending.
+
+    Only keys are shuffled; ``n`` keys at most reach the driver.
+    """
+    keys = rows.select(F.struct("id", _start().alias("p")).alias("key"))
+    dealt = keys.repartitionByRange(n, F.col("key.id").desc_nulls_last(), F.col("key.p").desc())
+    firsts = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.max("key").alias("key")).collect()
+    return sorted(((r.key.id is not None, r.key.id, r.key.p) for r in firsts), reverse=True)
+
+
+def _start():
+    """The first characters of a text: enough to part rows that share an id, in the order of the whole texts."""
+    return F.substring("t", 1, 32)
+
+
+def _with_range(rows: DataFrame, firsts: list[tuple]) -> DataFrame:
+    """Rows with the number of their range."""
+    ascending = firsts[::-1]
+
+    @F.arrow_udf("int")
+    def place(ids: pa.Array, starts: pa.Array) -> pa.Array:
+        return pa.array([max(0, len(ascending) - 1 - bisect_left(ascending, (i is not None, i, p)))
+                         for i, p in zip(ids.to_pylist(), starts.to_pylist())], pa.int32())
+
+    return rows.withColumn("part", place("id", _start()))
+
+
+def _stream(columns: list[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = None
+        for pdf in batches:
+            out = []
+            for key, text in zip(pdf["id"], pdf["t"]):
+                own = anchors(text)
+                if before:
+                    out.append(_compare(*before, text, own))
+                before = (key, text, own)
+            yield pd.DataFrame(out, columns=columns, dtype=object)
+    return run
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  partitions: int | None = None) -> DataFrame:
     """Fingerprint every whole text, its edited text, and compare it with both that and the next document.
 
     The next document is the one after it by descending id, then descending text (equal rows follow each other);
-    after the last comes the first. One range shuffle sorts the texts; within a partition each text meets the next in a
-    stream, one text held at a time. Only the first and the last row of each partition cross over: they are written
-    apart and joined by the partition's number, so no order runs through one task.
+    after the last comes the first. A pass over keys cuts the order into ranges. One shuffle brings each range, and a copy
+    of the first row of the range after it, into one partition; there each text meets the next in a stream, one text
+    held at a time. No order runs through one task and nothing is written in between.
 
     Defined cases: null texts count as empty; repeated rows each come out, and are each other's next; null ids come
     last; a single row is its own next; an empty table gives none; further columns are ignored.
@@ -136,43 +177,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    order = [F.col("id").desc_nulls_last(), F.col("t").desc()]
-    dealt = rows.repartitionByRange(n, F.col("id").desc_nulls_last(), F.xxhash64("t"))
-    result = [f.split(" ")[0] for f in SCHEMA.format(kind=kind).split(", ")]
-
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-        none = (None,) * (len(result) - 1)
-        before = None
-        for pdf in batches:
-            out = []
-            for key, text in zip(pdf["id"], pdf["t"]):
-                own = anchors(text)
-                out.append((*_compare(*before, text, own), part, -1, None) if before else
-                           (None, *none, part, 0, text))
-                before = (key, text, own)
-            yield pd.DataFrame(out, columns=[*result, "part", "edge", "t"], dtype=object)
-        if before:
-            yield pd.DataFrame([(before[0], *none, part, 1, before[1])], columns=[*result, "part", "edge", "t"],
-                               dtype=object)
-
-    both = materialize(dealt.sortWithinPartitions(*order).mapInPandas(
-        stream, f"{SCHEMA.format(kind=kind)}, part int, edge int, t string"), "fingerprints")
-    # one first and one last row per partition, in a ring
-    firsts = both.where("edge = 0").select("part", "t")
-    ring = (firsts.select("part").withColumn("follows", F.coalesce(
-        F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())))
-        .select(F.col("part").alias("r_part"), "follows"))
-    lasts = both.where("edge = 1").select("part", "id", "t")
-    seams = (lasts.join(ring, F.col("part") == F.col("r_part")).select("id", "t", "follows")
-             .join(firsts.select(F.col("part").alias("f_part"), F.col("t").alias("following")),
-                   F.col("follows") == F.col("f_part")).select("id", "t", "following"))
-
-    def seam(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([_compare(k, t, anchors(t), f, anchors(f))
-                                for k, t, f in zip(pdf["id"], pdf["t"], pdf["following"])], columns=result,
-                               dtype=object)
-
-    out = both.where("edge = -1").select(*result).unionByName(seams.mapInPandas(seam, SCHEMA.format(kind=kind)))
+    firsts = _ranges(rows, n)
+    # the first row of every range goes to the range before it (of the first one: to the last), after its own rows
+    heads = spark.createDataFrame([(i, p, (at or len(firsts)) - 1) for at, (_, i, p) in enumerate(firsts)],
+                                  f"h_id {kind}, h_start string, part int")
+    copies = (rows.join(F.broadcast(heads), F.col("id").eqNullSafe(F.col("h_id")) & (_start() == F.col("h_start")))
+              .groupBy("part").agg(F.max(F.struct("id", "t")).alias("head"))
+              .select("head.id", "head.t", "part", F.lit(1).alias("copy")))
+    dealt = (_with_range(rows, firsts).withColumn("copy", F.lit(0)).unionByName(copies)
+             .repartitionById(n, F.col("part"))
+             .sortWithinPartitions("copy", F.col("id").desc_nulls_last(), F.col("t").desc()))
+    columns = [f.split(" ")[0] for f in SCHEMA.format(kind=kind).split(", ")]
+    out = dealt.select("id", "t").mapInPandas(_stream(columns), SCHEMA.format(kind=kind))
     return out.withColumnRenamed("id", id_col)
