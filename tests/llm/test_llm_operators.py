@@ -190,6 +190,18 @@ def test_jaccard_edges(docs, empty):
     assert 13 not in ids and ids.count(9) == 1 and {1, 2, 3, 4, 12, None} <= set(ids)
 
 
+def test_unlinked_texts_of_one_name_stay(spark):
+    texts = [" ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"]
+    near = texts[0] + " more"
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, near), (5, texts[3]), (5, texts[4]), (6, texts[4]),
+            (5, texts[5])]
+    kept = jaccard.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = rows_of(kept, "doc_id", "text")
+    assert sum(left[None, t] for t in (texts[0], near)) == 1
+    assert left - Counter([(None, texts[0]), (None, near)]) == Counter(
+        [(None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5])])
+
+
 def test_frequent_members(spark, monkeypatch):
     """A low limit drives every pair through hubs and blocks."""
     monkeypatch.setattr(jaccard, "FREQUENT", 2)

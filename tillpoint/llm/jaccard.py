@@ -334,9 +334,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Defined cases: null and empty texts and texts without words have no members and are linked with nothing, not even
     each other; fewer words than ``n`` are one n-gram; repeated rows each come out, with the same component; null ids
-    are linked too, but never name a component unless all its ids are null; an empty table gives none; further columns
-    are ignored.
+    are linked too, but never name a component unless all its ids are null; components of equal least id share a name
+    (``drop_copies`` does not go by it); an empty table gives none; further columns are ignored.
     """
+    return _named_groups(docs, id_col, text_col, n, percent).drop("comp")
+
+
+def _named_groups(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """``jaccard_groups`` with ``comp``, the least node of the component, which tells apart those of one name."""
     texts = _documents(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -366,7 +371,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = named.where("size > 0").groupBy(F.col("comp").alias("l_comp")).agg(F.min("id").alias("least"))
     least = materialize(least, "group-names")
     return (named.join(least, F.col("comp") == F.col("l_comp"), "left")
-            .select(F.col("id").alias(id_col), "node", F.col("size").alias("n_shingles"),
+            .select(F.col("id").alias(id_col), "node", F.col("size").alias("n_shingles"), named["comp"],
                     F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")))
 
 
@@ -374,12 +379,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = 90) -> DataFrame:
     """The rows of ``docs``, all columns, without all but one document of each group: the least id stays.
 
-    Texts without words stay. Of repeated rows (equal id and text) one stays; where ids repeat within a group, the least
+    Texts without words stay. A group is a component, not its name: texts that are not linked all stay, whether their ids
+    are null or repeat. Of repeated rows (equal id and text) one stays; where ids repeat within a group, the least
     text hash decides.
     """
-    groups = materialize(jaccard_groups(docs, id_col, text_col, n, percent), "jaccard-groups")
+    groups = materialize(_named_groups(docs, id_col, text_col, n, percent), "jaccard-groups")
     empty = groups.where("n_shingles = 0").select(id_col, "node")
-    stay = (groups.where("n_shingles > 0").groupBy("component_id")
+    stay = (groups.where("n_shingles > 0").groupBy("comp")
             .agg(F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("node"))).alias("s"))
             .select(F.col("s.id").alias(id_col), F.col("s.node").alias("node")).unionByName(empty))
     stay = stay.select(F.col(id_col).alias("s_id"), F.col("node").alias("s_node")).distinct()
