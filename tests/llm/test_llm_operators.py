@@ -348,6 +348,20 @@ def test_syncmers():
     assert fingerprint.likeness(one, swapped) < 0.8
 
 
+def test_long_texts_keep_all_syncmers():
+    """A small change and a shared passage show at every length."""
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdefgh "), 120_000))
+    one = fingerprint.anchors(text)
+    h, at = fingerprint.syncmers(text)
+    assert set(one[0].tolist()) == set(h.tolist()) and len(fingerprint.encode(one).split()) == len(one[0]) > 10_000
+    assert fingerprint.encode(one) == " ".join(f"{a:08x}@{b:x}" for a, b in zip(*one))
+    changed = fingerprint.anchors(text[:60_000] + "z" * 40 + text[60_040:])
+    assert fingerprint.encode(changed) != fingerprint.encode(one) and 0.998 < fingerprint.likeness(one, changed) < 1.0
+    other = fingerprint.anchors("".join(rng.choice(list("abcdefgh "), 119_700)) + text[5_000:5_300])
+    assert 20 / 60_000 < fingerprint.likeness(one, other) < 60 / 20_000
+
+
 # 10 -------------------------------------------------------------------------------------------------------------
 def test_shards(spark, docs, empty, tmp_out):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

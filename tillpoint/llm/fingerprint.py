@@ -12,12 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Code points of a k-mer and of the inner substrings whose least hash decides about it.
+#: Code points of a k-mer and of the inner substrings whose least hash decides about it: 2 of K - S + 1 k-mers are anchors.
 K, S = 24, 9
-#: Anchors of a fingerprint: those with the least hashes among all syncmers of the whole text.
-ANCHORS = 96
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 20
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -72,34 +71,45 @@ def syncmers(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ``ANCHORS`` syncmers of least hash, each at its first position, in order of the hash."""
+    """All closed syncmers of the text, each content once at its first position, in order of the hash."""
     h, pos = syncmers(text)
     h, first = np.unique(h, return_index=True)
-    return h[:ANCHORS], pos[first][:ANCHORS]
+    return h, pos[first]
 
 
 def encode(found: tuple[np.ndarray, np.ndarray]) -> str:
     """Anchors as text: eight hex digits of hash and a position in base 16, parted by blanks."""
-    return " ".join(f"{h:08x}@{p:x}" for h, p in zip(found[0].tolist(), found[1].tolist()))
+    h, pos = found
+    if not len(h):
+        return ""
+    width = max(1, -(-int(pos.max()).bit_length() // 4))
+    out = np.empty((len(h), width + 10), np.uint8)
+    out[:, :8] = _HEX[(h[:, None] >> np.arange(28, -4, -4, dtype=np.uint32)) & np.uint32(15)]
+    out[:, 8], out[:, -1] = ord("@"), ord(" ")
+    shifts = np.arange(4 * width - 4, -4, -4)
+    out[:, 9:-1] = _HEX[(pos[:, None] >> shifts) & 15]
+    shown = np.ones(out.shape, bool)
+    shown[:, 9:-2] = pos[:, None] >> shifts[:-1] > 0  # no leading zeros
+    return out[shown][:-1].tobytes().decode("ascii")
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Share of the anchors of both texts' union sketch that match in both content and order, between 0 and 1.
+    """Share of the anchors of both texts' union that match in both content and order, between 0 and 1.
 
-    Of the least hashes of the union those in both are matched; of the matched, the longest run of anchors whose
-    positions rise in both texts counts, so passages in another order do not. Two empty texts have likeness 1.
+    All anchors count, at any length. Of those in both texts, the longest run whose positions rise in both counts, so
+    passages in another order do not. Two empty texts have likeness 1.
     """
     if not len(a[0]) and not len(b[0]):
         return 1.0
-    union = np.union1d(a[0], b[0])[:ANCHORS]
-    both, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    inside = np.isin(both, union, assume_unique=True)
-    pa, pb = a[1][ia][inside], b[1][ib][inside]
+    _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    pa, pb = a[1][ia], b[1][ib]
     ends: list[int] = []  # longest rising subsequence
     for p in pb[np.argsort(pa, kind="stable")].tolist():
-        i = int(np.searchsorted(ends, p))
-        ends[i:i + 1] = [p]
-    return len(ends) / len(union)
+        if not ends or p > ends[-1]:
+            ends.append(p)
+        else:
+            ends[bisect_left(ends, p)] = p
+    return len(ends) / (len(a[0]) + len(b[0]) - len(ia))
 
 
 def edited(text: str, following: str) -> str:
@@ -168,7 +178,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The next document is the one after it by descending id, then descending text (equal rows follow each other);
     after the last comes the first. A pass over keys cuts the order into ranges. One shuffle brings each range, and a copy
     of the first row of the range after it, into one partition; there each text meets the next in a stream, one text
-    held at a time. No order runs through one task and nothing is written in between.
+    held at a time. No order runs through one task and nothing is written in between. Fingerprints grow with the text: one
+    anchor for about (K - S + 1) / 2 code points, at every length.
 
     Defined cases: null texts count as empty; repeated rows each come out, and are each other's next; null ids come
     last; a single row is its own next; an empty table gives none; further columns are ignored.
