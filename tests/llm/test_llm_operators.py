@@ -138,6 +138,27 @@ def test_html(spark):
     assert (html_text.train_tree(x[half], y[half]).predict(x[~half]) == y[~half]).mean() > 0.99
 
 
+def test_html_names_and_quotes():
+    word, tree = "alpha beta gamma delta " * 9, html_text.train_tree(*html_text.labelled_table())
+    text = word.strip()
+    tail = f"<div class='sidebar'><p>{word}</p></div><div class='comment-list'><p>{word}</p></div>"
+    for html, want in [
+        (f"<body class='page has-sidebar'><article><p>{word}</p></article>{tail}</body>", text),
+        (f"<body class='page sidebar'><article class='post comments-open'><h1>T</h1><p>{word}</p></article>{tail}", f"T\n{text}"),
+        (f"<main class='search'><p>{word}</p></main>{tail}", text),
+        (f"<article><div class='post-header'><h1>Title</h1></div><p>{word}</p></article>{tail}", f"Title\n{text}"),
+        (f"<div class='wrap with-sidebar'><div class='post tag-privacy'><p>{word}</p></div>{tail}</div>", text),
+        (f"<article><p>{word}</p><div class='post-comments'><p>{word}</p></div></article>{tail}", text),
+        (f"<article><p title=it's>First {word}</p><p>Second, it's fine {word}</p></article>",
+         f"First {text}\nSecond, it's fine {text}"),
+        (f"<article><p title='a > b' alt=\"it's\" data-x = 'y'>{word}</p></article>", text),
+        (f"<article><p title='the hidden class ad'>{word}</p></article>", text),
+    ]:
+        assert html_text.main_text(html, tree) == want, html
+    cut = "<article><p>kept</p><b " + "a='1' " * 20_000
+    assert [b.text for b in html_text.text_blocks(cut)] == ["kept"]
+
+
 # 5 --------------------------------------------------------------------------------------------------------------
 def brute_groups(rows, n, percent):
     sets, root = [], list(range(len(rows)))

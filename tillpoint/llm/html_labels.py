@@ -25,6 +25,19 @@ _ARTICLES = [
 ]
 
 
+#: (before the article, after it) of pages whose names tell states and parts of the article: {h} the title, {m} its blocks.
+_NAMED = [
+    ("<body class='page has-sidebar'><div id='header'>{a}</div><div class='content'><h1>{h}</h1>{m}</div>",
+     "<div class='sidebar'><p>{b}</p></div><footer>{c}</footer></body>"),
+    ("<body><nav><ul>{l}</ul></nav><article class='post comments-open'><h1>{h}</h1>{m}</article>",
+     "<div class='comment-list'><p>{b}</p></div><footer>{a}</footer></body>"),
+    ("<body class=comments-open><div class='site-header'>{a}</div><article><div class='post-header'><h1>{h}</h1></div>{m}",
+     "</article><aside><p>{b}</p></aside></body>"),
+    ("<html class='no-js'><body class='with-sidebar'><div id='page' class='layout-sidebar-right'><main><h1>{h}</h1>{m}</main>",
+     "<div class='cookie-notice'><p title=it's>{b}</p></div></div></body></html>"),
+]
+
+
 #: What a main block of a labelled page ends with; all other blocks end with a full stop.
 LABEL = ";"
 
@@ -49,6 +62,12 @@ def labelled_pages(seed: int = 5, pages: int = 168) -> list[str]:
         html = (f"<!DOCTYPE html><html><head><title>{title}</title></head><body>{start.format(**fill)}"
                 f"{opening}<h1>{title}</h1>{body}{closing}{end.format(**fill)}</body></html>")
         out.append(html)
+    for i in range(24):
+        start, end = _NAMED[i % len(_NAMED)]
+        main = "".join(f"<p>{_words(rng, int(n), LABEL)}</p>" for n in rng.choice([1, 2, 4, 9, 30, 80], rng.integers(2, 6)))
+        links = "".join(f"<li><a href='/{j}'>{_words(rng, 2)}</a></li>" for j in range(6))
+        out.append((start + end).format(h=_words(rng, 6, LABEL), m=main, l=links, a=_words(rng, 8), b=_words(rng, 20),
+                                        c=_words(rng, 3)))
     for n in (1, 2, 3, 8, 40, 120):  # text without any markup
         out.append(_words(rng, n, LABEL))
     return out

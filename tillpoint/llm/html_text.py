@@ -35,8 +35,16 @@ FRAME_WORDS = frozenset("""ad ads adv advert advertisement adverts banner breadc
     sharing sidebar signup skip social sponsor sponsored subscribe tags teaser toolbar topbar tracking warning
     widget""".split())
 MAIN_WORDS = frozenset("article articlebody body content entry main maincontent post story text".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: Parts of a name that tell a state or a layout of the element, not what it is: has-sidebar, comments-open.
+STATE_WORDS = frozenset("""has have no not with without open opened closed enabled disabled active inactive layout
+    js""".split())
+#: Frame words that name the head of an article when an article word comes before them: post-header.
+HEAD_WORDS = frozenset("header banner masthead".split())
+# A quote is a delimiter only at the start of a value; possessive, so that cut-off tags cost no backtracking.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)"""
+                    r"""((?:[^>=]++|=\s*+(?>"[^"]*"|'[^']*'|[^\s>"'][^\s>]*|))*+)>""", re.S)
+_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+_MARKED = re.compile(r"class|id|role|hidden|style", re.I)
 _BLANK = re.compile(r"\s+")
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "in_frame",
             "in_main", "page_has_main", "is_heading")
@@ -77,20 +85,50 @@ class _Builder:
         self.parts.clear()
 
 
+def _names(value: str) -> tuple[bool, bool]:
+    """(names what surrounds an article, names the article) of a class, id or role value, name by name.
+
+    A whole name counts first. Of a name of several words, a frame word counts unless the element also has a whole main
+    name, the name tells a state or layout, or it is the head of an article.
+    """
+    frame = main = part_frame = part_main = False
+    for name in value.split():
+        if name in FRAME_WORDS or name in MAIN_WORDS:
+            frame |= name in FRAME_WORDS
+            main |= name in MAIN_WORDS
+            continue
+        parts = [w for w in re.split(r"[^a-z]+", name) if w]
+        if STATE_WORDS.intersection(parts):
+            continue
+        surrounds = FRAME_WORDS.intersection(parts)
+        if not surrounds:
+            part_main |= bool(MAIN_WORDS.intersection(parts))
+        elif not (surrounds <= HEAD_WORDS and parts[0] in MAIN_WORDS and parts[0] not in ("main", "body")):
+            part_frame = True
+    return frame or part_frame and not main, main or part_main
+
+
 def _marks(name: str, attributes: str) -> tuple[bool, bool]:
-    """(belongs to what surrounds an article, belongs to the article), from the element and its names."""
-    frame, main = name in FRAME, name in ("article", "main")
-    for key, value in _ATTR.findall(attributes) if attributes else ():
+    """(belongs to what surrounds an article, belongs to the article), from the element and its names.
+
+    The whole page is neither. Names do not make an ``article`` or ``main`` element part of what surrounds one.
+    """
+    if name in ("html", "body"):
+        return False, False
+    own = name in ("article", "main")
+    frame, main = name in FRAME, own
+    named_frame = named_main = False
+    for key, value in _ATTR.findall(attributes) if _MARKED.search(attributes) else ():
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
             frame = True
         elif key == "style":
             frame |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         elif key in ("class", "id", "role"):
-            words = set(re.split(r"[^a-z]+", value)) if not value.isalpha() else {value}
-            frame |= bool(words & FRAME_WORDS)
-            main |= bool(words & MAIN_WORDS) and name not in ("body", "html")
-    return frame, main
+            f, m = _names(value)
+            named_frame |= f
+            named_main |= m
+    return frame or named_frame and not own, main or named_main
 
 
 def text_blocks(html: str | None) -> list[Block]:
