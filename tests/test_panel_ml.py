@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.operators import ml
 from tillpoint.operators.panel import build_panel
+from tillpoint.plans.catalog import QUERIES
 
 from functools import reduce
 
@@ -102,6 +103,26 @@ def test_more_levels_than_any_former_limit(spark):
     assert len(enc.names()) == 3999 and ml.dummies_long(df, enc, ["regiao"], nonzero=True).count() == 3999
 
 
+def test_levels_as_a_table(spark, monkeypatch):
+    values = [f"n{i * 7919 % 3000}" for i in range(3000)] + ["é", "", "n5", None]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, c string").repartition(5)
+    levels = ml.level_table(df, "c")
+    want = sorted({v for v in values if v is not None})
+    assert {r.nivel: r.posicao for r in levels.collect()} == {v: i for i, v in enumerate(want)}
+    other = spark.createDataFrame([(1, "é"), (1, "é"), (2, "n7"), (3, None), (4, "unseen"), (5, "")], "k long, c string")
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    assert rows(ml.dummies_by_table(other, "c", levels, ["k"])) == [(1, "c_é", 1.0), (1, "c_é", 1.0), (2, "c_n7", 1.0)]
+    for table in (other, other.where("k = 3"), other.where("k = 2"), other.where("false")):
+        by_table = ml.dummies_by_table(table, "c", ml.level_table(table, "c"), ["k"])
+        assert rows(by_table) == rows(ml.dummies_long(table, ml.fit_dummies(table, ["c"]), ["k"], nonzero=True))
+
+    def gathers(*_):
+        raise AssertionError("levels pass through the driver")
+    monkeypatch.setattr(ml, "fit_dummies", gathers)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert QUERIES["ml_dummies_muitos_niveis"](spark, "/root/testdata/sf0.001").count() == orders - 1
+
+
 @pytest.mark.parametrize("n,test", [(0, 0), (1, 1), (37, 8), (1000, 200), (3001, 601)])
 def test_exact_split_sizes(spark, n, test):
     df = spark.range(n).select(F.col("id").alias("loja_id"), F.lit("2024-05").alias("mes"))

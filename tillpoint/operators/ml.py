@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.functions.numeric import safe_div
 from tillpoint.operators.quality import round_even
+from tillpoint.session import materialize
 
 # The numeric features of the forecast (shares are appended per category) and the categoricals.
 BASE_FEATURES = [
@@ -64,7 +65,8 @@ def fit_dummies(df: DataFrame, columns: list[str]) -> Dummies:
 
     ``StringIndexer`` counts the levels in the cluster. An indexer of the levels kept puts the first level, NULL and
     unseen values in its last slot, which ``OneHotEncoder`` drops: they are all zeros. The vectors are sparse, so a
-    row costs one entry per column however many levels there are.
+    row costs one entry per column however many levels there are. The levels pass through the driver and are part of the
+    model: this is for the few categoricals of a model; ``level_table`` has no such bound.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -103,6 +105,35 @@ def dummies_long(df: DataFrame, dummies: Dummies, keys: list[str], nonzero: bool
     return reduce(DataFrame.unionByName, frames)
 
 
+def level_table(df: DataFrame, column: str) -> DataFrame:
+    """(nivel, posicao) of every level of ``column`` as text, by name from 0; NULL is none. The levels stay in the cluster.
+
+    A range partitioning orders the distinct levels; a level's place is its place in its partition plus the number of
+    levels in the partitions before. One count per partition is all that is gathered.
+    """
+    distinct = df.select(F.col(column).cast("string").alias("nivel")).dropna().distinct()
+    dealt = distinct.repartitionByRange("nivel").sortWithinPartitions("nivel")
+    # the id holds the partition above bit 33 and the row's place in it below
+    dealt = materialize(dealt.withColumn("_id", F.monotonically_increasing_id())
+                        .select("nivel", F.shiftright("_id", 33).alias("_parte"),
+                                F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_lugar")), "niveis")
+    before = (dealt.groupBy(F.col("_parte").alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+              .select("_p", (F.sum("n").over(Window.orderBy("_p")) - F.col("n")).alias("_antes")))
+    return (dealt.join(F.broadcast(before), F.col("_parte") == F.col("_p"))
+            .select("nivel", (F.col("_lugar") + F.col("_antes")).alias("posicao")))
+
+
+def dummies_by_table(df: DataFrame, column: str, levels: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, coluna, valor): the entries that are set, as ``dummies_long(..., nonzero=True)``, from a table of levels.
+
+    The first level, NULL and values without a level are all zeros and give no row. ``column`` is joined as text.
+    """
+    kept = levels.where("posicao > 0").select(F.col("nivel").alias("_nivel"))
+    rows = df.select(*keys, F.col(column).cast("string").alias("_valor"))
+    return (rows.join(kept, F.col("_valor") == F.col("_nivel"))
+            .select(*keys, F.concat(F.lit(f"{column}_"), F.col("_nivel")).alias("coluna"), F.lit(1.0).alias("valor")))
+
+
 def prepare_features(panel: DataFrame, target: str = TARGET, loja_id=None,
                      categorical: list[str] = CATEGORICAL) -> tuple[DataFrame, list[str], PipelineModel]:
     """M1: filter (optional store), fit dummies *after* the filter, assemble ``features``; label = ``target``.
@@ -271,5 +302,6 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str] = SPLIT_KEYS) -
     return model.transform(df).select(*keep, "prediction")
 
 
-__all__ = ["Dummies", "fit_dummies", "dummies_long", "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
+__all__ = ["Dummies", "fit_dummies", "dummies_long", "level_table", "dummies_by_table",
+           "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
            "save_model", "load_model", "predict", "full_model"]

@@ -136,7 +136,7 @@ def _dummies_long(spark, sf_dir):
 def _dummies_many_levels(spark, sf_dir):
     """As many levels as orders, the entries that are set."""
     orders = td.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("pedido"))
-    return ml.dummies_long(orders, ml.fit_dummies(orders, ["pedido"]), ["o_orderkey"], nonzero=True)
+    return ml.dummies_by_table(orders, "pedido", ml.level_table(orders, "pedido"), ["o_orderkey"])
 
 
 def _baseline_metrics(spark, sf_dir):
