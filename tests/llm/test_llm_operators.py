@@ -420,3 +420,17 @@ def test_hot_text_is_split(spark):
         F.concat(F.lit("t"), F.col("id"))).alias("text"))
     load = shards.shard_documents(rows, shards=4).groupBy("shard").agg(F.sum("size").alias("b")).toPandas().b
     assert len(load) == 4 and load.max() < 1.25 * load.min()
+
+
+def test_hot_slots_follow_measured_bytes(spark):
+    """A hot text under null ids spreads; beside one very long document nothing else is placed."""
+    small = spark.range(1500).select("id", F.concat(F.lit("t"), F.col("id")))
+    hot = spark.range(1500).select(F.lit(None).cast("long"), F.lit("hot " * 20))
+    out = shards.shard_documents(small.union(hot).toDF("doc_id", "text"), shards=4)
+    load = out.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("last")).toPandas()
+    assert len(load) == 4 and load.b.max() < 1.05 * load.b.min() and (load.n == load["last"] + 1).all() and load.n.sum() == 3000
+    many = spark.range(3000).select("id", F.concat(F.lit("x" * 90), F.col("id")))
+    long = spark.range(1).select(F.lit(-1).cast("long"), F.lit("y" * 150_000))
+    load = shards.shard_documents(many.union(long).toDF("doc_id", "text"), shards=4).groupBy("shard").agg(
+        F.sum("size").alias("b")).toPandas().b.sort_values().tolist()
+    assert load[3] < 1.01 * 150_001 and load[2] < 1.05 * load[0]

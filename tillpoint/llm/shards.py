@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import content_key, whole
-from tillpoint.session import checkpoint_dir
+from tillpoint.session import checkpoint_dir, materialize
 
 #: Fixed number of virtual slots; the map holds one row for each, whatever the size of the table.
 SLOTS = 4096
@@ -35,8 +35,9 @@ def rebalance(old: dict[int, int], weights: dict[int, int], shards: int, toleran
     """The next version of the map: as few slots as needed move from shards above the mean to shards below it.
 
     Slots on shards that no longer exist move first. Then the fullest shard gives the emptiest one the largest slot
-    that narrows the gap between them, until every shard is within ``tolerance`` of the mean or no move helps. The work
-    is on one number per slot, of which there is a fixed count.
+    that narrows the gap between them, until every shard is within ``tolerance`` of the mean or no move helps; a shard
+    that has no such slot (one very long document) is left, and the others go on. The work is on one number per slot, of
+    which there is a fixed count.
     """
     new = dict(old)
     load = dict.fromkeys(range(shards), 0)
@@ -47,14 +48,18 @@ def rebalance(old: dict[int, int], weights: dict[int, int], shards: int, toleran
         new[s] = min(load, key=lambda k: (load[k], k))
         load[new[s]] += weights.get(s, 0)
     mean = sum(load.values()) / max(1, shards)
+    stuck: set[int] = set()
     for _ in range(4 * len(new)):
-        high, low = max(load, key=lambda k: (load[k], -k)), min(load, key=lambda k: (load[k], k))
+        high, low = max(load.keys() - stuck, key=lambda k: (load[k], -k)), min(load, key=lambda k: (load[k], k))
         gap = load[high] - load[low]
         if load[high] <= mean * (1 + tolerance) and load[low] >= mean * (1 - tolerance):
             break
         movable = [s for s, k in new.items() if k == high and 0 < weights.get(s, 0) < gap]
         if not movable:
-            break
+            stuck.add(high)
+            if len(stuck) == len(load):
+                break
+            continue
         s = min(movable, key=lambda s: (abs(gap / 2 - weights[s]), s))
         new[s] = low
         load[high] -= weights[s]
@@ -81,8 +86,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Records are hashed by their text into ``slots`` virtual slots, bytes are summed per slot, and the slot-to-shard map
     (version 0: slots in turn) is edited into version 1, which the records then follow; both versions are stored under
     ``map_path``. Only the per-slot sums (a fixed number) reach the driver, and the map goes back as a join side of
-    that fixed size. A slot above a shard's fair share of the bytes is cut by the id into parts that are moved on their
-    own; all other equal texts stay in one shard.
+    that fixed size. A slot above a shard's fair share of the bytes is cut by the id, and by a running number of the rows
+    that share id and text, into parts that are moved on their own by their measured bytes (a fixed number of sums too);
+    all other equal texts stay in one shard. One document is never cut.
 
     Adds ``size``, ``text_crc32``, ``virtual_slot``, ``shard`` and ``slot`` (the place in the shard: a running count
     over a fixed number of hash buckets, then within each bucket). The texts are not shuffled; the result is
@@ -100,8 +106,20 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bytes_of = dict(rows.groupBy("v").agg(F.sum("size")).collect())  # at most ``slots`` rows
     fair = sum(bytes_of.values()) / shards
     parts = {v: int(16 * b / fair) if b > fair else 1 for v, b in bytes_of.items()}
-    weights = {slots * p + v: bytes_of.get(v, 0) // parts.get(v, 1)
-               for v in range(slots) for p in range(parts.get(v, 1))}
+    hot = [(v, n) for v, n in parts.items() if n > 1]  # fewer than ``shards``
+    weights = {v: bytes_of.get(v, 0) for v in range(slots)}
+    whole_slots = rows.withColumn("part", F.lit(0).cast("long"))
+    if hot:
+        cut = F.broadcast(spark.createDataFrame(hot, "h_v long, n long"))
+        copy = F.row_number().over(Window.partitionBy("v", "id", "k1", "k2").orderBy("size"))  # of equal rows
+        dealt = rows.join(cut, F.col("v") == F.col("h_v")).withColumn("copy", copy).select(
+            *rows.columns, F.pmod(F.xxhash64(F.lit("part"), "id", "copy"), F.col("n")).alias("part"))
+        dealt = materialize(dealt, "hot-slots")
+        measured = {(r.v, r.part): r.b for r in dealt.groupBy("v", "part").agg(F.sum("size").alias("b")).collect()}
+        weights |= {slots * p + v: measured.get((v, p), 0) for v, n in hot for p in range(n)}
+        rows = whole_slots.join(cut, F.col("v") == F.col("h_v"), "left_anti").unionByName(dealt)
+    else:
+        rows = whole_slots
     old = {u: (u % slots) % shards for u in weights}
     new = rebalance(old, weights, shards)
     save_map(spark, map_path, 0, shards, old, weights)
@@ -111,8 +129,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .agg(F.sort_array(F.collect_list(F.struct("slot", "shard"))).alias("units")))
     placed = rows.join(F.broadcast(by_slot), F.col("v") == F.col("m_v"))  # one row per virtual slot
     placed = placed.select("id", "k1", "k2", "size", "text_crc32", F.col("v").alias("virtual_slot"),
-                           F.get("units", F.pmod(F.xxhash64(F.lit("part"), "id"), F.size("units")).cast("int"))["shard"]
-                           .alias("shard"),
+                           F.get("units", F.col("part").cast("int"))["shard"].alias("shard"),
                            F.pmod(F.xxhash64(F.lit("place"), "id", "k1"), F.lit(BUCKETS)).alias("bucket"))
     starts = (placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .select(F.col("shard").alias("s_shard"), F.col("bucket").alias("s_bucket"),
