@@ -96,6 +96,13 @@ def test_quality_edges(spark, docs, empty):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_without_a_model_all_documents_stay(spark, docs):
+    held_out = next(i for i, *_ in DOCS if i and zlib.crc32(str(i).encode()) % 4 == 2)
+    for rows in ([], [(999, 1)], [(held_out, 0)], [(1, None)]):
+        kept = quality.keep_good(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+        assert rows_of(kept, "doc_id", "text") == rows_of(docs, "doc_id", "text")
+
+
 # 3 --------------------------------------------------------------------------------------------------------------
 def test_rules(spark, docs, empty):
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

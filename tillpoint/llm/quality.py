@@ -61,6 +61,7 @@ class QualityModel:
     beta: np.ndarray
     knots: np.ndarray
     levels: np.ndarray
+    fitted: bool = True  # False: no labelled row to learn from
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
         return design(stats, self.mean, self.scale) @ self.beta
@@ -120,7 +121,8 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
     rows = materialize(rows, "quality-train")
     n, n_cal = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("calibrates").cast("long")), F.lit(0))).first()
     if n == 0:
-        return QualityModel(np.zeros(N_STATS), np.ones(N_STATS), np.zeros(FEATURES + 1), np.zeros(1), np.full(1, 0.5))
+        return QualityModel(np.zeros(N_STATS), np.ones(N_STATS), np.zeros(FEATURES + 1), np.zeros(1), np.full(1, 0.5),
+                            fitted=False)
     one_part = n_cal in (0, n)
     train = rows if one_part else rows.where(~F.col("calibrates"))
     calibration = rows if one_part else rows.where("calibrates")
@@ -189,11 +191,17 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "quality", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns, that score at least ``threshold``; scored in the scan, without a shuffle."""
+    """The rows of ``docs``, all columns, that score at least ``threshold``; scored in the scan, without a shuffle.
+
+    Without a usable label row (none at all, none of these documents, or all held out) there is no model and nothing can
+    be rejected: all rows stay.
+    """
     stats = materialize(document_stats(docs.join(labels.select(F.col("doc_id").alias("l_id")).distinct(),
                                                  F.col(id_col) == F.col("l_id"), "left_semi"), id_col, text_col),
                         "quality-stats")
     model = fit(stats, labels, label_col)
+    if not model.fitted:
+        return docs
 
     def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
