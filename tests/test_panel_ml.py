@@ -214,3 +214,14 @@ def test_optional_gradient_boosting(spark):
 def test_memory_strings():
     assert ml._memory_mb("16g") == 16384 and ml._memory_mb("512m") == 512 and ml._memory_mb("2048") == 2048
     assert ml._memory_mb("1gb") == 1024 and ml._memory_mb("1t") == 1024 * 1024
+
+
+def test_training_partitions_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ml, "TRAIN_ROWS", 100)
+    df = spark.range(2450).select(F.col("id").alias("loja_id"), F.lit("m").alias("mes"), F.rand(3).alias("label"))
+    df = df.localCheckpoint()
+    places = [ml.training_layout(df.repartition(n)).withColumn("p", F.spark_partition_id()) for n in (2, 7)]
+    assert [p.rdd.getNumPartitions() for p in places] == [25, 25] and places[0].exceptAll(places[1]).isEmpty()
+    assert places[0].count() == 2450 and places[0].groupBy("p").count().agg(F.max("count")).first()[0] < 200
+    assert ml.training_layout(df.limit(50)).rdd.getNumPartitions() == ml.TRAIN_PARTITIONS
+    assert ml.training_layout(df, partitions=3).rdd.getNumPartitions() == 3

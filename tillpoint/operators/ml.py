@@ -37,7 +37,8 @@ TARGET = "target"
 SPLIT_KEYS = ["loja_id", "mes"]
 TEST_FRACTION = 0.2
 SEED = 42
-TRAIN_PARTITIONS = 8  # fixed, as the forest depends on it; raise it (a parameter) for tables that 8 tasks cannot hold
+TRAIN_PARTITIONS = 8  # at least; the number depends on the row count only, as the forest depends on it
+TRAIN_ROWS = 65_536  # rows of a training partition, about, once there are more than TRAIN_PARTITIONS of them
 TINY_RIDGE = 1e-6
 HASH_PREFIX_HEX = 4  # 16-bit buckets → histogram of at most 65,536 rows
 
@@ -237,10 +238,12 @@ def tree_memory_budget_mb(spark) -> int:
     return max(16, min(1024, heap // (4 * max(1, cores))))
 
 
-def training_layout(data: DataFrame, keys: list[str] = SPLIT_KEYS, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
-    """Rows spread by a hash of their key over a fixed number of partitions and sorted inside them. A forest draws its
-    samples per partition, so with this layout the same rows give the same forest on any cluster."""
-    return data.repartition(partitions, *keys).sortWithinPartitions(*keys, "label")
+def training_layout(data: DataFrame, keys: list[str] = SPLIT_KEYS, partitions: int | None = None) -> DataFrame:
+    """Rows spread by a hash of their key over partitions and sorted inside them. Unless ``partitions`` is given, their
+    number follows the row count (one pass over ``data``): about ``TRAIN_ROWS`` each, but at least ``TRAIN_PARTITIONS``.
+    A forest draws its samples per partition, so with this layout the same rows give the same forest on any cluster."""
+    n = partitions or max(TRAIN_PARTITIONS, -(-data.count() // TRAIN_ROWS))
+    return data.repartition(n, *keys).sortWithinPartitions(*keys, "label")
 
 
 def train(name: str, train_df: DataFrame, **params):

@@ -154,7 +154,7 @@ def run_quality(spark: SparkSession, clientes: DataFrame, ref_date: dt.date, **a
 
 def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id=None,
                  models: list[str] | None = None, run_dir: str | None = None, model_params: dict | None = None,
-                 train_partitions: int = ml.TRAIN_PARTITIONS) -> RunReport:
+                 train_partitions: int | None = None) -> RunReport:
     """Forecast: load → split → train → evaluate → select → deploy (best full pipeline saved to ``output_dir``)."""
     rep = RunReport("forecast")
     clock = _Clock(rep)
