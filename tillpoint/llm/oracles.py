@@ -99,4 +99,39 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
 FROM ordered
 """
 
-ORACLES = {"op1_url_filters": URLS, "op3_quality_rules": RULES, "op6_line_dedup": LINES, "op8_mixing": MIX}
+# base 32 of a SHA-1: the i-th letter stands for the five bits from bit 5i, cut from two neighbouring hexadecimal digits
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS r FROM pages),
+d AS (SELECT page_id, r, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h, sha256(html) AS s,
+             list_transform(string_split(sha1(html), ''), lambda c: instr('0123456789abcdef', c) - 1) AS x FROM p),
+named AS (SELECT *, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((((16 * x[5 * i // 4 + 1] + x[5 * i // 4 + 2]) >> (3 - 5 * i % 4)) & 31) + 1)::BIGINT, 1)), 'string_agg', '')
+            AS payload_digest,
+            first_value(page_id) OVER w AS top, row_number() OVER w AS place
+          FROM d WINDOW w AS (PARTITION BY s ORDER BY page_id DESC NULLS LAST, r))
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN top END AS refers_to
+FROM named
+"""
+
+NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same,
+             list_inner_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT * FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, br) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+             s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.vec_id NULLS LAST, s.br) AS rank
+      FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLES = {"op1_url_filters": URLS, "op3_quality_rules": RULES, "op6_line_dedup": LINES, "op8_mixing": MIX,
+           "op11_warc": WARC, "op12_hard_negatives": NEGATIVES}

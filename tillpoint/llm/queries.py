@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import fingerprint, html_text, jaccard, lines, mixing, packing, quality, rules, shards, urls
+from tillpoint.llm import (fingerprint, html_text, jaccard, lines, mixing, packing, quality, rtree, rules, shards,
+                           spelling, urls, warc)
 from tillpoint.llm.common import prepare, table
 
 #: Rules of the URL filter; a few fixed rows.
@@ -75,6 +76,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_and_read(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select(F.col("key").cast("long").alias("page_id"), "payload_bytes",
+                      F.substring("digest", 6, 32).alias("payload_digest"), "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(rtree.usable("embedding", "label"))
+    moved = (F.col("label").cast("long") + 1) % 10
+    rows = rows.select("vec_id", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label").cast("long")).alias("label"),
+                       rtree.quantised("embedding").alias("embedding"))
+    return rtree.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_every=31)
+
+
 def _query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -85,4 +105,4 @@ def _query(fn):
 QUERIES = {f.__name__: _query(f) for f in (
     op1_url_filters, op2_quality_classifier, op3_quality_rules, op4_html_extraction, op5_ngram_jaccard,
     op6_line_dedup, op7_packing,
-    op8_mixing, op9_fingerprints, op10_sharding)}
+    op8_mixing, op9_fingerprints, op10_sharding, op11_warc, op12_hard_negatives, op13_spelling_variants)}
