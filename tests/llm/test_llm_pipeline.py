@@ -27,7 +27,7 @@ def stages(spark):
 
 def test_registered():
     assert "pipeline" in E.queries()
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in E.queries() if q.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in E.queries() if q.startswith("op")) == list(range(1, 14))
 
 
 def test_columns(stages):

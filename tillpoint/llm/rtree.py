@@ -24,7 +24,7 @@ SAMPLE, REGIONS = 16_384, 1024
 GROUPS, BLOCK = 64, 512
 #: Blocks whose best rows a task holds at a time; beyond that the least recently used are handed on as they are.
 HELD = 256
-#: Scores lie within this bound; below it stands for "none".
+#: Stands for "no row" among scores.
 NONE = -(1 << 62)
 _KINDS = ("<i2", "<i4", "<i8")
 
@@ -369,7 +369,8 @@ def mine(vectors: DataFrame, anchors: Column, id_col: str = "vec_id", vec_col: s
     Defined cases: rows with a null label, a null vector or a null component take no part; every other row does, also
     repeated ones, each as a row of its own (equal ids tie); a null id is no anchor and comes last among ties; vectors are
     compared with those of the same length only, and empty ones score 0; an anchor without positives or a positive
-    without negatives gives no rows; an empty table gives none; further columns are ignored. Scores must stay below 2^62.
+    without negatives gives no rows; an empty table gives none; further columns are ignored. Scores must stay below
+    2^55 in size, sums are exact up to there.
     """
     usable_rows = vectors.where(F.col(label_col).isNotNull() & F.col(vec_col).isNotNull()
                                 & F.forall(F.col(vec_col), lambda x: x.isNotNull()))

@@ -65,7 +65,7 @@ def _powers(n: int) -> np.ndarray:
 
 def _codes(same_length: list[str]) -> np.ndarray:
     data = "".join(same_length).encode("utf-32-le")
-    return np.frombuffer(data, "<u4").astype(np.uint64).reshape(len(same_length), -1) + np.uint64(1)
+    return np.frombuffer(data, "<u4").astype(np.uint64).reshape(len(same_length), len(same_length[0])) + np.uint64(1)
 
 
 def hashes(codes: np.ndarray) -> np.ndarray:
@@ -194,7 +194,7 @@ def candidates(vocab: DataFrame, layout: Layout, cells: np.ndarray, alphabet: st
         for batch in batches:
             every, counts = batch.column("word").to_pylist(), batch.column("n").to_numpy()
             for n, rows in _by_length(every):
-                step = max(1, EDITS // (n * max(1, len(letters))))
+                step = max(1, EDITS // max(1, n * len(letters)))
                 for at in range(0, len(rows), step):
                     part = rows[at:at + step]
                     texts = [every[i] for i in part]
@@ -229,7 +229,7 @@ def near_pairs(vocab: DataFrame, filter_words: int = FILTER_WORDS) -> DataFrame:
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_WORDS))
     dealt = vocab.repartition(tasks, "word")
     pairs = None
-    for layout in layouts({n: c for n, c in counts.items() if n}, filter_words):
+    for layout in layouts(counts, filter_words):
         maybe = candidates(dealt, layout, fill(vocab, layout), alphabet)
         sure = materialize(maybe.join(vocab.select(F.col("word").alias("near"), F.col("n").alias("near_n")),
                                       F.col("other") == F.col("near")).select("word", "n", "near", "near_n"), "near-words")
@@ -262,8 +262,7 @@ def variants(vocab: DataFrame, ratio: int = 10, filter_words: int = FILTER_WORDS
     A word's form is its near word of largest n (ties: the smallest by code points) if that n is at least ``ratio``
     times its own; its root is where the forms lead, itself without one.
 
-    Defined cases: an empty vocabulary gives none; an empty word is near to words of one letter only through their
-    deletions; words without near words have n_near 0 and no form; null words take no part; further columns are ignored.
+    Defined cases: an empty vocabulary gives none; an empty word is near to words of one letter; words without near words have n_near 0 and no form; null words take no part; further columns are ignored.
     The cost of a word grows with its length and with the number of different letters in the vocabulary.
     """
     vocab = materialize(vocab.where(F.col("word").isNotNull()).select("word", F.col("n").cast("long").alias("n")), "vocabulary")

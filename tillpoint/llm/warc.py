@@ -176,7 +176,7 @@ def parse_records(data: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], byt
         while (line := data.readline()).strip():
             text = line.decode("utf-8", "surrogateescape").rstrip("\r\n")
             if text[0] in " \t" and name:
-                fields[name] += " " + text.strip()
+                fields[name] = f"{fields[name]} {text.strip()}".strip()
                 continue
             name, _, value = text.partition(":")
             name = name.strip().lower()
