@@ -7,7 +7,6 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,16 +157,19 @@ def _with_range(rows: DataFrame, firsts: list[tuple]) -> DataFrame:
 
 
 def _stream(columns: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for key, text in zip(pdf["id"], pdf["t"]):
+            kind = batch.schema.field("id").type
+            for i, text in enumerate(batch.column("t").to_pylist()):
                 own = anchors(text)
                 if before:
                     out.append(_compare(*before, text, own))
-                before = (key, text, own)
-            yield pd.DataFrame(out, columns=columns, dtype=object)
+                before = (batch.column("id")[i].as_py(), text, own)
+            kinds = [kind, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            values = zip(*out) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=columns)
     return run
 
 
@@ -199,5 +201,5 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .repartitionById(n, F.col("part"))
              .sortWithinPartitions("copy", F.col("id").desc_nulls_last(), F.col("t").desc()))
     columns = [f.split(" ")[0] for f in SCHEMA.format(kind=kind).split(", ")]
-    out = dealt.select("id", "t").mapInPandas(_stream(columns), SCHEMA.format(kind=kind))
+    out = dealt.select("id", "t").mapInArrow(_stream(columns), SCHEMA.format(kind=kind))
     return out.withColumnRenamed("id", id_col)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -345,12 +346,12 @@ def _named_groups(docs: DataFrame, id_col: str, text_col: str, n: int, percent:
     texts = _documents(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "node": pdf["node"],
-                                "size": np.array([len(ngram_set(t, n)) for t in pdf["t"]], np.int64)})
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = pa.array([len(ngram_set(t, n)) for t in batch.column("t").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), size], names=["id", "node", "size"])
 
-    slim = materialize(texts.mapInPandas(measure, f"id {kind}, node long, size long"), "ngram-sizes")
+    slim = materialize(texts.mapInArrow(measure, f"id {kind}, node long, size long"), "ngram-sizes")
     nodes = slim.groupBy("node").agg(F.min("size").alias("size"), F.min("id").alias("rep"))
     wanted = materialize(_possible(texts, nodes, n, percent), "possible")
     sets = _sets(texts, wanted, n)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,25 +116,28 @@ def tokenizer(path: str | None) -> WordTokenizer:
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                  tokenizer_path: str | None = None) -> DataFrame:
     """(uid, id, piece, start, length, ids_crc32): each document's ids and an end id, cut at every ``capacity`` ids."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, uid = tokenizer(tokenizer_path), TaskContext.get().partitionId() << 33
         end = array("I", [END_ID]).tobytes()
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at:at + 256]
-                for key, ids in zip(part["id"], tok.encode(part["t"].tolist())):
+            for at in range(0, batch.num_rows, 256):
+                for row, ids in enumerate(tok.encode(batch.column("t").slice(at, 256).to_pylist()), start=at):
                     ids += end
                     n = len(ids) // 4
                     for p, start in enumerate(range(0, n, capacity)):
                         piece = ids[4 * start:4 * (start + capacity)]
-                        rows.append((uid, key, p, start, len(piece) // 4, zlib.crc32(piece)))
+                        rows.append((uid, row, p, start, len(piece) // 4, zlib.crc32(piece)))
                         uid += 1
-            yield pd.DataFrame(rows, columns=["uid", "id", "piece", "start", "length", "ids_crc32"])
+            made = np.array(rows, np.int64).reshape(-1, 6).T
+            number = [pa.array(c) for c in made]
+            yield pa.RecordBatch.from_arrays(
+                [number[0], batch.column("id").take(number[1]), number[2].cast(pa.int32()), *number[3:]],
+                names=["uid", "id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-            .mapInPandas(cut, f"uid long, id {kind}, piece int, start long, length long, ids_crc32 long"))
+            .mapInArrow(cut, f"uid long, id {kind}, piece int, start long, length long, ids_crc32 long"))
 
 
 class Packing:

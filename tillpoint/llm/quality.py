@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,14 +86,15 @@ def is_held_out(id_col: str) -> Column:
 
 
 def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, stats) per row; null texts count as empty."""
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "stats": list(stats_matrix(pdf["t"]))})
+    """(id, stats) per row; null texts count as empty. Ids go through as Arrow columns, which keep nulls and every digit."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stats = pa.array(list(stats_matrix(batch.column("t").to_pylist())), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), stats], names=["id", "stats"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .mapInPandas(measure, f"id {kind}, stats array<double>"))
+            .mapInArrow(measure, f"id {kind}, stats array<double>"))
 
 
 def _pool(sums: np.ndarray, counts: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,12 +168,12 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
 
 def score_documents(stats: DataFrame, model: QualityModel) -> DataFrame:
     """(id, score) of every row of ``stats``."""
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.stack(pdf["stats"].to_numpy()) if len(pdf) else np.zeros((0, N_STATS))
-            yield pd.DataFrame({"id": pdf["id"], "score": model.score(x)})
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("stats").to_pylist(), float).reshape(-1, N_STATS)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.score(x))], names=["id", "score"])
 
-    return stats.mapInPandas(score, f"id {stats.schema['id'].dataType.simpleString()}, score double")
+    return stats.mapInArrow(score, f"id {stats.schema['id'].dataType.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -194,18 +196,19 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs``, all columns, that score at least ``threshold``; scored in the scan, without a shuffle.
 
     Without a usable label row (none at all, none of these documents, or all held out) there is no model and nothing can
-    be rejected: all rows stay.
+    be rejected: all rows stay. Defined cases: a null text is judged as an empty one; a null id is judged like any other;
+    repeated rows share a verdict; an empty table stays empty; columns of any name and their values stay as they are.
     """
-    stats = materialize(document_stats(docs.join(labels.select(F.col("doc_id").alias("l_id")).distinct(),
-                                                 F.col(id_col) == F.col("l_id"), "left_semi"), id_col, text_col),
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    known = labels.select(F.col("doc_id").alias("l_id")).distinct()
+    stats = materialize(document_stats(texts.join(known, F.col("id") == F.col("l_id"), "left_semi"), "id", "t"),
                         "quality-stats")
     model = fit(stats, labels, label_col)
     if not model.fitted:
         return docs
 
-    def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for t in texts:
-            yield pd.Series(model.score(stats_matrix(t)))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(stats_matrix(texts.to_pylist())))
 
-    score = F.pandas_udf(good, "double")
     return docs.where(score(F.col(text_col)) >= threshold)
