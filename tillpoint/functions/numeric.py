@@ -37,6 +37,8 @@ def cents(c, df: DataFrame | None = None) -> Column:
     kind = df.schema[c].dataType if df is not None else None
     if isinstance(kind, T.DecimalType) and kind.scale > 2:
         return F.col(c) * F.lit(100)
+    if isinstance(kind, T.DecimalType) and kind.precision > 15:  # more digits than a double holds
+        return (F.col(c) * F.lit(100)).cast("bigint")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.col(c).cast(T.DecimalType(28, 8)) * F.lit(100)
     return F.round(_col(c).cast("double") * F.lit(100.0), 0).cast("bigint")

@@ -54,23 +54,39 @@ def weekday0(c="data_venda"):
     return (F.dayofweek(F.col(c)) - 1).cast("bigint")
 
 
+def with_distinct(rows: DataFrame, keys: list[str], sums: dict, value: str, name: str) -> DataFrame:
+    """Per ``keys`` the aggregates ``sums`` (name: (function, column)) and the number of distinct ``value`` as ``name``.
+
+    A distinct count beside sums makes Spark shuffle every sum buffer by (keys, value). Here only keys and values are, each
+    pair once per task; the pairs left then count one each in a single aggregate with the rows themselves. NULL is a key
+    like any other and no value.
+    """
+    own = rows.select(*keys, *[c.alias(n) for n, (_, c) in sums.items()], F.lit(0).cast("bigint").alias(name))
+    pairs = rows.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    pairs = pairs.select(*keys, *[F.lit(None).cast(own.schema[n].dataType).alias(n) for n in sums],
+                         F.lit(1).cast("bigint").alias(name))
+    return own.unionByName(pairs).groupBy(*keys).agg(*[f(n).alias(n) for n, (f, _) in sums.items()], F.sum(name).alias(name))
+
+
 def daily_store(vendas: DataFrame) -> DataFrame:
     """Shared (day, store) aggregate: cent revenue, sale count, distinct customers. F1, F4, F6 and F7 derive from it
-    (cent sums roll up exactly); Catalyst prunes the aggregates a caller does not use."""
-    return (vendas.groupBy("data_venda", "loja_id")
-            .agg(F.sum(cents("valor_total", vendas)).alias("_r"),
-                 F.count(F.lit(1)).alias("n_vendas"),
-                 F.count_distinct("cliente_id").alias("clientes_unicos")))
+    (cent sums roll up exactly)."""
+    sums = {"_r": (F.sum, cents("valor_total", vendas)), "n_vendas": (F.sum, F.lit(1).cast("bigint"))}
+    return with_distinct(vendas, ["data_venda", "loja_id"], sums, "cliente_id", "clientes_unicos")
+
+
+def daily_sums(vendas: DataFrame) -> DataFrame:
+    """(day, store) revenue and sale count: what F6 needs."""
+    return vendas.groupBy("data_venda", "loja_id").agg(F.sum(cents("valor_total", vendas)).alias("_r"),
+                                                       F.count(F.lit(1)).alias("n_vendas"))
 
 
 def customer_month(vendas: DataFrame) -> DataFrame:
     """Shared (customer, month) aggregate: purchases, cent spend, distinct stores and last purchase date.
     F2 and F5 derive from it."""
-    return (vendas.groupBy("cliente_id", month_key().alias("mes"))
-            .agg(F.count(F.lit(1)).alias("compras"),
-                 F.sum(cents("valor_total", vendas)).alias("_g"),
-                 F.count_distinct("loja_id").alias("lojas_visitadas"),
-                 F.max("data_venda").alias("_last")))
+    sums = {"compras": (F.sum, F.lit(1).cast("bigint")), "_g": (F.sum, cents("valor_total", vendas)),
+            "_last": (F.max, F.col("data_venda"))}
+    return with_distinct(vendas.withColumn("mes", month_key()), ["cliente_id", "mes"], sums, "loja_id", "lojas_visitadas")
 
 
 def ticket_medio(vendas: DataFrame, ref_date: dt.date | None = None, daily: DataFrame | None = None) -> DataFrame:
@@ -109,6 +125,11 @@ def share_categoria(vendas: DataFrame, ref_date: dt.date | None = None) -> DataF
     agg = (cut_off(vendas, ref_date)
            .groupBy("loja_id", "categoria")
            .agg(F.sum(cents("valor_total", vendas)).alias("_r"), F.sum(cents("custo", vendas)).alias("_c")))
+    return category_shares(agg)
+
+
+def category_shares(agg: DataFrame) -> DataFrame:
+    """F3 from the sums (_r, _c) of every store and category."""
     total = F.sum("_r").over(Window.partitionBy("loja_id"))
     return agg.select(
         "loja_id", "categoria",
@@ -148,7 +169,7 @@ def tendencia_7d(vendas: DataFrame, daily: DataFrame | None = None) -> DataFrame
     The frame is 7 *rows* (not calendar days) with partial frames at the start; the average is the exact cent
     frame sum divided by the frame row count, computed once and reused.
     """
-    d = (daily if daily is not None else daily_store(vendas)).select("data_venda", "loja_id", "_r")
+    d = (daily if daily is not None else daily_sums(vendas)).select("data_venda", "loja_id", "_r")
     w = Window.partitionBy("loja_id").orderBy("data_venda").rowsBetween(-(MOVING_WINDOW_ROWS - 1), 0)
     d = d.withColumn("_avg", safe_div(from_cents(F.sum("_r").over(w)), F.count(F.lit(1)).over(w)))
     return d.select(
@@ -188,6 +209,11 @@ def top_produtos(vendas: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
     before the shuffle, so a hot (store, month) sends at most ``k`` rows per task to the final ranking.
     """
     agg = vendas.groupBy("loja_id", month_key().alias("mes"), "produto_id").agg(F.sum(cents("valor_total", vendas)).alias("_r"))
+    return top_products(agg, k)
+
+
+def top_products(agg: DataFrame, k: int = TOP_K_PRODUCTS) -> DataFrame:
+    """F8 from the revenue (_r) of every store, month and product."""
     w = Window.partitionBy("loja_id", "mes").orderBy(F.desc("_r"), F.asc("produto_id"))
     ranked = agg.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("loja_id", "mes", "produto_id", from_cents("_r").alias("receita"),

@@ -152,6 +152,45 @@ def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_las
     return out if keep_last else out.dropna(subset=["target"])
 
 
+# ---- shares of any number of categories ---------------------------------------------------------------------------
+def long_shares(vendas: DataFrame) -> DataFrame:
+    """P6 in long form: (loja_id, mes, categoria, receita_categoria, share) of the categories that a store sold in a month.
+
+    One row per store, month and category, no column and no value on the driver for any of them: products or parts can be
+    the categories. The share is of all revenue; sales without a category count in the revenue only.
+    """
+    v = vendas.select("loja_id", "categoria", month_key().alias("mes"), cents("valor_total", vendas).alias("_v"))
+    sums = v.groupBy("loja_id", "mes", "categoria").agg(F.sum("_v").alias("_r"))
+    total = F.sum("_r").over(Window.partitionBy("loja_id", "mes"))
+    share = round_to(safe_div(from_cents("_r"), from_cents(total)), 4)
+    return (sums.select("loja_id", "mes", "categoria", from_cents("_r").alias("receita_categoria"), share.alias("share"))
+            .where(F.col("categoria").isNotNull()))
+
+
+def main_category(vendas: DataFrame) -> DataFrame:
+    """P5 for any number of categories: (loja_id, categoria_principal), the one of most revenue; ties to the first by name."""
+    sums = vendas.where(F.col("categoria").isNotNull()).groupBy("loja_id", "categoria").agg(F.sum(cents("valor_total", vendas)).alias("_r"))
+    return sums.groupBy("loja_id").agg(F.min(F.struct((-F.col("_r")).alias("menos"), "categoria")).alias("b")).select(
+        "loja_id", F.col("b.categoria").alias("categoria_principal"))
+
+
+def sparse_shares(vendas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """M1 for any number of categories: the table of levels (nivel, posicao), and per store and month the share vector in
+    sparse form: (loja_id, mes, tamanho, posicoes, valores), positions ascending.
+
+    The vector is assembled by aggregation; a row holds the categories that the store sold in the month, whatever their number
+    in all. Levels get their positions in the cluster (``ml.level_table``).
+    """
+    from tillpoint.operators.ml import level_table
+    shares = materialize(long_shares(vendas), "shares")
+    levels = materialize(level_table(shares, "categoria"), "categorias")
+    size = levels.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    named = shares.join(levels, F.col("categoria").cast("string") == F.col("nivel"))
+    pairs = named.groupBy("loja_id", "mes").agg(F.sort_array(F.collect_list(F.struct("posicao", "share"))).alias("p"))
+    return levels, pairs.select("loja_id", "mes", size.alias("tamanho"), F.col("p.posicao").alias("posicoes"),
+                                F.col("p.share").alias("valores"))
+
+
 def perfil_painel(panel: DataFrame) -> DataFrame:
     """R2: stores, rows, mean/min/max target and null cells outside the target (one aggregate)."""
     others = [c for c in panel.columns if c != "target"]

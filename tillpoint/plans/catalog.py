@@ -3,20 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillpoint.operators import duplicates as dup
 from tillpoint.operators import features as feat
+from tillpoint.operators import least_squares as lsq
 from tillpoint.operators import ml
+from tillpoint.operators import outliers as outl
 from tillpoint.operators import panel as pan
 from tillpoint.operators import reports as rep
+from tillpoint.operators import sketches as sk
 from tillpoint.operators import validate as val
+from tillpoint.operators.incremental import FeatureStore
 from tillpoint.operators.quality import audit
 from tillpoint.operators.validate import clean_sales
-from tillpoint.session import materialize
+from tillpoint.plans import jobs
+from tillpoint.session import checkpoint_dir, materialize
+from tillpoint.sources import buckets, io
 from tillpoint.sources import testdata as td
 
 CUTOFF_DATE = dt.date(1999, 6, 30)
@@ -45,6 +54,72 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+#: Column of each feature table that the summary adds up.
+TABLE_SUMS = {"ticket_medio": "receita_total", "frequencia_cliente": "gasto_total", "share_categoria": "share_pct",
+              "crescimento_mom": "crescimento_mom_pct", "recencia_cliente": "dias_desde_ultima", "tendencia_7d": "desvio_pct",
+              "sazonalidade_dia": "indice_sazonal", "top_produtos": "receita"}
+#: Within a month, so that both batches touch it.
+BATCH_DATE = dt.date(1998, 6, 15)
+
+
+def _new_dir(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _table_summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table and the sum of one column in hundredths."""
+    frames = [tables[name].agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas"),
+                               F.sum(F.round(F.col(c) * 100.0, 0).cast("bigint")).alias("soma")) for name, c in TABLE_SUMS.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _feature_job(spark, sf_dir):
+    """The whole job, its eight tables read back."""
+    out = _new_dir(spark, "tabelas")
+    written = materialize(td.vendas(spark, sf_dir), "vendas")
+    report = jobs.run_features(spark, written, out, td.REF_DATE)
+    if report.status != "done":
+        raise ValueError(report.errors)
+    return _table_summary({name: io.read_table(spark, f"{out}/{name}") for name in report.tables})
+
+
+def _in_batches(spark, sf_dir) -> FeatureStore:
+    """The sales up to a day in the middle of a month, then all others."""
+    store = FeatureStore(spark, _new_dir(spark, "incremental"))
+    sales = materialize(_sales(spark, sf_dir), "vendas")
+    early = F.col("data_venda") <= F.lit(BATCH_DATE)
+    for part in (sales.where(early), sales.where(~early)):
+        store.apply(part, td.REF_DATE)
+    return store
+
+
+def _copartitioned(spark, sf_dir):
+    """Order lines and orders stored in the same buckets of the order key; revenue per channel and month from their
+    join."""
+    lines, orders = td.table(spark, sf_dir, "lineitem"), td.table(spark, sf_dir, "orders")
+    n, names = buckets.buckets_for(lines.count(), 150), {}
+    for df, key in ((lines, "l_orderkey"), (orders, "o_orderkey")):
+        path = _new_dir(spark, f"buckets-{key}")
+        names[key] = path.rsplit("/", 1)[1].replace("-", "_")
+        buckets.write_bucketed(df, names[key], path, [key], n)
+    li, od = names.values()
+    joined = buckets.join_bucketed(spark, li, od, {li: ["l_extendedprice", "l_shipdate"], od: ["o_orderpriority"]})
+    # the buckets serve the grouping by order as well: only sums per channel and month are shuffled
+    per_order = joined.groupBy("l_orderkey", F.col("o_orderpriority").alias("canal_venda"), feat.month_key("l_shipdate").alias("mes")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("l_extendedprice") * 100.0, 0).cast("bigint")).alias("_r"))
+    return per_order.groupBy("canal_venda", "mes").agg(F.sum("n").alias("n_vendas"), F.count(F.lit(1)).alias("n_pedidos"),
+                                                       F.sum("_r").alias("receita_centavos"))
+
+
+QUERIES.update({
+    "vendas_copart_canal": _copartitioned,
+    "features_oito_tabelas": _feature_job,
+    "inc_resumo_tabelas": lambda spark, sf_dir: _table_summary(_in_batches(spark, sf_dir).tables()),
+    "inc_tendencia_7d": lambda spark, sf_dir: _in_batches(spark, sf_dir).table("tendencia_7d"),
+    "inc_frequencia_cliente": lambda spark, sf_dir: _in_batches(spark, sf_dir).table("frequencia_cliente"),
+})
+
+
 def _flat_report(spark, sf_dir):
     r = val.schema_report(td.vendas_suja(spark, sf_dir))
     return r.select("valido", F.array_join("problemas", " | ").alias("problemas"), "linhas", "colunas", "removidas")
@@ -79,6 +154,45 @@ QUERIES.update({
 })
 
 
+def _filtered_duplicates(spark, sf_dir):
+    """D3 by the two-pass filter, of a key and of two columns with many repeats."""
+    clientes = materialize(td.clientes_dq(spark, sf_dir).select("cpf", "telefone", "email_alt"), "clientes")
+    return reduce(DataFrame.unionByName, [dup.count_duplicates(clientes, k) for k in clientes.columns])
+
+
+def _duplicate_lines(spark, sf_dir):
+    """D3, the values: products that a store sold more than once on a day."""
+    lines = td.table(spark, sf_dir, "lineitem")
+    pair = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+                       F.to_date("l_shipdate").cast("string"))
+    return dup.duplicate_keys(lines.select(pair.alias("chave")), "chave")
+
+
+def _customer_levels(spark, sf_dir):
+    """Distinct customers of every level, exact, and whether the rolled-up sketches are within their bound."""
+    sales = materialize(_sales(spark, sf_dir).select("data_venda", "loja_id", "cliente_id"), "vendas_clientes")
+    daily = materialize(sk.daily_sketches(sales), "esbocos")
+    return sk.compare_levels(sk.exact_levels(sales, materialize), sk.estimated_levels(daily), sk.error_bound())
+
+
+def _one_scan_outliers(spark, sf_dir):
+    """D5 in one full scan and a look at the boundary cells."""
+    return outl.outliers(materialize(td.clientes_dq(spark, sf_dir).select("renda", "compras_12m"), "clientes"), ["renda", "compras_12m"])
+
+
+def _shares_of_parts(spark, sf_dir):
+    """P6 with as many categories as parts: long shares, with the place of each part among all."""
+    sales = _sales(spark, sf_dir).select("data_venda", "loja_id", "valor_total", F.col("produto_id").cast("string").alias("categoria"))
+    _, rows = pan.sparse_shares(sales)
+    return rows.select("loja_id", "mes", F.col("tamanho").alias("n_categorias"),
+                       F.inline(F.arrays_zip(F.col("posicoes").alias("posicao"), F.col("valores").alias("share"))))
+
+
+QUERIES.update({"dq_outliers_uma_leitura": _one_scan_outliers, "painel_share_pecas": _shares_of_parts})
+QUERIES["clientes_niveis"] = _customer_levels
+QUERIES.update({"dq_duplicatas_filtro": _filtered_duplicates, "dq_chaves_repetidas": _duplicate_lines})
+
+
 def _panel_sales(spark, sf_dir):
     # the panel reads its sales three times (categories, sums, customers): write the columns it needs once
     return materialize(_sales(spark, sf_dir).select("data_venda", "loja_id", "categoria", "valor_total", "custo",
@@ -186,6 +300,55 @@ def _model_metrics(spark, sf_dir):
     return frames[0].unionByName(frames[1])
 
 
+def _orthogonal(spark, sf_dir):
+    """M3b by QR: whether the training residuals are orthogonal to each feature."""
+    data, names = _assembled(spark, sf_dir)
+    train = data.filter(~F.col("is_test"))
+    fitted = lsq.fit(train, names)
+    found = lsq.orthogonality(fitted.predict(train), names)
+    return found.select("feature", (F.abs("cosseno") <= F.lit(1e-6)).alias("ortogonal"))
+
+
+def _saved_model(spark, sf_dir):
+    """A saved pipeline, loaded anew, scores raw panel rows; beside it the coefficients applied as columns."""
+    split = materialize(_split_panel(spark, sf_dir), "ml_divisao")
+    data, names, feats = ml.prepare_features(split)
+    fitted = ml.train("LinearRegression", data.filter(~F.col("is_test")))
+    path = _new_dir(spark, "modelo")
+    ml.save_model(ml.full_model(feats, fitted), path)
+    test = split.filter("is_test")
+    scored = ml.predict(ml.load_model(path), test, [*test.columns])
+    numeric = ml.numeric_features(split)
+    by_hand = F.lit(float(fitted.intercept))
+    for name, weight in zip(names, fitted.coefficients):
+        if name in numeric:
+            x = F.col(name).cast("double")
+        else:  # <column>_<level>
+            column = next(c for c in ml.CATEGORICAL if name.startswith(f"{c}_"))
+            x = F.when(F.col(column) == F.lit(name[len(column) + 1:]), 1.0).otherwise(0.0)
+        by_hand = by_hand + F.lit(float(weight)) * x
+    same = F.abs(F.col("prediction") - by_hand) <= F.lit(1e-6) * (F.abs(by_hand) + F.lit(1.0))
+    return scored.select("loja_id", "mes", same.alias("igual"))
+
+
+def _model_fit(spark, sf_dir):
+    """Fit of the trained models on their training rows. Least squares (from its saved form): the squares of the labels about
+    their mean are those of the predictions plus those of the residuals. Forest: it leaves at most four fifths of them."""
+    data, names = _assembled(spark, sf_dir)
+    train = data.filter(~F.col("is_test"))
+    mean = train.agg(F.avg("label")).first()[0]
+    path = _new_dir(spark, "mqr")
+    lsq.fit(train, names).save(spark, path)
+    err, base, made = F.col("label") - F.col("prediction"), F.col("label") - F.lit(mean), F.col("prediction") - F.lit(mean)
+    sst, sse, ssr = F.sum(base * base), F.sum(err * err), F.sum(made * made)
+    linear = lsq.LinearFit.load(spark, path).predict(train).agg(
+        F.lit("MinimosQuadradosQR").alias("modelo"), F.count(F.lit(1)).alias("n_amostras"),
+        (F.abs(sst - sse - ssr) <= F.lit(1e-9) * sst).alias("ajuste_ok"))
+    forest = ml.train("RandomForest", train, numTrees=20).transform(train).agg(
+        F.lit("RandomForest").alias("modelo"), F.count(F.lit(1)).alias("n_amostras"), (sse <= F.lit(0.8) * sst).alias("ajuste_ok"))
+    return linear.unionByName(forest)
+
+
 def _forest_range(spark, sf_dir):
     """Test rows with the verdict that their prediction lies between the least and greatest training target."""
     data, _ = _assembled(spark, sf_dir)
@@ -198,6 +361,9 @@ def _forest_range(spark, sf_dir):
 
 QUERIES.update({
     "ml_dummies": _dummies_long,
+    "ml_mqr_ortogonal": _orthogonal,
+    "ml_modelo_salvo": _saved_model,
+    "ml_modelos_ajuste": _model_fit,
     "ml_dummies_muitos_niveis": _dummies_many_levels,
     "ml_floresta_limites": _forest_range,
     "ml_split": lambda spark, sf_dir: _split_panel(spark, sf_dir).select("loja_id", "mes", "is_test"),

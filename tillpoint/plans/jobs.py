@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.operators import features as feat
 from tillpoint.operators import ml
+from tillpoint.operators.incremental import FeatureStore
 from tillpoint.operators.panel import build_panel
 from tillpoint.operators.quality import audit
 from tillpoint.operators.validate import (MSG_MISSING_COLUMN, clean_sales, missing_columns, only_store,
@@ -132,6 +133,30 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
     return clock.done("done")
 
 
+def run_features_batch(spark: SparkSession, vendas: DataFrame, store_dir: str, ref_date: dt.date) -> RunReport:
+    """The feature engine for one batch of sales: validate → clean → add to the feature store at ``store_dir``. Earlier sales are
+    not read; an invalid batch changes nothing, a batch added before neither (see ``operators.incremental``)."""
+    rep = RunReport("features_batch")
+    clock = _Clock(rep)
+    absent = missing_columns(vendas)
+    if absent:
+        rep.errors = [MSG_MISSING_COLUMN % c for c in absent]
+        return clock.done("validate_fail")
+    with clock.stage("validate"):
+        r = report_from_metrics(vendas, vendas.agg(*validation_metrics(vendas)).first().asDict())
+    rep.details.update(linhas=r["linhas"], removidas=r["removidas"])
+    if not r["valido"]:
+        rep.errors = list(r["problemas"])
+        return clock.done("validate_fail")
+    store = FeatureStore(spark, store_dir)
+    with clock.stage("add+merge+refresh"):
+        rep.details["meses"] = store.apply(clean_sales(vendas), ref_date)
+    if rep.details["meses"]:
+        rep.tables = {name: t.count() for name, t in store.tables().items()}
+    rep.rows = sum(rep.tables.values())
+    return clock.done("done")
+
+
 def run_quality(spark: SparkSession, clientes: DataFrame, ref_date: dt.date, **audit_kw) -> RunReport:
     """Data-quality audit: five dimensions from one aggregate, merged into the diagnosis (one result row)."""
     rep = RunReport("quality")

@@ -177,6 +177,28 @@ HAVING COUNT(melhor.produto_id) < 5
 }
 
 
+# rows of each feature table and the sum of one of its columns in hundredths
+TABLE_SUMS = {"ticket_medio": "receita_total", "frequencia_cliente": "gasto_total", "share_categoria": "share_pct",
+              "crescimento_mom": "crescimento_mom_pct", "recencia_cliente": "dias_desde_ultima", "tendencia_7d": "desvio_pct",
+              "sazonalidade_dia": "indice_sazonal", "top_produtos": "receita"}
+TABLE_SUMMARY = " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, COUNT(*) AS linhas, CAST(SUM(CAST(ROUND({c} * 100.0::DOUBLE) AS BIGINT)) AS BIGINT) AS soma "
+    f"FROM ({FEATURES[t]}) AS x" for t, c in TABLE_SUMS.items())
+FEATURES |= {"features_oito_tabelas": TABLE_SUMMARY, "inc_resumo_tabelas": TABLE_SUMMARY,
+             "inc_tendencia_7d": FEATURES["tendencia_7d"], "inc_frequencia_cliente": FEATURES["frequencia_cliente"]}
+
+_NIVEIS = {"loja_dia": ("CAST(data_venda AS VARCHAR)", "loja_id"), "loja_mes": ("strftime(data_venda, '%Y-%m')", "loja_id"),
+           "rede_mes": ("strftime(data_venda, '%Y-%m')", "NULL"), "loja": ("NULL", "loja_id"), "rede": ("NULL", "NULL")}
+FEATURES["clientes_niveis"] = with_views(" UNION ALL ".join(
+    f"SELECT '{n}' AS nivel, CAST({p} AS VARCHAR) AS periodo, CAST({s} AS BIGINT) AS loja_id, COUNT(DISTINCT cliente_id) AS clientes, "
+    f"TRUE AS dentro_do_limite FROM vendas GROUP BY ALL" for n, (p, s) in _NIVEIS.items()))
+FEATURES["vendas_copart_canal"] = """
+SELECT o_orderpriority AS canal_venda, strftime(l_shipdate, '%Y-%m') AS mes, COUNT(*) AS n_vendas,
+       COUNT(DISTINCT o_orderkey) AS n_pedidos,
+       CAST(SUM(CAST(ROUND(l_extendedprice * 100.0::DOUBLE) AS BIGINT)) AS BIGINT) AS receita_centavos
+FROM lineitem, orders WHERE l_orderkey = o_orderkey GROUP BY ALL
+"""
+
 ORACLES: dict[str, str] = {}
 ORACLES.update(FEATURES)
 
@@ -334,6 +356,13 @@ SELECT CAST(stale AS BIGINT) AS registros_desatualizados, pct2 AS pct_desatualiz
 FROM k
 """),
     "dq_unicidade": with_views(DQ_STATS + "SELECT 'cpf' AS coluna, dups AS duplicatas FROM k"),
+    "dq_duplicatas_filtro": with_views(" UNION ALL ".join(
+        f"SELECT '{c}' AS coluna, COUNT(*) - COUNT(DISTINCT {c}) - CAST(COUNT(*) > COUNT({c}) AS BIGINT) AS duplicatas "
+        "FROM clientes_dq" for c in ("cpf", "telefone", "email_alt"))),
+    "dq_chaves_repetidas": """
+SELECT concat_ws('-', l_partkey, l_suppkey, CAST(l_shipdate AS DATE)) AS chave, COUNT(*) AS n
+FROM lineitem GROUP BY l_partkey, l_suppkey, CAST(l_shipdate AS DATE) HAVING COUNT(*) > 1
+""",
     "dq_consistencia": with_views(DQ_STATS + """
 SELECT 'idade >= 0' AS regra, CAST(rule_0 AS BIGINT) AS violacoes FROM k
 UNION ALL SELECT 'email contém @', CAST(rule_1 AS BIGINT) FROM k
@@ -377,6 +406,8 @@ FROM k
 """),
 }
 
+DQ["dq_outliers_uma_leitura"] = DQ["dq_acuracia"]
+
 ORACLES.update(VALIDATION)
 ORACLES.update(REPORTS)
 ORACLES.update(DQ)
@@ -510,6 +541,16 @@ SELECT a.loja_id, a.mes, n.regiao, CAST(a.valor AS DOUBLE) AS receita,
 FROM meses a JOIN nomes n ON n.loja_id = a.loja_id
 """)
 
+# as many categories as parts: place by name as text, share of the store's month
+PANEL["painel_share_pecas"] = with_views("""
+, g AS (SELECT loja_id, strftime(data_venda, '%Y-%m') AS mes, CAST(produto_id AS VARCHAR) AS peca, SUM(valor_total) AS v
+        FROM vendas GROUP BY ALL)
+, lugares AS (SELECT peca, ROW_NUMBER() OVER (ORDER BY peca) - 1 AS posicao FROM (SELECT DISTINCT peca FROM g))
+SELECT loja_id, mes, (SELECT COUNT(*) FROM lugares) AS n_categorias, posicao,
+       ROUND(CAST(v AS DOUBLE) / CAST(SUM(v) OVER (PARTITION BY loja_id, mes) AS DOUBLE), 4) AS share
+FROM g JOIN lugares USING (peca)
+""")
+
 ORACLES.update(PANEL)
 
 
@@ -544,7 +585,20 @@ FROM pt p, (SELECT DISTINCT {col} AS v FROM pt
             WHERE {col} IS NOT NULL AND {col} > (SELECT MIN({col}) FROM pt)) l"""
 
 
+_FEATURES = ["intercepto", "area_m2", "funcionarios", "ticket_medio", "n_clientes", "custo_pct", "margem", "crescimento_3m",
+             "crescimento_6m", "ticket_3m_avg", "clientes_3m_avg", "sazonalidade_mes", "dia_semana_pico",
+             *[_share_name(c) for c in CATEGORIES]]
+
 ML = {
+    "ml_mqr_ortogonal": with_views(ML_CTE + f"""
+SELECT unnest({_FEATURES}) AS feature, TRUE AS ortogonal UNION ALL
+SELECT DISTINCT coluna, TRUE FROM ({' UNION ALL '.join(_dummies_sql(c) for c in ("regiao", "porte", "categoria_principal"))}) d
+"""),
+    "ml_modelo_salvo": with_views(ML_CTE + "SELECT loja_id, mes, TRUE AS igual FROM sp WHERE is_test"),
+    "ml_modelos_ajuste": with_views(ML_CTE + """
+SELECT unnest(['MinimosQuadradosQR', 'RandomForest']) AS modelo, n_amostras, TRUE AS ajuste_ok
+FROM (SELECT COUNT(*) AS n_amostras FROM sp WHERE NOT is_test)
+"""),
     "ml_dummies": with_views(ML_CTE + " UNION ALL ".join(_dummies_sql(c)
                                                          for c in ("regiao", "porte", "categoria_principal"))),
     "ml_split": with_views(ML_CTE + "SELECT loja_id, mes, is_test FROM sp"),

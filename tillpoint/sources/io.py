@@ -73,11 +73,17 @@ def content_key(df: DataFrame, *params) -> str:
 
 def content_metrics(df: DataFrame) -> list:
     """Aggregates from which :func:`key_from_metrics` makes the key, to be computed beside others in one pass."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    row = F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\\N")) for c in cols]).cast("decimal(38,0)")
-    return [F.count(F.lit(1)).alias("_n"), F.sum(row).alias("_soma")]
+    cols = [F.col(f"`{f.name}`") if not isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`").cast("string")
+            for f in df.schema.fields]
+    # a hash of the native values passes over nulls, so which ones are null is hashed as well
+    row = F.xxhash64(*cols, *[c.isNull() for c in cols])
+    parts = [row.bitwiseAND(F.lit((1 << 21) - 1)), F.shiftrightunsigned(row, 21).bitwiseAND(F.lit((1 << 21) - 1)),
+             F.shiftrightunsigned(row, 42)]  # sums of 22 bits stay in a BIGINT for 2^41 rows
+    return [F.count(F.lit(1)).alias("_n"), F.bit_xor(row).alias("_x"),
+            *[F.sum(p).alias(f"_s{i}") for i, p in enumerate(parts)]]
 
 
 def key_from_metrics(df: DataFrame, m, *params) -> str:
-    text = "|".join([df.schema.simpleString(), str(m["_n"]), str(m["_soma"]), *map(str, params)])
+    sums = [str(m[k]) for k in ("_n", "_x", "_s0", "_s1", "_s2")]
+    text = "|".join([df.schema.simpleString(), *sums, *map(str, params)])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
