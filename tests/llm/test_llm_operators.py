@@ -162,10 +162,37 @@ def test_html_names_and_quotes():
         (f"<article><p title='the hidden class ad'>{word}</p></article>", text),
     ]:
         assert html_text.main_text(html, tree) == want, html
+    for html, want in [
+        (f"<article><p>{word}</p><article class='comment'><p>{word}</p></article></article>", text),
+        (f"<main><p>{word}</p></main><article class='comment-body'><p>{word}</p></article>", text),
+        (f"<article><p>{word}</p></article><div class='commentList'><p>{word}</p></div><div id='cookieBanner'>{word}</div>", text),
+        (f"<form action='/'><nav><a href='/'>Home</a></nav><article><p>{word}</p></article></form>", text),
+        (f"<form action='/'><div><p>{word}</p><p>{word}</p></div></form>", f"{text}\n{text}"),
+        (f"<div class='story social'><p>{word}</p></div><footer>x</footer>", text),
+        (f"<article><p>{word}</p><video src=a><p>{word}</p><iframe src=b><p>{word}</p></article>", "\n".join([text] * 3)),
+        (f"<article><p>{word}</p><video src=a><p>{word}</p><video>no</video><svg><svg></svg><text>no</text></svg><p>{word}</p>",
+         "\n".join([text] * 3)),
+        (f"<article><p>{word}</p><form><p>Sign up {word}</p></form><p>{word}</p><p>{word}</p></article>", "\n".join([text] * 3)),
+        (f"<div class=x1><ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul></div><div class=y><h1>Title of the "
+         f"page here now</h1><p>{word}</p><p>{word}</p></div><div class=z><a href=/p>Privacy policy</a></div>",
+         f"Title of the page here now\n{text}\n{text}"),
+    ]:
+        assert html_text.main_text(html, tree) == want, html
     cut = "<article><p>kept</p><b " + "a='1' " * 20_000
     assert [b.text for b in html_text.text_blocks(cut)] == ["kept"]
 
 
+def test_html_tree_uses_words_and_neighbours():
+    """The tree asks for words, links and neighbours; without any named element or class it still tells most blocks."""
+    x, y = html_text.labelled_table()
+    half, tree = np.arange(len(y)) % 2 == 0, html_text.train_tree(x, y)
+    used = {html_text.FEATURES[f] for f in tree.feature if f >= 0}
+    assert {"words", "link_density", "words_before"} <= used
+    named = [html_text.FEATURES.index(f) for f in ("in_frame", "in_main", "page_has_main")]
+    x[:, named] = 0
+    assert (html_text.train_tree(x[half], y[half]).predict(x[~half]) == y[~half]).mean() > 0.9
+
+
 # 5 --------------------------------------------------------------------------------------------------------------
 def brute_groups(rows, n, percent):
     sets, root = [], list(range(len(rows)))

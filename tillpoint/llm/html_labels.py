@@ -38,6 +38,16 @@ _NAMED = [
 ]
 
 
+#: Pages whose names tell nothing, in every combination of (before the article, after it); the article is plain text or a div.
+_UNNAMED = [
+    ("<div class=x1><div class=k><a href='/'>{c}</a></div><ul class=u7>{l}</ul></div>", "<div class=z3><ul>{l}</ul><p>{c}</p></div>"),
+    ("<div class='a9'>{l}</div><div class='b2'><p>{c}</p></div>", "<div class='q4'><a href='/x'>{a}</a></div><div class='q5'>{l}</div>"),
+    ("<table><tr><td>{l}</td></tr></table>", "<p><a href='/1'>{c}</a> <a href='/2'>{c}</a></p><p>{c}</p>"),
+    ("", "<div class=w><ul>{l}</ul></div>"), ("", ""),
+    ("<form action='/page'><div class=t><a href='/'>{c}</a></div>", "<div class=w><ul>{l}</ul></div></form>"),
+]
+
+
 #: What a main block of a labelled page ends with; all other blocks end with a full stop.
 LABEL = ";"
 
@@ -55,9 +65,9 @@ def labelled_pages(seed: int = 5, pages: int = 168) -> list[str]:
         opening, closing = _ARTICLES[i // 3 % len(_ARTICLES)]
         sizes = [int(x) for x in rng.choice([1, 2, 4, 9, 30, 80, 200], rng.integers(2, 7))]
         main = [_words(rng, n, LABEL) for n in sizes]
-        title = _words(rng, 6, LABEL)
+        title = _words(rng, int(rng.choice([1, 2, 6])), LABEL)
         links = "".join(f"<li><a href='/{j}'>{_words(rng, int(rng.integers(1, 4)))}</a></li>" for j in range(6))
-        fill = {"a": _words(rng, 8), "b": _words(rng, int(rng.choice([4, 12, 40]))), "c": _words(rng, 3), "l": links}
+        fill = {"a": _words(rng, 8), "b": _words(rng, int(rng.choice([4, 12, 40, 110]))), "c": _words(rng, 3), "l": links}
         body = "".join(f"<p>{m}</p>" if rng.random() < 0.9 else f"<ul><li>{m}</li></ul>" for m in main)
         html = (f"<!DOCTYPE html><html><head><title>{title}</title></head><body>{start.format(**fill)}"
                 f"{opening}<h1>{title}</h1>{body}{closing}{end.format(**fill)}</body></html>")
@@ -66,8 +76,16 @@ def labelled_pages(seed: int = 5, pages: int = 168) -> list[str]:
         start, end = _NAMED[i % len(_NAMED)]
         main = "".join(f"<p>{_words(rng, int(n), LABEL)}</p>" for n in rng.choice([1, 2, 4, 9, 30, 80], rng.integers(2, 6)))
         links = "".join(f"<li><a href='/{j}'>{_words(rng, 2)}</a></li>" for j in range(6))
-        out.append((start + end).format(h=_words(rng, 6, LABEL), m=main, l=links, a=_words(rng, 8), b=_words(rng, 20),
-                                        c=_words(rng, 3)))
-    for n in (1, 2, 3, 8, 40, 120):  # text without any markup
-        out.append(_words(rng, n, LABEL))
+        out.append((start + end).format(h=_words(rng, int(rng.choice([1, 2, 6])), LABEL), m=main, l=links, a=_words(rng, 8),
+                                        b=_words(rng, int(rng.choice([20, 90]))), c=_words(rng, 3)))
+    for i in range(60):
+        start, end = _UNNAMED[i % len(_UNNAMED)]
+        opening, closing = [("<div class=c8>", "</div>"), ("", "")][i // 6 % 2]
+        title = "<h1>{h}</h1>" if i % 5 else ""
+        main = "".join(f"<p>{_words(rng, int(n), LABEL)}</p>" for n in rng.choice([9, 14, 30, 80, 200], rng.integers(3, 7)))
+        links = "".join(f"<li><a href='/{j}'>{_words(rng, int(rng.integers(1, 4)))}</a></li>" for j in range(6))
+        out.append((start + opening + title + "{m}" + closing + end).format(
+            h=_words(rng, 7, LABEL), m=main, l=links, a=_words(rng, 8), c=_words(rng, 3)))
+    for n in (1, 2, 3, 5, 8, 14, 40, 70, 120):  # text without any markup, and a single block
+        out += [_words(rng, n, LABEL), f"<p>{_words(rng, n, LABEL)}</p>", f"<div class=c><p>{_words(rng, n, LABEL)}</p></div>"]
     return out

@@ -20,13 +20,19 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
     option p pre search section select summary table tbody td tfoot th thead tr ul""".split())
 #: Elements whose content is never shown text.
 HIDDEN = frozenset("script style noscript template title textarea iframe object svg math canvas audio video".split())
+#: Those of them that browsers read on after when their end tag is missing.
+EMBEDDED = frozenset("noscript template iframe object svg math canvas audio video".split())
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag of the key ends an open element of the values (their end tags may be left out).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 #: Elements that hold what surrounds an article.
-FRAME = frozenset("nav footer aside form menu dialog button select search".split())
+FRAME = frozenset("nav footer aside menu dialog button select search".split())
+#: First words of names that make even an ``article`` element what readers wrote.
+READER_WORDS = frozenset("comment comments reply replies respond response responses discussion disqus".split())
+#: A form that holds more than this share of a page's words wraps the page; any other is no part of the article.
+WRAPPER_SHARE = 0.5
 #: Words in class, id and role values that name what surrounds an article, and those that name the article.
 FRAME_WORDS = frozenset("""ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments
     complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus feedback foot footer
@@ -45,7 +51,9 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/
                     r"""((?:[^>=]++|=\s*+(?>"[^"]*"|'[^']*'|[^\s>"'][^\s>]*|))*+)>""", re.S)
 _ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _MARKED = re.compile(r"class|id|role|hidden|style", re.I)
+_IN_VALUE = re.compile(r"=\s*+[^\s\"'>]++\Z")
 _BLANK = re.compile(r"\s+")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "in_frame",
             "in_main", "page_has_main", "is_heading")
 
@@ -60,6 +68,7 @@ class Block:
     in_frame: bool
     in_main: bool
     heading: bool
+    form: int = 0  # number of the outermost form around it, 0 without
 
 
 @dataclass
@@ -67,6 +76,7 @@ class _Open:
     name: str
     frame: bool
     main: bool
+    form: int = 0
 
 
 @dataclass
@@ -81,23 +91,24 @@ class _Builder:
             top = stack[-1] if stack else _Open("", False, False)
             heading = any(e.name in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
             n = len(text.split())
-            self.blocks.append(Block(text, n, min(n, linked), top.frame, top.main, heading))
+            self.blocks.append(Block(text, n, min(n, linked), top.frame, top.main, heading, top.form))
         self.parts.clear()
 
 
 def _names(value: str) -> tuple[bool, bool]:
     """(names what surrounds an article, names the article) of a class, id or role value, name by name.
 
-    A whole name counts first. Of a name of several words, a frame word counts unless the element also has a whole main
-    name, the name tells a state or layout, or it is the head of an article.
+    The first whole name decides. Of a name of several words (parted by signs or capitals), a frame word counts unless the
+    element also has a whole main name, the name tells a state or layout, or it is the head of an article.
     """
     frame = main = part_frame = part_main = False
     for name in value.split():
+        parts = [w for w in re.split(r"[^a-z]+", _CAMEL.sub("-", name).lower()) if w]
+        name = name.lower()
         if name in FRAME_WORDS or name in MAIN_WORDS:
-            frame |= name in FRAME_WORDS
-            main |= name in MAIN_WORDS
+            frame |= name in FRAME_WORDS and not main
+            main |= name in MAIN_WORDS and not frame
             continue
-        parts = [w for w in re.split(r"[^a-z]+", name) if w]
         if STATE_WORDS.intersection(parts):
             continue
         surrounds = FRAME_WORDS.intersection(parts)
@@ -108,10 +119,17 @@ def _names(value: str) -> tuple[bool, bool]:
     return frame or part_frame and not main, main or part_main
 
 
+def _by_readers(value: str) -> bool:
+    """Whether a class, id or role value names what readers wrote: comment, comment-body, replyList."""
+    names = [[w for w in re.split(r"[^a-z]+", _CAMEL.sub("-", x).lower()) if w] for x in value.split()]
+    return any(parts and parts[0] in READER_WORDS and not STATE_WORDS.intersection(parts) for parts in names)
+
+
 def _marks(name: str, attributes: str) -> tuple[bool, bool]:
     """(belongs to what surrounds an article, belongs to the article), from the element and its names.
 
-    The whole page is neither. Names do not make an ``article`` or ``main`` element part of what surrounds one.
+    The whole page is neither. Names do not make an ``article`` or ``main`` element part of what surrounds one, unless they
+    say that readers wrote it.
     """
     if name in ("html", "body"):
         return False, False
@@ -119,12 +137,13 @@ def _marks(name: str, attributes: str) -> tuple[bool, bool]:
     frame, main = name in FRAME, own
     named_frame = named_main = False
     for key, value in _ATTR.findall(attributes) if _MARKED.search(attributes) else ():
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             frame = True
         elif key == "style":
-            frame |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
+            frame |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()))
         elif key in ("class", "id", "role"):
+            frame |= own and _by_readers(value)
             f, m = _names(value)
             named_frame |= f
             named_main |= m
@@ -134,7 +153,7 @@ def _marks(name: str, attributes: str) -> tuple[bool, bool]:
 def text_blocks(html: str | None) -> list[Block]:
     """The page as a flat list of blocks, in page order; unclosed, stray and cut-off tags are tolerated."""
     html = html or ""
-    out, stack, links, at, breaks = _Builder(), [], 0, 0, 0
+    out, stack, links, at, breaks, forms = _Builder(), [], 0, 0, 0, 0
     n = len(html)
     while at < n:
         m = _TOKEN.search(html, at)
@@ -167,9 +186,16 @@ def text_blocks(html: str | None) -> list[Block]:
                         del stack[i:]
                     break
             continue
-        if name in HIDDEN and not m[3].endswith("/"):
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-            at = close.end() if close else n
+        closed = m[3].endswith("/") and not _IN_VALUE.search(m[3])  # a slash that ends an unquoted value closes nothing
+        if name in HIDDEN and not closed:
+            tag = re.compile(rf"<(/?){re.escape(name)}\b[^>]*>", re.I)
+            open_, close = 1, None
+            while open_ and (close := tag.search(html, close.end() if close else at)):
+                if name in EMBEDDED and name not in ("svg", "object") and not close[1]:
+                    close = None  # begins anew before it ended: the first has no end
+                    break
+                open_ += -1 if close[1] else int(name in ("svg", "object") and not close[0].endswith("/>"))
+            at = close.end() if close else at if name in EMBEDDED else n
             continue
         if name == "br":
             breaks += 1
@@ -188,7 +214,7 @@ def text_blocks(html: str | None) -> list[Block]:
                 links -= stack[-1].name == "a"
                 stack.pop()
             links = max(0, links)
-        if name in VOID or m[3].endswith("/"):
+        if name in VOID or closed:
             continue
         frame, main = _marks(name, m[3])
         if stack:
@@ -200,11 +226,26 @@ def text_blocks(html: str | None) -> list[Block]:
             frame |= name == "header"
             main = main and not frame
         links += name == "a"
-        stack.append(_Open(name, frame, main))
+        form = stack[-1].form if stack else 0
+        if name == "form" and not form:
+            forms += 1
+            form = forms
+        stack.append(_Open(name, frame, main, form))
     out.flush(stack)
+    _leave_out_forms(out.blocks)
     return out.blocks
 
 
+def _leave_out_forms(blocks: list[Block]) -> None:
+    """Blocks in a form are no part of the article, unless the form wraps the page."""
+    words: dict[int, int] = {}
+    for b in blocks:
+        words[b.form] = words.get(b.form, 0) + b.words
+    for b in blocks:
+        if b.form and words[b.form] <= WRAPPER_SHARE * sum(words.values()):
+            b.in_frame, b.in_main = True, False
+
+
 def block_features(blocks: list[Block]) -> np.ndarray:
     """One row per block: words and link density of it and of its neighbours, and where it stands."""
     if not blocks:
@@ -236,8 +277,10 @@ class Tree:
         return self.keep[node]
 
 
-def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
-    """Grow a tree by the largest drop in Gini impurity; ties take the first feature and the lowest bound."""
+def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 2) -> Tree:
+    """Grow a tree by the largest drop in Gini impurity; ties take the first feature and the lowest bound. The first question is
+    whether the page names an article at all, so that pages that do not are judged by words, links and neighbours."""
+    first = FEATURES.index("page_has_main")
     nodes: list[list] = []
 
     def gini(a: np.ndarray) -> np.ndarray:
@@ -249,7 +292,7 @@ def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) ->
         if level == depth or share in (0.0, 1.0):
             return me
         best = (1e-9, -1, 0.0)
-        for f in range(x.shape[1]):
+        for f in [first] if not level and len(set(x[rows, first])) > 1 else range(x.shape[1]):
             order = rows[np.argsort(x[rows, f], kind="stable")]
             v, ones = x[order, f], np.cumsum(y[order])
             n = np.arange(1, len(rows))
