@@ -456,6 +456,25 @@ def test_hot_text_is_split(spark):
     assert len(load) == 4 and load.max() < 1.25 * load.min()
 
 
+def test_only_a_text_beyond_a_share_is_split(spark):
+    """Few slots and one hot text: its slot is cut, the other texts in it stay whole; rows equal in id and text spread."""
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < 1500, F.lit(None)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 1500, F.lit("hot " * 30)).otherwise(F.concat(F.lit("text of a group "), F.col("id") % 400)).alias("text"))
+    out = shards.shard_documents(rows, shards=4, slots=8).join(
+        rows.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d"), "left").collect()
+    where = defaultdict(set)
+    for r in out:
+        where[r.text].add(r.shard)
+    assert len(where.pop(None)) > 1 and set(map(len, where.values())) == {1}
+    for k in range(4):
+        assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
+    load = Counter()
+    for r in out:
+        load[r.shard] += r.size
+    assert max(load.values()) < 1.15 * min(load.values())
+
+
 def test_hot_slots_follow_measured_bytes(spark):
     """A hot text under null ids spreads; beside one very long document nothing else is placed."""
     small = spark.range(1500).select("id", F.concat(F.lit("t"), F.col("id")))

@@ -86,9 +86,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Records are hashed by their text into ``slots`` virtual slots, bytes are summed per slot, and the slot-to-shard map
     (version 0: slots in turn) is edited into version 1, which the records then follow; both versions are stored under
     ``map_path``. Only the per-slot sums (a fixed number) reach the driver, and the map goes back as a join side of
-    that fixed size. A slot above a shard's fair share of the bytes is cut by the id, and by a running number of the rows
-    that share id and text, into parts that are moved on their own by their measured bytes (a fixed number of sums too);
-    all other equal texts stay in one shard. One document is never cut.
+    that fixed size. A slot above a shard's fair share of the bytes is cut into parts that are moved on their own by their
+    measured bytes (a fixed number of sums too). Equal texts stay in one part and so in one shard, but for a text whose rows
+    alone exceed a fair share: they are dealt out by row. One document is never cut.
 
     Adds ``size``, ``text_crc32``, ``virtual_slot``, ``shard`` and ``slot`` (the place in the shard: a running count
     over a fixed number of hash buckets, then within each bucket). The texts are not shuffled; the result is
@@ -100,26 +100,29 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     map_path = map_path or f"{checkpoint_dir(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex[:12]}"
     k1, k2 = content_key(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"),
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"),
                        slot_of(text_col, slots).alias("v"), record_bytes(text_col).alias("size"),
                        F.crc32(whole(text_col)).alias("text_crc32"))
+    rows = materialize(rows, "shard-rows")  # slim, and the row numbers stay what they are
     bytes_of = dict(rows.groupBy("v").agg(F.sum("size")).collect())  # at most ``slots`` rows
     fair = sum(bytes_of.values()) / shards
     parts = {v: int(16 * b / fair) if b > fair else 1 for v, b in bytes_of.items()}
     hot = [(v, n) for v, n in parts.items() if n > 1]  # fewer than ``shards``
     weights = {v: bytes_of.get(v, 0) for v in range(slots)}
-    whole_slots = rows.withColumn("part", F.lit(0).cast("long"))
+    rows = rows.withColumn("part", F.lit(0).cast("long"))
     if hot:
         cut = F.broadcast(spark.createDataFrame(hot, "h_v long, n long"))
-        copy = F.row_number().over(Window.partitionBy("v", "id", "k1", "k2").orderBy("size"))  # of equal rows
-        dealt = rows.join(cut, F.col("v") == F.col("h_v")).withColumn("copy", copy).select(
-            *rows.columns, F.pmod(F.xxhash64(F.lit("part"), "id", "copy"), F.col("n")).alias("part"))
-        dealt = materialize(dealt, "hot-slots")
+        inside = rows.join(cut, F.col("v") == F.col("h_v"))
+        # texts that alone exceed a fair share, fewer than ``shards``: only they are cut, by the row; all others stay whole
+        large = [(r.k1, r.k2) for r in inside.groupBy("v", "k1", "k2").agg(F.sum("size").alias("b"))
+                 .where(F.col("b") > F.lit(fair)).select("k1", "k2").collect()]
+        big = F.broadcast(spark.createDataFrame(large, "b_k1 long, b_k2 long"))
+        dealt = inside.join(big, (F.col("k1") == F.col("b_k1")) & (F.col("k2") == F.col("b_k2")), "left")
+        unit = F.when(F.col("b_k1").isNotNull(), F.xxhash64(F.lit("part"), "row")).otherwise(F.xxhash64(F.lit("part"), "k1", "k2"))
+        dealt = materialize(dealt.withColumn("part", F.pmod(unit, F.col("n"))).select(*rows.columns), "hot-slots")
         measured = {(r.v, r.part): r.b for r in dealt.groupBy("v", "part").agg(F.sum("size").alias("b")).collect()}
         weights |= {slots * p + v: measured.get((v, p), 0) for v, n in hot for p in range(n)}
-        rows = whole_slots.join(cut, F.col("v") == F.col("h_v"), "left_anti").unionByName(dealt)
-    else:
-        rows = whole_slots
+        rows = rows.join(cut, F.col("v") == F.col("h_v"), "left_anti").unionByName(dealt)
     old = {u: (u % slots) % shards for u in weights}
     new = rebalance(old, weights, shards)
     save_map(spark, map_path, 0, shards, old, weights)
@@ -128,13 +131,13 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_slot = (load_map(spark, map_path, 1).groupBy(F.pmod("slot", F.lit(slots)).alias("m_v"))
                .agg(F.sort_array(F.collect_list(F.struct("slot", "shard"))).alias("units")))
     placed = rows.join(F.broadcast(by_slot), F.col("v") == F.col("m_v"))  # one row per virtual slot
-    placed = placed.select("id", "k1", "k2", "size", "text_crc32", F.col("v").alias("virtual_slot"),
+    placed = placed.select("row", "id", "size", "text_crc32", F.col("v").alias("virtual_slot"),
                            F.get("units", F.col("part").cast("int"))["shard"].alias("shard"),
-                           F.pmod(F.xxhash64(F.lit("place"), "id", "k1"), F.lit(BUCKETS)).alias("bucket"))
+                           F.pmod(F.xxhash64(F.lit("place"), "row"), F.lit(BUCKETS)).alias("bucket"))
     starts = (placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .select(F.col("shard").alias("s_shard"), F.col("bucket").alias("s_bucket"),
                       (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("start")))
-    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "k1", "k2"))
+    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("row"))
     return (placed.withColumn("i", inside)
             .join(starts, (F.col("shard") == F.col("s_shard")) & (F.col("bucket") == F.col("s_bucket")))
             .select(F.col("id").alias(id_col), "size", "text_crc32", "virtual_slot", "shard",
