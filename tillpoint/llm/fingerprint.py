@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Code points of a k-mer and of the inner substrings whose least hash decides about it: 2 of K - S + 1 k-mers are anchors.
-K, S = 24, 9
+#: An anchor takes seven bytes or eight, so that a fingerprint is about half as long as its text.
+K, S = 40, 9
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 20
-_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
+_DIGITS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -77,19 +78,43 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(found: tuple[np.ndarray, np.ndarray]) -> str:
-    """Anchors as text: eight hex digits of hash and a position in base 16, parted by blanks."""
-    h, pos = found
+    """Anchors as text, in order of position: six base-64 digits of the hash, then the gap to the anchor before.
+
+    A gap is written in base-64 digits of five bits each, lowest first; the sixth bit says that another digit follows.
+    """
+    order = np.argsort(found[1], kind="stable")
+    h, pos = found[0][order].astype(np.int64), found[1][order]
     if not len(h):
         return ""
-    width = max(1, -(-int(pos.max()).bit_length() // 4))
-    out = np.empty((len(h), width + 10), np.uint8)
-    out[:, :8] = _HEX[(h[:, None] >> np.arange(28, -4, -4, dtype=np.uint32)) & np.uint32(15)]
-    out[:, 8], out[:, -1] = ord("@"), ord(" ")
-    shifts = np.arange(4 * width - 4, -4, -4)
-    out[:, 9:-1] = _HEX[(pos[:, None] >> shifts) & 15]
-    shown = np.ones(out.shape, bool)
-    shown[:, 9:-2] = pos[:, None] >> shifts[:-1] > 0  # no leading zeros
-    return out[shown][:-1].tobytes().decode("ascii")
+    gap = np.diff(pos, prepend=0)
+    width = max(1, -(-int(gap.max()).bit_length() // 5))
+    digits = np.empty((len(h), 6 + width), np.int64)
+    digits[:, :6] = (h[:, None] >> np.arange(30, -6, -6)) & 63
+    rest = gap[:, None] >> (5 * np.arange(width))
+    digits[:, 6:] = (rest & 31) | np.where(rest >> 5 > 0, 32, 0)
+    shown = np.ones(digits.shape, bool)
+    shown[:, 7:] = rest[:, 1:] > 0
+    return _DIGITS[digits[shown]].tobytes().decode("ascii")
+
+
+def decode(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of an encoded fingerprint, in order of the hash."""
+    value = {c: i for i, c in enumerate(_DIGITS.tobytes().decode("ascii"))}
+    h, pos, at = [], [], 0
+    while at < len(text):
+        n = 0
+        for c in text[at:at + 6]:
+            n = n << 6 | value[c]
+        at, shift, gap = at + 6, 0, 0
+        while True:
+            d = value[text[at]]
+            at, gap, shift = at + 1, gap | (d & 31) << shift, shift + 5
+            if not d & 32:
+                break
+        h.append(n)
+        pos.append(gap + (pos[-1] if pos else 0))
+    order = np.argsort(np.array(h, np.uint32), kind="stable")
+    return np.array(h, np.uint32)[order], np.array(pos, np.int64)[order]
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -129,7 +154,7 @@ def _compare(key, text: str, own, following: str, following_anchors) -> tuple:
 
 
 def _ranges(rows: DataFrame, n: int) -> list[tuple]:
-    """First key (id, first characters) of each of at most ``n`` ranges of about equal row counts, descending.
+    """First key (id, hash of the text) of each of at most ``n`` ranges of about equal row counts, descending.
 
     Only keys are shuffled; ``n`` keys at most reach the driver.
     """
@@ -140,8 +165,8 @@ def _ranges(rows: DataFrame, n: int) -> list[tuple]:
 
 
 def _start():
-    """The first characters of a text: enough to part rows that share an id, in the order of the whole texts."""
-    return F.substring("t", 1, 32)
+    """A hash of the whole text: parts rows that share an id, however their texts begin."""
+    return F.xxhash64(F.lit("order"), "t")
 
 
 def _with_range(rows: DataFrame, firsts: list[tuple]) -> DataFrame:
@@ -177,11 +202,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  partitions: int | None = None) -> DataFrame:
     """Fingerprint every whole text, its edited text, and compare it with both that and the next document.
 
-    The next document is the one after it by descending id, then descending text (equal rows follow each other);
+    The next document is the one after it by descending id, then descending hash of the text (equal rows follow each other);
     after the last comes the first. A pass over keys cuts the order into ranges. One shuffle brings each range, and a copy
     of the first row of the range after it, into one partition; there each text meets the next in a stream, one text
     held at a time. No order runs through one task and nothing is written in between. Fingerprints grow with the text: one
-    anchor for about (K - S + 1) / 2 code points, at every length.
+    anchor for about (K - S + 1) / 2 code points, at every length. Rows equal in both id and text are one range.
 
     Defined cases: null texts count as empty; repeated rows each come out, and are each other's next; null ids come
     last; a single row is its own next; an empty table gives none; further columns are ignored.
@@ -193,13 +218,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = _ranges(rows, n)
     # the first row of every range goes to the range before it (of the first one: to the last), after its own rows
     heads = spark.createDataFrame([(i, p, (at or len(firsts)) - 1) for at, (_, i, p) in enumerate(firsts)],
-                                  f"h_id {kind}, h_start string, part int")
+                                  f"h_id {kind}, h_start long, part int")
     copies = (rows.join(F.broadcast(heads), F.col("id").eqNullSafe(F.col("h_id")) & (_start() == F.col("h_start")))
-              .groupBy("part").agg(F.max(F.struct("id", "t")).alias("head"))
+              .groupBy("part").agg(F.max(F.struct("id", _start().alias("p"), "t")).alias("head"))
               .select("head.id", "head.t", "part", F.lit(1).alias("copy")))
     dealt = (_with_range(rows, firsts).withColumn("copy", F.lit(0)).unionByName(copies)
              .repartitionById(n, F.col("part"))
-             .sortWithinPartitions("copy", F.col("id").desc_nulls_last(), F.col("t").desc()))
+             .sortWithinPartitions("copy", F.col("id").desc_nulls_last(), _start().desc(), F.col("t").desc()))
     columns = [f.split(" ")[0] for f in SCHEMA.format(kind=kind).split(", ")]
     out = dealt.select("id", "t").mapInArrow(_stream(columns), SCHEMA.format(kind=kind))
     return out.withColumnRenamed("id", id_col)
