@@ -8,7 +8,8 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 FAST = ["ticket_medio", "share_categoria", "crescimento_mom", "tendencia_7d", "top_produtos", "validacao_relatorio",
         "dq_dimensoes", "dq_alertas", "painel_target", "painel_fora_da_lista", "painel_regioes",
-        "share_categoria_fracoes", "ml_split", "ml_metricas", "ml_dummies_muitos_niveis"]
+        "share_categoria_fracoes", "ml_split", "ml_metricas", "ml_dummies_muitos_niveis",
+        "top_produtos_resumo", "top_produtos_rede", "vendas_por_sql", "ml_largura_loja", "features_guardar_primeira"]
 
 
 def test_entry(spark):
@@ -19,7 +20,7 @@ def test_entry(spark):
 def test_every_sql_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = {n for n in set(E.queries()) - set(E.oracle_sql()) if n.startswith("ml_")}
-    assert rows_only == {"ml_previsao_linear", "ml_previsao_floresta", "ml_metricas_modelos"}
+    assert rows_only == {"ml_previsao_linear", "ml_previsao_floresta", "ml_metricas_modelos", "ml_rodadas"}
 
 
 @pytest.fixture(scope="module")

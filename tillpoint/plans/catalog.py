@@ -8,11 +8,14 @@ from collections.abc import Callable
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillpoint.operators import boosting
 from tillpoint.operators import duplicates as dup
 from tillpoint.operators import features as feat
+from tillpoint.operators import heavy
 from tillpoint.operators import least_squares as lsq
 from tillpoint.operators import ml
 from tillpoint.operators import outliers as outl
@@ -120,6 +123,55 @@ QUERIES.update({
 })
 
 
+def _heavy_products(by_store):
+    """F8 by summaries, per store and month or per month of the chain."""
+    def run(spark, sf_dir):
+        sales = _sales(spark, sf_dir).select("data_venda", "loja_id", "produto_id", "valor_total")
+        return heavy.top_produtos(materialize(sales, "vendas_produtos"), by_store=by_store)
+    return run
+
+
+QUERIES.update({"top_produtos_resumo": _heavy_products(True), "top_produtos_rede": _heavy_products(False)})
+
+
+def _sales_view(spark, sf_dir):
+    """A4: the cleaned sales as a view, asked in SQL: revenue and customers per region and year."""
+    name = f"vendas_{uuid.uuid4().hex[:12]}"
+    io.register_sales(_sales(spark, sf_dir), name)
+    return spark.sql(f"""
+        SELECT regiao, CAST(year(data_venda) AS BIGINT) AS ano, COUNT(*) AS n_vendas,
+               COUNT(DISTINCT cliente_id) AS clientes, CAST(SUM(valor_total) AS DOUBLE) AS receita
+        FROM {name} GROUP BY regiao, year(data_venda)""")
+
+
+def _one_store(spark, sf_dir):
+    """The width of the features of one store alone: a category that it does not have gives no column."""
+    panel = materialize(_panel(spark, sf_dir), "painel")
+    frames = []
+    for loja in (1, 2):
+        rows, names, _ = ml.prepare_features(panel, loja_id=loja)
+        frames.append(rows.agg(F.lit(loja).cast("bigint").alias("loja_id"), F.count(F.lit(1)).alias("n_linhas"),
+                               F.lit(len(names)).cast("bigint").alias("n_features")))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _keep_first(spark, sf_dir):
+    """A5: the first write of a table stays when a later one asks to keep it, and goes when it asks to overwrite it."""
+    shares, out = feat.share_categoria(_sales(spark, sf_dir)), _new_dir(spark, "guardar")
+    first = shares.where(F.col("categoria") != "PROMO")
+    frames = []
+    for step, (mode, rows) in enumerate((("overwrite", first), ("ignore", shares), ("overwrite", shares)), start=1):
+        io.write_table(rows, f"{out}/share", mode=mode)
+        kept = io.read_table(spark, f"{out}/share").agg(
+            F.lit(step).cast("bigint").alias("passo"), F.lit(mode).alias("modo"), F.count(F.lit(1)).alias("linhas"),
+            F.sum(F.round(F.col("share_pct") * 100.0, 0).cast("bigint")).alias("soma"))
+        frames.append(materialize(kept, "guardado"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+QUERIES.update({"vendas_por_sql": _sales_view, "ml_largura_loja": _one_store, "features_guardar_primeira": _keep_first})
+
+
 def _flat_report(spark, sf_dir):
     r = val.schema_report(td.vendas_suja(spark, sf_dir))
     return r.select("valido", F.array_join("problemas", " | ").alias("problemas"), "linhas", "colunas", "removidas")
@@ -300,6 +352,65 @@ def _model_metrics(spark, sf_dir):
     return frames[0].unionByName(frames[1])
 
 
+#: Features that a least squares model of its own is trained on.
+SINGLE_FEATURES = ["receita", "n_clientes", "ticket_medio"]
+
+
+def _trained_selection(spark, sf_dir):
+    """M3b, M4, M5 over trained models: a line on each of three features, trained on the training rows, measured on the test
+    rows; ``escolhido`` marks the one selected."""
+    split = materialize(_split_panel(spark, sf_dir).select("loja_id", "mes", "is_test", F.col(ml.TARGET).alias("label"),
+                                                           *SINGLE_FEATURES), "ml_divisao")
+    scored = []
+    for i, name in enumerate(SINGLE_FEATURES, start=1):
+        rows = VectorAssembler(inputCols=[name], outputCol="features").transform(split)
+        fitted = lsq.fit(rows.where("NOT is_test"), [name])
+        scored.append(fitted.predict(rows.where("is_test")).select(
+            F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "label", "prediction"))
+    metrics = materialize(ml.regression_metrics(reduce(DataFrame.unionByName, scored), by=("ordem", "modelo")), "ml_medidas")
+    best = ml.select_best(metrics).select(F.col("ordem").alias("_o"))
+    return metrics.join(F.broadcast(best), F.col("ordem") == F.col("_o"), "left").select(
+        *metrics.columns, F.col("_o").isNotNull().alias("escolhido"))
+
+
+def _boosting_data(spark, sf_dir, label):
+    """Training rows with the validation flag, assembled for ``label`` and laid out for training."""
+    train = _split_panel(spark, sf_dir).where("NOT is_test").drop("is_test")
+    prepared, _, _ = ml.prepare_features(materialize(boosting.hold_out(materialize(train, "ml_treino")), "ml_reserva"), target=label)
+    written = materialize(prepared.select("loja_id", "mes", boosting.VALIDATION, "features", "label"), "ml_rodadas")
+    return ml.training_layout(written)
+
+
+def _boosting_rounds(spark, sf_dir):
+    """M8: errors of every round kept, for next month's revenue."""
+    data = _boosting_data(spark, sf_dir, ml.TARGET)
+    return boosting.round_errors(boosting.fit_rounds(data, rounds=30, depth=4), data)
+
+
+def _boosting_summary(spark, sf_dir):
+    """M8, trained on the revenue of the month itself, which its other features tell, so that many rounds are kept: sizes of the
+    parts, whether each round lowers the validation error, whether the last one's is that of the model's predictions, and whether it
+    is less than half that of the training mean."""
+    data = _boosting_data(spark, sf_dir, "receita")
+    model = boosting.fit_rounds(data, rounds=8, depth=4, step=0.3)
+    rounds = boosting.round_errors(model, data)
+    mean = data.where(~F.col(boosting.VALIDATION)).agg(F.avg("label")).first()[0]
+    held = F.col(boosting.VALIDATION)
+    scored = model.transform(data).agg(
+        F.count_if(~held).alias("n_treino"), F.count_if(held).alias("n_validacao"),
+        F.avg(F.when(held, (F.col("label") - F.col("prediction")) ** 2)).alias("_mse"),
+        F.avg(F.when(held, (F.col("label") - F.lit(mean)) ** 2)).alias("_media"))
+    before = F.lag("erro_validacao").over(Window.orderBy("rodada"))  # a row per round
+    falls = rounds.withColumn("_antes", before).agg(
+        F.bool_and(F.col("_antes").isNull() | (F.col("erro_validacao") < F.col("_antes"))).alias("erro_cai"),
+        F.max_by("erro_validacao", "rodada").alias("ultimo"), F.count(F.lit(1)).alias("n")).first()
+    last = F.lit(falls.ultimo)
+    return scored.select(
+        "n_treino", "n_validacao", F.lit(bool(falls.erro_cai and falls.n > 1)).alias("erro_cai"),
+        (F.abs(last - F.col("_mse")) <= F.lit(1e-9) * F.col("_mse")).alias("erro_confere"),
+        (last < F.lit(0.5) * F.col("_media")).alias("aprende"))
+
+
 def _orthogonal(spark, sf_dir):
     """M3b by QR: whether the training residuals are orthogonal to each feature."""
     data, names = _assembled(spark, sf_dir)
@@ -364,6 +475,9 @@ QUERIES.update({
     "ml_mqr_ortogonal": _orthogonal,
     "ml_modelo_salvo": _saved_model,
     "ml_modelos_ajuste": _model_fit,
+    "ml_selecao_treinados": _trained_selection,
+    "ml_rodadas": _boosting_rounds,
+    "ml_rodadas_validacao": _boosting_summary,
     "ml_dummies_muitos_niveis": _dummies_many_levels,
     "ml_floresta_limites": _forest_range,
     "ml_split": lambda spark, sf_dir: _split_panel(spark, sf_dir).select("loja_id", "mes", "is_test"),

@@ -625,4 +625,50 @@ ML["ml_floresta_limites"] = with_views(ML_CTE + """
 SELECT loja_id, mes, target AS label, TRUE AS dentro FROM sp WHERE is_test
 """)
 
+# least squares on one feature has a closed form; the split of the training rows takes another salt
+ML["ml_selecao_treinados"] = with_views(ML_CTE + """
+, longo AS (UNPIVOT (SELECT is_test, target AS y, CAST(receita AS DOUBLE) AS receita, CAST(n_clientes AS DOUBLE) AS n_clientes,
+                            CAST(ticket_medio AS DOUBLE) AS ticket_medio FROM sp)
+            ON receita, n_clientes, ticket_medio INTO NAME modelo VALUE x)
+, retas AS (SELECT modelo, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM longo WHERE NOT is_test GROUP BY modelo)
+, erros AS (SELECT modelo, y, y - (a + b * x) AS e FROM longo JOIN retas USING (modelo) WHERE is_test)
+, medidas AS (
+  SELECT CAST(list_position(['receita', 'n_clientes', 'ticket_medio'], modelo) AS BIGINT) AS ordem, modelo,
+         ROUND_EVEN((1 - SUM(e * e) / (VAR_POP(y) * COUNT(*))) * 10000, 0) / 10000 AS r2,
+         ROUND_EVEN(SQRT(AVG(e * e)) * 100, 0) / 100 AS rmse, ROUND_EVEN(AVG(ABS(e)) * 100, 0) / 100 AS mae,
+         COUNT(*) AS n_amostras
+  FROM erros GROUP BY modelo)
+SELECT *, ROW_NUMBER() OVER (ORDER BY r2 DESC, ordem) = 1 AS escolhido FROM medidas
+""")
+ML["ml_rodadas_validacao"] = with_views(ML_CTE + """
+SELECT CAST(n - CEIL(n * 0.2) AS BIGINT) AS n_treino, CAST(CEIL(n * 0.2) AS BIGINT) AS n_validacao, TRUE AS erro_cai,
+       TRUE AS erro_confere, TRUE AS aprende
+FROM (SELECT COUNT(*) AS n FROM sp WHERE NOT is_test)
+""")
+ML["ml_largura_loja"] = with_views(ML_CTE + f"""
+SELECT CAST(loja_id AS BIGINT) AS loja_id, COUNT(*) AS n_linhas,
+       CAST({12 + len(CATEGORIES)} + GREATEST(COUNT(DISTINCT regiao) - 1, 0) + GREATEST(COUNT(DISTINCT porte) - 1, 0)
+            + GREATEST(COUNT(DISTINCT categoria_principal) - 1, 0) AS BIGINT) AS n_features
+FROM pt WHERE loja_id IN (1, 2) GROUP BY loja_id
+""")
+
 ORACLES.update(ML)
+
+ORACLES["top_produtos_resumo"] = ORACLES["top_produtos"]
+ORACLES["top_produtos_rede"] = with_views("""
+, mensal_rede AS (SELECT strftime(data_venda, '%Y-%m') AS mes, produto_id, SUM(valor_total) AS r FROM vendas GROUP BY ALL)
+SELECT mes, produto_id, CAST(r AS DOUBLE) AS receita,
+       CAST(ROW_NUMBER() OVER (PARTITION BY mes ORDER BY r DESC, produto_id) AS BIGINT) AS rank
+FROM mensal_rede QUALIFY rank <= 5
+""")
+ORACLES["vendas_por_sql"] = with_views("""
+, anos AS (SELECT regiao, EXTRACT(year FROM data_venda) AS ano, cliente_id, COUNT(*) AS n, SUM(valor_total) AS r FROM vendas GROUP BY ALL)
+SELECT regiao, ano, CAST(SUM(n) AS BIGINT) AS n_vendas, COUNT(*) AS clientes, CAST(SUM(r) AS DOUBLE) AS receita
+FROM anos GROUP BY regiao, ano
+""")
+ORACLES["features_guardar_primeira"] = f"""
+WITH s AS ({ORACLES["share_categoria"]}),
+passos AS (SELECT unnest([1, 2, 3]) AS passo, unnest(['overwrite', 'ignore', 'overwrite']) AS modo)
+SELECT CAST(passo AS BIGINT) AS passo, modo, COUNT(*) AS linhas, CAST(SUM(CAST(ROUND(share_pct * 100, 0) AS BIGINT)) AS BIGINT) AS soma
+FROM passos JOIN s ON passo = 3 OR categoria <> 'PROMO' GROUP BY passo, modo
+"""
