@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from tillpoint.plans import jobs
 from tillpoint.sources import testdata as td
 from tillpoint.operators.features import FEATURE_NAMES
@@ -56,6 +58,25 @@ def test_feature_job_stops_on_invalid_input(spark, tmp_out):
     assert rep.details["removidas"] > 0
 
 
+def test_feature_job_on_an_empty_input(spark, tmp_out):
+    empty = spark.createDataFrame([], td.vendas(spark, SF).schema)
+    for rows in (empty, td.vendas(spark, SF).where("loja_id < 0")):
+        rep = jobs.run_features(spark, rows, f"{tmp_out}/e", td.REF_DATE, run_dir=f"{tmp_out}/r")
+        assert rep.status == "done" and rep.rows == 0 and rep.details["linhas"] == 0
+
+
+def test_feature_job_reads_its_input_once(spark, tmp_out):
+    """The staging write counts all rows, also those that cleaning drops, and leaves only named stages."""
+    rows = td.vendas(spark, SF).withColumn("quantidade", F.when(F.col("loja_id") == 1, -F.col("quantidade"))
+                                           .otherwise(F.col("quantidade")))
+    rep = jobs.run_features(spark, rows, f"{tmp_out}/x", td.REF_DATE, run_dir=f"{tmp_out}/s")
+    dropped = rows.where("loja_id = 1").count()
+    assert "validate" not in rep.stage_seconds and rep.details["linhas"] == rows.count() and rep.details["removidas"] == dropped > 0
+    assert spark.read.parquet(rep.details["vendas_limpo"]).count() == rows.count() - dropped
+    from tillpoint.sources.io import content_key
+    assert os.listdir(f"{tmp_out}/s") == [content_key(rows)]
+
+
 def test_feature_job_missing_column(spark, tmp_out):
     rep = jobs.run_features(spark, td.vendas(spark, SF).drop("regiao"), f"{tmp_out}/bad2", td.REF_DATE)
     assert rep.status == "validate_fail" and rep.errors == ["coluna ausente: regiao"]

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.operators import features as feat
@@ -26,7 +26,8 @@ from tillpoint.operators.quality import audit
 from tillpoint.operators.validate import (MSG_MISSING_COLUMN, clean_sales, missing_columns, only_store,
                                          report_from_metrics, validation_metrics)
 from tillpoint.session import checkpoint_dir
-from tillpoint.sources.io import content_key, content_metrics, key_from_metrics, stage_done, write_table
+from tillpoint.sources.io import (content_key, content_metrics, delete_path, key_from_metrics, move_path, path_exists, stage_done,
+                                  write_table)
 
 
 @dataclass
@@ -96,31 +97,45 @@ def _write_all(tables: dict[str, DataFrame], output_dir: str, mode: str, paralle
 def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_date: dt.date,
                  run_dir: str | None = None, mode: str = "overwrite", parallel: int = 8,
                  partition_by_month: bool = False) -> RunReport:
-    """Feature engine: validate → clean → 8 feature tables → save. An invalid input stops before anything is
-    written, and the problems are returned.
+    """Feature engine: validate → clean → 8 feature tables → save. An invalid input leaves nothing behind, and the problems
+    are returned.
 
-    Validation is one aggregate over the input, which also yields a key of its rows. Stage outputs carry that key, so a
-    rerun with the same ``run_dir`` goes on from them only when the input is the same; a failed validation leaves nothing
-    to go on from."""
+    One pass over the input writes the cleaned rows to a staging folder and observes the validation counts and a key of all
+    rows; the folder becomes the stage output if the input is valid, else it is deleted. Stage outputs carry the key: a rerun
+    with the same ``run_dir`` first reads the input for the key alone, and goes on from the outputs if it is the same."""
     rep = RunReport("features")
     clock = _Clock(rep)
+    resumed = run_dir is not None and path_exists(spark, run_dir)
     run_dir = run_dir or new_run_dir(spark, "features")
     absent = missing_columns(vendas)
     if absent:
         rep.errors = [MSG_MISSING_COLUMN % c for c in absent]
         return clock.done("validate_fail")
-    with clock.stage("validate"):
-        m = vendas.agg(*validation_metrics(vendas), *content_metrics(vendas)).first().asDict()
+    measures = [*validation_metrics(vendas), *content_metrics(vendas)]
+    m = None
+    if resumed:
+        with clock.stage("validate"):
+            m = vendas.agg(*measures).first().asDict()
+    with clock.stage("transform"):
+        known = m is not None and (not report_from_metrics(vendas, m)["valido"]
+                                   or stage_done(f"{run_dir}/{key_from_metrics(vendas, m)}/vendas_limpo", spark))
+        if not known:
+            staging, seen = f"{run_dir}/entrada-{uuid.uuid4().hex[:12]}", Observation()
+            clean_sales(vendas.observe(seen, *measures)).write.parquet(staging)
+            m = seen.get
         r = report_from_metrics(vendas, m)
+        stage = f"{run_dir}/{key_from_metrics(vendas, m)}"
+        if not known and r["valido"]:
+            move_path(spark, staging, f"{stage}/vendas_limpo")
+        elif not known:
+            delete_path(spark, staging if resumed else run_dir)
     rep.details.update(linhas=r["linhas"], colunas=r["colunas"], nulos=dict(r["nulos_por_coluna"] or {}),
                        removidas=r["removidas"], run_dir=run_dir)
     if not r["valido"]:
         rep.errors = list(r["problemas"])
         return clock.done("validate_fail")
-    stage = f"{run_dir}/{key_from_metrics(vendas, m)}"
-    with clock.stage("transform"):
-        clean = _materialize(clean_sales(vendas), f"{stage}/vendas_limpo")
-        rep.details["vendas_limpo"] = f"{stage}/vendas_limpo"
+    clean = spark.read.parquet(f"{stage}/vendas_limpo")
+    rep.details["vendas_limpo"] = f"{stage}/vendas_limpo"
     with clock.stage("feature_calc+save"):
         # day × store (F1, F4, F6, F7) and customer × month (F2, F5) are written once, so the cleaned table is scanned
         # four times instead of eight

@@ -59,10 +59,33 @@ def stage_done(path: str, spark: SparkSession | None = None) -> bool:
 
     The check goes through the file system of the path, so a path without a scheme means the default one.
     """
-    spark = spark or SparkSession.getActiveSession()
-    jvm = spark._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(done)
+    return path_exists(spark or SparkSession.getActiveSession(), f"{path.rstrip('/')}/_SUCCESS")
+
+
+def _located(spark: SparkSession, path: str):
+    """The path as Hadoop's object, and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _located(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run has written."""
+    p, fs = _located(spark, path)
+    fs.delete(p, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Give a written folder its final name; the target must not exist."""
+    p, fs = _located(spark, source)
+    to, _ = _located(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def content_key(df: DataFrame, *params) -> str:
