@@ -257,11 +257,14 @@ def test_unlinked_texts_of_one_name_stay(spark):
         [(None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5])])
 
 
-def test_frequent_members(spark, monkeypatch):
-    """A low limit drives every pair through hubs and blocks."""
-    monkeypatch.setattr(jaccard, "FREQUENT", 2)
-    monkeypatch.setattr(jaccard, "BLOCK", 8)
-    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+@pytest.mark.parametrize("limits", [
+    dict(FREQUENT=2, BLOCK=8, ROUNDS=1),  # every pair goes through hubs and blocks
+    dict(FREQUENT=2, BLOCK_MEMBERS=1000, ROUNDS=1, FILTER_BITS=1),  # blocks by their members, joins in place of bit filters
+    dict(WINDOW=3, LISTS=16)])  # many trees of short lists
+def test_limits(spark, monkeypatch, limits):
+    """Limits change how pairs are found, not which."""
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(1)
     base = [f"w{i}" for i in range(150)]
     rows = []
@@ -269,7 +272,7 @@ def test_frequent_members(spark, monkeypatch):
         t = list(base)
         for i in rng.integers(0, 150, 4):
             t[i] = f"z{rng.integers(0, 9)}"
-        rows.append((k, " ".join(t)))
+        rows += [(k, " ".join(t))] * (1 + (k % 20 == 0))  # some rows twice
     out = jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"))
     assert rows_of(out, "doc_id", "n_shingles", "component_id") == Counter(brute_groups(rows, 3, 90))
 
@@ -283,6 +286,26 @@ def test_prefix_tree():
     assert len(a) == len(want) and set(zip(a.tolist(), b.tolist())) == want
 
 
+def test_prefix_tree_meets():
+    """Lists cut at a window: the pairs whose overlap and what is left out exceed what the smaller set can spare."""
+    rng = np.random.default_rng(3)
+    for window in (4, 64):
+        whole = [np.unique(np.r_[rng.integers(0, 2), rng.integers(2, 40, rng.integers(1, 30))]) for _ in range(80)]
+        size, rest = rng.integers(20, 150, 80), np.array([max(0, len(x) - window) for x in whole])
+        lists = [x[:window] for x in whole]
+        want = set()
+        for i in range(80):
+            for j in range(i):
+                low, high = sorted((int(size[i]), int(size[j])))
+                common = len(np.intersect1d(lists[i], lists[j])) + max(rest[i], rest[j])
+                if lists[i][0] == lists[j][0] and 100 * low >= 80 * high and common > low - -(-80 * low // 100):
+                    want.add((j, i))
+        a, b = PrefixTree(lists).meet(size, rest, 80)
+        pairs = [tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())]
+        assert len(pairs) == len(want) and set(pairs) == want
+    assert len(PrefixTree([]).meet(size[:0], rest[:0], 80)[0]) == 0
+
+
 # 6 --------------------------------------------------------------------------------------------------------------
 def test_lines(docs, empty):
     out = lines.dedup_lines(docs)

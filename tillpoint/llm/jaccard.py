@@ -19,9 +19,12 @@ from tillpoint.session import materialize
 
 #: Sets of up to this size show all members to the test for partners, longer ones a fixed share of the hash space.
 SMALL = 64
-#: Sets that one prefix tree holds, about.
-BLOCK = 400
-#: Greatest size of a bit filter (a power of 2): the proven bound of what is broadcast.
+#: Sets that one prefix tree holds, about, and their members together, unless a single set has more.
+BLOCK, BLOCK_MEMBERS = 400, 1 << 19
+#: Lists of first members that one prefix tree holds, about, and the members shown of each.
+LISTS, WINDOW = 2048, 64
+#: Greatest size of a bit filter (a power of 2): the proven bound of what is broadcast. More hashes than an eighth of it
+#: are joined instead.
 FILTER_BITS = 1 << 27
 #: Members that more nodes than this begin with are moved to the end of the global order, round by round; where they
 #: still come first, they are settled through hubs and blocks, all others pair by pair.
@@ -112,9 +115,12 @@ def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([(u >> np.uint64(s)) & np.uint64(bits - 1) for s in (0, 16, 32)]).astype(np.int64)
 
 
-def bit_filter(hashes: DataFrame) -> BitFilter:
-    """The filter of the one column ``h``: every partition marks its bits, and the marks are put together."""
+def bit_filter(hashes: DataFrame) -> BitFilter | None:
+    """The filter of the one column ``h``: every partition marks its bits, and the marks are put together. None if there
+    are too many hashes for a filter to part them from others."""
     count, bits = hashes.count(), 1 << 16
+    if 8 * count > FILTER_BITS:
+        return None
     while bits < min(32 * count, FILTER_BITS):
         bits *= 2
     chunk = min(bits, 1 << 19)
@@ -139,19 +145,22 @@ def bit_filter(hashes: DataFrame) -> BitFilter:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, size, members) of the wanted nodes, from one row of each; the texts stay where they are read."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        bit_filter(wanted.select(F.xxhash64("node", "rep").alias("h"))))
+    """(node, size, members) of the wanted nodes, from one row of each; the texts stay where they are read, unless more
+    nodes are wanted than a bit filter can hold."""
+    hashes = wanted.select(F.xxhash64("node", "rep").alias("h"))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(hashes))
+    keyed = docs.select("node", "t", F.xxhash64("node", "id").alias("h"))
+    if shared.value is None:
+        keyed = keyed.join(hashes, "h", "left_semi")
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            maybe = shared.value.has(pdf["h"].to_numpy(np.int64))
+            maybe = np.ones(len(pdf), bool) if shared.value is None else shared.value.has(pdf["h"].to_numpy(np.int64))
             rows = [(k, len(s), s) for k, s in ((k, ngram_set(t, n)) for k, t in
                                                 zip(pdf["node"][maybe], pdf["t"][maybe]))]
             yield pd.DataFrame(rows, columns=["node", "size", "members"])
 
-    rows = docs.select("node", "t", F.xxhash64("node", "id").alias("h")).mapInPandas(
-        build, "node long, size long, members array<long>")
+    rows = keyed.mapInPandas(build, "node long, size long, members array<long>")
     rows = rows.where("size > 0").join(wanted.select(F.col("node").alias("w")), F.col("node") == F.col("w"), "left_semi")
     return materialize(rows, "ngram-sets")
 
@@ -198,13 +207,22 @@ def _spare(size: str, percent: int):
     return F.expr(f"{size} - ({percent} * {size} + 99) div 100")
 
 
-def _first_members(sets: DataFrame, percent: int, last: BitFilter | None) -> DataFrame:
-    """(member, node, size) of the first members of each set in the global order: by hash, those of ``last`` at the end.
+def _first_members(sets: DataFrame, percent: int, last: DataFrame | None) -> DataFrame:
+    """(member, node, size) of the first members of each set in the global order: by hash, those of ``last`` (its column
+    ``h``) at the end, marked by a bit filter or, if they are too many for one, by a join.
 
     Two similar sets have one of their first ``spare + 1`` members in common, and of twice as many at least the lesser
     ``spare + 1``. That holds in any order that is the same for all sets.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(last)
+    marks = None if last is None else bit_filter(last)
+    if last is not None and marks is None:
+        late = (sets.select("node", "size", F.explode("members").alias("member"))
+                .join(last, F.col("member") == F.col("h"), "left"))
+        ordered = late.groupBy("node", "size").agg(
+            F.sort_array(F.collect_set(F.struct(F.col("h").isNotNull().alias("late"), "member"))).alias("s"))
+        count = (2 * _spare("size", percent) + 1).cast("int")
+        return ordered.select(F.explode(F.slice("s.member", F.lit(1), count)).alias("member"), "node", "size")
+    shared = sets.sparkSession.sparkContext.broadcast(marks)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -230,22 +248,26 @@ def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     Members that many sets begin with are put last and the next ones come first instead, for a few rounds: what is left
     in front is rare, or belongs to a large group of similar sets.
     """
-    last, frequent = None, None
+    frequent = None
     for k in range(ROUNDS + 1):
-        prefixes = materialize(_first_members(sets, percent, last), f"first-members-{k}")
+        prefixes = materialize(_first_members(sets, percent, frequent), f"first-members-{k}")
         counts = materialize(prefixes.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"counts-{k}")
         more = counts.where(F.col("n") > FREQUENT).select(F.col("member").alias("h"))
         if k == ROUNDS or more.isEmpty():
             return prefixes, counts
-        frequent = more if frequent is None else frequent.unionByName(more)
-        last = bit_filter(frequent)
+        frequent = more if frequent is None else frequent.unionByName(more).distinct()
+
+
+def _blocks(size: str = "size"):
+    """Into how many blocks a group is cut: by its sets and by their members."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(size) / BLOCK_MEMBERS))
 
 
 def _hub_tasks(pairs: DataFrame) -> DataFrame:
-    """Tasks that compare a hub with its nodes, from (hub, node), in chunks of a bounded size."""
-    counts = pairs.groupBy(F.col("hub").alias("c_hub")).agg(F.count(F.lit(1)).alias("n"))
+    """Tasks that compare a hub with its nodes, from (hub, node, size of the node), in chunks of a bounded size."""
+    counts = pairs.groupBy(F.col("hub").alias("c_hub")).agg(_blocks().alias("n"))
     dealt = (pairs.join(counts, F.col("hub") == F.col("c_hub"))
-             .withColumn("task", F.struct("hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("part"))))
+             .withColumn("task", F.struct("hub", F.pmod(F.xxhash64("node"), F.col("n")).alias("part"))))
     tree = dealt.select("task", F.lit(0).alias("side"), "node", F.col("node").alias("comp"))
     probe = dealt.select("task", F.lit(1).alias("side"), F.col("hub").alias("node"), F.col("hub").alias("comp")).distinct()
     return tree.unionByName(probe)
@@ -257,24 +279,40 @@ def _star_pairs(frequent: DataFrame, percent: int) -> DataFrame:
     return (frequent.join(hubs, F.col("member") == F.col("m"))
             .where((F.col("node") != F.col("hub.node"))
                    & (100 * F.least("size", "hub.size") >= percent * F.greatest("size", "hub.size")))
-            .select(F.col("hub.node").alias("hub"), "node").distinct())
+            .select(F.col("hub.node").alias("hub"), "node", "size").distinct())
 
 
 def _rare_pairs(prefixes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that have enough of the other first members in common.
+    """(hub, node, size of the node): pairs of nodes that may have enough of the other first members in common.
 
-    At most ``FREQUENT`` nodes have such a member. A similar pair that has no frequent member in common is found here
-    with all its common first members; one that has is compared in the blocks.
+    At most ``FREQUENT`` nodes have such a member. A similar pair that has no frequent member in common has more of
+    these in common than the smaller set can spare. The first members of a node are a list, rarest first; the list from each
+    member on that enough others follow goes to the task of that member, ``WINDOW`` members of it, with the number of
+    those left out. A task holds the lists of many members in one prefix tree (``PrefixTree.meet``). Members are shown
+    by half of their hash, which can only add pairs; all are confirmed on whole sets.
     """
-    few = counts.where(F.col("n") <= FREQUENT).select(F.col("member").alias("m"))
-    rows = materialize(prefixes.join(few, F.col("member") == F.col("m")).select("member", "node", "size"), "rare-rows")
-    a = rows.select("member", F.col("node").alias("hub"), F.col("size").alias("x"))
-    b = rows.select(F.col("member").alias("b_member"), "node", F.col("size").alias("y"))
-    both = a.join(b, (F.col("member") == F.col("b_member")) & (F.col("hub") < F.col("node"))
-                  & (100 * F.least("x", "y") >= percent * F.greatest("x", "y")))
-    return (both.select("hub", "node", F.least("x", "y").alias("s"), "member").distinct()
-            .groupBy("hub", "node", "s").agg(F.count(F.lit(1)).alias("c"))
-            .where(F.col("c") > _spare("s", percent)).select("hub", "node"))
+    few = counts.where(F.col("n") <= FREQUENT).select(F.col("member").alias("m"), "n")
+    lists = (prefixes.join(few, F.col("member") == F.col("m")).groupBy("node", "size")
+             .agg(F.sort_array(F.collect_set(F.struct("n", "member"))).alias("s"))
+             .select("node", "size", F.expr("transform(s, x -> cast(x.member & 2147483647L as int))").alias("list"),
+                     F.expr(f"({percent} * size + 99) div 100").alias("least")))
+    lists = lists.withColumn("starts", (F.size("list") - _spare("least", percent)).cast("int")).where("starts > 0")
+    lists = materialize(lists.select("node", "size", "list", "starts"), "rare-lists")
+    total = lists.agg(F.sum("starts")).first()[0] or 0
+    rows = (lists.select("node", "size", "list", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("i"))
+            .select("node", "size", F.expr(f"slice(list, i, {WINDOW})").alias("part"),
+                    F.greatest(F.lit(0), F.size("list") - F.col("i") + 1 - WINDOW).alias("rest"),
+                    F.pmod(F.xxhash64(F.expr("list[i - 1]")), F.lit(-(-total // LISTS) or 1)).alias("task")))
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, size = pdf["node"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
+        tree = PrefixTree([np.asarray(m, np.int64) for m in pdf["part"]])
+        i, j = tree.meet(size, pdf["rest"].to_numpy(np.int64), percent)
+        i, j = np.where(node[i] <= node[j], i, j), np.where(node[i] <= node[j], j, i)
+        out = pd.DataFrame({"hub": node[i], "node": node[j], "size": size[j]})
+        return out[out["hub"] != out["node"]].drop_duplicates()
+
+    return (rows.groupBy("task").applyInPandas(search, "hub long, node long, size long")).distinct()
 
 
 def _block_tasks(frequent: DataFrame, known: DataFrame) -> DataFrame | None:
@@ -284,26 +322,24 @@ def _block_tasks(frequent: DataFrame, known: DataFrame) -> DataFrame | None:
     large component in several), and every two blocks meet in a task, unless both hold the same component only.
     """
     rows = (frequent.join(known.select(F.col("node").alias("k"), "comp"), F.col("node") == F.col("k"), "left")
-            .select("member", "node", F.coalesce("comp", "node").alias("comp")))
+            .select("member", "node", "size", F.coalesce("comp", "node").alias("comp")))
     open_members = (rows.groupBy("member").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                                F.min("node").alias("first"))
                     .where("c0 <> c1").select(F.col("member").alias("m"), "first"))
     edges = (rows.join(open_members, F.col("member") == F.col("m"))
-             .select(F.col("first").alias("u"), F.col("node").alias("v"), "comp").distinct())
+             .select(F.col("first").alias("u"), F.col("node").alias("v"), "size", "comp").distinct())
     edges = materialize(edges, "open-edges")
     if edges.isEmpty():
         return None
     clusters = components(edges, "clusters")
-    members = edges.select(F.col("v").alias("node"), "comp").distinct()
+    members = edges.select(F.col("v").alias("node"), "size", "comp").distinct()
     members = materialize(members.join(clusters.select(F.col("node").alias("k"), F.col("comp").alias("cluster")),
-                                       F.col("node") == F.col("k")).select("node", "comp", "cluster"), "open-nodes")
-    sizes = members.groupBy(F.col("cluster").alias("s_cluster")).agg(F.count(F.lit(1)).alias("n"))
-    comps = members.groupBy(F.col("cluster").alias("p_cluster"), F.col("comp").alias("p_comp")).agg(
-        F.count(F.lit(1)).alias("p"))
-    large = F.col("p") > BLOCK
+                                       F.col("node") == F.col("k")).select("node", "size", "comp", "cluster"), "open-nodes")
+    sizes = members.groupBy(F.col("cluster").alias("s_cluster")).agg(_blocks().alias("n"))
+    comps = members.groupBy(F.col("cluster").alias("p_cluster"), F.col("comp").alias("p_comp")).agg(_blocks().alias("p"))
+    large = F.col("p") > 1
     block = F.struct(F.when(large, F.col("comp")).alias("comp"), F.when(large, F.pmod(
-        F.xxhash64("node"), F.ceil(F.col("p") / BLOCK))).otherwise(F.pmod(
-            F.xxhash64("comp"), F.ceil(F.col("n") / BLOCK))).alias("part"))
+        F.xxhash64("node"), F.col("p"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("n"))).alias("part"))
     dealt = (members.join(sizes, F.col("cluster") == F.col("s_cluster"))
              .join(comps, (F.col("cluster") == F.col("p_cluster")) & (F.col("comp") == F.col("p_comp")))
              .select("node", "comp", "cluster", block.alias("block")))
@@ -327,9 +363,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     1. Equal texts are one node. 2. Nodes with too many members of their own are alone. 3. The sets of the others are
     built. Similar sets have some of their first members in common, in an order by hash with frequent members last. For a member that many nodes begin
     with, the least node is compared with all others, which settles a group of any size in time linear in it if its
-    members resemble the hub; what that leaves open is compared block by block. For other members, nodes that have
-    enough of them in common are compared. Comparisons go through prefix trees of the ordered sets. 4. Components of all
-    links; the least id names one.
+    members resemble the hub; what that leaves open is compared block by block. For other members, prefix trees of the
+    first members from each of them on give the pairs that have enough in common. All pairs are confirmed in prefix
+    trees of the ordered sets. 4. Components of all links; the least id names one.
 
     No pairs within a group are listed; a task holds about two blocks of sets. N-grams are compared by 64-bit hashes.
 

@@ -17,6 +17,11 @@ def enough(overlap: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
     return (100 + percent) * overlap >= percent * total
 
 
+def spare(size: np.ndarray, percent: int) -> np.ndarray:
+    """Members of sets of that size that a similar one may lack, at most."""
+    return size - (percent * size + 99) // 100
+
+
 class PrefixTree:
     """Sets in one global order of their members, as a tree of shared prefixes.
 
@@ -78,3 +83,56 @@ class PrefixTree:
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(c) for c in zip(*found))
+
+    def meet(self, size: np.ndarray, rest: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pairs of lists with the same first member that may have enough members in common.
+
+        A list is a stretch of an ordered longer one, which goes on for ``rest`` members and stands for a set of
+        ``size``. Similar sets have more members of the longer lists in common than the smaller set can spare. The lists
+        below one first member go down its subtree together, each pair once: a list is dropped where its overlap with
+        the path, what is left of the longest list below and what both leave out cannot exceed that number.
+        """
+        size, rest, length = size[self.order], rest[self.order], self.sizes
+        head = np.array([s[0] for s in self.sets], np.int64)
+        cuts = np.r_[0, np.flatnonzero(head[1:] != head[:-1]) + 1, len(head)]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if stop - start < 2:
+                continue
+            members = np.concatenate(self.sets[start:stop])
+            owner = np.repeat(np.arange(stop - start), length[start:stop])
+            by_member = np.argsort(members, kind="stable")
+            members, owner = members[by_member], owner[by_member]
+            stack = [(start, stop, 0, np.arange(start + 1, stop), np.zeros(stop - start - 1, np.int64))]
+            while stack:
+                lo, hi, depth, probe, overlap = stack.pop()
+                first = self.sets[lo]
+                end = len(first) if hi - lo == 1 else shared_prefix(first, self.sets[hi - 1], depth)
+                low, high = size[lo:hi].min(), size[lo:hi].max()
+                a = np.searchsorted(members, first[depth:end], "left")
+                count = np.searchsorted(members, first[depth:end], "right") - a
+                at = np.repeat(a - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+                overlap = overlap + np.bincount(owner[at], minlength=stop - start)[probe - start]
+                left = overlap + length[lo:hi].max() - end + np.maximum(rest[probe], rest[lo:hi].max())
+                alive = ((100 * size[probe] >= percent * low) & (100 * high >= percent * size[probe])
+                         & (left > spare(np.minimum(size[probe], low), percent)))
+                probe, overlap = probe[alive], overlap[alive]
+                done = lo
+                while done < hi and length[done] == end and len(probe):
+                    lesser, greater = np.minimum(size[probe], size[done]), np.maximum(size[probe], size[done])
+                    hit = ((probe > done) & (100 * lesser >= percent * greater)
+                           & (overlap + np.maximum(rest[probe], rest[done]) > spare(lesser, percent)))
+                    if hit.any():
+                        found.append((np.full(int(hit.sum()), done), probe[hit]))
+                    done += 1
+                if done < hi and len(probe):
+                    heads = np.array([s[end] for s in self.sets[done:hi]])
+                    edges = np.r_[0, np.flatnonzero(heads[1:] != heads[:-1]) + 1, len(heads)] + done
+                    for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                        later = probe > x  # each pair from its earlier list
+                        if later.any():
+                            stack.append((x, y, end, probe[later], overlap[later]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        order = np.array(self.order)
+        return tuple(order[np.concatenate(c)] for c in zip(*found))
