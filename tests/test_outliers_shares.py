@@ -94,3 +94,9 @@ def test_sparse_shares_equal_the_columns(spark):
         w = wide[r.loja_id, r.mes]
         assert {c: given.get(c, 0.0) for c in names.values()} == {c: w[pan.share_column(c)] for c in names.values()}
         assert main[r.loja_id] == w.categoria_principal
+
+
+def test_the_levels_of_sparse_shares_are_not_broadcast(spark):
+    sales = clean_sales(vendas_teste(spark)).withColumn("categoria", F.col("produto_id").cast("string"))
+    _, rows = pan.sparse_shares(sales)
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -225,3 +225,12 @@ def test_training_partitions_follow_the_rows(spark, monkeypatch):
     assert places[0].count() == 2450 and places[0].groupBy("p").count().agg(F.max("count")).first()[0] < 200
     assert ml.training_layout(df.limit(50)).rdd.getNumPartitions() == ml.TRAIN_PARTITIONS
     assert ml.training_layout(df, partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_a_table_of_levels_is_not_broadcast(spark):
+    rows = spark.range(50).select("id", F.concat(F.lit("n"), F.col("id")).alias("c"))
+    levels = rows.select(F.col("c").alias("nivel"), F.col("id").alias("posicao"))
+    out = ml.dummies_by_table(rows, "c", levels, ["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert out.count() == 49

@@ -127,9 +127,11 @@ def level_table(df: DataFrame, column: str) -> DataFrame:
 def dummies_by_table(df: DataFrame, column: str, levels: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, coluna, valor): the entries that are set, as ``dummies_long(..., nonzero=True)``, from a table of levels.
 
-    The first level, NULL and values without a level are all zeros and give no row. ``column`` is joined as text.
+    The first level, NULL and values without a level are all zeros and give no row. ``column`` is joined as text. Both sides
+    are shuffled: a written table of many similar levels is a small file, so Spark would take it for a small table and
+    gather it on the driver for a broadcast.
     """
-    kept = levels.where("posicao > 0").select(F.col("nivel").alias("_nivel"))
+    kept = levels.where("posicao > 0").select(F.col("nivel").alias("_nivel")).hint("merge")
     rows = df.select(*keys, F.col(column).cast("string").alias("_valor"))
     return (rows.join(kept, F.col("_valor") == F.col("_nivel"))
             .select(*keys, F.concat(F.lit(f"{column}_"), F.col("_nivel")).alias("coluna"), F.lit(1.0).alias("valor")))

@@ -185,7 +185,8 @@ def sparse_shares(vendas: DataFrame) -> tuple[DataFrame, DataFrame]:
     shares = materialize(long_shares(vendas), "shares")
     levels = materialize(level_table(shares, "categoria"), "categorias")
     size = levels.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    named = shares.join(levels, F.col("categoria").cast("string") == F.col("nivel"))
+    # the levels have no bound, and their file is much smaller than their rows: not to be broadcast (see ml.dummies_by_table)
+    named = shares.join(levels.hint("shuffle_hash"), F.col("categoria").cast("string") == F.col("nivel"))
     pairs = named.groupBy("loja_id", "mes").agg(F.sort_array(F.collect_list(F.struct("posicao", "share"))).alias("p"))
     return levels, pairs.select("loja_id", "mes", size.alias("tamanho"), F.col("p.posicao").alias("posicoes"),
                                 F.col("p.share").alias("valores"))
