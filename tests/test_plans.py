@@ -69,3 +69,15 @@ def test_split_ranks_one_bucket_only(spark):
     p = plan(ml.exact_split(df))
     whole = p.split("Union", 1)[1].split("\n   :- ", 1)[-1].split("\n   +- ", 1)[0]
     assert "Union" in p and "row_number" not in whole and "SortMergeJoin" not in p
+
+
+def test_bytes_of_a_task_are_bounded_unless_set(spark):
+    from tillpoint.session import apply_defaults
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    other.conf.unset(key)
+    apply_defaults(other)
+    assert other.conf.get(key) == "16m"
+    other.conf.set(key, "48m")
+    apply_defaults(other)
+    assert other.conf.get(key) == "48m"

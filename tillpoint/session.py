@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # bytes of a task after a shuffle: compressed, and sorts and aggregates over them take about 18 times as much memory
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
 }
