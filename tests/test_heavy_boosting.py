@@ -152,3 +152,21 @@ def test_boosting_edges(spark):
 def test_hold_out_is_exact(spark):
     df = spark.range(50).select(F.col("id").alias("loja_id"), F.lit("2024-01").alias("mes"))
     assert boosting.hold_out(df).where("is_val").count() == 10
+
+
+def test_small_batches_are_gathered(spark, monkeypatch):
+    calls, added = [], heavy._added
+    monkeypatch.setattr(heavy, "_added", lambda parts, by, sums: calls.append(len(parts)) or added(parts, by, sums))
+
+    class Rows:  # the function that a task runs, in this process
+        schema = spark.createDataFrame([], "g long, p long, _w long").schema
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    batch = lambda i: heavy.pa.record_batch({"g": [1] * 100, "p": [*range(i * 100, i * 100 + 100)], "_w": [1] * 100})
+    out = list(heavy.summaries(Rows(), ["g"], "p", counters=20_000, budget=50_000)(batch(i) for i in range(100)))
+    assert sum(b.num_rows for b in out) == 10_000 and len(calls) <= 3

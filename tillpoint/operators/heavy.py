@@ -33,6 +33,8 @@ from tillpoint.session import materialize
 COUNTERS = 256
 #: Entries that a task holds before it cuts.
 BUDGET = 500_000
+#: Rows that a task gathers at least before it adds them to its summary.
+GATHER = 65_536
 
 
 def _group_codes(table: pa.Table, keys: list[str]) -> np.ndarray:
@@ -77,7 +79,7 @@ def summaries(rows: DataFrame, keys: list[str], item: str, counters: int = COUNT
     named = [*keys, item]
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, lost = None, []
+        state, lost, waiting, n_waiting = None, [], [], 0
 
         def out():
             held = _cut(state, keys, counters)
@@ -102,13 +104,22 @@ def summaries(rows: DataFrame, keys: list[str], item: str, counters: int = COUNT
                     "_neg", pc.negate(minus["_w"]))
                 lost = [_added([*lost, minus], keys, ["_corte", "_neg"])]
             table = table.set_column(len(named), "_w", pc.max_element_wise(table["_w"], pa.scalar(0, pa.int64())))
-            state = _added([table] if state is None else [state, table], named, ["_w"])
+            waiting.append(table)
+            n_waiting += table.num_rows
+            # as many rows as the summary has entries: adding a batch at a time would go over all of them for each
+            if n_waiting < min(budget, max(GATHER, 0 if state is None else state.num_rows)):
+                continue
+            state = _added(waiting if state is None else [state, *waiting], named, ["_w"])
+            waiting, n_waiting = [], 0
             if state.num_rows > budget:
                 state, cut = _cut(state, keys, counters)
                 lost = [_added([*lost, cut], keys, ["_corte", "_neg"])]
                 if state.num_rows > budget // 2 or lost[0].num_rows > budget:
                     yield from out()
                     state, lost = None, []
+                    pa.default_memory_pool().release_unused()
+        if waiting:
+            state = _added(waiting if state is None else [state, *waiting], named, ["_w"])
         if state is not None:
             yield from out()
 
