@@ -95,3 +95,24 @@ def test_job_stops_on_an_invalid_batch(spark, tmp_out):
     with pytest.raises(ValueError):
         FeatureStore(spark, f"{tmp_out}/n").apply(
             clean_sales(vendas_teste(spark)).withColumn("data_venda", F.lit(None).cast("date")), td.REF_DATE)
+
+
+def test_tables_of_a_step_are_written_at_once(spark, tmp_out, monkeypatch):
+    import threading
+    busy, most, lock, replace = 0, 0, threading.Lock(), FeatureStore._replace
+
+    def watched(self, *args):
+        nonlocal busy, most
+        with lock:
+            busy, most = busy + 1, max(most, busy + 1)
+        try:
+            replace(self, *args)
+        finally:
+            with lock:
+                busy -= 1
+    monkeypatch.setattr(FeatureStore, "_replace", watched)
+    sales = clean_sales(vendas_teste(spark))
+    store = FeatureStore(spark, f"{tmp_out}/s")
+    store.apply(sales, td.REF_DATE)
+    assert most >= 3
+    assert_full(store, sales)

@@ -17,6 +17,8 @@ The result equals a full rebuild from all sales.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,13 @@ PARTIALS = {"visitas": ["data_venda", "loja_id", "cliente_id"], "categorias": ["
             "produtos": ["loja_id", "produto_id"]}
 
 
+def _together(jobs: list[Callable[[], None]]) -> None:
+    """Run writes of different tables at once: the last tasks of one leave cores that the next can use."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        for running in [pool.submit(job) for job in jobs]:
+            running.result()
+
+
 class FeatureStore:
     """The tables under ``path``. ``vendas`` batches are cleaned sales (see ``validate.clean_sales``)."""
 
@@ -74,8 +83,8 @@ class FeatureStore:
         sums = {"visitas": [F.sum(value).alias("_r"), F.count(F.lit(1)).alias("n")],
                 "categorias": [F.sum(value).alias("_r"), F.sum(cost).alias("_c")], "produtos": [F.sum(value).alias("_r")]}
         if not stage_done(done, self.spark):
-            for name, keys in PARTIALS.items():
-                self._replace(rows.groupBy("mes", "lote", *keys).agg(*sums[name]), "parciais", name, ["mes", "lote"])
+            _together([lambda name=name, keys=keys: self._replace(rows.groupBy("mes", "lote", *keys).agg(*sums[name]), "parciais", name,
+                                                                  ["mes", "lote"]) for name, keys in PARTIALS.items()])
             # the months of the batch, from its own small sums, are its receipt: written last
             own = self.spark.read.parquet(self._folder("parciais", "categorias")).where(F.col("lote") == batch)
             own.select(F.col("mes").cast("string").alias("mes")).distinct().coalesce(1).write.mode("overwrite").parquet(done)
@@ -89,33 +98,32 @@ class FeatureStore:
         visits = self.partial("visitas", months)
         daily = visits.groupBy("mes", "data_venda", "loja_id").agg(
             F.sum("_r").alias("_r"), F.sum("n").alias("n_vendas"), F.count("cliente_id").alias("clientes_unicos"))
-        self._replace(daily, "meses", "diario_loja", ["mes"])
         by_store = visits.groupBy("mes", "cliente_id", "loja_id").agg(
             F.sum("n").alias("n"), F.sum("_r").alias("_r"), F.max("data_venda").alias("_last"))
         customers = by_store.groupBy("mes", "cliente_id").agg(
             F.sum("n").alias("compras"), F.sum("_r").alias("_g"), F.count("loja_id").alias("lojas_visitadas"),
             F.max("_last").alias("_last"))
-        self._replace(customers, "meses", "cliente_mes", ["mes"])
-        self._replace(self.partial("categorias", months), "meses", "categorias", ["mes"])
-        self._replace(feat.top_products(self.partial("produtos", months)), "tabelas", "top_produtos", ["mes"])
+        _together([lambda: self._replace(daily, "meses", "diario_loja", ["mes"]),
+                   lambda: self._replace(customers, "meses", "cliente_mes", ["mes"]),
+                   lambda: self._replace(self.partial("categorias", months), "meses", "categorias", ["mes"]),
+                   lambda: self._replace(feat.top_products(self.partial("produtos", months)), "tabelas", "top_produtos", ["mes"])])
 
     def refresh(self, months: list[str], ref_date: dt.date) -> None:
         """Bring the feature tables up to date after ``merge(months)``."""
         touched, onwards = F.col("mes").isin(months), F.col("mes") >= F.lit(months[0])
         daily, customers = self.merged("diario_loja"), self.merged("cliente_mes")
         month = month_key()
-        here = feat.ticket_medio(daily, daily=daily.where(touched)).withColumn("mes", month)
-        self._replace(here, "tabelas", "ticket_medio", ["mes"])
-        self._replace(feat.frequencia_cliente(customers, by_month=customers.where(touched)), "tabelas", "frequencia_cliente", ["mes"])
-        self._replace(feat.crescimento_mom(daily, daily=daily).where(onwards), "tabelas", "crescimento_mom", ["mes"])
-        trend = feat.tendencia_7d(daily, daily=daily).withColumn("mes", month).where(onwards)
-        self._replace(trend, "tabelas", "tendencia_7d", ["mes"])
+        by_month = {"ticket_medio": feat.ticket_medio(daily, daily=daily.where(touched)).withColumn("mes", month),
+                    "frequencia_cliente": feat.frequencia_cliente(customers, by_month=customers.where(touched)),
+                    "crescimento_mom": feat.crescimento_mom(daily, daily=daily).where(onwards),
+                    "tendencia_7d": feat.tendencia_7d(daily, daily=daily).withColumn("mes", month).where(onwards)}
         totals = {"share_categoria": feat.category_shares(self.merged("categorias").groupBy("loja_id", "categoria").agg(
                       F.sum("_r").alias("_r"), F.sum("_c").alias("_c"))),
                   "recencia_cliente": feat.recencia_cliente(customers, ref_date, by_month=customers),
                   "sazonalidade_dia": feat.sazonalidade_dia(daily, daily=daily)}
-        for name, df in totals.items():
-            df.write.mode("overwrite").parquet(self._folder("tabelas", name))
+        _together([*[lambda name=name, df=df: self._replace(df, "tabelas", name, ["mes"]) for name, df in by_month.items()],
+                   *[lambda name=name, df=df: df.write.mode("overwrite").parquet(self._folder("tabelas", name))
+                     for name, df in totals.items()]])
 
     def apply(self, vendas: DataFrame, ref_date: dt.date) -> list[str]:
         """Add a batch of cleaned sales and bring all eight tables up to date; the touched months. A batch that was
