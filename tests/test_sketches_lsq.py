@@ -43,6 +43,14 @@ def test_rolled_up_sketches_keep_their_bound(spark):
     assert sk.error_bound(14) == sk.error_bound(12) / 2 < 0.04
 
 
+def test_month_is_no_key_of_the_daily_levels(spark):
+    saved = {}
+    sk.exact_levels(clean_sales(vendas_teste(spark)), lambda df, name: saved.setdefault(name, df))
+    for df in (saved["clientes-loja_dia"], sk.daily_sketches(clean_sales(vendas_teste(spark)))):
+        assert "mes" in df.columns
+        assert all("mes" not in line for line in plan(df).splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_distinct_counts_shuffle_keys_only(spark):
     sales = clean_sales(vendas_teste(spark))
     for df in (feat.daily_store(sales), feat.customer_month(sales)):

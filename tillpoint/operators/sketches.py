@@ -39,21 +39,23 @@ def _level_row(df: DataFrame, level: str, value) -> DataFrame:
 def exact_levels(vendas: DataFrame, save) -> DataFrame:
     """(nivel, periodo, loja_id, clientes) of every level, exact; ``save(df, name)`` writes the keys of a level (a level is read
     again by the coarser ones). A null customer is not counted."""
-    rows = vendas.where(F.col("cliente_id").isNotNull()).withColumn("mes", month_key())
+    rows = vendas.where(F.col("cliente_id").isNotNull())
     keys: dict[str, DataFrame] = {}
     out = []
     for level, columns in LEVELS.items():
         below = rows if FROM[level] is None else keys[FROM[level]]
-        kept = list(dict.fromkeys([*columns, *(["mes"] if level == "loja_dia" else []), "cliente_id"]))
-        keys[level] = save(below.select(*kept).distinct(), f"clientes-{level}")
+        distinct = below.select(*columns, "cliente_id").distinct()
+        if level == "loja_dia":  # the day tells the month: no key of the shuffle
+            distinct = distinct.withColumn("mes", month_key())
+        keys[level] = save(distinct, f"clientes-{level}")
         out.append(_level_row(keys[level].groupBy(*columns).agg(F.count(F.lit(1)).alias("clientes")), level, "clientes"))
     return reduce(DataFrame.unionByName, out)
 
 
 def daily_sketches(vendas: DataFrame, lg_k: int = LG_K) -> DataFrame:
     """(data_venda, mes, loja_id, esboco): the table to keep. Each task sketches its own sales, only sketches are shuffled."""
-    rows = vendas.withColumn("mes", month_key())
-    return rows.groupBy("data_venda", "mes", "loja_id").agg(F.hll_sketch_agg("cliente_id", F.lit(lg_k)).alias("esboco"))
+    days = vendas.groupBy("data_venda", "loja_id").agg(F.hll_sketch_agg("cliente_id", F.lit(lg_k)).alias("esboco"))
+    return days.select("data_venda", month_key().alias("mes"), "loja_id", "esboco")
 
 
 def roll_up(sketches: DataFrame, columns: list[str]) -> DataFrame:
