@@ -2,9 +2,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from tillpoint.plans import jobs
+from tillpoint.plans import catalog, jobs
 from tillpoint.sources import testdata as td
 from tillpoint.operators.features import FEATURE_NAMES
+from tillpoint.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,6 +22,17 @@ def test_feature_job_and_ignore_mode(spark, tmp_out):
     assert rep2.tables == rep.tables
 
 
+def test_feature_job_writes_sales_once(spark, tmp_out, monkeypatch):
+    """The query hands the job its sales unwritten; all that the job writes is compressed with zstd."""
+    written = []
+    monkeypatch.setattr(catalog, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    monkeypatch.setattr(catalog, "_new_dir", lambda spark, name: f"{tmp_out}/{name}")
+    monkeypatch.setattr(jobs, "new_run_dir", lambda spark, job: f"{tmp_out}/{job}")
+    assert catalog._feature_job(spark, SF).count() == 8 and written == []
+    files = [f for _, _, names in os.walk(tmp_out) for f in names if f.endswith(".parquet")]
+    assert len(files) >= 11 and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_feature_job_resumes_from_stage_output(spark, tmp_out):
     run_dir = f"{tmp_out}/run"
     first = jobs.run_features(spark, td.vendas(spark, SF), f"{tmp_out}/a", td.REF_DATE, run_dir=run_dir)

@@ -77,7 +77,7 @@ def new_run_dir(spark: SparkSession, job: str) -> str:
 def _materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a stage output once (skip if already committed) and continue from the written table."""
     if not stage_done(path, df.sparkSession):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -121,7 +121,7 @@ def run_features(spark: SparkSession, vendas: DataFrame, output_dir: str, ref_da
                                    or stage_done(f"{run_dir}/{key_from_metrics(vendas, m)}/vendas_limpo", spark))
         if not known:
             staging, seen = f"{run_dir}/entrada-{uuid.uuid4().hex[:12]}", Observation()
-            clean_sales(vendas.observe(seen, *measures)).write.parquet(staging)
+            clean_sales(vendas.observe(seen, *measures)).write.option("compression", "zstd").parquet(staging)
             m = seen.get
         r = report_from_metrics(vendas, m)
         stage = f"{run_dir}/{key_from_metrics(vendas, m)}"

@@ -31,7 +31,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
-    """Write one table as Parquet and return its row count, observed during the write (no second pass).
+    """Write one table as Parquet and return its row count, observed during the write (no second pass). The codec
+    is zstd, as for the tables of a step.
 
     ``mode="ignore"`` keeps an existing table untouched, like ``CREATE TABLE IF NOT EXISTS``; the returned count is
     then the one of the existing table.
@@ -40,14 +41,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
     if mode == "ignore":
         # an existing table is kept and no job runs, so nothing could be observed: count from Parquet footers
-        w = df.write.mode(mode)
+        w = df.write.mode(mode).option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         return df.sparkSession.read.parquet(path).count()
     if partition_by:
         # one partition's rows together, a large partition split, a small one not scattered over many files
         df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{abs(hash(path))}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
