@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillpoint.operators import ml
-from tillpoint.operators.panel import build_panel
+from tillpoint.operators.panel import build_panel, monthly, store_regions
 from tillpoint.plans.catalog import QUERIES
 
 from functools import reduce
@@ -38,6 +38,14 @@ def test_panel_windows(spark):
     assert build_panel(sales_for_store(spark, 7, range(1, 9)), ["A", "B"]).count() == 7
 
 
+def test_sales_are_not_sorted_for_the_panel(spark):
+    """No aggregate over all sales is a sort aggregate; the regions' one sorts each store's distinct regions, a written table."""
+    sales = sales_for_store(spark, 1, range(1, 5))
+    assert "SortAggregate" not in monthly(sales, ["A"])._jdf.queryExecution().executedPlan().toString()
+    regions = store_regions(sales)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in regions and "regioes-" in regions
+
+
 def test_region_belongs_to_the_store(spark):
     two = sales_for_store(spark, 1, range(1, 5), regiao="Sul").union(
         sales_for_store(spark, 1, range(2, 6), base=50, regiao="Norte"))

@@ -50,7 +50,7 @@ def learn_categories(vendas: DataFrame) -> list[str]:
 
 def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
     """Store × month measures: exact sums per category, of all other categories, and per weekday; counts."""
-    v = vendas.select("loja_id", "regiao", "categoria", "cliente_id", month_key().alias("mes"),
+    v = vendas.select("loja_id", "categoria", "cliente_id", month_key().alias("mes"),
                       weekday0().alias("_dow"), cents("valor_total", vendas).alias("_v"),
                       cents("custo", vendas).alias("_cost"))
     listed = F.coalesce(F.col("categoria").isin(*categories), F.lit(False)) if categories else F.lit(False)
@@ -59,8 +59,7 @@ def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
     cat_sums.append(F.sum(F.when(~listed, F.col("_v"))).alias(f"_cat{len(categories)}"))
     wd_sums = [F.sum(F.when(F.col("_dow") == F.lit(k), F.col("_v"))).alias(f"_wd{k}") for k in range(7)]
     sums = v.groupBy("loja_id", "mes").agg(
-        F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"), F.count(F.lit(1)).alias("n_vendas"),
-        F.min("regiao").alias("regiao"), *cat_sums, *wd_sums)
+        F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"), F.count(F.lit(1)).alias("n_vendas"), *cat_sums, *wd_sums)
     # distinct customers in their own aggregate: mixed into the one above, Spark would group *all* sum buffers by
     # (store, month, customer) before the final merge; alone, only the de-duplicated keys are shuffled. The join is
     # null-safe, so a store without an id keeps its rows.
@@ -70,6 +69,17 @@ def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
     return sums.join(customers, same).drop("_loja", "_mes")
 
 
+def store_regions(vendas: DataFrame) -> DataFrame:
+    """(loja_id, regiao): the first region of each store by name, NULL if none is known.
+
+    Its own aggregate: the least of a text has no fixed width, so beside the sums it would turn the aggregate of all sales into
+    a sort. Here each store's distinct regions are written, and only those are sorted (unwritten, Spark would drop the
+    ``distinct`` below the ``min`` and sort the sales).
+    """
+    pairs = materialize(vendas.select("loja_id", "regiao").distinct(), "regioes")
+    return pairs.groupBy("loja_id").agg(F.min("regiao").alias("regiao"))
+
+
 def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_last: bool = False) -> DataFrame:
     """The forecast panel: one row per (store, month) with the reference's feature set and ``target`` =
     next month's revenue. Rows without a target (each store's last month) are dropped unless ``keep_last``.
@@ -85,7 +95,7 @@ def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_las
     zero = F.lit(0).cast("bigint")
     cats = [F.coalesce(F.col(f"_cat{i}"), zero) for i in range(len(labels))]
     wds = [F.coalesce(F.col(f"_wd{k}"), zero) for k in range(7)]
-    m = m.select("loja_id", "regiao", "mes", "_r", "_c", "n_vendas", "n_clientes",
+    m = m.select("loja_id", "mes", "_r", "_c", "n_vendas", "n_clientes",
                  *[c.alias(f"_cat{i}") for i, c in enumerate(cats)],
                  *[w.alias(f"_wd{k}") for k, w in enumerate(wds)])
     # The monthly aggregate is read twice (windows + the global mean below): write it once to the shared
@@ -104,7 +114,7 @@ def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_las
     lifetime = [F.sum(f"_cat{i}").over(store) for i in range(len(labels))]
 
     p = m.select(
-        "loja_id", F.min("regiao").over(store).alias("regiao"), "mes", "_r", "n_vendas", "n_clientes",
+        "loja_id", "mes", "_r", "n_vendas", "n_clientes",
         F.year(F.to_date(F.concat(F.col("mes"), F.lit("-01")))).cast("bigint").alias("ano"),
         receita.alias("receita"),
         ticket.alias("ticket_medio"),
@@ -126,6 +136,12 @@ def build_panel(vendas: DataFrame, categories: list[str] | None = None, keep_las
         F.lag("n_clientes", 2).over(ordered).alias("_n2"),
         F.lead(receita, 1).over(ordered).alias("target"),
     )
+    # The windows leave the rows by store, so they are joined as they lie (many stores' regions are a small file: without the
+    # hint they would be broadcast). NULL joins nothing: sales without a store get their region from a scalar.
+    regions = store_regions(vendas).withColumnRenamed("loja_id", "_loja")
+    no_store = regions.where(F.col("_loja").isNull()).agg(F.min("regiao").alias("r")).select("r").scalar()
+    p = p.join(regions.hint("merge"), F.col("loja_id") == F.col("_loja"), "left").withColumn(
+        "regiao", F.when(F.col("loja_id").isNull(), no_store).otherwise(F.col("regiao")))
     # Growth against 3 and 6 rows back (0 when that row does not exist). P2 deliberately has no look-ahead.
     growth3 = F.coalesce(round_to((safe_div(from_cents("_r"), from_cents("_r3")) - F.lit(1.0)) * F.lit(100.0), 2),
                          F.lit(0.0))

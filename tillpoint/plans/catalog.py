@@ -246,7 +246,7 @@ QUERIES.update({"dq_duplicatas_filtro": _filtered_duplicates, "dq_chaves_repetid
 
 
 def _panel_sales(spark, sf_dir):
-    # the panel reads its sales three times (categories, sums, customers): write the columns it needs once
+    # the panel reads its sales four times (categories, sums, customers, regions): write the columns it needs once
     return materialize(_sales(spark, sf_dir).select("data_venda", "loja_id", "categoria", "valor_total", "custo",
                                                     "cliente_id", "regiao"), "vendas_painel")
 
@@ -328,8 +328,11 @@ def _resumo(spark, sf_dir):
 
 
 def _assembled(spark, sf_dir):
-    """Split panel with its features, written once (read by training and scoring), in the training layout."""
-    prepared, names, _ = ml.prepare_features(_split_panel(spark, sf_dir))
+    """Split panel with its features, written once (read by training and scoring), in the training layout. The levels are
+    taken from the written panel, which has the rows of the split: the split is computed once."""
+    panel = materialize(_panel(spark, sf_dir), "painel")
+    _, names, feats = ml.prepare_features(panel)
+    prepared = feats.transform(ml.exact_split(panel)).withColumn("label", F.col(ml.TARGET).cast("double"))
     written = materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), "ml_painel")
     return ml.training_layout(written), names
 
