@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -362,6 +363,50 @@ def test_packing(spark, docs, empty, monkeypatch):
     assert bins <= least + 1
 
 
+def test_tokenizer_learns_letters_once(monkeypatch):
+    """Letters and the punctuation after them are looked up apart, with the ids of the whole tokenizer."""
+    import public_tokenizers
+    tok = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    letters, signs = ["thear", "Naïve", "blend", "ÉCOLE"], [",", ".", "!!", "&&&", ";)", "<|>"]
+    texts = [" ".join(a + s for s in signs) for a in letters]
+    odd = ["", " \n ", "don't o'clock, it's' 's", "a=\u0338b a\u0301, x<\u0338", "a\x85b\xa0c", "\x01 x\x01, \x00", "İΣς, K. 12.5!",
+           "<|endoftext|>,é<|startoftext|>", "中文, 한가.", "ª. µ, ×÷!"]
+    for most in (packing.CACHED_WORDS, 5, 0):
+        monkeypatch.setattr(packing, "CACHED_WORDS", most)
+        tok.cache.clear()
+        for texts_now in (texts, texts + odd, odd):
+            got = [np.frombuffer(ids, "<u4").tolist() for ids in tok.encode(pa.array(texts_now))]
+            assert got == [tok.tokenizer.encode(t, add_special_tokens=False).ids for t in texts_now]
+            assert len(tok.cache) <= most
+            if texts_now is texts and most > 10:
+                assert len(tok.cache) == len(letters) + len(signs)
+    assert tok.encode(pa.array([], pa.string())) == []
+
+
+def test_portions_keep_every_row():
+    batches = [pa.record_batch({"id": list(range(a, b)), "t": ["x" * (i % 90) for i in range(a, b)]})
+               for a, b in ((0, 50), (50, 50), (50, 53), (53, 400))]
+    for size in (1, 2000, 1 << 20):
+        made = list(packing._portions(iter(batches[:1] + batches[2:]), size))
+        assert [i for b in made for i in b.column("id").to_pylist()] == list(range(400))
+        assert all(b.nbytes < size + 16 * 110 for b in made)
+    assert list(packing._portions(iter([]), 10)) == []
+
+
+def test_pieces_end_at_the_capacity(spark):
+    """The end id may fill a piece, or be one of its own."""
+    prepare(spark)
+    rows = [(n, " ".join(["the"] * n)) for n in (0, 1, 6, 7, 8, 15, 16)] + [(None, None)]
+    pieces = packing.token_pieces(spark.createDataFrame(rows, "doc_id long, text string"), capacity=8)
+    the = packing.tokenizer(None).tokenizer.encode("the", add_special_tokens=False).ids
+    want = Counter()
+    for i, t in rows:
+        ids = np.array(the * (i or 0) + [1], "<u4")
+        want.update((i, p, s, len(ids[s:s + 8]), zlib.crc32(ids[s:s + 8].tobytes()))
+                    for p, s in enumerate(range(0, len(ids), 8)))
+    assert rows_of(pieces, "id", "piece", "start", "length", "ids_crc32") == want
+
+
 def test_grouping_crossover():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 60, 80).tolist()

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,38 +34,52 @@ EPOCHS = 2
 WELL_FILLED = 0.98
 #: Words whose ids a worker keeps; the others are tokenized again when they come.
 CACHED_WORDS = 800_000
+#: Bytes of texts that are looked up together: of a word that comes often in them the ids are looked up once.
+PORTION_BYTES = 8 << 20
 _MARK = "\x01"
-#: ASCII letters and ASCII punctuation after them (an apostrophe may join them, so it is left out).
-_PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
+#: An ASCII or Latin-1 letter and ASCII punctuation after it (an apostrophe may join them, so it is left out).
+_JOINT = r"([a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([!-&(-/:-@\[-`{-~])"
+#: UTF-8 of ASCII and Latin-1 letters.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class WordTokenizer:
-    """Ids of whole texts from a tokenizer that never joins characters across white space.
+    """Ids of whole texts from a tokenizer that never joins characters across white space, nor letters and the
+    punctuation after them.
 
     Such a tokenizer gives a text the ids of its words one after the other, so each word is tokenized once and its ids
-    are kept. A word is a run without ASCII white space; A-Z are lower-cased first, as the tokenizer does itself.
+    are kept. A word is a run without ASCII white space, cut between a letter and punctuation after it; A-Z are
+    lower-cased first, as the tokenizer does itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.cache: dict[bytes, bytes] = {}
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        suffix, vocab = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words. Letters and the punctuation after them are tokenized apart, so in plain ASCII the model can
-        be asked for each directly; all other words go through the whole tokenizer."""
-        known, rest, model = {}, [], self.tokenizer.model
+        """Ids of new words. Of letters alone only the last id ends a word, so many are tokenized in one call and told
+        apart by their ends; all other words get marks between them."""
+        known: dict[bytes, bytes] = {}
+        letters, rest = [], []
         for w in words:
-            m = _PLAIN.fullmatch(w)
-            if m:
-                ids = [t.id for t in model.tokenize(m[1].decode())]
-                if m[2]:
-                    ids += [t.id for t in model.tokenize(m[2].decode())]
-                known[w] = array("I", ids).tobytes()
+            (letters if _LETTERS.fullmatch(w) else rest).append(w)
+        groups = [letters[i:i + 1024] for i in range(0, len(letters), 1024)]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups],
+                                                                 add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) == len(g):
+                ids = ids.tobytes()
+                known.update(zip(g, map(ids.__getitem__, map(slice, [0] + stops, stops))))
             else:
-                rest.append(w)
+                rest += g
         return known | self._tokenize(rest)
 
     def _tokenize(self, words: list[bytes]) -> dict[bytes, bytes]:
@@ -87,17 +104,21 @@ class WordTokenizer:
             known[w] = array("I", ids).tobytes()
         return known
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[memoryview]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [t.encode("utf-8", "replace").lower().split() for t in texts]
-        new = self._learn(list({w for words in split for w in words if w not in self.cache}))
-        if len(self.cache) + len(new) <= CACHED_WORDS:
-            self.cache |= new
-            find = self.cache.__getitem__
-        else:
-            def find(w, cache=self.cache):
-                return new[w] if w in new else cache[w]
-        return [b"".join(map(find, words)) for words in split]
+        lower = pc.ascii_lower(texts.cast(pa.large_string()))
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, pattern=_JOINT, replacement=r"\1 \2"))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.cache.get, words))
+        new = self._learn([w for w, i in zip(words, ids) if i is None])
+        if new:
+            ids = [new[w] if i is None else i for w, i in zip(words, ids)]
+            self.cache.update(islice(new.items(), max(0, CACHED_WORDS - len(self.cache))))
+        _, at, data = pa.array(ids, pa.large_binary()).take(coded.indices).buffers()
+        at = np.frombuffer(at, np.int64)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -113,22 +134,37 @@ def tokenizer(path: str | None) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+def _portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes; a batch goes beyond it by 15 rows at most."""
+    held: list[pa.RecordBatch] = []
+    filled = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            held.append(batch.slice(at, 16))
+            filled += held[-1].nbytes
+            if filled >= size:
+                yield pa.concat_batches(held)
+                held, filled = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                  tokenizer_path: str | None = None) -> DataFrame:
     """(uid, id, piece, start, length, ids_crc32): each document's ids and an end id, cut at every ``capacity`` ids."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, uid = tokenizer(tokenizer_path), TaskContext.get().partitionId() << 33
         end = array("I", [END_ID]).tobytes()
-        for batch in batches:
+        for batch in _portions(batches, PORTION_BYTES):
             rows = []
-            for at in range(0, batch.num_rows, 256):
-                for row, ids in enumerate(tok.encode(batch.column("t").slice(at, 256).to_pylist()), start=at):
-                    ids += end
-                    n = len(ids) // 4
-                    for p, start in enumerate(range(0, n, capacity)):
-                        piece = ids[4 * start:4 * (start + capacity)]
-                        rows.append((uid, row, p, start, len(piece) // 4, zlib.crc32(piece)))
-                        uid += 1
+            for row, ids in enumerate(tok.encode(batch.column("t"))):
+                n = len(ids) // 4 + 1
+                for p, start in enumerate(range(0, n, capacity)):
+                    length, crc = min(capacity, n - start), zlib.crc32(ids[4 * start:4 * (start + capacity)])
+                    if start + length == n:
+                        crc = zlib.crc32(end, crc)
+                    rows.append((uid, row, p, start, length, crc))
+                    uid += 1
             made = np.array(rows, np.int64).reshape(-1, 6).T
             number = [pa.array(c) for c in made]
             yield pa.RecordBatch.from_arrays(
