@@ -33,9 +33,9 @@ EPOCHS = 2
 #: Bins filled less than this share are taken apart and packed again with those of other groups.
 WELL_FILLED = 0.98
 #: Words whose ids a worker keeps; the others are tokenized again when they come.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 #: Bytes of texts that are looked up together: of a word that comes often in them the ids are looked up once.
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 2 << 20
 _MARK = "\x01"
 #: An ASCII or Latin-1 letter and ASCII punctuation after it (an apostrophe may join them, so it is left out).
 _JOINT = r"([a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([!-&(-/:-@\[-`{-~])"
@@ -170,6 +170,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [number[0], batch.column("id").take(number[1]), number[2].cast(pa.int32()), *number[3:]],
                 names=["uid", "id", "piece", "start", "length", "ids_crc32"])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
