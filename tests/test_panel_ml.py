@@ -235,6 +235,41 @@ def test_training_partitions_follow_the_rows(spark, monkeypatch):
     assert ml.training_layout(df, partitions=3).rdd.getNumPartitions() == 3
 
 
+def test_training_partitions_grow_when_there_are_many(spark, monkeypatch):
+    monkeypatch.setattr(ml, "TRAIN_ROWS", 10)
+    monkeypatch.setattr(ml, "TRAIN_MANY", 12)
+    monkeypatch.setattr(ml, "TRAIN_MOST_ROWS", 1000)
+    df = spark.range(2450).select(F.col("id").alias("loja_id"), F.lit("m").alias("mes"), F.lit(1.0).alias("label"))
+    assert ml.training_layout(df).rdd.getNumPartitions() == 12
+    assert ml.training_layout(df.limit(95)).rdd.getNumPartitions() == 10
+    assert ml.training_partitions(20_000) == 20
+
+
+def test_a_large_forest_keeps_no_node_ids_and_is_the_same(spark, monkeypatch, tmp_out):
+    rows = [(k, "2024-01", float(k % 11), float(k % 7), float((k * k) % 13), k % 5 == 0) for k in range(300)]
+    df = _vectors(spark.createDataFrame(rows, "loja_id long, mes string, a double, b double, label double, is_test boolean"), ["a", "b"])
+    df.write.parquet(f"{tmp_out}/dados")
+    data, found = spark.read.parquet(f"{tmp_out}/dados"), []
+    for limit in (1000, 100):
+        monkeypatch.setattr(ml, "NODE_ID_ROWS", limit)
+        model = ml.train_split("RandomForest", data, numTrees=5, maxDepth=4)
+        assert model.getCacheNodeIds() == (limit == 1000)
+        found.append([r["prediction"] for r in model.transform(data.orderBy("loja_id")).collect()])
+    whole = ml.train("RandomForest", ml.training_layout(data).where("NOT is_test"), numTrees=5, maxDepth=4)
+    found.append([r["prediction"] for r in whole.transform(data.orderBy("loja_id")).collect()])
+    assert found[0] == found[1] == found[2]
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs())
+    line = ml.train_split("LinearRegression", data)
+    assert line.getRegParam() == 0.0 and set(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+    same = ml.train("LinearRegression", ml.training_layout(data).where("NOT is_test"))
+    assert list(line.coefficients) == pytest.approx(list(same.coefficients))
+
+
+def test_monthly_sums_and_customers_are_one_aggregate(spark):
+    plan = monthly(sales_for_store(spark, 1, range(1, 5)), ["A"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("hashpartitioning") == 2
+
+
 def test_a_table_of_levels_is_not_broadcast(spark):
     rows = spark.range(50).select("id", F.concat(F.lit("n"), F.col("id")).alias("c"))
     levels = rows.select(F.col("c").alias("nivel"), F.col("id").alias("posicao"))

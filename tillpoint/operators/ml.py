@@ -39,6 +39,9 @@ TEST_FRACTION = 0.2
 SEED = 42
 TRAIN_PARTITIONS = 8  # at least; the number depends on the row count only, as the forest depends on it
 TRAIN_ROWS = 65_536  # rows of a training partition, about, once there are more than TRAIN_PARTITIONS of them
+TRAIN_MANY = 48  # training partitions that are enough: from here on they grow ...
+TRAIN_MOST_ROWS = 1_048_576  # ... up to about this many rows before there are more of them
+NODE_ID_ROWS = 4_194_304  # rows of a table up to which a forest keeps the node of every training row in every tree
 TINY_RIDGE = 1e-6
 HASH_PREFIX_HEX = 4  # 16-bit buckets → histogram of at most 65,536 rows
 
@@ -240,14 +243,28 @@ def tree_memory_budget_mb(spark) -> int:
     return max(16, min(1024, heap // (4 * max(1, cores))))
 
 
+def training_partitions(rows: int) -> int:
+    """Partitions of a training table of ``rows`` rows: about ``TRAIN_ROWS`` each, at least ``TRAIN_PARTITIONS``. From
+    ``TRAIN_MANY`` on they grow instead, to ``TRAIN_MOST_ROWS``: at every level of a forest each partition shuffles the statistics
+    of all its nodes, whose size hardly depends on the partition's rows."""
+    return max(TRAIN_PARTITIONS, min(-(-rows // TRAIN_ROWS), TRAIN_MANY), -(-rows // TRAIN_MOST_ROWS))
+
+
 def training_layout(data: DataFrame, keys: list[str] = SPLIT_KEYS, partitions: int | None = None) -> DataFrame:
     """Rows spread by a hash of their key over partitions and sorted inside them. Unless ``partitions`` is given, their
-    number follows the row count (one pass over ``data``): about ``TRAIN_ROWS`` each, but at least ``TRAIN_PARTITIONS``.
+    number follows the row count (one pass over ``data``, see ``training_partitions``).
     A forest draws its samples per partition, so with this layout the same rows give the same forest on any cluster."""
-    n = partitions or max(TRAIN_PARTITIONS, -(-data.count() // TRAIN_ROWS))
+    n = partitions or training_partitions(data.count())
     return data.repartition(n, *keys).sortWithinPartitions(*keys, "label")
 
 
+def needed_ridge(train_df: DataFrame) -> float:
+    """``TINY_RIDGE`` where least squares has no more rows than features, so no single solution; else 0."""
+    first = train_df.select(F.size(vector_to_array("features")).alias("n")).first()
+    width = first["n"] if first else 0
+    return TINY_RIDGE if train_df.limit(width + 1).count() <= width else 0.0
+
+
 def train(name: str, train_df: DataFrame, **params):
     """Fit a model of the registry. Least squares with no more rows than features has no single solution: a small ridge
     (``TINY_RIDGE``) is then added unless ``regParam`` is given; ``model.getRegParam()`` tells."""
@@ -255,13 +272,34 @@ def train(name: str, train_df: DataFrame, **params):
     if name != "LinearRegression" and "maxMemoryInMB" not in params:
         params["maxMemoryInMB"] = tree_memory_budget_mb(train_df.sparkSession)
     if name == "LinearRegression" and "regParam" not in params:
-        first = train_df.select(F.size(vector_to_array("features")).alias("n")).first()
-        width = first["n"] if first else 0
-        if train_df.limit(width + 1).count() <= width:
-            params["regParam"] = TINY_RIDGE
+        params["regParam"] = needed_ridge(train_df)
     return factory(**params).fit(train_df)
 
 
+def storage_params(name: str, rows: int) -> dict:
+    """How a model is trained on a table of ``rows`` rows, without an effect on the model: a forest of more than ``NODE_ID_ROWS``
+    walks its trees at every level instead of keeping three generations of node ids (1.2 KB a row at 100 trees), which would
+    go to disk."""
+    return {"cacheNodeIds": False} if name == "RandomForest" and rows > NODE_ID_ROWS else {}
+
+
+def train_split(name: str, data: DataFrame, **params):
+    """Fit a model of the registry on the rows of a written table that are not ``is_test``, in the training layout of the table.
+
+    Only these rows are shuffled, and what can be asked of the table is asked of it: every look at the layout is a shuffle."""
+    rows, fit_rows = data.count(), data.where("NOT is_test")
+    if name == "LinearRegression":
+        params.setdefault("regParam", needed_ridge(fit_rows))
+    layout = training_layout(fit_rows, partitions=training_partitions(rows))
+    if name != "LinearRegression":  # trees keep binned rows of their own
+        return train(name, layout, **(storage_params(name, rows) | params))
+    layout.persist()  # least squares asks for its rows three times
+    try:
+        return train(name, layout, **params)
+    finally:
+        layout.unpersist()
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # M4 / M5 — metrics and selection
 # ---------------------------------------------------------------------------------------------------------------
@@ -308,5 +346,5 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str] = SPLIT_KEYS) -
 
 
 __all__ = ["Dummies", "fit_dummies", "dummies_long", "level_table", "dummies_by_table",
-           "prepare_features", "exact_split", "train", "regression_metrics", "select_best",
+           "prepare_features", "exact_split", "train", "train_split", "storage_params", "regression_metrics", "select_best",
            "save_model", "load_model", "predict", "full_model"]

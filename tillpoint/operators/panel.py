@@ -1,8 +1,8 @@
 """Store × month panel for the revenue forecast.
 
 One grouped aggregate over the sales fact produces every monthly measure at once — revenue, cost, sale count,
-the revenue of each category (conditional sums) and of each weekday; distinct customers come from a second one. Everything else is a window over the *monthly* rows of one store (``partitionBy("loja_id")``),
-so the window input is bounded by the number of months per store, whatever the size of the fact. The only global
+the revenue of each category (conditional sums) and of each weekday, and distinct customers. Everything else is a window over the
+*monthly* rows of one store (``partitionBy("loja_id")``), so the window input is bounded by the number of months per store, whatever the size of the fact. The only global
 quantity (mean monthly revenue over all stores, for the size class) is a scalar subquery over the same aggregate.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.functions.numeric import cents, from_cents, round_to, safe_div
-from tillpoint.operators.features import month_key, weekday0
+from tillpoint.operators.features import month_key, weekday0, with_distinct
 from tillpoint.session import materialize
 
 # Size classes and their bounds on (store mean monthly revenue / mean over all stores).
@@ -49,24 +49,23 @@ def learn_categories(vendas: DataFrame) -> list[str]:
 
 
 def monthly(vendas: DataFrame, categories: list[str]) -> DataFrame:
-    """Store × month measures: exact sums per category, of all other categories, and per weekday; counts."""
-    v = vendas.select("loja_id", "categoria", "cliente_id", month_key().alias("mes"),
+    """Store × month measures: exact sums per category, of all other categories, and per weekday; counts.
+
+    Distinct customers come from (store, month, customer) keys of their own, which join the same aggregate (see
+    ``features.with_distinct``): nothing is shuffled for a join. The month is a date until the end: half a text's bytes.
+    """
+    v = vendas.select("loja_id", "categoria", "cliente_id", F.trunc("data_venda", "month").alias("_mes"),
                       weekday0().alias("_dow"), cents("valor_total", vendas).alias("_v"),
                       cents("custo", vendas).alias("_cost"))
     listed = F.coalesce(F.col("categoria").isin(*categories), F.lit(False)) if categories else F.lit(False)
-    cat_sums = [F.sum(F.when(F.col("categoria") == F.lit(c), F.col("_v"))).alias(f"_cat{i}")
-                for i, c in enumerate(categories)]
-    cat_sums.append(F.sum(F.when(~listed, F.col("_v"))).alias(f"_cat{len(categories)}"))
-    wd_sums = [F.sum(F.when(F.col("_dow") == F.lit(k), F.col("_v"))).alias(f"_wd{k}") for k in range(7)]
-    sums = v.groupBy("loja_id", "mes").agg(
-        F.sum("_v").alias("_r"), F.sum("_cost").alias("_c"), F.count(F.lit(1)).alias("n_vendas"), *cat_sums, *wd_sums)
-    # distinct customers in their own aggregate: mixed into the one above, Spark would group *all* sum buffers by
-    # (store, month, customer) before the final merge; alone, only the de-duplicated keys are shuffled. The join is
-    # null-safe, so a store without an id keeps its rows.
-    customers = (v.groupBy("loja_id", "mes").agg(F.count_distinct("cliente_id").alias("n_clientes"))
-                 .select(F.col("loja_id").alias("_loja"), F.col("mes").alias("_mes"), "n_clientes"))
-    same = sums["loja_id"].eqNullSafe(customers["_loja"]) & sums["mes"].eqNullSafe(customers["_mes"])
-    return sums.join(customers, same).drop("_loja", "_mes")
+    sums = {"_r": (F.sum, F.col("_v")), "_c": (F.sum, F.col("_cost")), "n_vendas": (F.sum, F.lit(1).cast("bigint"))}
+    for i, c in enumerate(categories):
+        sums[f"_cat{i}"] = (F.sum, F.when(F.col("categoria") == F.lit(c), F.col("_v")))
+    sums[f"_cat{len(categories)}"] = (F.sum, F.when(~listed, F.col("_v")))
+    for k in range(7):
+        sums[f"_wd{k}"] = (F.sum, F.when(F.col("_dow") == F.lit(k), F.col("_v")))
+    out = with_distinct(v, ["loja_id", "_mes"], sums, "cliente_id", "n_clientes")
+    return out.select("loja_id", month_key("_mes").alias("mes"), *sums, "n_clientes")
 
 
 def store_regions(vendas: DataFrame) -> DataFrame:

@@ -328,19 +328,18 @@ def _resumo(spark, sf_dir):
 
 
 def _assembled(spark, sf_dir):
-    """Split panel with its features, written once (read by training and scoring), in the training layout. The levels are
-    taken from the written panel, which has the rows of the split: the split is computed once."""
+    """Split panel with its features, written once (read by training and scoring). The levels are taken from the written panel,
+    which has the rows of the split: the split is computed once."""
     panel = materialize(_panel(spark, sf_dir), "painel")
     _, names, feats = ml.prepare_features(panel)
     prepared = feats.transform(ml.exact_split(panel)).withColumn("label", F.col(ml.TARGET).cast("double"))
-    written = materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), "ml_painel")
-    return ml.training_layout(written), names
+    return materialize(prepared.select("loja_id", "mes", "is_test", "features", "label"), "ml_painel"), names
 
 
 def _model_predictions(name):
     def run(spark, sf_dir):
         data, _ = _assembled(spark, sf_dir)
-        model = ml.train(name, data.filter(~F.col("is_test")))
+        model = ml.train_split(name, data)
         return model.transform(data.filter("is_test")).select("loja_id", "mes", "label", "prediction")
     return run
 
@@ -349,8 +348,7 @@ def _model_metrics(spark, sf_dir):
     data, _ = _assembled(spark, sf_dir)
     frames = []
     for i, name in enumerate(ml.MODELS, start=1):
-        model = ml.train(name, data.filter(~F.col("is_test")))
-        m = ml.regression_metrics(model.transform(data.filter("is_test")))
+        m = ml.regression_metrics(ml.train_split(name, data).transform(data.filter("is_test")))
         frames.append(m.select(F.lit(i).cast("bigint").alias("ordem"), F.lit(name).alias("modelo"), "*"))
     return frames[0].unionByName(frames[1])
 
@@ -417,7 +415,7 @@ def _boosting_summary(spark, sf_dir):
 def _orthogonal(spark, sf_dir):
     """M3b by QR: whether the training residuals are orthogonal to each feature."""
     data, names = _assembled(spark, sf_dir)
-    train = data.filter(~F.col("is_test"))
+    train = ml.training_layout(data).filter(~F.col("is_test"))
     fitted = lsq.fit(train, names)
     found = lsq.orthogonality(fitted.predict(train), names)
     return found.select("feature", (F.abs("cosseno") <= F.lit(1e-6)).alias("ortogonal"))
@@ -449,7 +447,7 @@ def _model_fit(spark, sf_dir):
     """Fit of the trained models on their training rows. Least squares (from its saved form): the squares of the labels about
     their mean are those of the predictions plus those of the residuals. Forest: it leaves at most four fifths of them."""
     data, names = _assembled(spark, sf_dir)
-    train = data.filter(~F.col("is_test"))
+    train = ml.training_layout(data).filter(~F.col("is_test"))
     mean = train.agg(F.avg("label")).first()[0]
     path = _new_dir(spark, "mqr")
     lsq.fit(train, names).save(spark, path)
@@ -458,7 +456,7 @@ def _model_fit(spark, sf_dir):
     linear = lsq.LinearFit.load(spark, path).predict(train).agg(
         F.lit("MinimosQuadradosQR").alias("modelo"), F.count(F.lit(1)).alias("n_amostras"),
         (F.abs(sst - sse - ssr) <= F.lit(1e-9) * sst).alias("ajuste_ok"))
-    forest = ml.train("RandomForest", train, numTrees=20).transform(train).agg(
+    forest = ml.train_split("RandomForest", data, numTrees=20).transform(train).agg(
         F.lit("RandomForest").alias("modelo"), F.count(F.lit(1)).alias("n_amostras"), (sse <= F.lit(0.8) * sst).alias("ajuste_ok"))
     return linear.unionByName(forest)
 
@@ -467,7 +465,7 @@ def _forest_range(spark, sf_dir):
     """Test rows with the verdict that their prediction lies between the least and greatest training target."""
     data, _ = _assembled(spark, sf_dir)
     fit_rows = data.filter(~F.col("is_test"))
-    model = ml.train("RandomForest", fit_rows)
+    model = ml.train_split("RandomForest", data)
     lo, hi = fit_rows.agg(F.min("label"), F.max("label")).first()
     return model.transform(data.filter("is_test")).select(
         "loja_id", "mes", "label", F.col("prediction").between(lo - 1e-6, hi + 1e-6).alias("dentro"))

@@ -221,7 +221,7 @@ def run_forecast(spark: SparkSession, panel: DataFrame, output_dir: str, loja_id
     results, fitted = [], {}
     with clock.stage("train+evaluate"):
         for order, name in enumerate(models, start=1):
-            model = ml.train(name, train_df, **(model_params or {}).get(name, {}))
+            model = ml.train(name, train_df, **(ml.storage_params(name, sum(counts.values())) | (model_params or {}).get(name, {})))
             fitted[name] = model
             m = ml.regression_metrics(model.transform(test_df)).first().asDict()
             results.append(dict(ordem=order, modelo=name, **m))
