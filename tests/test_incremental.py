@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fixtures import vendas_invalidas, vendas_teste
 from tillpoint.operators import features as feat
+from tillpoint.operators import incremental
 from tillpoint.operators.incremental import FeatureStore
 from tillpoint.operators.validate import clean_sales
 from tillpoint.plans import jobs
@@ -116,3 +117,51 @@ def test_tables_of_a_step_are_written_at_once(spark, tmp_out, monkeypatch):
     store.apply(sales, td.REF_DATE)
     assert most >= 3
     assert_full(store, sales)
+
+
+def odd_sales(spark):
+    """Sales of 40 days in ten stores with unknown customers, stores, products and categories, and repeated rows."""
+    i = F.col("id")
+    rows = spark.range(600).select(
+        F.expr("date_add(DATE'2024-01-20', CAST(id % 40 AS INT))").alias("data_venda"),
+        F.when(i % 11 != 3, i * 7 % 10).alias("loja_id"), F.when(i % 13 != 5, i * 5 % 17).alias("produto_id"),
+        F.when(i % 9 != 2, F.concat(F.lit("c"), (i % 3).cast("string"))).alias("categoria"), F.lit(2).cast("bigint").alias("quantidade"),
+        F.lit(1.5).alias("valor_unitario"), ((i * 37 % 101) + F.lit(0.25)).cast("decimal(18,2)").alias("valor_total"),
+        F.when(i % 10 != 4, F.lit(1.5)).cast("decimal(18,2)").alias("custo"), F.when(i % 4 != 1, i * 3 % 19).alias("cliente_id"))
+    return rows.unionByName(rows.where("id % 6 = 0"))
+
+
+def test_rows_are_shuffled_once_to_be_grouped_ranked_and_written(spark, tmp_out, monkeypatch):
+    written, replace = [], FeatureStore._replace
+
+    def watched(self, df, level, name, parts):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        written.append((f"{level}/{name}".rstrip("/"), len(re.findall(r"Exchange \w+partitioning", plan))))
+        replace(self, df, level, name, parts)
+    monkeypatch.setattr(FeatureStore, "_replace", watched)
+    monkeypatch.setattr(incremental, "TASK_ROWS", 50)
+    sales, store = odd_sales(spark), FeatureStore(spark, f"{tmp_out}/s")
+    store.apply(sales, td.REF_DATE)
+    found = dict(written)
+    assert {k: found[k] for k in ("parciais", "meses/diario_loja", "meses/cliente_mes", "tabelas/top_produtos")} == {
+        "parciais": 1, "meses/diario_loja": 1, "meses/cliente_mes": 1, "tabelas/top_produtos": 1}
+    assert found["tabelas/ticket_medio"] == found["tabelas/frequencia_cliente"] == 0
+    assert_full(store, sales)
+
+
+def test_many_tasks_and_unknown_keys_give_the_full_tables(spark, tmp_out, monkeypatch):
+    monkeypatch.setattr(incremental, "TASK_ROWS", 30)
+    sales, store = odd_sales(spark), FeatureStore(spark, f"{tmp_out}/s")
+    for part in ("data_venda < DATE'2024-02-10' AND cliente_id IS NULL", "data_venda >= DATE'2024-02-10'",
+                 "data_venda < DATE'2024-02-10' AND cliente_id IS NOT NULL"):
+        store.apply(sales.where(part), td.REF_DATE)
+    assert_full(store, sales)
+    # the months' sums of one batch are taken over, those of several are added
+    assert rows(store.merged("categorias").select("mes", "loja_id", "categoria", "_r", "_c")) == rows(
+        store.partial("categorias", ["2024-01", "2024-02"]).select("mes", "loja_id", "categoria", "_r", "_c"))
+
+
+def test_a_store_of_an_earlier_layout_is_refused(spark, tmp_out):
+    os.makedirs(f"{tmp_out}/s/parciais/visitas")
+    with pytest.raises(ValueError):
+        FeatureStore(spark, f"{tmp_out}/s").apply(odd_sales(spark), td.REF_DATE)

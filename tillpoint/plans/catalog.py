@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillpoint.operators import boosting
 from tillpoint.operators import duplicates as dup
 from tillpoint.operators import features as feat
-from tillpoint.operators import heavy
+from tillpoint.operators import heavy, incremental
 from tillpoint.operators import least_squares as lsq
 from tillpoint.operators import ml
 from tillpoint.operators import outliers as outl
@@ -89,7 +89,7 @@ def _feature_job(spark, sf_dir):
 def _in_batches(spark, sf_dir) -> FeatureStore:
     """The sales up to a day in the middle of a month, then all others."""
     store = FeatureStore(spark, _new_dir(spark, "incremental"))
-    sales = materialize(_sales(spark, sf_dir), "vendas")
+    sales = materialize(_sales(spark, sf_dir).select(*incremental.SALES_COLUMNS), "vendas")
     early = F.col("data_venda") <= F.lit(BATCH_DATE)
     for part in (sales.where(early), sales.where(~early)):
         store.apply(part, td.REF_DATE)
